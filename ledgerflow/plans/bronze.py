@@ -61,6 +61,25 @@ class IngestResult:
     counts: DataFrame | None = None
 
 
+def gate_report(groups: Sequence[HeaderGroup], required: Sequence[str]) -> DataFrame:
+    """(source_file, passed, missing_columns, extra_columns, rows) of every scanned delivery."""
+    parts = []
+    for group in groups:
+        check = check_columns(group.columns, required)
+        parts.append(
+            group.rows.groupBy("source_file")
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .withColumns(
+                {
+                    "passed": F.lit(check.passed),
+                    "missing_columns": F.lit(",".join(check.missing)),
+                    "extra_columns": F.lit(",".join(check.unexpected)),
+                }
+            )
+        )
+    return union_by_name(parts)
+
+
 def typed_batch(
     group: HeaderGroup, run_id: str, ingest_ts: datetime, dates: DateRange | None = None
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.casting import clean_amount
@@ -58,7 +58,7 @@ def daily_totals(current: DataFrame, payment_method: str = CARD) -> DataFrame:
     )
 
 
-def _rated(statuses: Sequence[str]) -> F.Column:
+def _rated(statuses: Sequence[str]) -> Column:
     """Rated-method payments of a totals row if its status is one of these, else 0."""
     return F.when(F.col("status").isin(list(statuses)), F.col("rated_payments")).otherwise(0)
 
@@ -82,6 +82,17 @@ def with_daily_approval_rate(
     return totals.withColumn("approval_rate", F.when(complete, rate))
 
 
+def daily_approval_rates(
+    totals: DataFrame,
+    approved_status: str = APPROVED,
+    denominator_statuses: Sequence[str] = APPROVAL_DENOMINATOR,
+) -> DataFrame:
+    """The approval rate alone, one row per (event_date, merchant_id, currency)."""
+    return totals.groupBy("event_date", "merchant_id", "currency").agg(
+        approval_rate(F.sum(_rated([approved_status])), F.sum(_rated(denominator_statuses))).alias("approval_rate")
+    )
+
+
 def daily_payment_summary(
     totals: DataFrame,
     merchants: DataFrame,
