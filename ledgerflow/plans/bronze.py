@@ -228,7 +228,8 @@ def ingest_payments(
             usable = without_deliveries(batch, overflowing | rejected.keys())
             candidates = accepted(usable).drop(OVERFLOW, "rejected_text")
             batch_dates = [row[0] for row in candidates.select("event_date").distinct().collect()]
-            append_partitioned(new_rows(spark, candidates, bronze_path, batch_dates, strict_unique), bronze_path)
+            fresh = new_rows(spark, candidates, bronze_path, batch_dates, strict_unique)
+            append_partitioned(fresh, bronze_path, values=len(batch_dates))
             if quarantine_path:
                 append_flat(quarantined(usable).drop(OVERFLOW), quarantine_path)
             written = written_rows(spark, bronze_path, run_id, ingest_ts, batch_dates)

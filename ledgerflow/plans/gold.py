@@ -20,6 +20,7 @@ from ledgerflow.layout import (
 from ledgerflow.operators.contracts import check_columns, check_rate_arguments, check_unique
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.operators.enrich import new_run_id
+from ledgerflow.operators.joins import broadcast_if_small
 from ledgerflow.plans.audit import FAILED, PARTIAL, SUCCESS, StageReport, track_stage
 from ledgerflow.plans.reports import current_payments, daily_payment_summary, daily_totals, merchant_performance
 from ledgerflow.session import stage
@@ -57,11 +58,13 @@ def backfill_payments(audit: DataFrame, dates: DateRange) -> DataFrame:
     """Newest versions of the payments that belong to `dates`.
 
     A newer version may lie in another partition, so every version of the
-    transactions seen in the range takes part. The semi join filters the audit
-    table by those ids before the versions are shuffled.
+    transactions seen in the range takes part. The ids of a small backfill are
+    broadcast and filter the audit table while it is scanned; those of a large
+    one cost a shuffle, in which AQE splits an id with very many versions.
     """
     touched = audit.filter(dates.holds(F.col("event_date"))).select(F.col("transaction_id").alias("_id")).distinct()
-    versions = audit.join(touched, F.col("transaction_id").eqNullSafe(F.col("_id")), "left_semi")
+    same_id = F.col("transaction_id").eqNullSafe(F.col("_id"))
+    versions = audit.join(broadcast_if_small(touched), same_id, "left_semi")
     return current_payments(versions).filter(dates.holds(F.col("event_date")))
 
 

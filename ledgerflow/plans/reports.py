@@ -32,8 +32,12 @@ REPORT_INPUT = ["transaction_id", "event_date", "merchant_id", "currency", "stat
 
 
 def current_payments(audit: DataFrame, tie_breakers: Sequence[str] = VERSION_TIE_BREAKERS) -> DataFrame:
-    """Each transaction once, in its newest version, without personal data."""
-    return latest_per_transaction(audit, REPORT_INPUT, tie_breakers)
+    """Each transaction once, in its newest version, without personal data.
+
+    Dates become DATE before the shuffle; text that is no date is an error.
+    """
+    dated = audit.withColumn("event_date", F.col("event_date").cast("date"))
+    return latest_per_transaction(dated, REPORT_INPUT, tie_breakers)
 
 
 def daily_totals(current: DataFrame, payment_method: str = CARD) -> DataFrame:
@@ -43,9 +47,7 @@ def daily_totals(current: DataFrame, payment_method: str = CARD) -> DataFrame:
     all payments sends one row per task and group.
     """
     return (
-        current.withColumns(
-            {"event_date": F.col("event_date").cast("date"), "amount": clean_amount(F.col("amount"))}
-        )
+        current.withColumn("amount", clean_amount(F.col("amount")))
         .groupBy("event_date", "merchant_id", "currency", "status")
         .agg(
             F.count("transaction_id").alias("transactions"),

@@ -49,7 +49,8 @@ def line_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_status_per_txn(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.current_payments(views.line_payments(spark, folder), views.LINE_TIE_BREAKERS)
+    current = reports.current_payments(views.line_payments(spark, folder), views.LINE_TIE_BREAKERS)
+    return current.withColumn("event_date", F.col("event_date").cast("string"))
 
 
 def daily_payment_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,13 +106,14 @@ def hashed_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedup_anti_join(spark: SparkSession, folder: str) -> DataFrame:
-    lines = hashed_lines(spark, folder)
+    lines = stage(hashed_lines(spark, folder), "hashed-lines")
     stored = lines.filter("event_date < '1998-07-01'")
     return drop_stored(lines, stored).select("transaction_id", "record_hash", "event_date")
 
 
 def first_file_wins(spark: SparkSession, folder: str) -> DataFrame:
-    lines = hashed_lines(spark, folder).select("transaction_id", "record_hash", "status", "line_status")
+    hashed = hashed_lines(spark, folder).select("transaction_id", "record_hash", "status", "line_status")
+    lines = stage(hashed, "hashed-lines")
     original = lines.filter("status <> 'REVERSED'").withColumn("source_file", F.lit("a.csv"))
     repeated = original.filter("line_status = 'F'")
     resubmitted = lines.withColumn("source_file", F.lit("b.csv"))
@@ -186,7 +188,7 @@ def merchant_typing(spark: SparkSession, folder: str) -> DataFrame:
 def pii_free_projection(spark: SparkSession, folder: str) -> DataFrame:
     audit = views.event_payments_text(spark, folder)
     typed = type_payments(audit).withColumn("ingest_ts", F.col("transaction_ts"))
-    return reports.current_payments(typed)
+    return reports.current_payments(typed).withColumn("event_date", F.col("event_date").cast("string"))
 
 
 # --- deliveries -----------------------------------------------------------------
