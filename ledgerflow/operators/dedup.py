@@ -28,7 +28,9 @@ def latest_per_transaction(
     narrow = audit.select(*needed)
     if "record_hash" in order and "record_hash" not in wanted:
         narrow = narrow.withColumn("record_hash", F.substring("record_hash", 1, 16))
-    newest_first = Window.partitionBy("transaction_id").orderBy(*[F.desc(c) for c in order])
+    # The leading hash lets the sort compare 8-byte prefixes; ids often share their first bytes.
+    group = [F.xxhash64("transaction_id"), "transaction_id"]
+    newest_first = Window.partitionBy(*group).orderBy(*[F.desc(c) for c in order])
     return (
         narrow.withColumn("_version", F.row_number().over(newest_first)).filter("_version = 1").select(*wanted)
     )

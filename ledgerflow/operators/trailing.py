@@ -4,8 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# Up to this window, adding every active day to each snapshot it reaches is the
+# cheaper way; its cost grows with N, that of running sums does not.
+SPREAD_DAYS = 60
+
+
+def _calendar(snapshots: DataFrame) -> DataFrame:
+    """Snapshot days for a broadcast: one INT per calendar day, a few megabytes for any range of dates."""
+    return F.broadcast(snapshots.select(F.col("day").alias("snapshot_day")).distinct())
 
 
 def active_spine(days: DataFrame, key: str, snapshots: DataFrame, window_days: int) -> DataFrame:
@@ -25,28 +36,71 @@ def active_spine(days: DataFrame, key: str, snapshots: DataFrame, window_days: i
     spread = days.withColumn("_last", last).withColumn(
         "snapshot_day", F.explode(F.sequence(F.col("day"), F.col("_last")))
     )
-    # One row per calendar day: a few megabytes for any range of dates.
-    calendar = F.broadcast(snapshots.select(F.col("day").alias("snapshot_day")).distinct())
-    return spread.drop("_last").join(calendar, "snapshot_day", "left_semi")
+    return spread.drop("_last").join(_calendar(snapshots), "snapshot_day", "left_semi")
 
 
 def trailing_sums(
-    days: DataFrame, key: str, measures: Sequence[str], snapshots: DataFrame, window_days: int
+    days: DataFrame,
+    key: str,
+    measures: Sequence[str],
+    snapshots: DataFrame,
+    window_days: int,
+    spread_days: int = SPREAD_DAYS,
 ) -> DataFrame:
     """Sums of `measures` and the number of active days over [snapshot - (N-1), snapshot].
 
-    Spine and sums partition by the same key, so the reduced rows are shuffled
-    once for both.
+    `days` holds one row per key and active day and should be partitioned by
+    `key`: then neither way shuffles again.
+    """
+    if window_days < 1:
+        raise ValueError(f"window_days must be at least 1, got {window_days}")
+    if window_days <= spread_days:
+        return spread_sums(days, key, measures, snapshots, window_days)
+    return running_sums(days, key, measures, snapshots, window_days)
+
+
+def spread_sums(
+    days: DataFrame, key: str, measures: Sequence[str], snapshots: DataFrame, window_days: int
+) -> DataFrame:
+    """Every active day counts towards the N snapshots it reaches.
+
+    The copies exist only inside a task: they go straight into the hash
+    aggregation, which needs no shuffle on rows already partitioned by key.
+    """
+    reach = F.sequence(F.col("day"), F.col("day") + F.lit(window_days - 1))
+    return (
+        days.select(key, *measures, F.explode(reach).alias("snapshot_day"))
+        .join(_calendar(snapshots), "snapshot_day", "left_semi")
+        .groupBy(key, "snapshot_day")
+        .agg(*[F.sum(m).alias(m) for m in measures], F.count(F.lit(1)).alias("active_days"))
+    )
+
+
+def running_sums(
+    days: DataFrame, key: str, measures: Sequence[str], snapshots: DataFrame, window_days: int
+) -> DataFrame:
+    """Windows over the spine, for long windows.
+
+    Whole numbers are differences of two running sums, whose cost per row does
+    not grow with N. Doubles are added up within each window, since a difference
+    of running sums would lose their small digits.
     """
     spine = active_spine(days, key, snapshots, window_days)
     active = F.col("day") == F.col("snapshot_day")
-    frame = Window.partitionBy(key).orderBy("snapshot_day").rangeBetween(-(window_days - 1), 0)
     zeroed = spine.select(
         key,
         "snapshot_day",
         active.cast("bigint").alias("active_days"),
         *[F.when(active, F.col(m)).alias(m) for m in measures],
     )
-    return zeroed.select(
-        key, "snapshot_day", *[F.sum(m).over(frame).alias(m) for m in [*measures, "active_days"]]
-    )
+    ordered = Window.partitionBy(key).orderBy("snapshot_day")
+    until_now = ordered.rangeBetween(Window.unboundedPreceding, 0)
+    before = ordered.rangeBetween(Window.unboundedPreceding, -window_days)
+    within = ordered.rangeBetween(-(window_days - 1), 0)
+
+    def total(name: str) -> Column:
+        if isinstance(zeroed.schema[name].dataType, T.IntegralType):
+            return F.sum(name).over(until_now) - F.coalesce(F.sum(name).over(before), F.lit(0))
+        return F.sum(name).over(within)
+
+    return zeroed.select(key, "snapshot_day", *[total(m).alias(m) for m in [*measures, "active_days"]])

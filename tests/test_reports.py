@@ -8,7 +8,7 @@ import pytest
 
 from ledgerflow.functions.measures import MONEY_DIGITS
 from ledgerflow.layout import DAILY_SUMMARY_COLUMNS, performance_columns
-from ledgerflow.operators.trailing import trailing_sums
+from ledgerflow.operators.trailing import running_sums, spread_sums, trailing_sums
 from ledgerflow.plans.reports import current_payments, daily_payment_summary, daily_totals, merchant_performance
 from payments import audit, lookup, payment
 
@@ -183,8 +183,35 @@ def test_performance_against_brute_force(spark, seed, days):
         assert actual[key] == pytest.approx(expected[key], abs=1e-9), key
 
 
-def test_trailing_sums_with_fewer_snapshots_than_active_days(spark):
+@pytest.mark.parametrize("days", [1, 5, 30])
+def test_both_ways_to_sum_agree(spark, days):
+    rng = random.Random(days)
+    active = {(f"k{rng.randrange(6)}", rng.randrange(90)) for _ in range(200)}
+    rows = [(k, d, rng.randrange(100), rng.randrange(10_000) / 100) for k, d in sorted(active)]
+    frame = spark.createDataFrame(rows, "k string, day int, x bigint, y double")
+    columns = ["k", "snapshot_day", "x", "y", "active_days"]
+
+    def sums(limit):
+        totals = trailing_sums(frame, "k", ["x", "y"], frame, days, spread_days=limit)
+        return {(r[0], r[1]): tuple(r[2:]) for r in totals.select(*columns).collect()}
+
+    spread, running = sums(60), sums(0)
+    assert spread.keys() == running.keys()
+    assert all(spread[k] == pytest.approx(running[k]) for k in spread)
+
+
+def test_sums_of_partitioned_days_shuffle_once(spark, capsys):
+    totals = daily_totals(current_payments(audit(spark, [card(1, "APPROVED")])))
+    for days in (7, 90):
+        merchant_performance(totals, lookup(spark, SHOP), days).explain()
+        plan = capsys.readouterr().out
+        shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(merchant_id" in line]
+        assert not any("snapshot_day" in line for line in shuffles)
+
+
+@pytest.mark.parametrize("sums", [spread_sums, running_sums])
+def test_trailing_sums_with_given_snapshots(spark, sums):
     days = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("a", 5, 50)], "k string, day int, x bigint")
     snapshots = spark.createDataFrame([(1,), (2,), (3,), (5,), (9,)], "day int")
-    result = {r["snapshot_day"]: (r["x"], r["active_days"]) for r in trailing_sums(days, "k", ["x"], snapshots, 4).collect()}
+    result = {r["snapshot_day"]: (r["x"], r["active_days"]) for r in sums(days, "k", ["x"], snapshots, 4).collect()}
     assert result == {1: (10, 1), 2: (30, 2), 3: (30, 2), 5: (70, 2)}
