@@ -8,43 +8,23 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.layout import (
-    APPROVAL_DENOMINATOR,
-    APPROVED,
-    CARD,
-    DAILY_SUMMARY_COLUMNS,
-    REVERSED,
-    WINDOW_DAYS,
-    performance_columns,
-)
-from ledgerflow.operators.contracts import check_columns, check_rate_arguments, check_unique
+from ledgerflow.layout import DAILY_SUMMARY_COLUMNS, performance_columns
+from ledgerflow.operators.contracts import check_columns, check_unique
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.operators.enrich import new_run_id
 from ledgerflow.operators.joins import broadcast_if_small
 from ledgerflow.plans.audit import FAILED, PARTIAL, SUCCESS, StageReport, track_stage
-from ledgerflow.plans.reports import current_payments, daily_payment_summary, daily_totals, merchant_performance
+from ledgerflow.plans.reports import (
+    ReportRules,
+    current_payments,
+    daily_payment_summary,
+    daily_totals,
+    merchant_performance,
+)
 from ledgerflow.session import stage
 from ledgerflow.sources.tables import by_partition, read_bronze, read_merchant_lookup
 
 
-@dataclass(frozen=True)
-class ReportRules:
-    """Parameters of the two reports."""
-
-    window_days: int = WINDOW_DAYS
-    approved_status: str = APPROVED
-    denominator_statuses: Sequence[str] = APPROVAL_DENOMINATOR
-    payment_method: str = CARD
-    reversed_status: str = REVERSED
-
-    def __post_init__(self) -> None:
-        if self.window_days < 1:
-            raise ValueError(f"window_days must be at least 1, got {self.window_days}")
-        check_rate_arguments(
-            self.payment_method, self.denominator_statuses, self.approved_status, self.reversed_status
-        )
-
-
 @dataclass
 class GoldResult:
     """Status of a run and the rows read and written per report table."""
@@ -143,15 +123,8 @@ def build_reports(
         # Both reports read the totals, and so does the calendar of snapshots.
         totals = stage(daily_totals(current, rules.payment_method), "daily-totals")
 
-        daily = daily_payment_summary(totals, merchants, rules.approved_status, rules.denominator_statuses)
-        performance = merchant_performance(
-            totals,
-            merchants,
-            rules.window_days,
-            rules.approved_status,
-            rules.denominator_statuses,
-            rules.reversed_status,
-        )
+        daily = daily_payment_summary(totals, merchants, rules)
+        performance = merchant_performance(totals, merchants, rules)
         if dates is not None:
             daily = daily.filter(daily_dates.holds(F.col("event_date")))
             performance = performance.filter(snapshot_dates.holds(F.col("snapshot_date")))

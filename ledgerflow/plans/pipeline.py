@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.operators.enrich import new_run_id
 from ledgerflow.plans.bronze import IngestResult, ingest_merchants, ingest_payments
-from ledgerflow.plans.gold import GoldResult, ReportRules, build_reports
+from ledgerflow.plans.gold import GoldResult, build_reports
+from ledgerflow.plans.reports import ReportRules
 from ledgerflow.sources.deliveries import Landing
 
 STAGES = ("all", "bronze", "gold")

@@ -8,6 +8,7 @@ currency and status.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,25 @@ from ledgerflow.layout import (
 from ledgerflow.operators.contracts import check_rate_arguments
 from ledgerflow.operators.dedup import VERSION_TIE_BREAKERS, latest_per_transaction
 from ledgerflow.operators.trailing import trailing_sums
+from ledgerflow.session import stage
+
+@dataclass(frozen=True)
+class ReportRules:
+    """Parameters of the two reports."""
+
+    window_days: int = WINDOW_DAYS
+    approved_status: str = APPROVED
+    denominator_statuses: Sequence[str] = APPROVAL_DENOMINATOR
+    payment_method: str = CARD
+    reversed_status: str = REVERSED
+
+    def __post_init__(self) -> None:
+        if self.window_days < 1:
+            raise ValueError(f"window_days must be at least 1, got {self.window_days}")
+        check_rate_arguments(
+            self.payment_method, self.denominator_statuses, self.approved_status, self.reversed_status
+        )
+
 
 # The only audit columns a report reads: no personal data among them.
 REPORT_INPUT = ["transaction_id", "event_date", "merchant_id", "currency", "status", "payment_method", "amount"]
@@ -65,11 +85,7 @@ def _rated(statuses: Sequence[str]) -> Column:
     return F.when(F.col("status").isin(list(statuses)), F.col("rated_payments")).otherwise(0)
 
 
-def with_daily_approval_rate(
-    totals: DataFrame,
-    approved_status: str = APPROVED,
-    denominator_statuses: Sequence[str] = APPROVAL_DENOMINATOR,
-) -> DataFrame:
+def with_daily_approval_rate(totals: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
     """Totals plus the approval rate of their (event_date, merchant_id, currency).
 
     A window over the reduced rows replaces a second aggregation joined back.
@@ -78,41 +94,30 @@ def with_daily_approval_rate(
     group = ["event_date", "merchant_id", "currency"]
     over = Window.partitionBy(*group)
     rate = approval_rate(
-        F.sum(_rated([approved_status])).over(over), F.sum(_rated(denominator_statuses)).over(over)
+        F.sum(_rated([rules.approved_status])).over(over), F.sum(_rated(rules.denominator_statuses)).over(over)
     )
     complete = F.col("event_date").isNotNull() & F.col("merchant_id").isNotNull() & F.col("currency").isNotNull()
     return totals.withColumn("approval_rate", F.when(complete, rate))
 
 
-def daily_approval_rates(
-    totals: DataFrame,
-    approved_status: str = APPROVED,
-    denominator_statuses: Sequence[str] = APPROVAL_DENOMINATOR,
-) -> DataFrame:
+def daily_approval_rates(totals: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
     """The approval rate alone, one row per (event_date, merchant_id, currency)."""
-    return totals.groupBy("event_date", "merchant_id", "currency").agg(
-        approval_rate(F.sum(_rated([approved_status])), F.sum(_rated(denominator_statuses))).alias("approval_rate")
-    )
+    rate = approval_rate(F.sum(_rated([rules.approved_status])), F.sum(_rated(rules.denominator_statuses)))
+    return totals.groupBy("event_date", "merchant_id", "currency").agg(rate.alias("approval_rate"))
 
 
-def daily_payment_summary(
-    totals: DataFrame,
-    merchants: DataFrame,
-    approved_status: str = APPROVED,
-    denominator_statuses: Sequence[str] = APPROVAL_DENOMINATOR,
-) -> DataFrame:
+def daily_payment_summary(totals: DataFrame, merchants: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
     """One row per (event_date, merchant_id, currency, status) with merchant attributes.
 
     The lookup is joined after the reduction. `copies` restores what joining
     every payment would give if the lookup lists a merchant more than once.
     """
-    check_rate_arguments(CARD, denominator_statuses, approved_status)
     lookup = merchants.groupBy("merchant_id", "merchant_name", "merchant_category").agg(
         F.count(F.lit(1)).alias("copies")
     )
     copies = F.coalesce("copies", F.lit(1))
     return (
-        with_daily_approval_rate(totals, approved_status, denominator_statuses)
+        with_daily_approval_rate(totals, rules)
         .join(lookup, "merchant_id", "left")
         .select(
             F.col("event_date").cast("string").alias("event_date"),
@@ -134,18 +139,14 @@ def daily_payment_summary(
 PERFORMANCE_SUMS = ["payments", "approved_amount", "rated_approved", "rated_decided", "reversals"]
 
 
-def merchant_days(
-    totals: DataFrame,
-    approved_status: str = APPROVED,
-    denominator_statuses: Sequence[str] = APPROVAL_DENOMINATOR,
-    reversed_status: str = REVERSED,
-) -> DataFrame:
+def merchant_days(totals: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
     """Totals reduced to one row per merchant and active day (`day` = days since 1970).
 
     Shuffled by merchant alone, so that the windows that follow need no further
     shuffle; a merchant has a bounded number of rows per day by now.
     """
-    approved = F.col("status") == approved_status
+    approved = F.col("status") == rules.approved_status
+    is_reversed = F.col("status") == rules.reversed_status
     return (
         totals.filter(F.col("event_date").isNotNull() & F.col("merchant_id").isNotNull())
         .repartition("merchant_id")
@@ -153,9 +154,9 @@ def merchant_days(
         .agg(
             F.sum("payments").alias("payments"),
             F.coalesce(F.sum(F.when(approved, F.col("amount_sum"))), F.lit(0.0)).alias("approved_amount"),
-            F.sum(_rated([approved_status])).alias("rated_approved"),
-            F.sum(_rated(denominator_statuses)).alias("rated_decided"),
-            F.sum(F.when(F.col("status") == reversed_status, F.col("payments")).otherwise(0)).alias("reversals"),
+            F.sum(_rated([rules.approved_status])).alias("rated_approved"),
+            F.sum(_rated(rules.denominator_statuses)).alias("rated_decided"),
+            F.sum(F.when(is_reversed, F.col("payments")).otherwise(0)).alias("reversals"),
         )
     )
 
@@ -172,20 +173,13 @@ def merchant_names(merchants: DataFrame) -> DataFrame:
     )
 
 
-def merchant_performance(
-    totals: DataFrame,
-    merchants: DataFrame,
-    window_days: int = WINDOW_DAYS,
-    approved_status: str = APPROVED,
-    denominator_statuses: Sequence[str] = APPROVAL_DENOMINATOR,
-    reversed_status: str = REVERSED,
-) -> DataFrame:
+def merchant_performance(totals: DataFrame, merchants: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
     """One row per snapshot date and merchant active in the N days that end on it.
 
     `totals` is read twice (measures and snapshot dates), so pass a staged table.
     """
-    check_rate_arguments(CARD, denominator_statuses, approved_status, reversed_status)
-    days = merchant_days(totals, approved_status, denominator_statuses, reversed_status)
+    window_days = rules.window_days
+    days = merchant_days(totals, rules)
     sums = trailing_sums(days, "merchant_id", PERFORMANCE_SUMS, snapshot_days(totals), window_days)
     copies = F.coalesce("copies", F.lit(1))
     measures = {
@@ -205,3 +199,20 @@ def merchant_performance(
         )
         .select(*performance_columns(window_days))
     )
+
+
+def daily_report(audit: DataFrame, merchants: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
+    """The daily summary straight from audit rows."""
+    return daily_payment_summary(daily_totals(current_payments(audit), rules.payment_method), merchants, rules)
+
+
+def performance_report(audit: DataFrame, merchants: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
+    """The N-day merchant table straight from audit rows."""
+    totals = stage(daily_totals(current_payments(audit), rules.payment_method), "daily-totals")
+    return merchant_performance(totals, merchants, rules)
+
+
+def in_report_order(report: DataFrame) -> DataFrame:
+    """Sorted by date and keys for presentation, NULLs last; writing a table needs no order."""
+    keys = ["snapshot_date", "event_date", "merchant_id", "currency", "status"]
+    return report.orderBy(*[F.asc_nulls_last(c) for c in keys if c in report.columns])

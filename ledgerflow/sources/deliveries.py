@@ -25,19 +25,27 @@ OVERFLOW = "_beyond_header"
 
 @dataclass(frozen=True)
 class Landing:
-    """Where deliveries arrive and what counts as one."""
+    """Where deliveries arrive and what counts as one.
+
+    `modified_after` (`YYYY-MM-DDTHH:mm:ss`) leaves out files that have not
+    changed since, so that a run need not parse the whole history again.
+    `multi_line` allows line breaks inside quotes, at the price that a file is
+    no longer split among tasks.
+    """
 
     folder: str
     pattern: str = "*.csv"
     unit: str = "file"
     multi_line: bool = False
+    modified_after: str | None = None
 
     def __post_init__(self) -> None:
         if self.unit not in ("file", "folder"):
             raise ValueError(f"unit must be 'file' or 'folder', got {self.unit!r}")
 
     def options(self) -> dict[str, str]:
-        return {"pathGlobFilter": self.pattern, "recursiveFileLookup": str(self.unit == "folder").lower()}
+        chosen = {"pathGlobFilter": self.pattern, "recursiveFileLookup": str(self.unit == "folder").lower()}
+        return chosen | ({"modifiedAfter": self.modified_after} if self.modified_after else {})
 
     def delivery_of(self) -> Column:
         """Delivery name of a scanned row: its file name, or the name of its folder."""

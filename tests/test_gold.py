@@ -4,12 +4,14 @@ from datetime import date, datetime, timedelta, timezone
 
 import pytest
 
+from ledgerflow.__main__ import main
 from ledgerflow.layout import DAILY_SUMMARY_DDL, performance_ddl
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.plans.audit import read_report
 from ledgerflow.plans.bronze import ingest_payments
-from ledgerflow.plans.gold import ReportRules, build_reports
+from ledgerflow.plans.gold import build_reports
 from ledgerflow.plans.pipeline import Lake, run_pipeline
+from ledgerflow.plans.reports import ReportRules
 from ledgerflow.sources.deliveries import Landing
 from ledgerflow.sources.tables import overwrite_partitions, read_merchant_lookup, read_table, register_views
 from payments import merchant, payment, write_csv, write_merchants
@@ -198,3 +200,14 @@ def test_views_answer_sql(spark, shop):
     assert [(r["event_date"], r["n"]) for r in rows] == [("2024-01-15", 2), ("2024-01-16", 1)]
     assert spark.sql("SELECT * FROM daily WHERE event_date = '2024-01-15'").first()["transaction_count"] == 2
     assert spark.sql("SELECT max(snapshot_date) FROM performance").first()[0] == "2024-01-16"
+
+
+def test_command_line(spark, tmp_path, capsys):
+    write_csv(tmp_path / "in" / "1.csv", [dated(1, "2024-01-15"), dated(2, "2024-01-16")])
+    merchants = str(write_merchants(tmp_path / "m.csv", [merchant("M1")]))
+    base = ["--payments", str(tmp_path / "in"), "--merchants", merchants, "--root", str(tmp_path / "out")]
+    assert main([*base, "--run-id", "run-1"]) == 0
+    assert capsys.readouterr().out.splitlines() == [f"{n}: SUCCESS (run run-1)" for n in ("payments", "merchants", "reports")]
+    assert main([*base, "--stage", "gold", "--from-date", "2024-01-16", "--to-date", "2024-01-16"]) == 0
+    with pytest.raises(SystemExit):
+        main([*base, "--from-date", "2024-01-16"])

@@ -9,7 +9,7 @@ from ledgerflow.operators.dates import DateRange
 from ledgerflow.plans.audit import read_manifest, read_report
 from ledgerflow.plans.bronze import ingest_merchants, ingest_payments
 from ledgerflow.sources.deliveries import Landing
-from ledgerflow.sources.tables import read_bronze, read_bronze_merchants, read_evolved
+from ledgerflow.sources.tables import read_bronze, read_bronze_merchants, read_evolved, read_hashes
 from payments import merchant, payment, write_csv, write_merchants
 
 COUNTS = ["rows_read", "rows_written", "rows_skipped", "rows_quarantined", "rows_undated", "rows_out_of_range"]
@@ -230,3 +230,21 @@ def test_merchant_failures(spark, tmp_path):
     assert missing.status == refused.status == "FAILED"
     rows = {r["run_id"]: (r["status"], r["rows_read"], r["rows_quarantined"]) for r in read_report(spark, report).collect()}
     assert rows == {"1": ("FAILED", 0, 0), "2": ("PARTIAL", 1, 1)}
+
+
+def test_damaged_files(spark, lake):
+    lake.deliver("a.csv", [payment("T1")])
+    lake.ingest()
+    (lake.root / "bronze" / "event_date=2024-01-15" / "part-damaged.parquet").write_bytes(b"PAR1 not a table PAR1")
+    # A report reads what is readable; the duplicate check must not.
+    assert read_bronze(spark, lake.bronze, columns=["transaction_id"]).collect()[0][0] == "T1"
+    with pytest.raises(Exception, match="part-damaged"):
+        read_hashes(spark, lake.bronze, ["2024-01-15"]).collect()
+
+
+def test_unchanged_files_can_be_left_out(lake):
+    lake.deliver("old.csv", [payment("T1")])
+    lake.landing = Landing(str(lake.root / "in"), modified_after="2100-01-01T00:00:00")
+    assert lake.ingest().counts is None
+    lake.landing = Landing(str(lake.root / "in"), modified_after="2000-01-01T00:00:00")
+    assert counts(lake.ingest()) == {"old.csv": (1, 1, 0, 0, 0, 0)}

@@ -9,20 +9,26 @@ import pytest
 from ledgerflow.functions.measures import MONEY_DIGITS
 from ledgerflow.layout import DAILY_SUMMARY_COLUMNS, performance_columns
 from ledgerflow.operators.trailing import running_sums, spread_sums, trailing_sums
-from ledgerflow.plans.reports import current_payments, daily_payment_summary, daily_totals, merchant_performance
+from ledgerflow.plans.reports import (
+    ReportRules,
+    current_payments,
+    daily_report,
+    daily_totals,
+    in_report_order,
+    merchant_performance,
+    performance_report,
+)
 from payments import audit, lookup, payment
 
 SHOP = ("M1", "Shop", "RETAIL")
 
 
 def daily(spark, rows, *merchants):
-    totals = daily_totals(current_payments(audit(spark, rows)))
-    return daily_payment_summary(totals, lookup(spark, *(merchants or [SHOP]))).collect()
+    return daily_report(audit(spark, rows), lookup(spark, *(merchants or [SHOP]))).collect()
 
 
 def performance(spark, rows, days=7, merchants=(SHOP,)):
-    totals = daily_totals(current_payments(audit(spark, rows)))
-    return merchant_performance(totals, lookup(spark, *merchants), days).collect()
+    return performance_report(audit(spark, rows), lookup(spark, *merchants), ReportRules(window_days=days)).collect()
 
 
 def card(number, status, **values):
@@ -99,6 +105,19 @@ def test_null_amount_counts_but_does_not_add(spark):
     assert (row["transaction_count"], row["total_amount"], row["avg_amount"]) == (2, 10.0, 10.0)
 
 
+def test_presentation_order_has_nulls_last(spark):
+    rows = [card(1, "APPROVED", merchant_id=None), card(2, "DECLINED"), card(3, "APPROVED"), card(4, "APPROVED", merchant_id="M0")]
+    report = in_report_order(daily_report(audit(spark, rows), lookup(spark, SHOP)))
+    assert [(r["merchant_id"], r["status"]) for r in report.collect()] == [
+        ("M0", "APPROVED"),
+        ("M1", "APPROVED"),
+        ("M1", "DECLINED"),
+        (None, "APPROVED"),
+    ]
+    snapshots = in_report_order(performance_report(audit(spark, rows), lookup(spark, SHOP)))
+    assert [r["merchant_id"] for r in snapshots.collect()] == ["M0", "M1"]
+
+
 def test_repeated_merchant_multiplies_as_a_row_join_would(spark):
     rows = [card(1, "APPROVED", amount="10"), card(2, "DECLINED", amount="4")]
     twice = [SHOP, SHOP]
@@ -203,7 +222,7 @@ def test_both_ways_to_sum_agree(spark, days):
 def test_sums_of_partitioned_days_shuffle_once(spark, capsys):
     totals = daily_totals(current_payments(audit(spark, [card(1, "APPROVED")])))
     for days in (7, 90):
-        merchant_performance(totals, lookup(spark, SHOP), days).explain()
+        merchant_performance(totals, lookup(spark, SHOP), ReportRules(window_days=days)).explain()
         plan = capsys.readouterr().out
         shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(merchant_id" in line]
         assert not any("snapshot_day" in line for line in shuffles)

@@ -60,7 +60,7 @@ def daily_payment_summary(spark: SparkSession, folder: str) -> DataFrame:
 def merchant_performance(window_days: int):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         totals = stage(line_totals(spark, folder), "line-totals")
-        return reports.merchant_performance(totals, views.line_merchants(spark, folder), window_days)
+        return reports.merchant_performance(totals, views.line_merchants(spark, folder), reports.ReportRules(window_days))
 
     return query
 
@@ -371,7 +371,8 @@ def adhoc_gold_select(spark: SparkSession, folder: str) -> DataFrame:
     register_views(spark, written_reports(spark, folder))
     return spark.sql(
         "SELECT event_date, merchant_id, currency, status, transaction_count, total_amount "
-        "FROM daily_payment_summary ORDER BY event_date, merchant_id, currency, status"
+        "FROM daily_payment_summary "
+        "ORDER BY event_date, merchant_id NULLS LAST, currency NULLS LAST, status NULLS LAST"
     )
 
 
