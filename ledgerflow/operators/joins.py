@@ -16,10 +16,16 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("n")).first()["n"])
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def broadcast_if_small(
+    df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES, bound: DataFrame | None = None
+) -> DataFrame:
     """Hint a broadcast only for a side measured to fit; otherwise leave the choice to Spark,
-    which then shuffles both sides and splits hot keys (AQE skew join)."""
-    return F.broadcast(df) if measured_bytes(df) <= limit_bytes else df
+    which then shuffles both sides and splits hot keys (AQE skew join).
+
+    `bound` is a frame that cannot be smaller than `df` and is cheaper to measure,
+    such as the table `df` aggregates.
+    """
+    return F.broadcast(df) if measured_bytes(df if bound is None else bound) <= limit_bytes else df
 
 
 def left_join_dimension(

@@ -14,6 +14,7 @@ from ledgerflow.operators.contracts import check_columns
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.operators.dedup import drop_stored, first_owner, keep_owned
 from ledgerflow.operators.enrich import enrich, new_run_id, run_clock
+from ledgerflow.operators.joins import broadcast_if_small
 from ledgerflow.operators.quality import (
     ACCEPTED,
     BAD_AMOUNT,
@@ -120,12 +121,13 @@ def new_rows(
 ) -> DataFrame:
     """Candidates that are neither stored nor in an earlier delivery of this batch.
 
-    Ownership is settled on hashes alone; payload rows move once, in the final
-    join. The hash contains the date, so only the batch's own dates are read
-    from the stored table.
+    Ownership is settled on hashes alone, and first: in a run that mostly meets
+    known rows the few owners are broadcast and no payload row is shuffled. In a
+    run of new rows the payload moves once, in the final join. The hash contains
+    the date, so only the batch's own dates are read from the stored table.
     """
-    owners = drop_stored(first_owner(candidates), read_hashes(spark, bronze_path, dates))
-    kept = keep_owned(candidates, owners)
+    owners = stage(drop_stored(first_owner(candidates), read_hashes(spark, bronze_path, dates)), "owners")
+    kept = keep_owned(candidates, broadcast_if_small(owners))
     return kept.dropDuplicates(["record_hash"]) if strict_unique else kept
 
 

@@ -26,6 +26,7 @@ from ledgerflow.layout import (
 )
 from ledgerflow.operators.contracts import check_rate_arguments
 from ledgerflow.operators.dedup import VERSION_TIE_BREAKERS, latest_per_transaction
+from ledgerflow.operators.joins import broadcast_if_small
 from ledgerflow.operators.trailing import trailing_sums
 from ledgerflow.session import stage
 
@@ -112,13 +113,12 @@ def daily_payment_summary(totals: DataFrame, merchants: DataFrame, rules: Report
     The lookup is joined after the reduction. `copies` restores what joining
     every payment would give if the lookup lists a merchant more than once.
     """
-    lookup = merchants.groupBy("merchant_id", "merchant_name", "merchant_category").agg(
-        F.count(F.lit(1)).alias("copies")
-    )
+    attributes = merchants.select("merchant_id", "merchant_name", "merchant_category")
+    lookup = attributes.groupBy(*attributes.columns).agg(F.count(F.lit(1)).alias("copies"))
     copies = F.coalesce("copies", F.lit(1))
     return (
         with_daily_approval_rate(totals, rules)
-        .join(lookup, "merchant_id", "left")
+        .join(broadcast_if_small(lookup, bound=attributes), "merchant_id", "left")
         .select(
             F.col("event_date").cast("string").alias("event_date"),
             "merchant_id",
@@ -166,9 +166,9 @@ def snapshot_days(totals: DataFrame) -> DataFrame:
     return totals.filter("event_date IS NOT NULL").select(F.unix_date("event_date").alias("day")).distinct()
 
 
-def merchant_names(merchants: DataFrame) -> DataFrame:
+def merchant_names(listed: DataFrame) -> DataFrame:
     """One name per merchant, and how often the lookup lists the merchant."""
-    return merchants.groupBy("merchant_id").agg(
+    return listed.groupBy("merchant_id").agg(
         F.min("merchant_name").alias("merchant_name"), F.count(F.lit(1)).alias("copies")
     )
 
@@ -179,6 +179,8 @@ def merchant_performance(totals: DataFrame, merchants: DataFrame, rules: ReportR
     `totals` is read twice (measures and snapshot dates), so pass a staged table.
     """
     window_days = rules.window_days
+    listed = merchants.select("merchant_id", "merchant_name")
+    names = merchant_names(listed)
     days = merchant_days(totals, rules)
     sums = trailing_sums(days, "merchant_id", PERFORMANCE_SUMS, snapshot_days(totals), window_days)
     copies = F.coalesce("copies", F.lit(1))
@@ -190,7 +192,7 @@ def merchant_performance(totals: DataFrame, merchants: DataFrame, rules: ReportR
         "active_days": F.col("active_days"),
     }
     return (
-        sums.join(merchant_names(merchants), "merchant_id", "left")
+        sums.join(broadcast_if_small(names, bound=listed), "merchant_id", "left")
         .select(
             F.date_from_unix_date("snapshot_day").cast("string").alias("snapshot_date"),
             "merchant_id",
