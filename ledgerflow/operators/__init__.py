@@ -1 +1 @@
-"""DataFrame-in, DataFrame-out building blocks without I/O."""
+"""DataFrame-in, DataFrame-out building blocks; some stage an intermediate result."""

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.session import stage
+
 # Version order within equal ingest times, which is one instant per run.
 VERSION_TIE_BREAKERS = ("transaction_ts", "source_file", "record_hash")
 
@@ -36,16 +38,26 @@ def latest_per_transaction(
     )
 
 
-def drop_stored(batch: DataFrame, stored_hashes: DataFrame) -> DataFrame:
-    """Rows of `batch` whose hash is not stored yet; repeats inside the batch stay.
+def unstored(unique: DataFrame, stored_hashes: DataFrame) -> DataFrame:
+    """Rows of a frame with one row per hash whose hash is not stored.
 
     The stored side is made unique first: partial aggregation collapses a hash
     with many stored copies before the shuffle, and the join reuses its
-    partitioning. Copies on the batch side are split by the AQE skew join.
+    partitioning. No side has a hot hash by then.
+    """
+    return unique.join(stored_hashes.select("record_hash").distinct(), "record_hash", "left_anti")
+
+
+def drop_stored(batch: DataFrame, stored_hashes: DataFrame) -> DataFrame:
+    """Rows of `batch` whose hash is not stored yet; repeats inside the batch stay.
+
+    Settled on distinct hashes, which are staged: AQE splits a hash that fills a
+    third of the batch only if both sides of the join come straight from a shuffle.
     """
     if "record_hash" not in batch.columns:
         raise ValueError("rows need a record_hash before they can be compared with stored ones")
-    return batch.join(stored_hashes.select("record_hash").distinct(), "record_hash", "left_anti")
+    new = stage(unstored(batch.select("record_hash").distinct(), stored_hashes), "new-hashes")
+    return batch.join(new, "record_hash", "left_semi")
 
 
 def first_owner(batch: DataFrame) -> DataFrame:
@@ -56,12 +68,12 @@ def first_owner(batch: DataFrame) -> DataFrame:
 def keep_owned(batch: DataFrame, owners: DataFrame) -> DataFrame:
     """Rows of each hash from its owning delivery, copies inside that delivery included.
 
-    `owners` is unique per hash, so this never multiplies rows, and AQE can
-    split a hash that fills a third of the batch.
+    `owners` is unique per hash, so this never multiplies rows. Pass it staged,
+    so that AQE can split a hash that fills a third of the batch.
     """
     return batch.join(owners, ["record_hash", "source_file"], "left_semi")
 
 
 def first_delivery_wins(batch: DataFrame) -> DataFrame:
     """The result of loading deliveries one after another in name order, in one job."""
-    return keep_owned(batch, first_owner(batch))
+    return keep_owned(batch, stage(first_owner(batch), "owners"))

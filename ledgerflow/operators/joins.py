@@ -33,6 +33,8 @@ def left_join_dimension(
 ) -> DataFrame:
     """Every fact row, with NULL attributes where the dimension has no such key.
 
-    A repeated dimension key repeats the fact row.
+    A repeated dimension key repeats the fact row. Beyond the broadcast limit
+    pass a stored or staged dimension: AQE splits a hot key of the facts only if
+    both sides of the join come straight from a shuffle.
     """
     return fact.join(broadcast_if_small(dimension, limit_bytes), key, "left")

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from ledgerflow.layout import MERCHANT_COLUMNS, METADATA_COLUMNS, PAYMENT_COLUMNS
 from ledgerflow.operators.contracts import check_columns
 from ledgerflow.operators.dates import DateRange
-from ledgerflow.operators.dedup import drop_stored, first_owner, keep_owned
+from ledgerflow.operators.dedup import drop_stored, first_owner, keep_owned, unstored
 from ledgerflow.operators.enrich import enrich, new_run_id, run_clock
-from ledgerflow.operators.joins import broadcast_if_small
+from ledgerflow.operators.joins import BROADCAST_LIMIT_BYTES, measured_bytes
 from ledgerflow.operators.quality import (
     ACCEPTED,
     BAD_AMOUNT,
@@ -37,7 +37,7 @@ from ledgerflow.plans.audit import (
     run_status,
     track_stage,
 )
-from ledgerflow.session import stage
+from ledgerflow.session import apply_job_settings, size_shuffles, stage
 from ledgerflow.sources.deliveries import (
     OVERFLOW,
     HeaderGroup,
@@ -112,23 +112,33 @@ def typed_batch(
     )
 
 
-def new_rows(
+# Up to this many dates in a batch, every task may write a file to each of them.
+FEW_DATES = 4
+
+
+def append_new(
     spark: SparkSession,
     candidates: DataFrame,
     bronze_path: str,
     dates: Sequence[str],
     strict_unique: bool = False,
-) -> DataFrame:
-    """Candidates that are neither stored nor in an earlier delivery of this batch.
+) -> None:
+    """Store the candidates that are neither stored nor in an earlier delivery of this batch.
+
+    Ownership is settled on hashes alone, and first. The hash contains the date,
+    so only the batch's own dates are read from the stored table.
 
-    Ownership is settled on hashes alone, and first: in a run that mostly meets
-    known rows the few owners are broadcast and no payload row is shuffled. In a
-    run of new rows the payload moves once, in the final join. The hash contains
-    the date, so only the batch's own dates are read from the stored table.
+    A run that mostly meets known rows has few owners: they are broadcast, no
+    known row is shuffled, and the few new ones are brought together by date. A
+    run of new rows shuffles the payload once, in the semi join; with a date or
+    two it is written straight from there, else regrouped by date.
     """
-    owners = stage(drop_stored(first_owner(candidates), read_hashes(spark, bronze_path, dates)), "owners")
-    kept = keep_owned(candidates, broadcast_if_small(owners))
-    return kept.dropDuplicates(["record_hash"]) if strict_unique else kept
+    owners = stage(unstored(first_owner(candidates), read_hashes(spark, bronze_path, dates)), "owners")
+    few_owners = measured_bytes(owners) <= BROADCAST_LIMIT_BYTES
+    fresh = keep_owned(candidates, F.broadcast(owners) if few_owners else owners)
+    if strict_unique:
+        fresh = fresh.dropDuplicates(["record_hash"])
+    append_partitioned(fresh, bronze_path, regroup=few_owners or len(dates) > FEW_DATES)
 
 
 def written_rows(
@@ -210,9 +220,12 @@ def ingest_payments(
     `columns` promises one header for all deliveries and saves the header pass.
     Python collections here hold one short entry per delivery or per day.
     """
+    apply_job_settings(spark)
     run_id, ingest_ts = run_id or new_run_id(), ingest_ts or run_clock()
     with track_stage(spark, run_id, "bronze", report_path) as report:
         paths = discover(spark, landing)
+        if paths:
+            size_shuffles(spark, landing.folder, landing.options())
         groups = header_groups(spark, landing, paths, columns)
         good = [g for g in groups if check_columns(g.columns, required)]
         bad = [g for g in groups if not check_columns(g.columns, required)]
@@ -230,8 +243,7 @@ def ingest_payments(
             usable = without_deliveries(batch, overflowing | rejected.keys())
             candidates = accepted(usable).drop(OVERFLOW, "rejected_text")
             batch_dates = [row[0] for row in candidates.select("event_date").distinct().collect()]
-            fresh = new_rows(spark, candidates, bronze_path, batch_dates, strict_unique)
-            append_partitioned(fresh, bronze_path, values=len(batch_dates))
+            append_new(spark, candidates, bronze_path, batch_dates, strict_unique)
             if quarantine_path:
                 append_flat(quarantined(usable).drop(OVERFLOW), quarantine_path)
             written = written_rows(spark, bronze_path, run_id, ingest_ts, batch_dates)
@@ -266,6 +278,7 @@ def ingest_merchants(
     ingest_ts: datetime | None = None,
 ) -> IngestResult:
     """Append new or changed merchants to their unpartitioned version table."""
+    apply_job_settings(spark)
     run_id, ingest_ts = run_id or new_run_id(), ingest_ts or run_clock()
     landing = Landing(csv_path, pattern="*")
     with track_stage(spark, run_id, "bronze_merchants", report_path) as report:

@@ -21,7 +21,7 @@ from ledgerflow.plans.reports import (
     daily_totals,
     merchant_performance,
 )
-from ledgerflow.session import stage
+from ledgerflow.session import apply_job_settings, size_shuffles, stage
 from ledgerflow.sources.tables import by_partition, read_bronze, read_merchant_lookup
 
 
@@ -40,9 +40,11 @@ def backfill_payments(audit: DataFrame, dates: DateRange) -> DataFrame:
     A newer version may lie in another partition, so every version of the
     transactions seen in the range takes part. The ids of a small backfill are
     broadcast and filter the audit table while it is scanned; those of a large
-    one cost a shuffle, in which AQE splits an id with very many versions.
+    one cost a shuffle. They are staged so that AQE can split an id with very
+    many versions in that shuffle.
     """
-    touched = audit.filter(dates.holds(F.col("event_date"))).select(F.col("transaction_id").alias("_id")).distinct()
+    inside = audit.filter(dates.holds(F.col("event_date")))
+    touched = stage(inside.select(F.col("transaction_id").alias("_id")).distinct(), "touched-ids")
     same_id = F.col("transaction_id").eqNullSafe(F.col("_id"))
     versions = audit.join(broadcast_if_small(touched), same_id, "left_semi")
     return current_payments(versions).filter(dates.holds(F.col("event_date")))
@@ -97,6 +99,7 @@ def build_reports(
     snapshot. With `narrow_backfill` only rows stored under `dates` are read,
     so their snapshots lack the look-back and later snapshots stay as they are.
     """
+    apply_job_settings(spark)
     result = GoldResult(run_id or new_run_id())
     reach = rules.window_days - 1
     with track_stage(spark, result.run_id, "gold", report_path) as report:
@@ -118,6 +121,7 @@ def build_reports(
             result.status = FAILED
             return result
 
+        size_shuffles(spark, bronze_path, {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"})
         merchants = read_merchant_lookup(spark, merchants_path)
         check_unique(merchants, "merchant_id", "merchant lookup")
         # Both reports read the totals, and so does the calendar of snapshots.

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# Runtime settings every job relies on. Shuffle sizing is left to AQE: the
-# cluster sets a generous spark.sql.shuffle.partitions and AQE merges or splits.
+# Runtime settings every job relies on.
 JOB_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -40,6 +41,27 @@ def apply_job_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Input bytes per shuffle partition before AQE merges small ones, and the most
+# partitions a driver should track.
+SHUFFLE_INPUT_BYTES = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, path: str, options: dict[str, str]) -> int:
+    """Start the shuffles of this session with partitions that fit the input at `path`.
+
+    AQE merges partitions that turn out small but cannot add any, and the usual
+    200 would be hundreds of gigabytes each on a large input. Lists file sizes
+    only. Returns the number in force.
+    """
+    files = spark.read.format("binaryFile").options(**options).load(path)
+    total = files.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(configured, min(math.ceil(total / SHUFFLE_INPUT_BYTES), MOST_SHUFFLE_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 

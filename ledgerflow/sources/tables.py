@@ -109,19 +109,13 @@ def by_partition(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", partition)
 
 
-# Up to this many partition values, every task may write a file to each of them.
-FEW_PARTITIONS = 4
-
-
-def append_partitioned(df: DataFrame, path: str, partition: str = "event_date", values: int | None = None) -> None:
+def append_partitioned(df: DataFrame, path: str, partition: str = "event_date", regroup: bool = True) -> None:
     """Add files below the partitions of `df`; the caller filters NULL dates.
 
-    `values` is the number of partition values in `df`, if known. A delivery of
-    a day or two is written straight from the partitions it has, which saves a
-    shuffle of all rows; more dates than that would leave a small file per task
-    and date, so the rows are brought together first.
+    Without `regroup` every task writes a file to each partition value it has,
+    which saves a shuffle of all rows where these are few.
     """
-    grouped = df if values is not None and values <= FEW_PARTITIONS else by_partition(df, partition)
+    grouped = by_partition(df, partition) if regroup else df
     grouped.write.mode("append").partitionBy(partition).parquet(path)
 
 

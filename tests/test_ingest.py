@@ -3,9 +3,12 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerflow.layout import PAYMENT_COLUMNS
 from ledgerflow.operators.dates import DateRange
+from ledgerflow.operators.dedup import drop_stored, first_delivery_wins
+from ledgerflow.plans import bronze as bronze_plan
 from ledgerflow.plans.audit import read_manifest, read_report
 from ledgerflow.plans.bronze import ingest_merchants, ingest_payments
 from ledgerflow.sources.deliveries import Landing
@@ -248,3 +251,41 @@ def test_unchanged_files_can_be_left_out(lake):
     assert lake.ingest().counts is None
     lake.landing = Landing(str(lake.root / "in"), modified_after="2000-01-01T00:00:00")
     assert counts(lake.ingest()) == {"old.csv": (1, 1, 0, 0, 0, 0)}
+
+
+@pytest.mark.parametrize("days", [1, 9])
+def test_large_batches_take_the_shuffle_and_store_the_same(spark, lake, monkeypatch, days):
+    monkeypatch.setattr(bronze_plan, "BROADCAST_LIMIT_BYTES", 0)
+    rows = [payment(f"T{n}", transaction_ts=f"2024-01-{n % days + 1:02d} 09:00:00") for n in range(90)]
+    lake.deliver("a.csv", rows + rows[:1] * 50)
+    lake.deliver("b.csv", rows + [payment("new")])
+    assert counts(lake.ingest()) == {"a.csv": (140, 140, 0, 0, 0, 0), "b.csv": (91, 1, 90, 0, 0, 0)}
+    assert counts(lake.ingest()) == {"a.csv": (140, 0, 140, 0, 0, 0), "b.csv": (91, 0, 91, 0, 0, 0)}
+    assert lake.stored().count() == 141
+
+
+def test_hot_record_is_split_among_tasks(spark, capsys):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        # Copies of one hash compress well, so a small test needs a low factor.
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.01",
+    }
+    hot = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
+    batch = spark.range(0, 60_000, 1, 8).select(
+        F.sha2(hot.cast("string"), 256).alias("record_hash"), F.lit("a.csv").alias("source_file"), F.uuid().alias("y")
+    )
+    stored = batch.limit(0)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for kept in (first_delivery_wins(batch), drop_stored(batch, stored)):
+            counted = kept.groupBy(F.substring("y", 1, 1)).count()
+            assert sum(r["count"] for r in counted.collect()) == 60_000
+            counted.explain()
+            assert "(skew=true)" in capsys.readouterr().out
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
