@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -26,7 +26,7 @@ EMPTY = "empty"
 MANIFEST_DDL = (
     "run_id string, run_ts timestamp, status string, source_file string, outcome string, "
     "missing_columns string, rows_read bigint, rows_written bigint, rows_skipped bigint, "
-    "rows_quarantined bigint, rows_undated bigint, rows_out_of_range bigint"
+    "rows_quarantined bigint, rows_undated bigint, rows_out_of_range bigint, extra map<string,string>"
 )
 REPORT_DDL = (
     "run_id string, pipeline_stage string, start_ts timestamp, end_ts timestamp, "
@@ -41,10 +41,18 @@ def run_status(counts: DataFrame) -> str:
     return SUCCESS if counts.filter(F.col("outcome") != INGESTED).isEmpty() else PARTIAL
 
 
-def run_manifest(counts: DataFrame, run_id: str, run_ts: datetime, status: str) -> DataFrame:
-    """Manifest rows of one ingest run."""
+def run_manifest(
+    counts: DataFrame, run_id: str, run_ts: datetime, status: str, extra: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Manifest rows of one ingest run, with any further facts about it in `extra`."""
+    facts = F.create_map(*[F.lit(text) for item in (extra or {}).items() for text in item])
     return counts.withColumns(
-        {"run_id": F.lit(run_id), "run_ts": F.lit(run_ts), "status": F.lit(status)}
+        {
+            "run_id": F.lit(run_id),
+            "run_ts": F.lit(run_ts),
+            "status": F.lit(status),
+            "extra": facts.cast("map<string,string>"),
+        }
     ).select(*[c.split()[0] for c in MANIFEST_DDL.split(", ")])
 
 

@@ -14,7 +14,7 @@ from ledgerflow.operators.contracts import check_columns
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.operators.dedup import drop_stored, first_owner, keep_owned, unstored
 from ledgerflow.operators.enrich import enrich, new_run_id, run_clock
-from ledgerflow.operators.joins import BROADCAST_LIMIT_BYTES, measured_bytes
+from ledgerflow.operators.joins import fits_broadcast
 from ledgerflow.operators.quality import (
     ACCEPTED,
     BAD_AMOUNT,
@@ -134,7 +134,7 @@ def append_new(
     two it is written straight from there, else regrouped by date.
     """
     owners = stage(unstored(first_owner(candidates), read_hashes(spark, bronze_path, dates)), "owners")
-    few_owners = measured_bytes(owners) <= BROADCAST_LIMIT_BYTES
+    few_owners = fits_broadcast(owners)
     fresh = keep_owned(candidates, F.broadcast(owners) if few_owners else owners)
     if strict_unique:
         fresh = fresh.dropDuplicates(["record_hash"])
@@ -209,6 +209,7 @@ def ingest_payments(
     report_path: str | None = None,
     ingest_ts: datetime | None = None,
     strict_unique: bool = False,
+    extra: Mapping[str, str] | None = None,
 ) -> IngestResult:
     """Append the new payments of all deliveries in `landing` to the audit table.
 
@@ -218,6 +219,7 @@ def ingest_payments(
 
     `dates` limits the run to a backfill range; rows are still only appended.
     `columns` promises one header for all deliveries and saves the header pass.
+    `extra` is recorded with the run in its manifest rows.
     Python collections here hold one short entry per delivery or per day.
     """
     apply_job_settings(spark)
@@ -262,7 +264,7 @@ def ingest_payments(
         status = run_status(counts)
         report.record(delivery_measures(counts))
     if manifest_path:
-        run_manifest(counts, run_id, ingest_ts, status).write.mode("append").json(manifest_path)
+        run_manifest(counts, run_id, ingest_ts, status, extra).write.mode("append").json(manifest_path)
     return IngestResult(run_id, status, counts)
 
 
@@ -276,6 +278,7 @@ def ingest_merchants(
     manifest_path: str | None = None,
     report_path: str | None = None,
     ingest_ts: datetime | None = None,
+    extra: Mapping[str, str] | None = None,
 ) -> IngestResult:
     """Append new or changed merchants to their unpartitioned version table."""
     apply_job_settings(spark)
@@ -313,7 +316,7 @@ def ingest_merchants(
         counts = stage(delivery_counts(deliveries, fates, written), "delivery-counts")
         report.record(delivery_measures(counts))
     if manifest_path:
-        run_manifest(counts, run_id, ingest_ts, SUCCESS).write.mode("append").json(manifest_path)
+        run_manifest(counts, run_id, ingest_ts, SUCCESS, extra).write.mode("append").json(manifest_path)
     return IngestResult(run_id, SUCCESS, counts)
 
 

@@ -181,13 +181,15 @@ def test_manifest_and_report(spark, lake):
     lake.deliver("bad.csv", [payment("T1")], ["transaction_id"])
     lake.deliver("good.csv", [payment("T2"), payment("T3", amount="?")])
     manifest, report = str(lake.root / "manifest"), str(lake.root / "report")
-    lake.ingest(run_id="run-1", manifest_path=manifest, report_path=report)
+    lake.ingest(run_id="run-1", manifest_path=manifest, report_path=report, extra={"operator": "night shift"})
     lake.ingest(run_id="run-2", manifest_path=manifest, report_path=report)
     rows = {(r["run_id"], r["source_file"]): r for r in read_manifest(spark, manifest).collect()}
     assert len(rows) == 4 and {r["status"] for r in rows.values()} == {"PARTIAL"}
     assert rows["run-1", "good.csv"]["rows_written"] == 1 and rows["run-2", "good.csv"]["rows_skipped"] == 1
     assert rows["run-1", "bad.csv"]["missing_columns"].startswith("amount,card_last4")
     assert rows["run-1", "bad.csv"]["run_ts"] is not None
+    assert rows["run-1", "bad.csv"]["extra"] == {"operator": "night shift"}
+    assert not rows["run-2", "bad.csv"]["extra"]
     measures = {(r["run_id"], r["table_name"]): r for r in read_report(spark, report).collect()}
     first = measures["run-1", "good.csv"]
     assert (first["rows_read"], first["rows_written"], first["rows_quarantined"]) == (2, 1, 1)
@@ -255,7 +257,7 @@ def test_unchanged_files_can_be_left_out(lake):
 
 @pytest.mark.parametrize("days", [1, 9])
 def test_large_batches_take_the_shuffle_and_store_the_same(spark, lake, monkeypatch, days):
-    monkeypatch.setattr(bronze_plan, "BROADCAST_LIMIT_BYTES", 0)
+    monkeypatch.setattr(bronze_plan, "fits_broadcast", lambda df: False)
     rows = [payment(f"T{n}", transaction_ts=f"2024-01-{n % days + 1:02d} 09:00:00") for n in range(90)]
     lake.deliver("a.csv", rows + rows[:1] * 50)
     lake.deliver("b.csv", rows + [payment("new")])

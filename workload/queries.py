@@ -330,7 +330,7 @@ def audited_run(spark: SparkSession, folder: str) -> tuple[str, str]:
 
 
 def audit_file_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return read_manifest(spark, audited_run(spark, folder)[0]).drop("run_ts", "rows_out_of_range")
+    return read_manifest(spark, audited_run(spark, folder)[0]).drop("run_ts", "rows_out_of_range", "extra")
 
 
 def audit_stage_report(spark: SparkSession, folder: str) -> DataFrame:
