@@ -12,6 +12,7 @@ from ledgerflow.layout import METADATA_COLUMNS
 
 # --- fixed values: the canonical form -----------------------------------------
 FIELD_SEPARATOR = "|"
+ESCAPE = "\\"
 NULL_TEXT = "\\N"
 MONEY_TYPE = "decimal(18,2)"
 # ------------------------------------------------------------------------------
@@ -29,12 +30,19 @@ def payload_columns(df: DataFrame, exclude: Iterable[str] = METADATA_COLUMNS) ->
 
 
 def canonical_value(column: Column, data_type: T.DataType) -> Column:
-    """One text per value, independent of session zone and of the file it came from."""
+    """One text per value, independent of session zone and of the file it came from.
+
+    Separators inside text are escaped, so that two different rows never render
+    alike and no text equals the mark for NULL.
+    """
     if isinstance(data_type, T.DoubleType):
         money = column.try_cast(MONEY_TYPE)
         text = F.when(money.cast("double") == column, money.cast("string")).otherwise(column.cast("string"))
     elif isinstance(data_type, T.TimestampType):
         text = F.unix_micros(column).cast("string")
+    elif isinstance(data_type, T.StringType):
+        escaped = F.replace(column, F.lit(ESCAPE), F.lit(ESCAPE * 2))
+        text = F.replace(escaped, F.lit(FIELD_SEPARATOR), F.lit(ESCAPE + FIELD_SEPARATOR))
     else:
         text = column.cast("string")
     return F.coalesce(text, F.lit(NULL_TEXT))

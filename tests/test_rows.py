@@ -107,6 +107,13 @@ def test_hash_tells_null_from_blank_and_fractions_apart(spark):
     assert len(set(hashes)) == 4
 
 
+def test_hash_tells_rows_apart_that_contain_separators(spark):
+    rows = [("1", "2|b=3", ""), ("1|b=2", "3", ""), ("1", "2", "|b=3"), ("\\N", "", ""), (None, "", ""), ("\\", "|", "")]
+    rows += [("\\|", "", ""), ("", "\\|", ""), ("1", "2\\|b=3", "")]
+    frame = spark.createDataFrame(rows, "a string, b string, c string")
+    assert len({r[0] for r in frame.select(record_hash(frame)).collect()}) == len(rows)
+
+
 def test_hash_takes_any_column_name(spark):
     frame = spark.createDataFrame([("x", "y")], ["a.1", "b`c"])
     assert len(frame.select(record_hash(frame)).first()[0]) == 64
