@@ -62,6 +62,17 @@ def size_shuffles(spark: SparkSession, path: str, options: dict[str, str]) -> in
     return wanted
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file, a folder or a match of a glob is there, in any Hadoop file system.
+
+    Asked beforehand, because a read that fails on a missing path leaves a stack
+    trace in the log of every later query listener.
+    """
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = location.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(location)
+    return found is not None and len(found) > 0
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 

@@ -11,13 +11,13 @@ from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.functions.hashing import named
 from ledgerflow.layout import METADATA_COLUMNS
+from ledgerflow.session import path_exists
 
 # Marks rows with more fields than their header; no delivery column may use it.
 OVERFLOW = "_beyond_header"
@@ -68,12 +68,9 @@ def discover(spark: SparkSession, landing: Landing) -> list[str]:
 
     This is the listing the driver makes for the scan anyway; no file is opened.
     """
-    try:
-        listed = spark.read.options(**landing.options()).text(landing.folder).inputFiles()
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in (problem.getCondition() or ""):
-            raise
+    if not path_exists(spark, landing.folder):
         return []
+    listed = spark.read.options(**landing.options()).text(landing.folder).inputFiles()
     return sorted(unquote(path) for path in listed)
 
 

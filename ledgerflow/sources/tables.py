@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.layout import BRONZE_MERCHANTS_DDL, BRONZE_PAYMENTS_DDL
 from ledgerflow.operators.dates import DateRange
+from ledgerflow.session import path_exists
 
 PARTITION_TYPES = {"event_date": "string", "snapshot_date": "string"}
 
@@ -26,12 +26,9 @@ def read_table(
     A declared schema spares the footer reads of inference, keeps dates in
     directory names as text, and gives NULL for columns older files lack.
     """
-    reader = spark.read.schema(ddl).option("ignoreCorruptFiles", skip_corrupt)
-    try:
-        table = reader.parquet(path)
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in (problem.getCondition() or ""):
-            raise
+    if path_exists(spark, path):
+        table = spark.read.schema(ddl).option("ignoreCorruptFiles", skip_corrupt).parquet(path)
+    else:
         table = spark.createDataFrame([], ddl)
     return table.select(*columns) if columns else table
 
@@ -84,12 +81,9 @@ def read_merchant_lookup(spark: SparkSession, path: str) -> DataFrame:
         "merchant_id string, merchant_name string, merchant_category string, country string, "
         "onboarding_date string, is_active string, settlement_currency string"
     )
-    try:
-        return spark.read.schema(ddl).option("header", True).option("escape", '"').csv(path)
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in (problem.getCondition() or ""):
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).option("header", True).option("escape", '"').csv(path)
 
 
 def register_views(spark: SparkSession, paths: Mapping[str, str]) -> None:

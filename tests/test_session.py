@@ -51,3 +51,12 @@ def test_left_join_keeps_every_row_and_repeats_for_repeated_keys(spark, limit):
     facts = spark.createDataFrame([("M1", 1), ("M9", 3), (None, 4)], "merchant_id string, n int")
     rows = left_join_dimension(facts, shops, "merchant_id", limit).collect()
     assert sorted((r["n"], r["merchant_name"] or "") for r in rows) == [(1, "a"), (1, "b"), (3, ""), (4, "")]
+
+
+def test_paths_and_globs_are_found(spark, tmp_path):
+    (tmp_path / "day=1").mkdir()
+    (tmp_path / "day=1" / "a.csv").touch()
+    assert session.path_exists(spark, str(tmp_path))
+    assert session.path_exists(spark, f"{tmp_path}/day=*/a.csv")
+    assert not session.path_exists(spark, f"{tmp_path}/day=2")
+    assert not session.path_exists(spark, f"{tmp_path}/day=*/b.csv")
