@@ -19,6 +19,10 @@ IS_SPACE[list(SEPARATORS)] = True
 TO_LOWER = np.arange(256, dtype=np.uint8)
 TO_LOWER[ord("A") : ord("Z") + 1] += 32
 
+# Everything but letters; bytes of longer characters count as letters.
+IS_NO_LETTER = np.ones(256, dtype=bool)
+IS_NO_LETTER[ord("A") : ord("Z") + 1] = IS_NO_LETTER[ord("a") : ord("z") + 1] = IS_NO_LETTER[128:] = False
+
 # Odd multipliers of the mixing steps.
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -59,12 +63,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - first
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end) of every word in `data` and, per text, the number of words before it (n + 1 entries)."""
+def words(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end) of every word in `data` and, per text, the number of words before it (n + 1 entries).
+
+    `between` tells for each of the 256 bytes whether it separates words.
+    """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    solid = ~IS_SPACE[data]
+    solid = ~between[data]
     starts, ends = solid.copy(), solid.copy()
     starts[1:] &= ~solid[:-1]
     ends[:-1] &= ~solid[1:]

@@ -27,3 +27,58 @@ SELECT n.doc_id, n.n::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_rem
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM n LEFT JOIN kept ON n.doc_id = kept.doc_id
 """
+
+ORACLES["op3_vector_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach(u, w) AS (
+  SELECT u, w FROM link UNION SELECT r.u, l.w FROM reach r JOIN link l ON r.w = l.u
+)
+SELECT e.vec_id, (SELECT count(*) FROM link WHERE u = e.vec_id) AS n_links,
+       least(e.vec_id, coalesce((SELECT min(w) FROM reach WHERE u = e.vec_id), e.vec_id)) AS component_id,
+       e.vec_id <= coalesce((SELECT min(w) FROM reach WHERE u = e.vec_id), e.vec_id) AS kept
+FROM embeddings e
+"""
+
+ORACLES["op6_hyperminhash"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p:p + 2], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS p FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), link AS (
+  SELECT x.u, x.w FROM (
+    SELECT a.doc_id AS u, b.doc_id AS w, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+  ) x JOIN n na ON na.doc_id = x.u JOIN n nb ON nb.doc_id = x.w WHERE 100 * x.both >= 85 * (na.n + nb.n - x.both)
+), reach(u, w) AS (
+  SELECT u, w FROM link UNION SELECT r.u, l.w FROM reach r JOIN link l ON r.w = l.u
+), least_reached AS (
+  SELECT u, min(w) AS w FROM reach GROUP BY u
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.w, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(r.w, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_reached r ON r.u = d.doc_id
+"""
+
+ORACLES["op8_block_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,7 +98,7 @@ def emitter(kernel: Kernel, filter_bits: np.ndarray | None, wide: bool):
 
 
 def filter_of(repeated: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """Bit filter of the column `fp`: bits are set by Spark, the driver receives at most `bits` / 64 words."""
+    """Bit filter of the hashes `fp`: bits are set by Spark, the driver receives at most `bits` / 64 words."""
     place = F.col("fp").bitwiseAND(F.lit(bits - 1))
     words = (
         repeated.select(
@@ -125,6 +126,24 @@ def repeated_segments(docs: DataFrame, kernel: Kernel, repeats: Column, label: s
     return staged(docs.mapInArrow(task, RUN_FIELDS), label)
 
 
+def sifted(docs: DataFrame, ids: DataFrame, flag: str) -> DataFrame:
+    """`docs` with a boolean column `flag`: false where doc_id is surely not among the column doc_id of `ids`.
+
+    Rows marked false need no join with `ids`, so their texts are not shuffled. A null doc_id is false.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(filter_of(ids.select(F.xxhash64("doc_id").alias("fp"))))
+
+    @F.pandas_udf("boolean")
+    def passes(hashes: pd.Series) -> pd.Series:
+        place = hashes.to_numpy(np.int64).view(np.uint64) & np.uint64(len(shared.value) * 64 - 1)
+        hit = shared.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
+        return pd.Series(hit.astype(bool))
+
+    key = F.col("doc_id").cast("bigint")
+    return docs.withColumn(flag, passes(F.xxhash64(key)) & key.isNotNull())
+
+
 def fingerprint_of_pieces(minima: np.ndarray) -> np.ndarray:
     """Minima are small numbers by nature; mixing them again spreads them evenly over partitions and filter bits."""
     return mixed(minima.copy())
