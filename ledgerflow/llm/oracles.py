@@ -30,9 +30,9 @@ FROM n LEFT JOIN kept ON n.doc_id = kept.doc_id
 
 ORACLES["op3_vector_dedup"] = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), link AS (
   SELECT a.vec_id AS u, b.vec_id AS w FROM v a JOIN v b ON a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.e, b.e) >= 0.95
@@ -71,9 +71,9 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_reached r ON
 
 ORACLES["op8_block_search"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
@@ -82,3 +82,28 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+ORACLES["op2_suffix_dedup"] = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), w AS (
+  SELECT doc_id, p, md5_number(substr(x, 2 * p + 1, 800)) AS h
+  FROM (SELECT doc_id, x, unnest(range(0, len(x) // 2 - 399)) AS p FROM d WHERE len(x) >= 800)
+), hit AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1
+), step AS (
+  SELECT doc_id, p, p - coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1000) > 400 AS fresh FROM hit
+), span AS (
+  SELECT doc_id, min(p) AS a, max(p) + 400 AS b
+  FROM (SELECT doc_id, p, count(*) FILTER (fresh) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM step) GROUP BY doc_id, g
+), cut AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span
+), kept AS (
+  SELECT cut.doc_id, sum(b - a) AS gone, count(*) AS spans,
+         string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS x
+  FROM cut JOIN d ON d.doc_id = cut.doc_id GROUP BY cut.doc_id
+)
+SELECT d.doc_id, (len(d.x) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

@@ -14,6 +14,7 @@ from ledgerflow.llm.near_dup import Rule, near_duplicates
 from ledgerflow.llm.packing import pack
 from ledgerflow.llm.quality import quality_digest
 from ledgerflow.llm.substring_dedup import substring_dedup_digest
+from ledgerflow.llm.suffix_dedup import suffix_dedup_digest
 from ledgerflow.llm.toxicity import toxicity_digest
 from ledgerflow.llm.vector_dedup import near_vectors
 
@@ -26,6 +27,10 @@ def op1_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup_digest(table(spark, folder, "documents"))
+
+
 def op3_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(table(spark, folder, "embeddings"))
 
@@ -60,6 +65,7 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_vector_dedup": op3_vector_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_temperature_mixing": op5_temperature_mixing,

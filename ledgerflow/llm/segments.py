@@ -28,7 +28,7 @@ FILTER_BITS = 1 << 26
 # Bytes of text a kernel works on at once; a longer text is taken whole.
 SLICE_BYTES = 1 << 18
 
-RUN_FIELDS = "fp bigint, seg bigint, doc_id bigint, start bigint, count bigint, inner boolean"
+RUN_FIELDS = "fp bigint, seg bigint, doc_id bigint, tid bigint, start bigint, count bigint, inner boolean"
 
 
 @dataclass
@@ -69,7 +69,7 @@ def runs_of_minima(minima: np.ndarray, first: np.ndarray, windows: np.ndarray) -
 
 
 def emitter(kernel: Kernel, filter_bits: np.ndarray | None, wide: bool):
-    """A task over (doc_id, text) batches that yields segments; with a filter only those it passes."""
+    """A task over (doc_id, tid, text) batches that yields segments; with a filter only those it passes."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,6 +88,7 @@ def emitter(kernel: Kernel, filter_bits: np.ndarray | None, wide: bool):
                 columns = {"fp": signed(runs.fp[at]), "doc_id": pa.array(ids[first + runs.doc[at]])}
                 if wide:
                     columns["seg"] = signed(runs.hash_of(at))
+                    columns["tid"] = batch.column("tid").take(pa.array(first + runs.doc[at]))
                     columns["start"] = pa.array(runs.start[at].astype(np.int64))
                     columns["count"] = pa.array(runs.count[at].astype(np.int64))
                 columns["inner"] = pa.array(runs.inner[at])
@@ -114,9 +115,12 @@ def filter_of(repeated: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 
 
 def repeated_segments(docs: DataFrame, kernel: Kernel, repeats: Column, label: str) -> DataFrame:
-    """Staged segments whose fingerprint satisfies `repeats`, an aggregate condition over (doc_id, inner) of one `fp`."""
+    """Staged segments whose fingerprint satisfies `repeats`, an aggregate condition over (doc_id, inner) of one `fp`.
+
+    `docs` has (doc_id, tid, text), where tid tells texts of one doc_id apart.
+    """
     spark = docs.sparkSession
-    fingerprints = docs.mapInArrow(emitter(kernel, None, False), "fp bigint, doc_id bigint, inner boolean")
+    fingerprints = docs.select("doc_id", "text").mapInArrow(emitter(kernel, None, False), "fp bigint, doc_id bigint, inner boolean")
     repeated = fingerprints.groupBy("fp").agg(repeats.alias("repeats")).filter("repeats").select("fp")
     shared = spark.sparkContext.broadcast(filter_of(repeated))
 

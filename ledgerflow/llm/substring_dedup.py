@@ -26,7 +26,14 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import hash_runs, hash_words, joined, mixed, sliding_minimum, slices, text_bytes, words
 from ledgerflow.llm.frames import documents_of, fresh_name, lists, staged
-from ledgerflow.llm.segments import SLICE_BYTES, Runs, fingerprint_of_pieces, repeated_segments, runs_of_minima
+from ledgerflow.llm.segments import (
+    SLICE_BYTES,
+    Runs,
+    fingerprint_of_pieces,
+    repeated_segments,
+    runs_of_minima,
+    sifted,
+)
 
 WINDOW = 50
 
@@ -96,29 +103,37 @@ def window_hashes(size: int):
     return task
 
 
+def identified(documents: DataFrame) -> DataFrame:
+    """(doc_id, tid, text); tid tells texts of one doc_id apart."""
+    return documents_of(documents).select("doc_id", F.xxhash64("text").alias("tid"), "text")
+
+
 def removed_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(doc_id, parts): per document the runs (first window, number of windows) that an earlier document has.
+    """(doc_id, tid, parts): per document the runs (first window, number of windows) that an earlier document has.
 
-    `docs` has (doc_id, text). Documents without such windows are absent.
+    `docs` has (doc_id, tid, text), where tid tells texts of one doc_id apart. Documents without such windows are absent.
     """
     found = repeated_segments(docs, window_kernel(size), F.min("doc_id") < F.max("doc_id"), "window-segments")
     # Rows of one document that repeat a segment inside it are settled together by its first place.
     segments = found.groupBy("fp", "seg").agg(
-        F.min(F.struct("doc_id", "start", "count")).alias("first"), F.max("doc_id").alias("last")
+        F.min(F.struct("doc_id", "tid", "start", "count")).alias("first"), F.max("doc_id").alias("last")
     )
     segments = staged(
-        segments.select("fp", "seg", F.col("first.doc_id").alias("least"), "first.start", "first.count", "last"),
+        segments.select("fp", "seg", F.col("first.doc_id").alias("least"), "first.tid", "first.start", "first.count", "last"),
         "window-distinct",
     )
     # Only segments of a representative with several segments can share a part with another one.
     mixed_fps = segments.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fp")
     open_segments = (
         segments.join(mixed_fps, "fp", "left_semi")
-        .groupBy(F.col("least").alias("doc_id"))
+        .groupBy(F.col("least").alias("doc_id"), "tid")
         .agg(F.collect_list(F.struct("fp", "seg", "start", "count")).alias("parts"))
     )
     hashes = staged(
-        docs.join(open_segments, "doc_id").mapInArrow(
+        docs.join(open_segments, ["doc_id", "tid"])
+        .dropDuplicates(["doc_id", "tid"])
+        .select("doc_id", "text", "parts")
+        .mapInArrow(
             window_hashes(size), "fp bigint, seg bigint, least bigint, hashes array<bigint>"
         ),
         "window-hashes",
@@ -141,13 +156,13 @@ def removed_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     verdicts = verdicts.join(segments.filter("last > least").select("fp", "seg", F.lit(True).alias("again")), ["fp", "seg"], "left")
     verdicts = verdicts.filter("again or places is not null")
     hit = found.join(verdicts, ["fp", "seg"])
-    later = hit.filter("doc_id > least").select("doc_id", F.struct("start", "count").alias("part"))
+    later = hit.filter("doc_id > least").select("doc_id", "tid", F.struct("start", "count").alias("part"))
     earliest = (
         hit.filter("doc_id = least and places is not null")
-        .select("doc_id", "start", F.explode("places").alias("place"))
-        .select("doc_id", F.struct((F.col("start") + F.col("place")).alias("start"), F.lit(1).cast("bigint").alias("count")).alias("part"))
+        .select("doc_id", "tid", "start", F.explode("places").alias("place"))
+        .select("doc_id", "tid", F.struct((F.col("start") + F.col("place")).alias("start"), F.lit(1).cast("bigint").alias("count")).alias("part"))
     )
-    return later.unionByName(earliest).groupBy("doc_id").agg(F.collect_list("part").alias("parts"))
+    return later.unionByName(earliest).groupBy("doc_id", "tid").agg(F.collect_list("part").alias("parts"))
 
 
 def covered(parts: list | None, n: int, size: int) -> np.ndarray:
@@ -198,11 +213,10 @@ def substring_dedup_digest(documents: DataFrame, size: int = WINDOW) -> DataFram
     share a doc_id are one document: none is earlier than the other. Rows without doc_id are compared with nothing.
     An empty table gives an empty result. Other columns of `documents` are not looked at.
     """
-    docs = documents_of(documents)
+    docs = identified(documents)
     removed = staged(removed_windows(docs, size), "removed-windows")
-    touched = docs.join(removed, "doc_id").mapInArrow(digests(size), DIGEST)
-    untouched = docs.join(removed.select("doc_id"), "doc_id", "left_anti").mapInArrow(digests(size), DIGEST)
-    return touched.unionByName(untouched)
+    rows = docs.join(removed, ["doc_id", "tid"], "left").select("doc_id", "text", "parts")
+    return rows.mapInArrow(digests(size), DIGEST)
 
 
 def cut_task(size: int):
@@ -235,17 +249,18 @@ def substring_dedup(documents: DataFrame, size: int = WINDOW) -> DataFrame:
 
     All columns stay. Null, blank and short texts stay as they are. See `substring_dedup_digest` for repeated ids.
     """
-    key, spans = fresh_name(documents, "_dedup_id"), fresh_name(documents, "_dedup_parts")
-    removed = staged(removed_windows(documents_of(documents), size), "removed-windows")
-    removed = removed.select(F.col("doc_id").alias(key), F.col("parts").alias(spans))
+    key, text_key, spans, flag = (fresh_name(documents, f"_dedup_{c}") for c in ("id", "tid", "parts", "flag"))
+    removed = staged(removed_windows(identified(documents), size), "removed-windows")
+    marked = sifted(documents, removed, flag)
+    removed = removed.select(F.col("doc_id").alias(key), F.col("tid").alias(text_key), F.col("parts").alias(spans))
     cut = cut_task(size)
 
     @F.pandas_udf("string")
     def without(texts: pd.Series, parts: pd.Series) -> pd.Series:
         return pd.Series(cut(texts.tolist(), parts.tolist()), dtype=object)
 
-    hit = documents.join(removed, F.col("doc_id").cast("bigint") == F.col(key))
-    shortened = hit.withColumn("text", without("text", spans)).drop(key, spans)
-    shortened = shortened.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    rest = documents.join(removed.select(key), F.col("doc_id").cast("bigint") == F.col(key), "left_anti")
-    return rest.unionByName(shortened.select(*documents.columns))
+    same = (F.col("doc_id").cast("bigint") == F.col(key)) & (F.xxhash64("text") == F.col(text_key))
+    met = marked.filter(flag).join(removed, same, "left")
+    cut_texts = met.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(without("text", spans)))
+    cut_texts = cut_texts.filter(F.col(spans).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return marked.filter(~F.col(flag)).select(*documents.columns).unionByName(cut_texts.select(*documents.columns))
