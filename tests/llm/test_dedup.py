@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import corpus
+import pytest
+
+from ledgerflow.llm.components import components
+from ledgerflow.llm.near_dup import Rule, near_dedup, near_duplicates
+from ledgerflow.llm.substring_dedup import substring_dedup, substring_dedup_digest
+from ledgerflow.llm.suffix_dedup import suffix_dedup_digest
+
+
+def test_passages_match_brute_force(documents, data):
+    digest = substring_dedup_digest(documents)
+    assert corpus.found(digest, "doc_id", "n_words", "n_removed", "kept_sha256") == corpus.without_passages(data)
+
+
+def test_cut_documents_keep_their_columns_and_the_words_that_stay(documents, data):
+    result = substring_dedup(documents)
+    assert result.columns == documents.columns
+    kept = Counter()
+    import hashlib
+
+    for row in result.select("doc_id", "text").collect():
+        kept[(row[0], hashlib.sha256(b" ".join(corpus.words(row[1]))).hexdigest())] += 1
+    wanted = Counter()
+    for (doc_id, n, gone, sha), times in corpus.without_passages(data).items():
+        if n == 0 or gone < n:
+            wanted[(doc_id, sha)] += times
+    assert kept == wanted
+
+
+def test_untouched_documents_keep_their_spacing(spark):
+    text = "a  b\n\nc " + " ".join(f"w{i}" for i in range(60)) + "\t end "
+    rows = [(1, text, None, None, None), (2, f"head \n {text}", None, None, None)]
+    result = {r[0]: r[1] for r in substring_dedup(corpus.frame(spark, rows)).select("doc_id", "text").collect()}
+    assert result == {1: text, 2: "head \n  "} | {2: result[2]} and result[2].split() == ["head"]
+
+
+def test_repeated_bytes_match_brute_force(documents, data):
+    digest = suffix_dedup_digest(documents)
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert corpus.found(digest, *columns) == corpus.without_repeats(data)
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
+def test_near_copies_match_brute_force(documents, data, size, percent):
+    # Two texts of one id are one node of the graph; brute force compares them the same way.
+    digest = near_duplicates(documents, Rule(size, percent))
+    assert corpus.found(digest, "doc_id", "n_shingles", "component_id", "kept") == corpus.near_copies(data, size, percent)
+
+
+def test_chain_and_crowd_of_near_copies(spark):
+    rng = random.Random(3)
+    words = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+    data = []
+    # A crowd of edited copies, a chain whose ends are far apart, and texts just below the threshold.
+    for i in range(90):
+        edited = list(words)
+        for _ in range(2):
+            edited[rng.randrange(300)] = f"e{i}"
+        data.append((i, " ".join(edited), None, None, None))
+    chain = [f"c{i}" for i in range(200)]
+    for i in range(30):
+        data.append((1000 + i, " ".join(chain[i * 5 :] + [f"n{j}" for j in range(i * 5)]), None, None, None))
+    for i in range(40):
+        edited = list(words[:150])
+        for _ in range(14):
+            edited[rng.randrange(150)] = f"f{i}x{rng.random()}"
+        data.append((2000 + i, " ".join(edited), None, None, None))
+    digest = near_duplicates(corpus.frame(spark, data), Rule(3, 85))
+    assert corpus.found(digest, "doc_id", "n_shingles", "component_id", "kept") == corpus.near_copies(data, 3, 85)
+
+
+def test_near_dedup_keeps_one_of_each_group(documents, data):
+    kept = near_dedup(documents, Rule(5, 80))
+    assert kept.columns == documents.columns
+    wanted = {d for (d, _, _, k) in corpus.near_copies(data, 5, 80) if k}
+    assert {r[0] for r in kept.select("doc_id").collect()} == wanted
+
+
+def test_empty_tables(nothing):
+    assert substring_dedup_digest(nothing).count() == 0
+    assert substring_dedup(nothing).count() == 0
+    assert suffix_dedup_digest(nothing).count() == 0
+    assert near_duplicates(nothing, Rule()).count() == 0
+    assert near_dedup(nothing).count() == 0
+
+
+def test_components_of_a_path_a_star_and_loops(spark):
+    links = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(60, 100)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
+    found = {r[0]: r[1] for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
+    assert found == {i: 1 for i in range(1, 41)} | {i: 60 for i in range(60, 101)} | {200: 200, 201: 200}

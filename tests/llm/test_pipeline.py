@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import corpus
+import corpus_pipeline
+import pytest
+
+import __spark_entry__ as contract
+from ledgerflow.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def stages(documents, nothing, tmp_path_factory):
+    """What each stage returned, each written and read again."""
+    spark, folder = documents.sparkSession, tmp_path_factory.mktemp("stages")
+    result = {}
+    for name, first in (("full", documents), ("empty", nothing)):
+        docs = first
+        for step, stage in corpus_pipeline.STAGES:
+            path = f"{folder}/{name}-{step}"
+            stage(spark, docs, "unused").write.parquet(path)
+            docs = spark.read.parquet(path)
+            result[name, step] = docs
+    return result
+
+
+def listed(df):
+    return [tuple(r) for r in df.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+
+
+def test_all_but_the_last_return_the_columns_of_documents(stages, documents):
+    for (_, step), df in stages.items():
+        if step != "packing":
+            assert df.columns == documents.columns
+
+
+def test_documents_without_a_language_go(stages, data):
+    lettered = Counter(r for r in data if any(c.isalpha() for c in r[1] or ""))
+    assert Counter(listed(stages["full", "language"])) == lettered
+
+
+def test_one_of_each_group_stays(stages):
+    before = listed(stages["full", "language"])
+    kept = {d for (d, _, _, k) in corpus.near_copies(before, 5, 80) if k}
+    after = listed(stages["full", "near_copies"])
+    assert {r[0] for r in after} == kept
+    assert Counter(after) == Counter(r for r in before if r[0] in kept)
+
+
+def test_passages_are_cut(stages):
+    before, after = listed(stages["full", "near_copies"]), listed(stages["full", "passages"])
+    gone = {(d, n): g for (d, n, g, _) in corpus.without_passages(before)}
+    left = Counter((d, n - g) for (d, n), g in gone.items() if n == 0 or g < n)
+    assert Counter((r[0], len(corpus.words(r[1]))) for r in after) >= left
+    assert any(0 < g < n for (_, n), g in gone.items())
+
+
+def test_mixing_loses_no_document(stages):
+    before, after = listed(stages["full", "passages"]), listed(stages["full", "mixing"])
+    assert set(before) == set(after)
+
+
+def test_packing_covers_all_tokens(stages):
+    from test_packing_mixing import reference_ids
+
+    tokens: Counter = Counter()
+    texts = listed(stages["full", "mixing"])
+    for row, ids in zip(texts, reference_ids([r[1] for r in texts]), strict=True):
+        tokens[row[0]] += len(ids)
+    packed: Counter = Counter()
+    for r in stages["full", "packing"].collect():
+        packed[r["doc_id"]] += r["length"]
+    assert packed == tokens
+
+
+def test_an_empty_table_goes_through(stages):
+    assert all(df.count() == 0 for (name, _), df in stages.items() if name == "empty")
+
+
+def test_every_operator_is_registered():
+    names = set(contract.queries())
+    assert set(QUERIES) <= names
+    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
+    assert 4 <= len(corpus_pipeline.STAGES) <= 5
