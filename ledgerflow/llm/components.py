@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ def small_star(edges: DataFrame) -> DataFrame:
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     moved = down.join(least, "u")
     return (
-        moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        moved.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         .unionByName(least.select("u", F.col("m").alias("v")))
         .filter("u > v")
         .distinct()
@@ -56,3 +57,22 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         before = after
     own = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own)
+
+
+def with_component(frame: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
+    """Add the component of a node; a node without links is its own."""
+    other = found.select(F.col("node").alias(node), F.col("component").alias(name))
+    return frame.join(other, node, "left").withColumn(name, F.coalesce(F.col(name), F.col(node)))
+
+
+def smallest_reachable(pairs_a: np.ndarray, pairs_b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest position each of n positions reaches over the pairs."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        least = np.minimum(label[pairs_a], label[pairs_b])
+        np.minimum.at(label, pairs_a, least)
+        np.minimum.at(label, pairs_b, least)
+        label = label[label]
+        if (label == before).all():
+            return label

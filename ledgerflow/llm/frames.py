@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from uuid import uuid4
 
 import numpy as np
@@ -66,3 +66,27 @@ def signed(values: np.ndarray) -> pa.Array:
 
 def lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
+
+
+def in_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of sorted batches, one group of equal keys at a time; keys are integers without nulls."""
+    rest: pa.RecordBatch | None = None
+
+    def parts(batch: pa.RecordBatch) -> list[int]:
+        change = np.zeros(batch.num_rows, bool)
+        for key in keys:
+            values = np.asarray(batch.column(key))
+            change[1:] |= values[1:] != values[:-1]
+        return [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+
+    for batch in batches:
+        if rest is not None:
+            batch = pa.concat_batches([rest, batch])
+        if not batch.num_rows:
+            continue
+        cuts = parts(batch)
+        for a, b in zip(cuts[:-2], cuts[1:-1], strict=True):
+            yield batch.slice(a, b - a)
+        rest = batch.slice(cuts[-2])
+    if rest is not None and rest.num_rows:
+        yield rest

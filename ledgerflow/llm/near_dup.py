@@ -17,21 +17,23 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import TO_LOWER, hash_runs, hash_words, mixed, slices, text_bytes, words
-from ledgerflow.llm.components import components
-from ledgerflow.llm.frames import documents_of, fresh_name, signed, staged
+from ledgerflow.llm.components import components, smallest_reachable, with_component
+from ledgerflow.llm.frames import documents_of, fresh_name, in_groups, shuffle_width, signed, staged
 from ledgerflow.llm.segments import sifted
 
 REGISTERS = 128
 BAND = 4
 MANTISSA_BITS = 10
-# A bucket this large is compared in tiles with about so many members on a side, a smaller one directly.
-TILE = 64
+# Buckets of at most so many members are compared pair by pair, larger ones in tiles.
+SMALL_BUCKET = 32
+# Members of a tile, and shingles whose occurrences are multiplied at a time.
+TILE = 256
+BLOCK_COLUMNS = 8192
 # Candidates are dropped below the threshold minus so many standard errors of the estimate.
 ERRORS = 4.5
 SLICE_BYTES = 1 << 20
@@ -213,43 +215,96 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def with_component(frame: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
-    """Add the component of a node; a node without links is its own."""
-    other = found.select(F.col("node").alias(node), F.col("component").alias(name))
-    return frame.join(other, node, "left").withColumn(name, F.coalesce(F.col(name), F.col(node)))
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """(sets, sets) sizes of all intersections, from products of 0/1 matrices over blocks of shingles."""
+    result = np.zeros((len(sets), len(sets)), np.float32)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # A shingle of one set alone is in no intersection.
+    common = times > 1
+    place = np.cumsum(common) - 1
+    used = common[column]
+    owner, column = owner[used], place[column[used]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for first in range(0, int(common.sum()), BLOCK_COLUMNS):
+        low, high = np.searchsorted(column, (first, first + BLOCK_COLUMNS))
+        block = np.zeros((len(sets), BLOCK_COLUMNS), np.float32)
+        block[owner[low:high], column[low:high] - first] = 1
+        result += block @ block.T
+    return result
+
+
+def tile_task(rule: Rule):
+    """A task over sorted members of tiles to the links (u, v) that tie components of a tile together."""
+
+    def compare(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray] | None:
+        node, component, tile = (np.asarray(rows.column(c)) for c in ("node", "component", "tile"))
+        across = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
+        if (component == component[0]).all():
+            return None
+        sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
+        n = np.array([len(s) for s in sets], np.float32)
+        both = shared_counts(sets)
+        linked = 100 * both >= rule.percent * (n[:, None] + n - both)
+        linked &= component[:, None] != component
+        if across:
+            linked &= tile[:, None] != tile
+        a, b = np.nonzero(np.triu(linked, 1))
+        if not len(a):
+            return None
+        label = smallest_reachable(a, b, len(node))
+        tied = np.flatnonzero(label != np.arange(len(node)))
+        return node[tied], node[label[tied]]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [f for rows in in_groups(batches, ("key", "low", "high")) if rows.num_rows > 1 and (f := compare(rows))]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["u", "v"])
 
+    return task
 
-def tile_pairs(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """Promising (u, v) pairs of different components within buckets, compared tile by tile.
 
-    `members` has (key, node, component, size). A bucket is dealt into tiles of about TILE members; a task gets two tiles
-    at a time and returns only pairs whose registers allow a link.
+def set_task(rule: Rule):
+    """A task from (node, text) to (node, shingles): the full sets as bytes."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            for low, high in slices(offsets, SLICE_BYTES):
+                sets = shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], rule.size)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(low, high - low), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    ["node", "shingles"],
+                )
+
+    return task
+
+
+def links_in_tiles(members: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """(u, v) links between components within large buckets, compared tile by tile on the full sets.
+
+    `members` has (key, node, component, size). A bucket is dealt into tiles of about TILE members; a task holds two
+    tiles at a time and returns the links that tie its components together, one per node at most.
     """
     n_tiles = F.ceil(F.col("size") / TILE)
-    dealt = members.withColumn("tile", F.pmod(F.xxhash64("node"), n_tiles)).withColumn("tiles", n_tiles)
-    spread = dealt.select(
-        "key", "node", "component", "tile", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("tiles") - 1)).alias("other")
+    spread = members.select(
+        "key",
+        "node",
+        "component",
+        F.pmod(F.xxhash64("node"), n_tiles).alias("tile"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), n_tiles - 1)).alias("other"),
     ).select(
         "key", "node", "component", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")
     )
-    spread = spread.join(nodes.select("node", "n_shingles", "registers"), "node")
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("node").sort_values("node")
-        registers = np.frombuffer(b"".join(pdf["registers"]), np.uint16).reshape(len(pdf), REGISTERS)
-        node, comp = pdf["node"].to_numpy(), pdf["component"].to_numpy()
-        n, tile = pdf["n_shingles"].to_numpy(), pdf["tile"].to_numpy()
-        across = pdf["low"].iloc[0] != pdf["high"].iloc[0]
-        found = []
-        for i in range(len(pdf) - 1):
-            rest = slice(i + 1, None)
-            j = i + 1 + np.flatnonzero((comp[rest] != comp[i]) & ((tile[rest] != tile[i]) | (not across)))
-            if len(j):
-                ok = hopeful(np.broadcast_to(registers[i], (len(j), REGISTERS)), registers[j], np.full(len(j), n[i]), n[j], rule.percent)
-                found.append(pd.DataFrame({"u": node[i], "v": node[j[ok]]}))
-        return pd.concat(found) if found else pd.DataFrame({"u": pd.Series(dtype="int64"), "v": pd.Series(dtype="int64")})
-
-    return spread.groupBy("key", "low", "high").applyInPandas(compare, "u bigint, v bigint").distinct()
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    sets = wanted.mapInArrow(set_task(rule), "node bigint, shingles binary")
+    return (
+        spread.join(sets, "node")
+        .repartition(shuffle_width(members.sparkSession), "key", "low", "high")
+        .sortWithinPartitions("key", "low", "high", "node")
+        .mapInArrow(tile_task(rule), "u bigint, v bigint")
+    )
 
 
 def near_duplicates(documents: DataFrame, rule: Rule) -> DataFrame:
@@ -257,8 +312,8 @@ def near_duplicates(documents: DataFrame, rule: Rule) -> DataFrame:
 
     component_id is the smallest doc_id reachable over links, the document's own included; kept marks that document. A
     text with fewer words than a shingle has its whole sequence as its one shingle. Null and blank texts have no shingle
-    and no link. Documents with one doc_id count as one: a link of any of them is a link of that id. A null doc_id has
-    no link, a null component and is kept. An empty table gives an empty result. Other columns are not looked at.
+    and no link. Rows of one doc_id are judged each by its own text; sets whose smallest doc_id is the same count as one
+    in the graph. A null doc_id has no link, a null component and is kept. An empty table gives an empty result. Other columns are not looked at.
     """
     docs = documents_of(documents)
     signed_docs = staged(signatures(docs, rule), "signatures")
@@ -300,7 +355,7 @@ def near_duplicates(documents: DataFrame, rule: Rule) -> DataFrame:
     placed = with_component(members, found, "node", "component")
     split = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("key")
     open_members = staged(placed.join(split, "key", "left_semi").select("key", "node", "component", "size"), "open-buckets")
-    small = open_members.filter(F.col("size") <= TILE)
+    small = open_members.filter(F.col("size") <= SMALL_BUCKET)
     pairs = (
         small.select("key", F.col("node").alias("u"), F.col("component").alias("cu"))
         .join(small.select("key", F.col("node").alias("v"), F.col("component").alias("cv")), "key")
@@ -308,9 +363,9 @@ def near_duplicates(documents: DataFrame, rule: Rule) -> DataFrame:
         .select("u", "v")
         .distinct()
     )
-    late = promising(pairs, nodes, rule).unionByName(tile_pairs(open_members.filter(F.col("size") > TILE), nodes, rule))
-    late = late.distinct().join(stars, ["u", "v"], "left_anti")
-    links = links.unionByName(confirmed(late, texts, rule))
+    late = promising(pairs, nodes, rule).join(stars, ["u", "v"], "left_anti")
+    large = open_members.filter(F.col("size") > SMALL_BUCKET)
+    links = links.unionByName(confirmed(late, texts, rule)).unionByName(links_in_tiles(large, texts, rule))
     found = staged(components(links), "components")
 
     # Classes of equal names are one node, and so are all rows of one id.

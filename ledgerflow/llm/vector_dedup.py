@@ -19,10 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import joined
-from ledgerflow.llm.components import components
-from ledgerflow.llm.frames import lists, shuffle_width, staged
-from ledgerflow.llm.near_dup import with_component
-from ledgerflow.llm.vectors import in_groups, matrix, vectors_of
+from ledgerflow.llm.components import components, smallest_reachable, with_component
+from ledgerflow.llm.frames import in_groups, lists, shuffle_width, staged
+from ledgerflow.llm.vectors import matrix, vectors_of
 
 COSINE = 0.95
 WIDTH = 2.0
@@ -61,19 +60,6 @@ def bucket_keys(x: np.ndarray, cells: int, tables: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def forest(pairs_a: np.ndarray, pairs_b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest position each of n positions reaches over the pairs."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        least = np.minimum(label[pairs_a], label[pairs_b])
-        np.minimum.at(label, pairs_a, least)
-        np.minimum.at(label, pairs_b, least)
-        label = label[label]
-        if (label == before).all():
-            return label
-
-
 def tile_links(rows: pa.RecordBatch, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """(node, linked vectors, smallest linked node) of the rows of one tile, sorted by node."""
     node = np.asarray(rows.column("node"))
@@ -100,7 +86,7 @@ def tile_links(rows: pa.RecordBatch, cosine: float) -> tuple[np.ndarray, np.ndar
     if not len(a):
         return None
     n_links = np.bincount(a, size[b], len(node)) + np.bincount(b, size[a], len(node))
-    label = forest(a, b, len(node))
+    label = smallest_reachable(a, b, len(node))
     used = np.flatnonzero(n_links)
     return node[used], n_links[used].astype(np.int64), node[label[used]]
 
