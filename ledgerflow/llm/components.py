@@ -17,7 +17,7 @@ def large_star(edges: DataFrame) -> DataFrame:
     """Tie every larger neighbour of a node to the smallest node around it."""
     around = both_ways(edges)
     least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return around.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return around.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def small_star(edges: DataFrame) -> DataFrame:
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     moved = down.join(least, "u")
     return (
-        moved.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
         .unionByName(least.select("u", F.col("m").alias("v")))
         .filter("u > v")
         .distinct()

@@ -5,8 +5,8 @@ a register keeps the smallest offer as its count of leading zeros and ten mantis
 bucket keys. Documents of one bucket are candidates; their estimated similarity, corrected for registers that agree by
 chance, drops the hopeless ones, and the rest is confirmed on the full sets.
 
-No bucket is expanded into its pairs. Documents with equal sets are one class. Then every member of a bucket is compared
-with the bucket's smallest member, which ties most groups together; only members of buckets that still hold several
+No bucket is expanded into its pairs. Documents with equal sets are one class. Then every document is compared with the
+smallest promising member of its buckets, which ties most groups together; only members of buckets that still hold several
 components are compared further, in tiles of bounded size.
 """
 
@@ -284,11 +284,14 @@ def set_task(rule: Rule):
 def links_in_tiles(members: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """(u, v) links between components within large buckets, compared tile by tile on the full sets.
 
-    `members` has (key, node, component, size). A bucket is dealt into tiles of about TILE members; a task holds two
-    tiles at a time and returns the links that tie its components together, one per node at most.
+    `members` has (hub, node, component). The buckets of a group of copies in all bands share a hub, its smallest member,
+    and are compared as one: their members are dealt into tiles of about TILE; a task holds two tiles at a time and
+    returns the links that tie their components together, one per node at most.
     """
+    members = members.select(F.col("hub").alias("key"), "node", "component").distinct()
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
     n_tiles = F.ceil(F.col("size") / TILE)
-    spread = members.select(
+    spread = members.join(sizes, "key").select(
         "key",
         "node",
         "component",
@@ -345,16 +348,10 @@ def near_duplicates(documents: DataFrame, rule: Rule) -> DataFrame:
     links = staged(confirmed(first, texts, rule), "links")
     found = staged(components(links), "components")
 
-    # Hubs a document did not meet yet, where that could still join two components.
-    rest = stars.join(first, ["u", "v"], "left_anti")
-    rest = with_component(with_component(rest, found, "u", "cu"), found, "v", "cv").filter("cu <> cv")
-    links = staged(links.unionByName(confirmed(rest, texts, rule)).distinct(), "links")
-    found = staged(components(links), "components")
-
     # Buckets that still hold several components: their members meet across components.
     placed = with_component(members, found, "node", "component")
     split = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("key")
-    open_members = staged(placed.join(split, "key", "left_semi").select("key", "node", "component", "size"), "open-buckets")
+    open_members = staged(placed.join(split, "key", "left_semi").select("key", "node", "hub", "component", "size"), "open-buckets")
     small = open_members.filter(F.col("size") <= SMALL_BUCKET)
     pairs = (
         small.select("key", F.col("node").alias("u"), F.col("component").alias("cu"))
@@ -363,7 +360,7 @@ def near_duplicates(documents: DataFrame, rule: Rule) -> DataFrame:
         .select("u", "v")
         .distinct()
     )
-    late = promising(pairs, nodes, rule).join(stars, ["u", "v"], "left_anti")
+    late = promising(pairs, nodes, rule).join(first, ["u", "v"], "left_anti")
     large = open_members.filter(F.col("size") > SMALL_BUCKET)
     links = links.unionByName(confirmed(late, texts, rule)).unionByName(links_in_tiles(large, texts, rule))
     found = staged(components(links), "components")
