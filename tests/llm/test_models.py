@@ -90,8 +90,8 @@ def judged(spark):
         if not good:
             text = rng.choice([text.upper() + "!!", " ".join([text.split()[0]] * 60), " ".join(w + "###" for w in text.split())])
         documents.append((i, text, None, None, None))
-        if i % 3:
-            labels.append((i, good, toxic if i % 5 else None, "x", "y"))
+        if i % 7:
+            labels.append((i, good, toxic if i % 11 else None, "x", "y"))
     documents += [(5000, None, None, None, None), (5001, "", None, None, None), (None, "ab", None, None, None), documents[7]]
     documents += [(5002, "q" * 100_000, None, None, None)]
     labels += [(None, 1, 1, None, None), (7, None, None, None, None)]
