@@ -12,6 +12,14 @@ NUMBER_PATTERN = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][
 # A complete calendar date comes first. Without it the cast would read `09:00`
 # as today at nine, and `2024` as New Year.
 DATE_PREFIX_PATTERN = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
+# Further forms of a time, tried in order after ISO: (what the text looks like, how Spark reads it). Month comes before
+# day between slashes.
+TIME_FORMATS = (
+    (r"^\s*\d{1,2}/\d{1,2}/\d{4}[ T]+\d{1,2}:\d{2}:\d{2}\s*$", "M/d/yyyy H:mm:ss"),
+    (r"^\s*\d{1,2}/\d{1,2}/\d{4}[ T]+\d{1,2}:\d{2}\s*$", "M/d/yyyy H:mm"),
+    (r"^\s*\d{1,2} [A-Za-z]{3} \d{4} +\d{1,2}:\d{2}:\d{2}\s*$", "d MMM yyyy H:mm:ss"),
+    (r"^\s*\d{1,2} [A-Za-z]{3} \d{4} +\d{1,2}:\d{2}\s*$", "d MMM yyyy H:mm"),
+)
 TRUE_TEXT = "true"
 FALSE_TEXT = "false"
 # ------------------------------------------------------------------------------
@@ -29,8 +37,13 @@ def clean_amount(value: Column) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """ISO text to TIMESTAMP; text without a zone is UTC (the session zone)."""
-    return F.when(text.rlike(DATE_PREFIX_PATTERN), F.try_to_timestamp(text))
+    """Text to TIMESTAMP: ISO, or one of TIME_FORMATS; text without a zone is UTC (the session zone)."""
+    parsed = F.when(text.rlike(DATE_PREFIX_PATTERN), F.try_to_timestamp(text))
+    for pattern, form in TIME_FORMATS:
+        # Runs of spaces count as one, as the format has single ones.
+        spaced = F.regexp_replace(F.trim(text), "[ T]+", " ")
+        parsed = parsed.when(text.rlike(pattern), F.try_to_timestamp(spaced, F.lit(form)))
+    return parsed
 
 
 def parse_date(text: Column) -> Column:

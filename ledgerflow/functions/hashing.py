@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerflow.functions.measures import MONEY_TYPE
 from ledgerflow.layout import METADATA_COLUMNS
 
 # --- fixed values: the canonical form -----------------------------------------
 FIELD_SEPARATOR = "|"
 ESCAPE = "\\"
 NULL_TEXT = "\\N"
-MONEY_TYPE = "decimal(18,2)"
 # ------------------------------------------------------------------------------
 
 

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -------------------------------------------------------------
 MONEY_DIGITS = 2
+MONEY_TYPE = "decimal(18,2)"
 RATE_DIGITS = 4
 # ------------------------------------------------------------------------------
 
@@ -20,7 +19,25 @@ def round_to(value: Column, digits: int) -> Column:
     1.01 although the double lies below the half.
     """
     scale = float(10**digits)
-    return F.round(value * scale) / scale
+    scaled = value * scale
+    # A value too large to be scaled has no digits to round.
+    return F.when(F.abs(scaled) < float("inf"), F.round(scaled) / scale).otherwise(value)
+
+
+def exact_part(amount: Column) -> Column:
+    """A DOUBLE amount as a decimal if it is one of at most two digits, else NULL. Sums of these do not depend on order."""
+    money = amount.try_cast(MONEY_TYPE)
+    return F.when(money.cast("double") == amount, money)
+
+
+def inexact_part(amount: Column) -> Column:
+    """A DOUBLE amount that is no decimal of two digits (infinite, huge or finer), else NULL."""
+    return F.when(exact_part(amount).isNull(), amount)
+
+
+def money(exact: Column, inexact: Column) -> Column:
+    """The DOUBLE total of both parts, NULL if neither has a value."""
+    return F.coalesce(exact.cast("double") + F.coalesce(inexact, F.lit(0.0)), inexact)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -37,12 +54,3 @@ def reversal_rate(reversals: Column, payments: Column) -> Column:
     """Share of reversed payments; NULL (not 0) when nothing was reversed."""
     return round_to(ratio(F.nullif(reversals, F.lit(0)), payments), RATE_DIGITS)
 
-
-def card_approved(method: str, approved_status: str) -> Column:
-    """Predicate: an approved payment by the rated method."""
-    return (F.col("payment_method") == method) & (F.col("status") == approved_status)
-
-
-def card_decided(method: str, denominator_statuses: Iterable[str]) -> Column:
-    """Predicate: a payment by the rated method that was decided either way."""
-    return (F.col("payment_method") == method) & F.col("status").isin(list(denominator_statuses))

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 
 # Up to this window, adding every active day to each snapshot it reaches is the
-# cheaper way; its cost grows with N, that of running sums does not.
+# cheaper way; its cost grows with N, that of running sums does not. Whole
+# numbers and decimals come out the same either way.
 SPREAD_DAYS = 60
 
 
@@ -81,9 +82,9 @@ def running_sums(
 ) -> DataFrame:
     """Windows over the spine, for long windows.
 
-    Whole numbers are differences of two running sums, whose cost per row does
-    not grow with N. Doubles are added up within each window, since a difference
-    of running sums would lose their small digits.
+    Whole numbers and decimals are differences of two running sums, whose cost
+    per row does not grow with N. Doubles are added up within each window, since
+    a difference of running sums would lose their small digits.
     """
     spine = active_spine(days, key, snapshots, window_days)
     active = F.col("day") == F.col("snapshot_day")
@@ -99,8 +100,10 @@ def running_sums(
     within = ordered.rangeBetween(-(window_days - 1), 0)
 
     def total(name: str) -> Column:
-        if isinstance(zeroed.schema[name].dataType, T.IntegralType):
-            return F.sum(name).over(until_now) - F.coalesce(F.sum(name).over(before), F.lit(0))
+        kind = zeroed.schema[name].dataType
+        if isinstance(kind, T.IntegralType | T.DecimalType):
+            sums = F.sum(name).over(until_now) - F.coalesce(F.sum(name).over(before), F.lit(0))
+            return sums.cast(kind) if isinstance(kind, T.DecimalType) else sums
         return F.sum(name).over(within)
 
     return zeroed.select(key, "snapshot_day", *[total(m).alias(m) for m in [*measures, "active_days"]])

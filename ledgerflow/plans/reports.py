@@ -14,7 +14,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.casting import clean_amount
-from ledgerflow.functions.measures import MONEY_DIGITS, RATE_DIGITS, approval_rate, reversal_rate, round_to
+from ledgerflow.functions.measures import (
+    MONEY_DIGITS,
+    RATE_DIGITS,
+    approval_rate,
+    exact_part,
+    inexact_part,
+    money,
+    ratio,
+    reversal_rate,
+    round_to,
+)
 from ledgerflow.layout import (
     APPROVAL_DENOMINATOR,
     APPROVED,
@@ -64,6 +74,8 @@ def current_payments(audit: DataFrame, tie_breakers: Sequence[str] = VERSION_TIE
 def daily_totals(current: DataFrame, payment_method: str = CARD) -> DataFrame:
     """Counts and sums per (event_date, merchant_id, currency, status).
 
+    Money of at most two digits is added as decimals, so its sums do not depend
+    on how rows are partitioned; other amounts are added as doubles beside it.
     Partial aggregation runs before the shuffle, so a merchant with a third of
     all payments sends one row per task and group.
     """
@@ -73,8 +85,9 @@ def daily_totals(current: DataFrame, payment_method: str = CARD) -> DataFrame:
         .agg(
             F.count("transaction_id").alias("transactions"),
             F.count(F.lit(1)).alias("payments"),
-            F.sum("amount").alias("amount_sum"),
-            F.avg("amount").alias("amount_avg"),
+            F.sum(exact_part(F.col("amount"))).alias("amount_exact"),
+            F.sum(inexact_part(F.col("amount"))).alias("amount_inexact"),
+            F.count("amount").alias("amounts"),
             F.max("amount").alias("amount_max"),
             F.count_if(F.col("payment_method") == payment_method).alias("rated_payments"),
         )
@@ -116,6 +129,7 @@ def daily_payment_summary(totals: DataFrame, merchants: DataFrame, rules: Report
     attributes = merchants.select("merchant_id", "merchant_name", "merchant_category")
     lookup = attributes.groupBy(*attributes.columns).agg(F.count(F.lit(1)).alias("copies"))
     copies = F.coalesce("copies", F.lit(1))
+    total = money(F.col("amount_exact"), F.col("amount_inexact"))
     return (
         with_daily_approval_rate(totals, rules)
         .join(broadcast_if_small(lookup, bound=attributes), "merchant_id", "left")
@@ -127,8 +141,8 @@ def daily_payment_summary(totals: DataFrame, merchants: DataFrame, rules: Report
             "currency",
             "status",
             (F.col("transactions") * copies).alias("transaction_count"),
-            round_to(F.col("amount_sum") * copies, MONEY_DIGITS).alias("total_amount"),
-            round_to(F.col("amount_avg"), RATE_DIGITS).alias("avg_amount"),
+            round_to(total * copies, MONEY_DIGITS).alias("total_amount"),
+            round_to(ratio(total, F.col("amounts")), RATE_DIGITS).alias("avg_amount"),
             F.col("amount_max").alias("max_amount"),
             F.col("approval_rate").alias("merchant_daily_approval_rate"),
         )
@@ -136,7 +150,7 @@ def daily_payment_summary(totals: DataFrame, merchants: DataFrame, rules: Report
     )
 
 
-PERFORMANCE_SUMS = ["payments", "approved_amount", "rated_approved", "rated_decided", "reversals"]
+PERFORMANCE_SUMS = ["payments", "approved_exact", "approved_inexact", "rated_approved", "rated_decided", "reversals"]
 
 
 def merchant_days(totals: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
@@ -153,7 +167,8 @@ def merchant_days(totals: DataFrame, rules: ReportRules = ReportRules()) -> Data
         .groupBy("merchant_id", F.unix_date("event_date").alias("day"))
         .agg(
             F.sum("payments").alias("payments"),
-            F.coalesce(F.sum(F.when(approved, F.col("amount_sum"))), F.lit(0.0)).alias("approved_amount"),
+            F.coalesce(F.sum(F.when(approved, F.col("amount_exact"))), F.lit(0)).cast("decimal(38,2)").alias("approved_exact"),
+            F.sum(F.when(approved, F.col("amount_inexact"))).alias("approved_inexact"),
             F.sum(_rated([rules.approved_status])).alias("rated_approved"),
             F.sum(_rated(rules.denominator_statuses)).alias("rated_decided"),
             F.sum(F.when(is_reversed, F.col("payments")).otherwise(0)).alias("reversals"),
@@ -184,9 +199,10 @@ def merchant_performance(totals: DataFrame, merchants: DataFrame, rules: ReportR
     days = merchant_days(totals, rules)
     sums = trailing_sums(days, "merchant_id", PERFORMANCE_SUMS, snapshot_days(totals), window_days)
     copies = F.coalesce("copies", F.lit(1))
+    approved = money(F.col("approved_exact"), F.col("approved_inexact"))
     measures = {
         "total_transactions": F.col("payments") * copies,
-        "total_approved_amount": round_to(F.col("approved_amount") * copies, MONEY_DIGITS),
+        "total_approved_amount": round_to(approved * copies, MONEY_DIGITS),
         "merchant_daily_approval_rate": approval_rate(F.col("rated_approved"), F.col("rated_decided")),
         "reversal_rate": reversal_rate(F.col("reversals"), F.col("payments")),
         "active_days": F.col("active_days"),

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 
@@ -206,8 +207,8 @@ def test_performance_against_brute_force(spark, seed, days):
 def test_both_ways_to_sum_agree(spark, days):
     rng = random.Random(days)
     active = {(f"k{rng.randrange(6)}", rng.randrange(90)) for _ in range(200)}
-    rows = [(k, d, rng.randrange(100), rng.randrange(10_000) / 100) for k, d in sorted(active)]
-    frame = spark.createDataFrame(rows, "k string, day int, x bigint, y double")
+    rows = [(k, d, rng.randrange(100), Decimal(rng.randrange(10**9)) / 100) for k, d in sorted(active)]
+    frame = spark.createDataFrame(rows, "k string, day int, x bigint, y decimal(38,2)")
     columns = ["k", "snapshot_day", "x", "y", "active_days"]
 
     def sums(limit):
@@ -216,7 +217,26 @@ def test_both_ways_to_sum_agree(spark, days):
 
     spread, running = sums(60), sums(0)
     assert spread.keys() == running.keys()
-    assert all(spread[k] == pytest.approx(running[k]) for k in spread)
+    assert spread == running
+
+
+@pytest.mark.parametrize("days", [7, 60, 61, 90])
+def test_money_does_not_depend_on_partitions(spark, days):
+    rng = random.Random(days)
+    rows = [
+        card(n, "APPROVED", merchant_id="M1", amount=f"{rng.randrange(10**12, 10**14) / 100:.2f}", transaction_ts=f"2024-01-{n % 28 + 1:02d} 09:00:00")
+        for n in range(600)
+    ]
+    exact = sum(Decimal(r["amount"]) for r in rows)
+    payments = audit(spark, rows)
+    seen = set()
+    for partitions in (1, 3, 7, 16):
+        totals = daily_totals(current_payments(payments.repartition(partitions)))
+        report = merchant_performance(totals, lookup(spark, SHOP), ReportRules(window_days=days))
+        seen.add(tuple(sorted(map(tuple, report.collect()))))
+    assert len(seen) == 1
+    if days >= 28:
+        assert max(r[4] for r in seen.pop()) == float(exact)
 
 
 def test_sums_of_partitioned_days_shuffle_once(spark, capsys):
