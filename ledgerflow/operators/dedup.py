@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.operators.joins import broadcast_if_small
 from ledgerflow.session import stage
 
 # Version order within equal ingest times, which is one instant per run.
@@ -18,8 +19,8 @@ def latest_per_transaction(
 ) -> DataFrame:
     """The newest version of every transaction.
 
-    Only the requested columns and the ordering travel through the shuffle, of
-    a hash that is not requested just 16 of its 64 digits. Catalyst turns
+    Only the requested columns and the ordering travel through the shuffle, a
+    hash that is not requested as its 32 bytes instead of 64 digits. Catalyst turns
     `row_number = 1` into a group limit on both sides of the shuffle, so a
     transaction id with any number of versions (all blank ids, say) sends at
     most one row per map task.
@@ -29,7 +30,7 @@ def latest_per_transaction(
     needed = dict.fromkeys([*wanted, "transaction_id", *order])
     narrow = audit.select(*needed)
     if "record_hash" in order and "record_hash" not in wanted:
-        narrow = narrow.withColumn("record_hash", F.substring("record_hash", 1, 16))
+        narrow = narrow.withColumn("record_hash", F.unhex("record_hash"))
     # The leading hash lets the sort compare 8-byte prefixes; ids often share their first bytes.
     group = [F.xxhash64("transaction_id"), "transaction_id"]
     newest_first = Window.partitionBy(*group).orderBy(*[F.desc(c) for c in order])
@@ -38,42 +39,59 @@ def latest_per_transaction(
     )
 
 
-def unstored(unique: DataFrame, stored_hashes: DataFrame) -> DataFrame:
-    """Rows of a frame with one row per hash whose hash is not stored.
-
-    The stored side is made unique first: partial aggregation collapses a hash
-    with many stored copies before the shuffle, and the join reuses its
-    partitioning. No side has a hot hash by then.
-    """
-    return unique.join(stored_hashes.select("record_hash").distinct(), "record_hash", "left_anti")
+def as_bytes() -> Column:
+    """The record hash as its 32 bytes; any other key as its text."""
+    digits = F.length("record_hash") == 64
+    return F.coalesce(F.when(digits, F.unhex("record_hash")), F.encode("record_hash", "UTF-8"))
 
 
 def drop_stored(batch: DataFrame, stored_hashes: DataFrame) -> DataFrame:
     """Rows of `batch` whose hash is not stored yet; repeats inside the batch stay.
 
-    Settled on distinct hashes, which are staged: AQE splits a hash that fills a
-    third of the batch only if both sides of the join come straight from a shuffle.
+    The known hashes are staged and kept away by an anti join: broadcast if
+    measured small, else AQE splits a hash that fills a third of the batch.
     """
     if "record_hash" not in batch.columns:
         raise ValueError("rows need a record_hash before they can be compared with stored ones")
-    new = stage(unstored(batch.select("record_hash").distinct(), stored_hashes), "new-hashes")
-    return batch.join(new, "record_hash", "left_semi")
-
+    own = batch.select(as_bytes().alias("hash")).distinct()
+    known = stage(own.join(stored_hashes.select(as_bytes().alias("hash")).distinct(), "hash", "left_semi"), "known-hashes")
+    return batch.join(broadcast_if_small(known), as_bytes() == F.col("hash"), "left_anti")
 
-def first_owner(batch: DataFrame) -> DataFrame:
-    """One row per hash with the first delivery, in name order, that holds it."""
-    return batch.groupBy("record_hash").agg(F.min("source_file").alias("source_file"))
 
+def new_rows(rows: DataFrame, stored_hashes: DataFrame | None = None, strict_unique: bool = False) -> DataFrame:
+    """The rows that are neither stored nor in an earlier delivery of this batch.
 
-def keep_owned(batch: DataFrame, owners: DataFrame) -> DataFrame:
-    """Rows of each hash from its owning delivery, copies inside that delivery included.
-
-    `owners` is unique per hash, so this never multiplies rows. Pass it staged,
-    so that AQE can split a hash that fills a third of the batch.
+    Settled on hashes alone, as 32 bytes. A run of new rows has few losers
+    (hashes that are stored, or in several deliveries): they are kept away from
+    the payload by an anti join, broadcast if measured small, so the payload is
+    not shuffled for it. A run that mostly meets known rows has few winners
+    instead, which a semi join picks out.
     """
-    return batch.join(owners, ["record_hash", "source_file"], "left_semi")
+    key = as_bytes().alias("hash")
+    owners = rows.select(key, "source_file").groupBy("hash").agg(
+        F.min("source_file").alias("owner"), F.max("source_file").alias("last")
+    )
+    if stored_hashes is None:
+        owners = owners.withColumn("known", F.lit(None).cast("boolean"))
+    else:
+        owners = owners.join(stored_hashes.select(key).distinct().withColumn("known", F.lit(True)), "hash", "left")
+    verdicts = stage(owners, "hash-verdicts")
+    lost = F.col("known").isNotNull()
+    shared = F.col("owner") != F.col("last")
+    counts = verdicts.agg(F.count_if(lost | shared).alias("losers"), F.count_if(~lost).alias("winners")).first()
+    by_hash = as_bytes() == F.col("hash")
+    if counts["losers"] <= counts["winners"]:
+        losers = stage(
+            verdicts.filter(lost | shared).select("hash", F.when(~lost, F.col("owner")).alias("owner")), "losers"
+        )
+        later = F.col("owner").isNull() | (F.col("source_file") != F.col("owner"))
+        fresh = rows.join(broadcast_if_small(losers), by_hash & later, "left_anti")
+    else:
+        winners = stage(verdicts.filter(~lost).select("hash", "owner"), "winners")
+        fresh = rows.join(broadcast_if_small(winners), by_hash & (F.col("source_file") == F.col("owner")), "left_semi")
+    return fresh.dropDuplicates(["record_hash"]) if strict_unique else fresh
 
 
 def first_delivery_wins(batch: DataFrame) -> DataFrame:
     """The result of loading deliveries one after another in name order, in one job."""
-    return keep_owned(batch, stage(first_owner(batch), "owners"))
+    return new_rows(batch)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -37,14 +37,22 @@ REPORT_DDL = (
 
 
 def run_status(counts: DataFrame) -> str:
-    """PARTIAL once a delivery was left out. `counts` has one row per delivery."""
-    return SUCCESS if counts.filter(F.col("outcome") != INGESTED).isEmpty() else PARTIAL
+    """PARTIAL once a delivery was left out or a row has no date. `counts` has one row per delivery."""
+    return SUCCESS if counts.filter((F.col("outcome") != INGESTED) | (F.col("rows_undated") > 0)).isEmpty() else PARTIAL
 
 
 def run_manifest(
     counts: DataFrame, run_id: str, run_ts: datetime, status: str, extra: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Manifest rows of one ingest run, with any further facts about it in `extra`."""
+    """Manifest rows of one ingest run, with any further facts about it in `extra`.
+
+    A run that met no delivery has one row, without a name and with zeros.
+    """
+    if counts.isEmpty():
+        nothing = {f.name: F.lit(0).cast(f.dataType) for f in counts.schema if f.name.startswith("rows_")}
+        counts = counts.sparkSession.range(1).select(
+            *[nothing.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in counts.schema]
+        )
     facts = F.create_map(*[F.lit(text) for item in (extra or {}).items() for text in item])
     return counts.withColumns(
         {
@@ -142,8 +150,3 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(REPORT_DDL).json(path)
 
-
-def files_processed(manifest: DataFrame, run_ids: Sequence[str] | None = None) -> DataFrame:
-    """The deliveries of each run, one row each."""
-    rows = manifest if run_ids is None else manifest.filter(F.col("run_id").isin(list(run_ids)))
-    return rows.select("run_id", "source_file").distinct()

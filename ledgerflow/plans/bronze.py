@@ -9,21 +9,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.layout import MERCHANT_COLUMNS, METADATA_COLUMNS, PAYMENT_COLUMNS
+from ledgerflow.functions.hashing import record_hash
+from ledgerflow.layout import MERCHANT_COLUMNS, PAYMENT_COLUMNS
 from ledgerflow.operators.contracts import check_columns
 from ledgerflow.operators.dates import DateRange
-from ledgerflow.operators.dedup import drop_stored, first_owner, keep_owned, unstored
-from ledgerflow.operators.enrich import enrich, new_run_id, run_clock
-from ledgerflow.operators.joins import fits_broadcast
-from ledgerflow.operators.quality import (
-    ACCEPTED,
-    BAD_AMOUNT,
-    BAD_TIMESTAMP,
-    OUT_OF_RANGE,
-    accepted,
-    quarantined,
-    row_fate,
-)
+from ledgerflow.operators.dedup import drop_stored, new_rows
+from ledgerflow.operators.enrich import new_run_id, run_clock
+from ledgerflow.operators.quality import ACCEPTED, BAD_AMOUNT, BAD_TIMESTAMP, OUT_OF_RANGE, row_fate
 from ledgerflow.operators.typing import type_merchants, type_payments
 from ledgerflow.plans.audit import (
     EMPTY,
@@ -37,17 +29,8 @@ from ledgerflow.plans.audit import (
     run_status,
     track_stage,
 )
-from ledgerflow.session import apply_job_settings, size_shuffles, stage
-from ledgerflow.sources.deliveries import (
-    OVERFLOW,
-    HeaderGroup,
-    Landing,
-    discover,
-    header_groups,
-    overflowing_deliveries,
-    union_by_name,
-    without_deliveries,
-)
+from ledgerflow.session import apply_job_settings, sized_shuffles, stage, staging_of_run
+from ledgerflow.sources.deliveries import HEADER_ID, Deliveries, Landing, read_landing
 from ledgerflow.sources.tables import append_flat, append_partitioned, read_hashes, read_table
 
 COUNT_COLUMNS = ["rows_read", "rows_written", "rows_skipped", "rows_quarantined", "rows_undated", "rows_out_of_range"]
@@ -62,85 +45,75 @@ class IngestResult:
     counts: DataFrame | None = None
 
 
-def gate_report(groups: Sequence[HeaderGroup], required: Sequence[str]) -> DataFrame:
-    """(source_file, passed, missing_columns, extra_columns, rows) of every scanned delivery."""
-    parts = []
-    for group in groups:
-        check = check_columns(group.columns, required)
-        parts.append(
-            group.rows.groupBy("source_file")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .withColumns(
-                {
-                    "passed": F.lit(check.passed),
-                    "missing_columns": F.lit(",".join(check.missing)),
-                    "extra_columns": F.lit(",".join(check.unexpected)),
-                }
-            )
-        )
-    return union_by_name(parts)
+# Helpers of a typed batch; deliveries may not use these names (see RESERVED).
+FATE = "_ledgerflow_fate"
+REJECTED_TEXT = "_ledgerflow_text"
+# Columns the quarantine table adds to the payload.
+QUARANTINE_COLUMNS = ("reason", "rejected_text")
+
+
+def checked_files(landed: Deliveries, required: Sequence[str]) -> DataFrame:
+    """The files of a run with `missing` and `extra`: the columns their headers lack or add, comma-separated."""
+    spark = landed.files.sparkSession
+    checks = [check_columns(h, required) for h in landed.headers]
+    table = spark.createDataFrame(
+        [(i, ",".join(c.missing), ",".join(c.unexpected)) for i, c in enumerate(checks)],
+        "header int, missing string, extra string",
+    )
+    return landed.files.join(F.broadcast(table), "header", "left")
+
+
+def gate_report(landed: Deliveries, required: Sequence[str]) -> DataFrame:
+    """(source_file, passed, missing_columns, extra_columns, rows) of every delivery with a header."""
+    return (
+        checked_files(landed, required)
+        .filter("header IS NOT NULL")
+        .groupBy("source_file", F.col("missing").alias("missing_columns"), F.col("extra").alias("extra_columns"))
+        .agg(F.sum("rows").alias("rows"))
+        .withColumn("passed", F.col("missing_columns") == "")
+    )
 
 
 def typed_batch(
-    group: HeaderGroup, run_id: str, ingest_ts: datetime, dates: DateRange | None = None
+    landed: Deliveries,
+    files: DataFrame,
+    run_id: str,
+    ingest_ts: datetime,
+    dates: DateRange | None = None,
+    exclude: Iterable[str] = (),
 ) -> DataFrame:
-    """Rows of one header group with types, lineage, fate, and the text that failed to parse.
+    """Rows of these files with types, lineage, fate, and the text that failed to parse.
 
-    The hash is taken here, over the columns of this header: a column that only
-    a later delivery brings must not change the hash of earlier rows.
+    The hash is taken over the columns of a file's own header: a column that
+    only a later delivery brings must not change the hash of earlier rows.
+    `exclude` names further columns the hash does not cover.
     """
-    payload = set(group.columns) - set(METADATA_COLUMNS)
-    raw = group.rows.withColumns({"_amount_text": F.col("amount"), "_time_text": F.col("transaction_ts")})
-    typed = type_payments(raw)
+    headers = [r[0] for r in files.select("header").distinct().orderBy("header").collect()]
+    raw = landed.rows(files, headers)
+    payload = landed.columns(headers)
+    typed = type_payments(raw.withColumns({"_amount_text": F.col("amount"), "_time_text": F.col("transaction_ts")}))
+    hashed = F.lit(None).cast("string")
+    for h in headers:
+        covered = (set(landed.headers[h]) & set(payload) | {"event_date"}) - set(exclude)
+        hashed = F.when(F.col(HEADER_ID) == h, record_hash(typed, covered)).otherwise(hashed)
     fate = row_fate(dates)
     return (
-        enrich(
-            typed,
-            F.col("source_file"),
-            run_id,
-            ingest_ts,
-            exclude=set(typed.columns) - payload - {"event_date"},
+        typed.withColumns(
+            {
+                "record_hash": hashed,
+                "ingest_ts": F.lit(ingest_ts),
+                "ingest_run_id": F.lit(run_id),
+                FATE: fate,
+            }
         )
-        .withColumn("fate", fate)
         .withColumn(
-            "rejected_text",
-            F.when(F.col("fate") == BAD_AMOUNT, F.col("_amount_text")).when(
-                F.col("fate") == BAD_TIMESTAMP, F.col("_time_text")
-            ),
+            REJECTED_TEXT,
+            F.when(F.col(FATE) == BAD_AMOUNT, F.col("_amount_text")).when(F.col(FATE) == BAD_TIMESTAMP, F.col("_time_text")),
         )
-        .drop("_amount_text", "_time_text")
+        .drop("_amount_text", "_time_text", HEADER_ID)
     )
 
 
-# Up to this many dates in a batch, every task may write a file to each of them.
-FEW_DATES = 4
-
-
-def append_new(
-    spark: SparkSession,
-    candidates: DataFrame,
-    bronze_path: str,
-    dates: Sequence[str],
-    strict_unique: bool = False,
-) -> None:
-    """Store the candidates that are neither stored nor in an earlier delivery of this batch.
-
-    Ownership is settled on hashes alone, and first. The hash contains the date,
-    so only the batch's own dates are read from the stored table.
-
-    A run that mostly meets known rows has few owners: they are broadcast, no
-    known row is shuffled, and the few new ones are brought together by date. A
-    run of new rows shuffles the payload once, in the semi join; with a date or
-    two it is written straight from there, else regrouped by date.
-    """
-    owners = stage(unstored(first_owner(candidates), read_hashes(spark, bronze_path, dates)), "owners")
-    few_owners = fits_broadcast(owners)
-    fresh = keep_owned(candidates, F.broadcast(owners) if few_owners else owners)
-    if strict_unique:
-        fresh = fresh.dropDuplicates(["record_hash"])
-    append_partitioned(fresh, bronze_path, regroup=few_owners or len(dates) > FEW_DATES)
-
-
 def written_rows(
     spark: SparkSession, bronze_path: str, run_id: str, ingest_ts: datetime, dates: Sequence[str]
 ) -> DataFrame:
@@ -156,42 +129,45 @@ def written_rows(
     )
 
 
-def delivery_counts(deliveries: DataFrame, rows: DataFrame, written: DataFrame) -> DataFrame:
+def delivery_counts(deliveries: DataFrame, fates: DataFrame, written: DataFrame) -> DataFrame:
     """One row per delivery: read = written + skipped + quarantined + undated + out of range.
 
-    `deliveries` holds (source_file, outcome, missing_columns), `rows` the fate
-    of every row read. A delivery that was left out skipped all its rows.
+    `deliveries` holds (source_file, outcome, missing_columns, rows_read),
+    `fates` counts (source_file, fate, rows) of the rows that were looked at. A
+    delivery that was left out skipped all its rows.
     """
     ingested = F.col("outcome") == INGESTED
-    fates = {"rows_quarantined": BAD_AMOUNT, "rows_undated": BAD_TIMESTAMP, "rows_out_of_range": OUT_OF_RANGE}
-    read = rows.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("rows_read"), *[F.count_if(F.col("fate") == f).alias(c) for c, f in fates.items()]
+    kinds = {"rows_quarantined": BAD_AMOUNT, "rows_undated": BAD_TIMESTAMP, "rows_out_of_range": OUT_OF_RANGE}
+    sorted_out = fates.groupBy("source_file").agg(
+        *[F.sum(F.when(F.col("fate") == f, F.col("rows")).otherwise(0)).alias(c) for c, f in kinds.items()]
     )
     return (
-        deliveries.join(read, "source_file", "left")
+        deliveries.join(sorted_out, "source_file", "left")
         .join(written, "source_file", "left")
-        .fillna(0, ["rows_read", "rows_written", *fates])
-        .withColumns({c: F.when(ingested, F.col(c)).otherwise(F.lit(0)) for c in fates})
-        .withColumn("rows_skipped", F.col("rows_read") - F.col("rows_written") - sum(F.col(c) for c in fates))
+        .fillna(0, ["rows_read", "rows_written", *kinds])
+        .withColumns({c: F.when(ingested, F.col(c)).otherwise(F.lit(0)) for c in kinds})
+        .withColumn("rows_skipped", F.col("rows_read") - F.col("rows_written") - sum(F.col(c) for c in kinds))
         .select("source_file", "outcome", "missing_columns", *COUNT_COLUMNS)
     )
 
 
-def delivery_table(
-    spark: SparkSession, names: Iterable[str], rejected: Mapping[str, str], overflowing: set[str], filled: set[str]
-) -> DataFrame:
-    """(source_file, outcome, missing_columns) of every listed delivery."""
-
-    def outcome(name: str) -> str:
-        if name in rejected:
-            return MISSING_COLUMNS
-        if name in overflowing:
-            return OVERFLOWING
-        return INGESTED if name in filled else EMPTY
-
-    return spark.createDataFrame(
-        [(n, outcome(n), rejected.get(n, "")) for n in names],
-        "source_file string, outcome string, missing_columns string",
+def delivery_outcomes(files: DataFrame) -> DataFrame:
+    """(source_file, outcome, missing_columns, rows_read) of every listed delivery, from its checked files."""
+    outcome = (
+        F.when(F.col("missing_columns") != "", F.lit(MISSING_COLUMNS))
+        .when(F.col("overflow"), F.lit(OVERFLOWING))
+        .when(F.col("filled") > 0, F.lit(INGESTED))
+        .otherwise(F.lit(EMPTY))
+    )
+    return (
+        files.groupBy("source_file")
+        .agg(
+            F.coalesce(F.max("missing"), F.lit("")).alias("missing_columns"),
+            F.max("overflow").alias("overflow"),
+            F.count("header").alias("filled"),
+            F.sum("rows").alias("rows_read"),
+        )
+        .select("source_file", outcome.alias("outcome"), "missing_columns", "rows_read")
     )
 
 
@@ -209,65 +185,79 @@ def ingest_payments(
     report_path: str | None = None,
     ingest_ts: datetime | None = None,
     strict_unique: bool = False,
+    hash_exclude: Iterable[str] = (),
     extra: Mapping[str, str] | None = None,
 ) -> IngestResult:
     """Append the new payments of all deliveries in `landing` to the audit table.
 
     All deliveries form one distributed batch whose result equals loading them
-    one by one in name order. The typed batch is staged once, since the CSV
-    parse is the costly part and ownership, append and counts all read it.
+    one by one in name order. The landing folder is listed and parsed once; the
+    typed batch is staged, since ownership, append and counts all read it.
+    Everything staged is deleted when the run ends.
 
     `dates` limits the run to a backfill range; rows are still only appended.
-    `columns` promises one header for all deliveries and saves the header pass.
+    `columns` promises one header for all deliveries; another one is an error.
+    `hash_exclude` names columns the record hash does not cover.
     `extra` is recorded with the run in its manifest rows.
-    Python collections here hold one short entry per delivery or per day.
+    Python collections here hold one short entry per header layout or per day.
     """
     apply_job_settings(spark)
     run_id, ingest_ts = run_id or new_run_id(), ingest_ts or run_clock()
-    with track_stage(spark, run_id, "bronze", report_path) as report:
-        paths = discover(spark, landing)
-        if paths:
-            size_shuffles(spark, landing.folder, landing.options())
-        groups = header_groups(spark, landing, paths, columns)
-        good = [g for g in groups if check_columns(g.columns, required)]
-        bad = [g for g in groups if not check_columns(g.columns, required)]
-        rejected = {
-            name: ",".join(check_columns(g.columns, required).missing) for g in bad for name in g.deliveries
-        }
-
-        # Rows of deliveries without the required columns are only counted.
-        fates = [g.rows.select("source_file", F.lit(MISSING_COLUMNS).alias("fate")) for g in bad]
+    with (
+        staging_of_run(spark),
+        track_stage(spark, run_id, "bronze", report_path) as report,
+        sized_shuffles(spark, landing.folder, landing.options()),
+    ):
+        landed = read_landing(spark, landing, columns)
+        files = checked_files(landed, required)
+        outcomes = stage(delivery_outcomes(files), "outcomes")
+        good = files.join(outcomes.filter(F.col("outcome") == INGESTED).select("source_file"), "source_file", "left_semi")
+        good = good.filter("header IS NOT NULL").drop("missing", "extra")
+        fates = spark.createDataFrame([], "source_file string, fate string, rows bigint")
         written = spark.createDataFrame([], "source_file string, rows_written bigint")
-        overflowing: set[str] = set()
-        if good:
-            batch = stage(union_by_name([typed_batch(g, run_id, ingest_ts, dates) for g in good]), "payments-batch")
-            overflowing = {row[0] for row in overflowing_deliveries(batch).collect()}
-            usable = without_deliveries(batch, overflowing | rejected.keys())
-            candidates = accepted(usable).drop(OVERFLOW, "rejected_text")
-            batch_dates = [row[0] for row in candidates.select("event_date").distinct().collect()]
-            append_new(spark, candidates, bronze_path, batch_dates, strict_unique)
+        if not good.isEmpty():
+            batch = stage(typed_batch(landed, good, run_id, ingest_ts, dates, hash_exclude), "payments-batch")
+            # One pass answers which dates the batch has and what became of its rows.
+            shape = stage(
+                batch.groupBy("source_file", "event_date", F.col(FATE).alias("fate")).agg(F.count(F.lit(1)).alias("rows")),
+                "batch-shape",
+            )
+            fates = shape.select("source_file", "fate", "rows")
+            batch_dates = [
+                r[0] for r in shape.filter(F.col("fate") == ACCEPTED).select("event_date").distinct().collect()
+            ]
+            candidates = batch.filter(F.col(FATE) == ACCEPTED).drop(FATE, REJECTED_TEXT)
+            stored = read_hashes(spark, bronze_path, batch_dates)
+            append_partitioned(new_rows(candidates, stored, strict_unique), bronze_path)
             if quarantine_path:
-                append_flat(quarantined(usable).drop(OVERFLOW), quarantine_path)
+                append_quarantine(batch, quarantine_path)
             written = written_rows(spark, bronze_path, run_id, ingest_ts, batch_dates)
-            fates.append(batch.select("source_file", "fate"))
-
-        if not fates:
-            return IngestResult(run_id, SUCCESS)
-        deliveries = delivery_table(
-            spark,
-            sorted({landing.delivery_at(p) for p in paths}),
-            rejected,
-            overflowing,
-            {name for g in good for name in g.deliveries},
-        )
-        counts = stage(delivery_counts(deliveries, union_by_name(fates), written), "delivery-counts")
+        counts = stage(delivery_counts(outcomes, fates, written), "delivery-counts", keep=True)
         status = run_status(counts)
         report.record(delivery_measures(counts))
-    if manifest_path:
-        run_manifest(counts, run_id, ingest_ts, status, extra).write.mode("append").json(manifest_path)
+        if manifest_path:
+            run_manifest(counts, run_id, ingest_ts, status, extra).write.mode("append").json(manifest_path)
+        if counts.isEmpty():
+            return IngestResult(run_id, status)
     return IngestResult(run_id, status, counts)
 
 
+def append_quarantine(batch: DataFrame, path: str) -> None:
+    """Store the rows set aside with reason and rejected text, each once however often its delivery is loaded."""
+    clash = set(QUARANTINE_COLUMNS) & set(batch.columns)
+    if clash:
+        raise ValueError(f"the quarantine table needs these column names for itself: {sorted(clash)}")
+    rows = batch.filter(F.col(FATE).isin(BAD_AMOUNT, BAD_TIMESTAMP)).withColumnsRenamed(
+        {FATE: "reason", REJECTED_TEXT: "rejected_text"}
+    )
+    # The hash covers the typed row, which a text that fails to parse is no part of.
+    text = F.concat_ws("|", "record_hash", "reason", "rejected_text")
+    plain = rows.withColumns({"_plain_hash": F.col("record_hash"), "record_hash": F.sha2(text, 256)})
+    stored = read_table(batch.sparkSession, path, "record_hash string, reason string, rejected_text string")
+    fresh = new_rows(plain, stored.select(F.sha2(text, 256).alias("record_hash")))
+    append_flat(stage(fresh.withColumn("record_hash", F.col("_plain_hash")).drop("_plain_hash"), "quarantine-new"), path)
+
+
 def ingest_merchants(
     spark: SparkSession,
     csv_path: str,
@@ -278,48 +268,59 @@ def ingest_merchants(
     manifest_path: str | None = None,
     report_path: str | None = None,
     ingest_ts: datetime | None = None,
+    hash_exclude: Iterable[str] = (),
     extra: Mapping[str, str] | None = None,
 ) -> IngestResult:
     """Append new or changed merchants to their unpartitioned version table."""
     apply_job_settings(spark)
     run_id, ingest_ts = run_id or new_run_id(), ingest_ts or run_clock()
     landing = Landing(csv_path, pattern="*")
-    with track_stage(spark, run_id, "bronze_merchants", report_path) as report:
-        paths = discover(spark, landing)
-        groups = header_groups(spark, landing, paths)
-        if not groups:
+    with staging_of_run(spark), track_stage(spark, run_id, "bronze_merchants", report_path) as report:
+        landed = read_landing(spark, landing)
+        files = checked_files(landed, required)
+        outcomes = stage(delivery_outcomes(files), "outcomes")
+        refused = outcomes.filter(F.col("outcome") == MISSING_COLUMNS)
+        if not landed.headers:
             report.failed = True
             return IngestResult(run_id, FAILED)
-        refused = [g for g in groups if not check_columns(g.columns, required)]
-        if refused:
-            for group in refused:
-                read = group.rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_read"))
-                report.record(
-                    read.select(
+        if not refused.isEmpty():
+            # What is reported outlives the run's staged tables.
+            report.record(
+                stage(
+                    refused.select(
                         F.col("source_file").alias("table_name"),
                         "rows_read",
                         F.lit(0).cast("bigint").alias("rows_written"),
                         F.col("rows_read").alias("rows_quarantined"),
-                    )
+                    ),
+                    "refused",
+                    keep=True,
                 )
+            )
             return IngestResult(run_id, FAILED)
-        batch = stage(
-            union_by_name([merchant_batch(g.rows, run_id, ingest_ts) for g in groups]), "merchant-batch"
-        )
+        batch = stage(merchant_batch(landed, run_id, ingest_ts, hash_exclude), "merchant-batch")
         fresh = stage(drop_stored(batch, read_hashes(spark, bronze_path)), "merchant-new")
         append_flat(fresh, bronze_path)
-        deliveries = delivery_table(
-            spark, sorted({landing.delivery_at(p) for p in paths}), {}, set(), {n for g in groups for n in g.deliveries}
-        )
         written = fresh.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_written"))
-        fates = batch.select("source_file", F.lit(ACCEPTED).alias("fate"))
-        counts = stage(delivery_counts(deliveries, fates, written), "delivery-counts")
+        # A version table takes every listed row; a row beyond its header does not disqualify the file.
+        outcomes = outcomes.withColumn(
+            "outcome", F.when(F.col("outcome") == OVERFLOWING, F.lit(INGESTED)).otherwise(F.col("outcome"))
+        )
+        fates = spark.createDataFrame([], "source_file string, fate string, rows bigint")
+        counts = stage(delivery_counts(outcomes, fates, written), "delivery-counts", keep=True)
         report.record(delivery_measures(counts))
-    if manifest_path:
-        run_manifest(counts, run_id, ingest_ts, SUCCESS, extra).write.mode("append").json(manifest_path)
+        if manifest_path:
+            run_manifest(counts, run_id, ingest_ts, SUCCESS, extra).write.mode("append").json(manifest_path)
     return IngestResult(run_id, SUCCESS, counts)
 
 
-def merchant_batch(raw: DataFrame, run_id: str, ingest_ts: datetime) -> DataFrame:
-    """Merchant rows with types, hash and lineage."""
-    return enrich(type_merchants(raw.drop(OVERFLOW)), F.col("source_file"), run_id, ingest_ts)
+def merchant_batch(landed: Deliveries, run_id: str, ingest_ts: datetime, exclude: Iterable[str] = ()) -> DataFrame:
+    """Merchant rows with types, hash and lineage; the hash covers the columns of a file's own header."""
+    typed = type_merchants(landed.rows())
+    payload = set(landed.columns())
+    hashed = F.lit(None).cast("string")
+    for h, header in enumerate(landed.headers):
+        hashed = F.when(F.col(HEADER_ID) == h, record_hash(typed, set(header) & payload - set(exclude))).otherwise(hashed)
+    return typed.withColumns(
+        {"record_hash": hashed, "ingest_ts": F.lit(ingest_ts), "ingest_run_id": F.lit(run_id)}
+    ).drop(HEADER_ID)

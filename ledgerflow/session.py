@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,25 +43,36 @@ def apply_job_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Input bytes per shuffle partition before AQE merges small ones, and the most
-# partitions a driver should track.
+# Input bytes per shuffle partition before AQE merges small ones.
 SHUFFLE_INPUT_BYTES = 256 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def size_shuffles(spark: SparkSession, path: str, options: dict[str, str]) -> int:
-    """Start the shuffles of this session with partitions that fit the input at `path`.
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, path: str, options: dict[str, str], partition_bytes: int = SHUFFLE_INPUT_BYTES
+) -> Iterator[int]:
+    """Within the block, start shuffles with partitions that fit the input at `path`.
 
     AQE merges partitions that turn out small but cannot add any, and the usual
     200 would be hundreds of gigabytes each on a large input. Lists file sizes
-    only. Returns the number in force.
+    only. The caller's setting is restored; yields the number in force. A driver
+    that should track fewer partitions passes more `partition_bytes`.
     """
-    files = spark.read.format("binaryFile").options(**options).load(path)
-    total = files.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(configured, min(math.ceil(total / SHUFFLE_INPUT_BYTES), MOST_SHUFFLE_PARTITIONS))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return wanted
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    total = 0
+    if path_exists(spark, path):
+        files = spark.read.format("binaryFile").options(**options).load(path)
+        total = files.agg(F.sum("length").alias("bytes")).first()["bytes"] or 0
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / partition_bytes))
+    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -73,18 +86,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path part of a location, absolute in its file system."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(location).toUri().getPath()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by the cluster.
+    """The folder all executors can reach, as named by the cluster in spark.checkpoint.dir.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a missing setting is an error, since a machine-local folder would
-    lose staged data together with its machine.
+    Only a session whose executors are threads of the driver (`local[...]`) gets
+    a temporary folder without that setting; elsewhere a missing setting is an
+    error, since a machine-local folder would lose staged data together with its
+    machine. For the same reason a cluster may not name a `file:` path.
     """
     global _local_folder
+    master = spark.sparkContext.master
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
+        if configured.startswith("file:") and not master.startswith("local"):
+            raise RuntimeError(f"spark.checkpoint.dir must be shared by all executors, got {configured}")
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if _local_folder is None:
         _local_folder = tempfile.mkdtemp(prefix="ledgerflow-")
@@ -96,13 +124,33 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/ledgerflow/{label}-{uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+# Paths staged by the runs that are under way, innermost last.
+_runs: list[list[str]] = []
+
+
+@contextmanager
+def staging_of_run(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged within the block when it ends, also on failure; `stage(keep=True)` stays."""
+    paths: list[str] = []
+    _runs.append(paths)
+    try:
+        yield
+    finally:
+        _runs.remove(paths)
+        for path in paths:
+            delete_path(spark, path)
+
+
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Cuts the lineage at a point where several consumers would otherwise repeat
-    the work below, and survives the loss of any executor.
+    the work below, and survives the loss of any executor. Within a run the copy
+    goes when the run ends, unless a frame that is handed out reads it (`keep`).
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
+    if _runs and not keep:
+        _runs[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

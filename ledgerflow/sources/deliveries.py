@@ -1,26 +1,34 @@
-"""CSV deliveries: discovery, header groups, and scans that keep text as text.
+"""CSV deliveries: one pinned listing and one parse per run, whatever the headers.
 
 A delivery is one CSV file or, with `unit="folder"`, one folder of part files,
-which is how a distributed producer drops a delivery too big for one file.
+which is how a distributed producer drops a delivery too big for one file. Its
+name is its path below the landing folder.
+
+Every file is parsed once, by position and as text, into a staged table. The
+header line is then the first row of its file, so headers, counts and rows all
+come from that table and from the listing taken before: a file that arrives
+during a run waits for the next one.
 """
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Collection, Sequence
+import json
+from collections.abc import Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerflow.functions.hashing import named
 from ledgerflow.layout import METADATA_COLUMNS
-from ledgerflow.session import path_exists
+from ledgerflow.operators.joins import broadcast_if_small
+from ledgerflow.session import path_exists, qualified_path, stage
 
-# Marks rows with more fields than their header; no delivery column may use it.
-OVERFLOW = "_beyond_header"
+# Fields a scan has room for; doubled until every header and one field more fit.
+FIELDS = 32
+# Helper columns next to the payload; no delivery may use these names.
+HEADER_ID = "_ledgerflow_header"
+RESERVED = (HEADER_ID, "_ledgerflow_fate", "_ledgerflow_text")
 
 
 @dataclass(frozen=True)
@@ -47,134 +55,166 @@ class Landing:
         chosen = {"pathGlobFilter": self.pattern, "recursiveFileLookup": str(self.unit == "folder").lower()}
         return chosen | ({"modifiedAfter": self.modified_after} if self.modified_after else {})
 
-    def delivery_of(self) -> Column:
-        """Delivery name of a scanned row: its file name, or the name of its folder."""
+    def delivery_of(self, spark: SparkSession, path: Column) -> Column:
+        """Delivery name of a plain path: the path of the file, or of its folder, below the landing folder."""
+        base = qualified_path(spark, self.folder).rstrip("/")
+        below = F.when(F.startswith(path, F.lit(base + "/")), F.substring(path, len(base) + 2, 1 << 30))
+        file = F.coalesce(below, F.element_at(F.split(path, "/"), -1))
         if self.unit == "file":
-            return decoded(F.col("_metadata.file_name"))
-        return decoded(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
-
-    def delivery_at(self, path: str) -> str:
-        """Delivery name of a file path."""
-        return path.split("/")[-1 if self.unit == "file" else -2]
+            return file
+        return F.when(F.contains(file, F.lit("/")), F.regexp_replace(file, "/[^/]*$", "")).otherwise(base.split("/")[-1])
 
 
-def decoded(path: Column) -> Column:
-    """File metadata holds URI-encoded paths; most need no decoding."""
-    return F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+def plain(path: Column) -> Column:
+    """The path part of a location; file metadata holds URI-encoded ones, though most need no decoding."""
+    text = F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.regexp_replace(text, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
 
 
-def discover(spark: SparkSession, landing: Landing) -> list[str]:
-    """Sorted paths of all delivery files, empty files included; none if there is no such folder.
+def listing(spark: SparkSession, landing: Landing) -> DataFrame:
+    """(path, source_file) of all delivery files, empty ones included; no file is opened.
 
-    This is the listing the driver makes for the scan anyway; no file is opened.
+    This is the listing Spark makes for any scan; it stays in the JVM and becomes a table there.
     """
     if not path_exists(spark, landing.folder):
-        return []
-    listed = spark.read.options(**landing.options()).text(landing.folder).inputFiles()
-    return sorted(unquote(path) for path in listed)
+        return spark.createDataFrame([], "path string, source_file string")
+    found = spark.read.options(**landing.options()).text(landing.folder)
+    paths = spark._jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(found._jdf.inputFiles())
+    encoder = spark._jvm.org.apache.spark.sql.Encoders.STRING()
+    files = DataFrame(spark._jsparkSession.createDataset(paths, encoder).toDF(), spark)
+    path = plain(F.col("value"))
+    return files.select(path.alias("path"), landing.delivery_of(spark, path).alias("source_file"))
 
 
-def parse_header(line: str) -> list[str]:
+def discover(spark: SparkSession, landing: Landing) -> list[str]:
+    """Sorted names of all deliveries, for people; the jobs work on `listing`."""
+    return sorted(r[0] for r in listing(spark, landing).select("source_file").distinct().collect())
+
+
+def parse_header(fields: Sequence[str | None]) -> list[str]:
     """Column names of a header line; repeats get a numeric suffix."""
-    names = next(csv.reader([line.lstrip("﻿")]))
     seen: dict[str, int] = {}
     result = []
-    for name in names:
+    for i, name in enumerate(fields):
+        name = (name or "").lstrip("﻿" if not i else "")
         count = seen.get(name.lower(), 0)
         seen[name.lower()] = count + 1
         result.append(f"{name}.{count}" if count else name)
     return result
 
 
-def header_lines(spark: SparkSession, landing: Landing) -> DataFrame:
-    """(path, header): the first non-blank line of every file that has one."""
-    lines = (
-        spark.read.options(**landing.options())
-        .text(landing.folder)
-        .select("value", decoded(F.col("_metadata.file_path")).alias("path"), "_metadata.file_block_start")
-        .filter((F.col("file_block_start") == 0) & (F.trim("value") != ""))
-        .withColumn("position", F.monotonically_increasing_id())
+def parsed(spark: SparkSession, landing: Landing, fields: int) -> DataFrame:
+    """Every line by position: path, place (line order within the first block of a file), used, c0, c1, ..."""
+    columns = [f"c{i}" for i in range(fields)]
+    rows = (
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
+        .options(**landing.options())
+        .option("header", False)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", landing.multi_line)
+        .csv(landing.folder)
+    )
+    used = F.greatest(*[F.when(F.col(c).isNotNull(), F.lit(i + 1)).otherwise(F.lit(0)) for i, c in enumerate(columns)])
+    number = F.monotonically_increasing_id()
+    return rows.select(
+        plain(F.col("_metadata.file_path")).alias("path"),
+        number.alias("number"),
+        F.when(F.col("_metadata.file_block_start") == 0, number).alias("place"),
+        used.alias("used"),
+        *columns,
     )
-    return lines.groupBy("path").agg(F.min_by("value", "position").alias("header"))
 
 
 @dataclass(frozen=True)
-class HeaderGroup:
-    """All files that share one header, scanned as text with `source_file` and the overflow mark.
+class Deliveries:
+    """The deliveries of one run, pinned.
 
-    `deliveries` names the deliveries these files belong to.
+    `headers` are the distinct headers (one entry per layout, not per file).
+    `files` has one row per listed file: path, source_file, header (its number,
+    NULL without a header line), first (the number of that line), rows (data
+    rows), overflow. `lines` is the staged parse.
     """
 
-    columns: tuple[str, ...]
-    rows: DataFrame
-    deliveries: frozenset[str]
-
+    headers: list[list[str]]
+    files: DataFrame
+    lines: DataFrame
 
-def scan(
-    spark: SparkSession, landing: Landing, columns: Sequence[str], paths: Sequence[str] | None = None, check: bool = False
-) -> DataFrame:
-    """Rows of files with this header; every column a string, blanks and missing fields as "".
+    def columns(self, headers: Sequence[int] | None = None) -> list[str]:
+        """Payload columns of these headers, in order of appearance."""
+        chosen = range(len(self.headers)) if headers is None else headers
+        return [c for c in dict.fromkeys(n for h in chosen for n in self.headers[h]) if c not in METADATA_COLUMNS]
 
-    With `check`, Spark compares each header with `columns` while scanning and
-    fails on a difference.
-    """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    if not check:
-        schema = schema.add(OVERFLOW, T.StringType())
-    reader = (
-        spark.read.schema(schema)
-        .options(**landing.options())
-        .option("header", True)
-        .option("enforceSchema", not check)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", landing.multi_line)
-    )
-    rows = reader.csv(list(paths) if paths is not None else landing.folder)
-    overflow = F.lit(False) if check else F.col(OVERFLOW).isNotNull()
-    payload = [c for c in columns if c not in METADATA_COLUMNS]
-    return rows.select(
-        *[F.coalesce(named(c), F.lit("")).alias(c) for c in payload],
-        landing.delivery_of().alias("source_file"),
-        overflow.alias(OVERFLOW),
-    )
+    def rows(self, files: DataFrame | None = None, headers: Sequence[int] | None = None) -> DataFrame:
+        """Data rows of these files (by default all) as text, matched by column name, with `source_file` and HEADER_ID.
 
+        Blanks and missing fields are "", a column that a file lacks is NULL.
+        """
+        files = self.files if files is None else files
+        chosen = list(range(len(self.headers))) if headers is None else list(headers)
+        known = files.filter(F.col("header").isin(chosen)).select(
+            "path", "source_file", F.col("header").alias(HEADER_ID), "first"
+        )
+        lines = self.lines.join(broadcast_if_small(known), "path").filter("number <> first")
 
-def header_groups(
-    spark: SparkSession, landing: Landing, paths: Sequence[str], columns: Sequence[str] | None = None
-) -> list[HeaderGroup]:
-    """One scan per distinct header, because one scan over mixed headers would shift columns.
+        def text(name: str) -> Column:
+            value = F.lit(None).cast("string")
+            for h in chosen:
+                if name in self.headers[h]:
+                    at = self.headers[h].index(name)
+                    value = F.when(F.col(HEADER_ID) == h, F.coalesce(F.col(f"c{at}"), F.lit(""))).otherwise(value)
+            return value
 
-    `paths` is the listing from `discover`. The driver sees one header line per
-    file next to it. If the producer guarantees one header, pass it as
-    `columns`: the pass over the first lines is skipped and Spark checks the
-    headers while scanning.
-    """
-    if not paths:
-        return []
-    if columns is not None:
-        names = frozenset(landing.delivery_at(p) for p in paths)
-        return [HeaderGroup(tuple(columns), scan(spark, landing, columns, check=True), names)]
-    by_header: dict[str, list[str]] = {}
-    for path, header in header_lines(spark, landing).select("path", "header").collect():
-        by_header.setdefault(header, []).append(path)
-    groups = []
-    for header, members in sorted(by_header.items()):
-        names = parse_header(header)
-        # A single group covers the folder; naming every path again would only grow the plan.
-        rows = scan(spark, landing, names, None if len(by_header) == 1 else sorted(members))
-        groups.append(HeaderGroup(tuple(names), rows, frozenset(landing.delivery_at(p) for p in members)))
-    return groups
+        return lines.select(*[text(c).alias(c) for c in self.columns(chosen)], "source_file", HEADER_ID)
 
+    def overflowing(self) -> DataFrame:
+        """Names of deliveries with a row longer than its header; they cannot be trusted as a whole."""
+        return self.files.filter("overflow").select("source_file").distinct()
 
-def overflowing_deliveries(rows: DataFrame) -> DataFrame:
-    """Names of deliveries with a row longer than its header; they cannot be trusted as a whole."""
-    return rows.filter(F.col(OVERFLOW)).select("source_file").distinct()
 
+def read_landing(spark: SparkSession, landing: Landing, columns: Sequence[str] | None = None) -> Deliveries:
+    """List and parse the landing folder, once each. `columns` promises one header; another one is an error.
 
-def without_deliveries(rows: DataFrame, names: Collection[str]) -> DataFrame:
-    """Drop whole deliveries, given by name."""
-    return rows.filter(~F.col("source_file").isin(list(names))) if names else rows
+    The driver sees one entry per distinct header; files stay in a table.
+    """
+    files = stage(listing(spark, landing), "files")
+    fields = FIELDS
+    while True:
+        lines = (
+            stage(parsed(spark, landing, fields), "lines")
+            if not files.isEmpty()
+            else spark.createDataFrame([], f"path string, number bigint, place bigint, used int, {', '.join(f'c{i} string' for i in range(fields))}")
+        )
+        shape = lines.groupBy("path").agg(
+            F.min("place").alias("first"), F.max("used").alias("most"), F.count(F.lit(1)).alias("lines")
+        )
+        shape = stage(files.join(shape, "path", "left"), "file-shapes")
+        if (shape.agg(F.max("most")).first()[0] or 0) < fields:
+            break
+        fields *= 2
+    firsts = shape.filter("first IS NOT NULL").select("path", F.col("first").alias("number"))
+    heads = lines.join(broadcast_if_small(firsts), ["path", "number"]).select(
+        "path", "used", F.to_json(F.slice(F.array(*[F.col(f"c{i}") for i in range(fields)]), 1, F.col("used")), {"ignoreNullFields": "false"}).alias("text")
+    )
+    heads = stage(heads, "headers")
+    texts = [r[0] for r in heads.select("text").distinct().orderBy("text").collect()]
+    headers = [parse_header(json.loads(t)) for t in texts]
+    for header in headers:
+        clash = set(header) & set(RESERVED)
+        if clash:
+            raise ValueError(f"reserved column names in a delivery: {sorted(clash)}")
+    if columns is not None and any(h != list(columns) for h in headers):
+        raise ValueError(f"CSV header does not conform to the promised columns {list(columns)}")
+    numbers = spark.createDataFrame(list(enumerate(texts)), "header int, text string")
+    described = shape.join(heads.join(F.broadcast(numbers), "text").select("path", "used", "header"), "path", "left").select(
+        "path",
+        "source_file",
+        "header",
+        "first",
+        F.coalesce(F.col("lines") - F.col("first").isNotNull().cast("bigint"), F.lit(0)).alias("rows"),
+        F.coalesce(F.col("most") > F.col("used"), F.lit(False)).alias("overflow"),
+    )
+    return Deliveries(headers, stage(described, "described-files"), lines)
 
 
 def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
@@ -187,6 +227,7 @@ def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
 
 def read_deliveries(spark: SparkSession, landing: Landing, columns: Sequence[str] | None = None) -> DataFrame:
     """All readable deliveries as text, matched by column name."""
-    rows = union_by_name([g.rows for g in header_groups(spark, landing, discover(spark, landing), columns)])
-    overflowing = [row[0] for row in overflowing_deliveries(rows).collect()]
-    return without_deliveries(rows, overflowing).drop(OVERFLOW)
+    found = read_landing(spark, landing, columns)
+    files = found.files.join(found.overflowing(), "source_file", "left_anti")
+    return found.rows(files).drop(HEADER_ID)
+

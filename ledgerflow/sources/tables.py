@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.layout import BRONZE_MERCHANTS_DDL, BRONZE_PAYMENTS_DDL
@@ -39,9 +39,9 @@ def read_bronze(
     dates: DateRange | Iterable[str] | None = None,
     columns: Sequence[str] | None = None,
     extra_columns: Sequence[str] = (),
-    skip_corrupt: bool = True,
+    skip_corrupt: bool = False,
 ) -> DataFrame:
-    """The payments audit table, or the partitions of some dates.
+    """The payments audit table, or the partitions of some dates. A damaged file fails the read.
 
     `extra_columns` names columns of evolved deliveries to read as well.
     """
@@ -86,10 +86,28 @@ def read_merchant_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ddl).option("header", True).option("escape", '"').csv(path)
 
 
+def damaged_files(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """(path, partition folder) of the files of a table that cannot be read to their end.
+
+    Compares what footers promise with what can be read, per file; reads the table once.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    listed = listed.select(F.col("_metadata.file_path").alias("path"))
+    lenient = spark.read.schema(ddl).option("ignoreCorruptFiles", True).parquet(path)
+    promised = lenient.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("promised"))
+    values = F.xxhash64(*[c for c in lenient.columns])
+    readable = lenient.select(F.col("_metadata.file_path").alias("path"), values.alias("h")).groupBy("path").agg(
+        F.count("h").alias("readable")
+    )
+    both = listed.join(promised, "path", "left").join(readable, "path", "left")
+    broken = F.col("promised").isNull() | (F.coalesce("readable", F.lit(0)) != F.col("promised"))
+    return both.filter(broken).select("path", F.element_at(F.split("path", "/"), -2).alias("folder"))
+
+
 def register_views(spark: SparkSession, paths: Mapping[str, str]) -> None:
-    """Make stored tables available to `spark.sql`; dates in directory names stay text."""
+    """Make stored tables available to `spark.sql`, with the columns of evolved files; dates in directory names stay text."""
     for name, path in paths.items():
-        table = spark.read.parquet(path)
+        table = spark.read.option("mergeSchema", True).parquet(path)
         dates = {c: F.col(c).cast(PARTITION_TYPES[c]) for c in table.columns if c in PARTITION_TYPES}
         table.withColumns(dates).createOrReplaceTempView(name)
 
@@ -103,14 +121,9 @@ def by_partition(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", partition)
 
 
-def append_partitioned(df: DataFrame, path: str, partition: str = "event_date", regroup: bool = True) -> None:
-    """Add files below the partitions of `df`; the caller filters NULL dates.
-
-    Without `regroup` every task writes a file to each partition value it has,
-    which saves a shuffle of all rows where these are few.
-    """
-    grouped = by_partition(df, partition) if regroup else df
-    grouped.write.mode("append").partitionBy(partition).parquet(path)
+def append_partitioned(df: DataFrame, path: str, partition: str = "event_date") -> None:
+    """Add files below the partitions of `df`; the caller filters NULL dates."""
+    by_partition(df, partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def append_flat(df: DataFrame, path: str) -> None:
@@ -119,14 +132,16 @@ def append_flat(df: DataFrame, path: str) -> None:
         df.write.mode("append").parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace exactly the partitions present in `df` and leave the others.
+def overwrite_partitions(df: DataFrame, path: str, partition: str, written: Observation | None = None) -> None:
+    """Replace exactly the partitions present in `df` and leave the others; `written` counts the rows.
 
     The option matters: in Spark's default mode the whole table would be replaced.
     """
+    grouped = by_partition(df, partition)
+    if written is not None:
+        grouped = grouped.observe(written, F.count(F.lit(1)).alias("rows"))
     (
-        by_partition(df, partition)
-        .write.mode("overwrite")
+        grouped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)

@@ -4,26 +4,22 @@ import pytest
 
 from ledgerflow.layout import PAYMENT_COLUMNS
 from ledgerflow.plans.bronze import gate_report
-from ledgerflow.sources.deliveries import Landing, discover, header_groups, parse_header, read_deliveries
+from ledgerflow.sources.deliveries import HEADER_ID, Landing, discover, parse_header, read_deliveries, read_landing
 from payments import payment, write_csv
 
 
-def names(landing, paths):
-    return [landing.delivery_at(p) for p in paths]
-
-
 def test_discovery_is_sorted_flat_and_filtered(spark, tmp_path):
     for name in ("b.csv", "a.csv", "sub/c.csv", "note.txt"):
         write_csv(tmp_path / name, [payment()])
     (tmp_path / "empty.csv").touch()
     landing = Landing(str(tmp_path))
-    assert names(landing, discover(spark, landing)) == ["a.csv", "b.csv", "empty.csv"]
-    assert names(landing, discover(spark, Landing(str(tmp_path), pattern="b*"))) == ["b.csv"]
+    assert discover(spark, landing) == ["a.csv", "b.csv", "empty.csv"]
+    assert discover(spark, Landing(str(tmp_path), pattern="b*")) == ["b.csv"]
 
 
 def test_missing_folder_has_no_deliveries(spark, tmp_path):
     landing = Landing(str(tmp_path / "none"))
-    assert discover(spark, landing) == [] and header_groups(spark, landing, []) == []
+    assert discover(spark, landing) == [] and read_landing(spark, landing).headers == []
 
 
 def test_folders_as_deliveries(spark, tmp_path):
@@ -33,6 +29,63 @@ def test_folders_as_deliveries(spark, tmp_path):
     assert {r[0]: r[1] for r in rows.groupBy("source_file").count().collect()} == {"day1": 2, "day2": 1}
 
 
+def test_folders_of_one_name_are_two_deliveries(spark, tmp_path):
+    write_csv(tmp_path / "eu/day1/part-0.csv", [payment("E1")])
+    (tmp_path / "us/day1").mkdir(parents=True)
+    header = ",".join(PAYMENT_COLUMNS)
+    (tmp_path / "us/day1/part-0.csv").write_text(f"{header}\n{','.join(payment('U1').values())},more\n")
+    rows = read_deliveries(spark, Landing(str(tmp_path), unit="folder")).select("source_file", "transaction_id").collect()
+    assert [tuple(r) for r in rows] == [("eu/day1", "E1")]
+
+
+def test_a_file_that_arrives_during_a_run_waits(spark, tmp_path, monkeypatch):
+    write_csv(tmp_path / "a.csv", [payment("T1")])
+    from ledgerflow.sources import deliveries
+
+    whole = deliveries.parsed
+
+    def late(*arguments):
+        write_csv(tmp_path / "b.csv", [payment("T2")], list(reversed(PAYMENT_COLUMNS)))
+        return whole(*arguments)
+
+    monkeypatch.setattr(deliveries, "parsed", late)
+    landing = Landing(str(tmp_path))
+    rows = read_deliveries(spark, landing).select("transaction_id", "merchant_id", "source_file").collect()
+    assert [tuple(r) for r in rows] == [("T1", "M1", "a.csv")]
+    monkeypatch.undo()
+    rows = read_deliveries(spark, landing).select("transaction_id", "merchant_id", "source_file").collect()
+    assert sorted(tuple(r) for r in rows) == [("T1", "M1", "a.csv"), ("T2", "M1", "b.csv")]
+
+
+def test_the_landing_folder_is_parsed_once(spark, tmp_path, monkeypatch):
+    from ledgerflow.sources import deliveries
+
+    calls = []
+    whole = deliveries.parsed
+    monkeypatch.setattr(deliveries, "parsed", lambda *a: calls.append(1) or whole(*a))
+    write_csv(tmp_path / "a.csv", [payment("T1")])
+    write_csv(tmp_path / "b.csv", [payment("T2")], list(reversed(PAYMENT_COLUMNS)))
+    found = read_landing(spark, Landing(str(tmp_path)))
+    assert found.rows().count() == 2 and len(calls) == 1
+    assert all("lines-" in path or "described-files" in path for path in found.rows().inputFiles())
+
+
+def test_headers_wider_than_the_scan(spark, tmp_path):
+    columns = [f"c{i}" for i in range(70)]
+    write_csv(tmp_path / "wide.csv", [{c: c.upper() for c in columns}], columns)
+    (row,) = read_deliveries(spark, Landing(str(tmp_path))).collect()
+    assert row["c69"] == "C69"
+
+
+def test_reserved_names_are_refused_and_others_are_kept(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [payment("T1", fate="x", rejected_text="y")], [*PAYMENT_COLUMNS, "fate", "rejected_text"])
+    (row,) = read_deliveries(spark, Landing(str(tmp_path))).collect()
+    assert (row["fate"], row["rejected_text"]) == ("x", "y")
+    write_csv(tmp_path / "b.csv", [payment("T1") | {HEADER_ID: "z"}], [*PAYMENT_COLUMNS, HEADER_ID])
+    with pytest.raises(ValueError, match="reserved"):
+        read_landing(spark, Landing(str(tmp_path)))
+
+
 def test_unit_is_checked():
     with pytest.raises(ValueError, match="unit"):
         Landing("x", unit="table")
@@ -64,16 +117,15 @@ def test_columns_are_matched_by_name_across_headers(spark, tmp_path):
 
 
 def test_awkward_names(spark, tmp_path):
-    for name in ("two words.csv", "50%25.csv", "a+b.csv", "k=v.csv", "ü.csv"):
+    for name in ("two words.csv", "50%25.csv", "a+b.csv", "k=v.csv", "ü.csv", "pay[1].csv", "a{b}.csv", "s*r.csv"):
         write_csv(tmp_path / name, [payment(name)])
-    # A second header makes the scans go by path.
     write_csv(tmp_path / "other.csv", [payment("other.csv")], [*PAYMENT_COLUMNS, "device.id"])
     rows = read_deliveries(spark, Landing(str(tmp_path))).select("source_file", "transaction_id").collect()
-    assert len(rows) == 6 and all(r[0] == r[1] for r in rows)
+    assert len(rows) == 9 and all(r[0] == r[1] for r in rows)
 
 
 def test_header_lines():
-    assert parse_header('﻿a,"b, c",a,A') == ["a", "b, c", "a.1", "A.2"]
+    assert parse_header(["\ufeffa", "b, c", "a", "A", None]) == ["a", "b, c", "a.1", "A.2", ""]
 
 
 def test_blank_lines_before_the_header(spark, tmp_path):
@@ -101,7 +153,7 @@ def test_gate_names_every_missing_column(spark, tmp_path):
     write_csv(tmp_path / "good.csv", [payment()], [*PAYMENT_COLUMNS, "device"])
     write_csv(tmp_path / "bad.csv", [payment()] * 2, [c for c in PAYMENT_COLUMNS if c not in ("amount", "status")])
     landing = Landing(str(tmp_path))
-    rows = gate_report(header_groups(spark, landing, discover(spark, landing)), PAYMENT_COLUMNS).collect()
+    rows = gate_report(read_landing(spark, landing), PAYMENT_COLUMNS).collect()
     assert {r["source_file"]: (r["passed"], r["missing_columns"], r["extra_columns"], r["rows"]) for r in rows} == {
         "good.csv": (True, "", "device", 1),
         "bad.csv": (False, "amount,status", "", 2),

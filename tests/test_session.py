@@ -21,19 +21,58 @@ def test_staging_twice_keeps_both(spark):
     assert (one.count(), two.count()) == (1, 2)
 
 
-def test_shuffles_grow_with_the_input(spark, tmp_path, monkeypatch):
+def test_shuffles_grow_with_the_input(spark, tmp_path):
     setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     (tmp_path / "a.csv").write_bytes(b"x" * 10_000)
     try:
-        assert session.size_shuffles(spark, str(tmp_path), {}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", 100)
-        assert session.size_shuffles(spark, str(tmp_path), {}) == 100
-        monkeypatch.setattr(session, "MOST_SHUFFLE_PARTITIONS", 50)
-        assert session.size_shuffles(spark, str(tmp_path), {}) == 50 == int(spark.conf.get(setting))
+        with session.sized_shuffles(spark, str(tmp_path), {}) as number:
+            assert number == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert spark.conf.get(setting, None) is None
+        spark.conf.set(setting, "7")
+        with session.sized_shuffles(spark, str(tmp_path), {}, 100) as number:
+            assert number == 100 == int(spark.conf.get(setting))
+        assert spark.conf.get(setting) == "7"
+        with session.sized_shuffles(spark, str(tmp_path / "none"), {}, 100) as number:
+            assert number == int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
         spark.conf.unset(setting)
 
 
+def test_a_run_removes_what_it_staged(spark, tmp_path):
+    def run(fail):
+        with session.staging_of_run(spark):
+            staged.append(session.stage(spark.range(2), "gone"))
+            staged.append(session.stage(spark.range(2), "kept", keep=True))
+            if fail:
+                raise KeyError("broken")
+
+    for fail in (False, True):
+        staged = []
+        if fail:
+            with pytest.raises(KeyError):
+                run(fail)
+        else:
+            run(fail)
+        gone, kept = (frame.inputFiles()[0].rsplit("/", 1)[0] for frame in staged)
+        assert not session.path_exists(spark, gone) and session.path_exists(spark, kept)
+
+
+class Elsewhere:
+    """A session as a cluster would configure it."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder or default)})
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    assert session.shared_folder(Elsewhere("yarn", "hdfs://x/stage/")) == "hdfs://x/stage"
+    assert session.shared_folder(Elsewhere("local-cluster[2,1,1024]", "file:/mnt/shared")) == "file:/mnt/shared"
+    for master, folder in (("yarn", None), ("local-cluster[2,1,1024]", None), ("spark://x:7077", "file:/tmp/x")):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_folder(Elsewhere(master, folder))
+
+
 def test_broadcast_needs_a_measured_size(spark, capsys):
     shops = lookup(spark, ("M1", "a", None), ("M2", "bb", "cc"))
     assert measured_bytes(shops) == 6 * 16 + 2 + 1 + 2 + 2 + 2
