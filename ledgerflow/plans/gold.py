@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.layout import DAILY_SUMMARY_COLUMNS, performance_columns
+from ledgerflow.layout import BRONZE_PAYMENTS_DDL, DAILY_SUMMARY_COLUMNS, performance_columns
 from ledgerflow.operators.contracts import check_columns, check_unique
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.operators.enrich import new_run_id
@@ -21,32 +21,37 @@ from ledgerflow.plans.reports import (
     daily_totals,
     merchant_performance,
 )
-from ledgerflow.session import apply_job_settings, size_shuffles, stage
-from ledgerflow.sources.tables import by_partition, read_bronze, read_merchant_lookup
+from ledgerflow.session import apply_job_settings, path_exists, sized_shuffles, stage, staging_of_run
+from ledgerflow.sources.tables import damaged_files, overwrite_partitions, read_bronze, read_merchant_lookup
 
 
 @dataclass
 class GoldResult:
-    """Status of a run and the rows read and written per report table."""
+    """Status of a run, the rows read and written per report table, and the files set aside as damaged."""
 
     run_id: str
     status: str = SUCCESS
     tables: dict[str, dict] = field(default_factory=dict)
+    damaged: DataFrame | None = None
 
 
 def backfill_payments(audit: DataFrame, dates: DateRange) -> DataFrame:
     """Newest versions of the payments that belong to `dates`.
 
     A newer version may lie in another partition, so every version of the
-    transactions seen in the range takes part. The ids of a small backfill are
-    broadcast and filter the audit table while it is scanned; those of a large
-    one cost a shuffle. They are staged so that AQE can split an id with very
-    many versions in that shuffle.
+    transactions seen in the range takes part. A scan of ids and dates alone
+    finds the days that hold any of them, and only those partitions are read for
+    the versions. The ids are staged, so that AQE can split an id with very many
+    versions; those of a small backfill are broadcast.
     """
-    inside = audit.filter(dates.holds(F.col("event_date")))
-    touched = stage(inside.select(F.col("transaction_id").alias("_id")).distinct(), "touched-ids")
+    touched = stage(
+        audit.filter(dates.holds(F.col("event_date"))).select(F.col("transaction_id").alias("_id")).distinct(), "touched-ids"
+    )
+    ids = broadcast_if_small(touched)
     same_id = F.col("transaction_id").eqNullSafe(F.col("_id"))
-    versions = audit.join(broadcast_if_small(touched), same_id, "left_semi")
+    days = audit.select("transaction_id", "event_date").join(ids, same_id, "left_semi").select("event_date").distinct()
+    held = [row[0] for row in days.collect()]
+    versions = audit.filter(F.col("event_date").isin(held)).join(ids, same_id, "left_semi")
     return current_payments(versions).filter(dates.holds(F.col("event_date")))
 
 
@@ -64,14 +69,7 @@ def write_report(
         return
     # Counted by the write itself, in its final stage.
     written = Observation(name)
-    (
-        by_partition(df, partition)
-        .observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    overwrite_partitions(df, path, partition, written)
     rows = written.get["rows"]
     result.tables[name] = {"rows_read": rows_read, "rows_written": rows}
     report.record_table(spark, name, rows_read, rows)
@@ -87,7 +85,7 @@ def build_reports(
     rules: ReportRules = ReportRules(),
     run_id: str | None = None,
     dates: DateRange | None = None,
-    narrow_backfill: bool = False,
+    set_aside_damaged: bool = False,
     report_path: str | None = None,
     daily_contract: Sequence[str] = DAILY_SUMMARY_COLUMNS,
     performance_contract: Sequence[str] | None = None,
@@ -96,42 +94,71 @@ def build_reports(
 
     A backfill rewrites the daily partitions of `dates` and the snapshots whose
     window touches them, from payments that include the look-back of the first
-    snapshot. With `narrow_backfill` only rows stored under `dates` are read,
-    so their snapshots lack the look-back and later snapshots stay as they are.
+    snapshot.
+
+    A damaged file fails the run. With `set_aside_damaged` such files are listed
+    in the result, the run is PARTIAL, and no day or snapshot is overwritten
+    whose payments lie in their partitions.
     """
     apply_job_settings(spark)
     result = GoldResult(run_id or new_run_id())
     reach = rules.window_days - 1
-    with track_stage(spark, result.run_id, "gold", report_path) as report:
-        audit = read_bronze(spark, bronze_path)
+    stored = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    with (
+        staging_of_run(spark),
+        track_stage(spark, result.run_id, "gold", report_path) as report,
+        sized_shuffles(spark, bronze_path, stored),
+    ):
+        lost_days: list[str] = []
+        if set_aside_damaged and path_exists(spark, bronze_path):
+            lost = stage(damaged_files(spark, bronze_path, BRONZE_PAYMENTS_DDL), "damaged")
+            result.damaged = lost.select("path").orderBy("path")
+            lost_days = [r[0].removeprefix("event_date=") for r in lost.select("folder").distinct().collect()]
+            if lost_days:
+                result.status = PARTIAL
+                # The list outlives the run's staged tables.
+                result.damaged = stage(result.damaged, "damaged-files", keep=True)
+                report.record(
+                    stage(
+                        lost.groupBy(F.concat(F.lit("damaged files in "), "folder").alias("table_name")).agg(
+                            F.lit(0).cast("bigint").alias("rows_read"),
+                            F.lit(0).cast("bigint").alias("rows_written"),
+                            F.count(F.lit(1)).alias("rows_quarantined"),
+                        ),
+                        "damaged-report",
+                        keep=True,
+                    )
+                )
+            else:
+                result.damaged = None
+        audit = read_bronze(spark, bronze_path, skip_corrupt=set_aside_damaged)
         daily_dates = snapshot_dates = dates
         if dates is None:
-            current = current_payments(audit)
-        elif narrow_backfill:
-            audit = read_bronze(spark, bronze_path, dates)
-            current = current_payments(audit)
+            rows_read = audit.count()
         else:
             snapshot_dates = dates.widened(after=reach)
             lookback = dates.widened(before=reach, after=reach)
-            current = backfill_payments(audit, lookback)
-            audit = audit.filter(lookback.holds(F.col("event_date")))
-        rows_read = audit.count()
+            rows_read = audit.filter(lookback.holds(F.col("event_date"))).count()
+        # The count reads file footers alone.
         if rows_read == 0:
             report.failed = True
             result.status = FAILED
             return result
-
-        size_shuffles(spark, bronze_path, {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"})
-        merchants = read_merchant_lookup(spark, merchants_path)
-        check_unique(merchants, "merchant_id", "merchant lookup")
+        current = current_payments(audit) if dates is None else backfill_payments(audit, lookback)
         # Both reports read the totals, and so does the calendar of snapshots.
         totals = stage(daily_totals(current, rules.payment_method), "daily-totals")
 
+        merchants = stage(read_merchant_lookup(spark, merchants_path), "merchant-lookup")
+        check_unique(merchants, "merchant_id", "merchant lookup")
         daily = daily_payment_summary(totals, merchants, rules)
         performance = merchant_performance(totals, merchants, rules)
         if dates is not None:
             daily = daily.filter(daily_dates.holds(F.col("event_date")))
             performance = performance.filter(snapshot_dates.holds(F.col("snapshot_date")))
+        if lost_days:
+            touched = [day for lost_day in lost_days for day in DateRange(lost_day, lost_day).widened(after=reach).days()]
+            daily = daily.filter(~F.col("event_date").isin(lost_days))
+            performance = performance.filter(~F.col("snapshot_date").isin(touched))
 
         write_report(
             daily, daily_path, "event_date", daily_contract, result, report, "daily_payment_summary", rows_read

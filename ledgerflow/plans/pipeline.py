@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -51,8 +53,15 @@ def run_pipeline(
     rules: ReportRules = ReportRules(),
     run_id: str | None = None,
     dates: DateRange | None = None,
+    payment_options: Mapping[str, Any] | None = None,
+    merchant_options: Mapping[str, Any] | None = None,
+    report_options: Mapping[str, Any] | None = None,
 ) -> dict[str, IngestResult | GoldResult]:
-    """Run the stages in order under one run id; `dates` makes it a backfill."""
+    """Run the stages in order under one run id; `dates` makes it a backfill.
+
+    The last three hold further arguments of `ingest_payments` (columns, required,
+    strict_unique, hash_exclude, extra), `ingest_merchants` and `build_reports`.
+    """
     if stage not in STAGES:
         raise ValueError(f"stage must be one of {STAGES}, got {stage!r}")
     run_id = run_id or new_run_id()
@@ -67,6 +76,7 @@ def run_pipeline(
             quarantine_path=lake.audit("quarantined_payments"),
             manifest_path=lake.audit("payment_manifest"),
             report_path=lake.audit("run_report"),
+            **(payment_options or {}),
         )
         results["merchants"] = ingest_merchants(
             spark,
@@ -75,6 +85,7 @@ def run_pipeline(
             run_id=run_id,
             manifest_path=lake.audit("merchant_manifest"),
             report_path=lake.audit("run_report"),
+            **(merchant_options or {}),
         )
     if stage in ("all", "gold"):
         results["reports"] = build_reports(
@@ -87,5 +98,6 @@ def run_pipeline(
             run_id=run_id,
             dates=dates,
             report_path=lake.audit("run_report"),
+            **(report_options or {}),
         )
     return results

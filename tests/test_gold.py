@@ -162,12 +162,32 @@ def test_backfill_equals_a_full_build(shop, spark):
     assert shop.daily()["2024-01-15", "M1", "REVERSED"] == 1
 
 
-def test_narrow_backfill_sees_only_its_dates(shop):
-    shop.load(month(days=10))
+def test_a_damaged_file_fails_the_reports_or_is_set_aside(spark, shop):
+    from pathlib import Path
+
+    shop.load(month(days=20))
     shop.build()
-    shop.build(dates=DateRange("2024-01-08", "2024-01-08"), narrow_backfill=True)
-    counts = {k[0]: r["total_transactions_7d"] for k, r in shop.performance().items()}
-    assert (counts["2024-01-07"], counts["2024-01-08"], counts["2024-01-09"]) == (7, 1, 7)
+    before_daily, before = shop.daily(), shop.performance()
+    (cut,) = Path(shop.bronze).glob("event_date=2024-01-05/*.parquet")
+    cut.write_bytes(cut.read_bytes()[: cut.stat().st_size // 2])
+    with pytest.raises(Exception, match="parquet"):
+        shop.build()
+    assert (shop.daily(), shop.performance()) == (before_daily, before)
+    result = shop.build(set_aside_damaged=True)
+    assert result.status == "PARTIAL"
+    assert [cut.name in r[0] for r in result.damaged.collect()] == [True]
+    # Nothing that the lost rows belong to is overwritten, and nothing else changes.
+    assert (shop.daily(), shop.performance()) == (before_daily, before)
+
+
+def test_a_backfill_reads_the_days_that_hold_its_payments(spark, shop, capsys):
+    from ledgerflow.plans.gold import backfill_payments
+    from ledgerflow.sources.tables import read_bronze
+
+    shop.load(month(days=20))
+    backfill_payments(read_bronze(spark, shop.bronze), DateRange("2024-01-08", "2024-01-09")).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "event_date" in next(line for line in plan.splitlines() if "PartitionFilters" in line and "2024-01-08" in line)
 
 
 def test_pipeline_end_to_end(spark, tmp_path):
