@@ -50,21 +50,17 @@ def rate(part: str, whole: str) -> str:
 def daily_summary(payments: str, shops: str) -> str:
     """Daily summary of a payments CTE joined with a merchants CTE."""
     return f"""
-known AS (
-  SELECT p.*, s.merchant_name, s.merchant_category
-  FROM {payments} p LEFT JOIN {shops} s ON s.merchant_id = p.merchant_id),
-rates AS (
-  SELECT event_date, merchant_id, currency, {rate(APPROVED_CARDS, DECIDED_CARDS)} AS rate
-  FROM known GROUP BY ALL)
-SELECT CAST(k.event_date AS VARCHAR) AS event_date, k.merchant_id, k.merchant_name, k.merchant_category,
-       k.currency, k.status,
-       count(k.transaction_id) AS transaction_count,
-       round(sum(k.amount), 2) AS total_amount,
-       round(avg(k.amount), 4) AS avg_amount,
-       max(k.amount) AS max_amount,
-       any_value(r.rate) AS merchant_daily_approval_rate
-FROM known k LEFT JOIN rates r USING (event_date, merchant_id, currency)
-GROUP BY k.event_date, k.merchant_id, k.merchant_name, k.merchant_category, k.currency, k.status"""
+grouped AS (
+  SELECT event_date, merchant_id, currency, status, count(transaction_id) AS n,
+         CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total, count(amount) AS amounts, max(amount) AS most,
+         {APPROVED_CARDS} AS approved, {DECIDED_CARDS} AS decided
+  FROM {payments} GROUP BY ALL)
+SELECT CAST(event_date AS VARCHAR) AS event_date, g.merchant_id, merchant_name, merchant_category, currency, status,
+       n AS transaction_count, round(total, 2) AS total_amount, round(total / amounts, 4) AS avg_amount, most AS max_amount,
+       CASE WHEN g.merchant_id IS NOT NULL AND currency IS NOT NULL THEN
+         {rate("sum(approved) OVER day", "sum(decided) OVER day")} END AS merchant_daily_approval_rate
+FROM grouped g LEFT JOIN {shops} s ON s.merchant_id = g.merchant_id
+WINDOW day AS (PARTITION BY event_date, g.merchant_id, currency)"""
 
 
 def performance(payments: str, shops: str, days: int) -> str:
@@ -74,7 +70,7 @@ snapshots AS (SELECT DISTINCT event_date AS snapshot_date FROM {payments}),
 windows AS (
   SELECT d.snapshot_date, p.merchant_id,
          count(*) AS total_transactions_{days}d,
-         round(sum(CASE WHEN p.status = 'APPROVED' THEN p.amount ELSE 0 END), 2) AS total_approved_amount_{days}d,
+         round(CAST(sum(CASE WHEN p.status = 'APPROVED' THEN CAST(p.amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE), 2) AS total_approved_amount_{days}d,
          {rate(APPROVED_CARDS, DECIDED_CARDS)} AS merchant_daily_approval_rate_{days}d,
          {rate(f"nullif({REVERSALS}, 0)", "count(*)")} AS reversal_rate_{days}d,
          count(DISTINCT p.event_date) AS active_days_{days}d
@@ -195,7 +191,7 @@ ORACLES = {
     "daily_payment_summary": f"WITH {CURRENT}, {LINE_MERCHANTS}, {daily_summary('payments', 'shops')}",
     **{
         f"merchant_performance_{n}d": f"WITH {CURRENT}, {LINE_MERCHANTS}, {performance('payments', 'shops', n)}"
-        for n in (7, 30, 1)
+        for n in (7, 30, 1, 90)
     },
     "latest_status_per_txn": f"""WITH {CURRENT}
         SELECT transaction_id, CAST(event_date AS VARCHAR) AS event_date, merchant_id, currency, status,
@@ -323,4 +319,26 @@ ORACLES = {
                  THEN 'REVERSED' ELSE status END AS status)
           FROM payments),
         {performance('newest', 'shops', 7)}""",
+    "adhoc_performance_select": f"""SELECT snapshot_date, merchant_id, total_transactions_7d, total_approved_amount_7d, active_days_7d
+        FROM (WITH {EVENT_PAYMENTS}, {CUSTOMERS}, {performance('payments', 'shops', 7)})
+        ORDER BY snapshot_date, merchant_id""",
+    "quarantine_rerun": f"""WITH {SOILED}, {typed('soiled')}
+        SELECT transaction_id, reason, count(*) AS rows
+        FROM (SELECT transaction_id, {FATE} AS reason FROM typed)
+        WHERE reason IN ('bad_amount', 'bad_timestamp') GROUP BY ALL""",
+    "audit_empty_run": f"""WITH {TEXT}
+        SELECT 'run-1' AS run_id, 'SUCCESS' AS status, source_file, 'ingested' AS outcome,
+               CAST(0 AS BIGINT) AS rows_read, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS rows_skipped,
+               CAST(0 AS BIGINT) AS rows_quarantined, CAST(0 AS BIGINT) AS rows_undated
+        FROM (SELECT DISTINCT source_file FROM clean)""",
+    "strict_contract_report": f"""WITH {EVENT_PAYMENTS}, {CUSTOMERS},
+        stored AS (SELECT count(*) AS n FROM payments),
+        written AS (SELECT count(*) AS n FROM (WITH {performance('payments', 'shops', 7).lstrip()}))
+        SELECT 'run-1' AS run_id, 'gold' AS pipeline_stage, 'PARTIAL' AS status, table_name, rows_read, rows_written, rows_quarantined
+        FROM (SELECT 'daily_payment_summary' AS table_name, n AS rows_read, CAST(0 AS BIGINT) AS rows_written, n AS rows_quarantined
+              FROM stored
+              UNION ALL
+              SELECT 'merchant_performance_7d', stored.n, written.n, CAST(0 AS BIGINT) FROM stored, written)""",
+    "failed_run_report": """SELECT 'run-1' AS run_id, 'bronze' AS pipeline_stage, 'FAILED' AS status, CAST(NULL AS VARCHAR) AS table_name,
+               CAST(0 AS BIGINT) AS rows_read, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS rows_quarantined""",
 }

@@ -22,7 +22,7 @@ from ledgerflow.plans.audit import read_manifest, read_report
 from ledgerflow.plans.bronze import gate_report, ingest_merchants, ingest_payments
 from ledgerflow.plans.gold import build_reports
 from ledgerflow.session import stage, staging_path
-from ledgerflow.sources.deliveries import Landing, discover, header_groups, read_deliveries
+from ledgerflow.sources.deliveries import Landing, read_deliveries, read_landing
 from ledgerflow.sources.tables import (
     overwrite_partitions,
     read_bronze,
@@ -235,7 +235,7 @@ def mixed_headers(spark: SparkSession, text: DataFrame) -> Landing:
 
 def csv_schema_gate(spark: SparkSession, folder: str) -> DataFrame:
     drop = mixed_headers(spark, views.event_payments_text(spark, folder))
-    checked = gate_report(header_groups(spark, drop, discover(spark, drop)), PAYMENT_COLUMNS)
+    checked = gate_report(read_landing(spark, drop), PAYMENT_COLUMNS)
     return checked.withColumn("passed", F.col("passed").cast("string"))
 
 
@@ -383,6 +383,61 @@ def adhoc_rows_per_date(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def quarantine_rerun(spark: SparkSession, folder: str) -> DataFrame:
+    """Soiled deliveries ingested twice, then resubmitted: each row set aside is stored once."""
+    text = soiled(spark, folder)
+    path, aside = staging_path(spark, "bronze"), staging_path(spark, "quarantine")
+    first = landed(spark, text, "csv")
+    for drop in (first, first, landed(spark, resubmitted(text), "csv")):
+        ingest_payments(spark, drop, path, quarantine_path=aside)
+    return spark.read.parquet(aside).groupBy("transaction_id", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def audit_empty_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A landing folder whose deliveries have a header and no row."""
+    path, manifest = staging_path(spark, "csv"), staging_path(spark, "manifest")
+    weeks = views.event_payments_text(spark, folder).select("delivery").distinct()
+    header = ",".join(PAYMENT_COLUMNS)
+    weeks.select(F.lit(header).alias("value"), "delivery").write.partitionBy("delivery").text(path)
+    ingest_payments(
+        spark, Landing(path, pattern="*.txt", unit="folder"), staging_path(spark, "bronze"), run_id="run-1", manifest_path=manifest
+    )
+    return read_manifest(spark, manifest).drop("run_ts", "rows_out_of_range", "extra", "missing_columns")
+
+
+def adhoc_performance_select(spark: SparkSession, folder: str) -> DataFrame:
+    register_views(spark, written_reports(spark, folder))
+    return spark.sql(
+        "SELECT snapshot_date, merchant_id, total_transactions_7d, total_approved_amount_7d, active_days_7d "
+        "FROM merchant_performance_7d ORDER BY snapshot_date, merchant_id NULLS LAST"
+    )
+
+
+def strict_contract_report(spark: SparkSession, folder: str) -> DataFrame:
+    """A report whose contract names a column it lacks is not written; the run says so."""
+    stored = event_bronze(spark, folder)
+    merchants, report = staging_path(spark, "merchants-csv"), staging_path(spark, "report")
+    views.event_merchants(spark, folder).write.option("header", True).option("escape", '"').csv(merchants)
+    build_reports(
+        spark, stored, merchants, staging_path(spark, "daily"), staging_path(spark, "performance"),
+        run_id="run-1", report_path=report, daily_contract=["event_date", "fee"],
+    )
+    return read_report(spark, report).drop("start_ts", "end_ts", "duration_seconds")
+
+
+def failed_run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """A landing folder that breaks its promised header fails the run, which is reported."""
+    report = staging_path(spark, "report")
+    drop = landed(spark, views.event_payments_text(spark, folder), "csv")
+    try:
+        ingest_payments(
+            spark, drop, staging_path(spark, "bronze"), run_id="run-1", report_path=report, columns=["transaction_id"]
+        )
+    except ValueError:
+        pass
+    return read_report(spark, report).drop("start_ts", "end_ts", "duration_seconds")
+
+
 def backfill_rolling_lookback(spark: SparkSession, folder: str) -> DataFrame:
     """Full build, late status changes for some days, backfill of just these days."""
     text = views.event_payments_text(spark, folder)
@@ -403,6 +458,7 @@ QUERIES = {
     "merchant_performance_7d": merchant_performance(7),
     "merchant_performance_30d": merchant_performance(30),
     "merchant_performance_1d": merchant_performance(1),
+    "merchant_performance_90d": merchant_performance(90),
     "latest_status_per_txn": latest_status_per_txn,
     "approval_rate": approval_rate,
     "reversal_rate": reversal_rate,
@@ -436,5 +492,10 @@ QUERIES = {
     "gold_partition_overwrite": gold_partition_overwrite,
     "adhoc_gold_select": adhoc_gold_select,
     "adhoc_rows_per_date": adhoc_rows_per_date,
+    "adhoc_performance_select": adhoc_performance_select,
+    "quarantine_rerun": quarantine_rerun,
+    "audit_empty_run": audit_empty_run,
+    "strict_contract_report": strict_contract_report,
+    "failed_run_report": failed_run_report,
     "backfill_rolling_lookback": backfill_rolling_lookback,
 }
