@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import TABLES, difference
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SMALL = Path(contract.SMOKE_DATA)
 pytestmark = pytest.mark.skipif(not SMALL.is_dir(), reason="driver tables are not here")
@@ -23,12 +25,13 @@ def oracle():
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.items() <= contract.queries().items() and ORACLES.items() <= contract.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql_with_a_plan_for_scale(spark, oracle, capsys, name):
-    query = contract.queries()[name](spark, str(SMALL))
+    query = QUERIES[name](spark, str(SMALL))
     query.explain()
     plan = capsys.readouterr().out
     # No product of rows, no Python worker, no step that gathers all rows in one task.
@@ -36,7 +39,7 @@ def test_query_equals_sql_with_a_plan_for_scale(spark, oracle, capsys, name):
         assert unwanted not in plan, unwanted
     actual = query.toPandas()
     assert len(actual) > 0
-    assert difference(actual, oracle.execute(contract.oracle_sql()[name]).df()) is None
+    assert difference(actual, oracle.execute(ORACLES[name]).df()) is None
 
 
 def test_flagship_has_a_stable_schema(spark):
