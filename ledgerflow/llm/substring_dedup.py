@@ -130,7 +130,9 @@ def removed_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         .agg(F.collect_list(F.struct("fp", "seg", "start", "count")).alias("parts"))
     )
     hashes = staged(
-        docs.join(open_segments, ["doc_id", "tid"])
+        sifted(docs, open_segments, "maybe")
+        .filter("maybe")
+        .join(open_segments, ["doc_id", "tid"])
         .dropDuplicates(["doc_id", "tid"])
         .select("doc_id", "text", "parts")
         .mapInArrow(
@@ -139,11 +141,12 @@ def removed_windows(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         "window-hashes",
     )
     single = hashes.select("fp", "seg", "least", F.posexplode("hashes").alias("place", "window"))
-    owners = (
+    owners = staged(
         single.groupBy("window")
         .agg(F.min("least").alias("owner"), F.max("least").alias("other"))
         .filter("owner < other")
-        .select("window", "owner")
+        .select("window", "owner"),
+        "window-owners",
     )
     partly = (
         single.join(owners, "window")
@@ -215,8 +218,11 @@ def substring_dedup_digest(documents: DataFrame, size: int = WINDOW) -> DataFram
     """
     docs = identified(documents)
     removed = staged(removed_windows(docs, size), "removed-windows")
-    rows = docs.join(removed, ["doc_id", "tid"], "left").select("doc_id", "text", "parts")
-    return rows.mapInArrow(digests(size), DIGEST)
+    # Only documents that may lose words travel to meet their removals.
+    marked = sifted(docs, removed, "maybe")
+    untouched = marked.filter("not maybe").select("doc_id", "text").mapInArrow(digests(size), DIGEST)
+    touched = marked.filter("maybe").join(removed, ["doc_id", "tid"], "left").select("doc_id", "text", "parts")
+    return untouched.unionByName(touched.mapInArrow(digests(size), DIGEST))
 
 
 def cut_task(size: int):
