@@ -29,7 +29,7 @@ from ledgerflow.llm.substring_dedup import covered
 LENGTH = 400
 PIECE = 128
 # Bytes a shard should hold.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 # The id of a row without one, inside the job.
 NO_ID = -(2**63)
 
