@@ -52,6 +52,12 @@ UNUSUAL = re.compile("[^\x00-\u02ff]")
 CLOSING = re.compile("([a-z\u00e0-\u00f6\u00f8-\u00ff])([.,])(?=[ \n]|$)")
 
 
+# The vocabulary's model spells bytes as printable characters: those that are none, in order, from 256 on.
+SPELLED = {
+    byte: 256 + n for n, byte in enumerate(b for b in range(256) if b < 33 or 126 < b < 161 or b == 173)
+}
+
+
 class WordTokenizer:
     """Ids of texts, word by word: this vocabulary never joins what a space or line feed separates.
 
@@ -77,7 +83,20 @@ class WordTokenizer:
         return [w for w in text.replace("\n", " ").split(" ") if w]
 
     def learn(self, words: list[str]) -> None:
-        """Look up the ids of new words, many in one text: where an id begins tells its word."""
+        """Look up the ids of new words.
+
+        Words of usual small letters go straight to the tokenizer's model, which is what its earlier steps leave of them.
+        The others are encoded many in one text: where an id begins tells its word.
+        """
+        others = []
+        model = self.tokenizer.model
+        for word in words:
+            if word.isalpha() and word == word.lower() and UNUSUAL.search(word) is None:
+                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(SPELLED)
+                self.known[word] = np.array([t.id for t in model.tokenize(spelled)], "<u4").tobytes()
+            else:
+                others.append(word)
+        words = others
         for first in range(0, len(words), TOGETHER):
             some = words[first : first + TOGETHER]
             encoding = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
