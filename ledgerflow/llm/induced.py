@@ -7,8 +7,8 @@ neighbour in the text to the queue. As a suffix is only ever followed by larger
 which tuples (position, common prefix with the tuple before) keep the order of their arrival.
 
 Buckets are taken many at a time: a run of buckets is ready at once if no suffix of it hands over into it, except to its
-own symbol, which is done in rounds. So all work is on arrays. Tuples beyond a memory limit wait in files, and so do the
-arrays of a text beyond it.
+own symbol, which is done in rounds. So all work is on arrays. Tuples beyond a memory limit wait in files, and so do a
+text beyond it and its runs. Positions, names and common prefixes stay in memory, so a text must be bounded by the caller.
 
 Common prefixes travel with the tuples: left neighbours that share their symbol have one more than the least common
 prefix between their right neighbours.

@@ -5,6 +5,8 @@
 2. Equal segments are counted. Where every segment of a representative has a copy, all its windows repeat.
 3. The rest is dealt to shards by representative, so equal windows meet. A shard is one text, its suffixes are sorted by
    induction, and a window repeats if its suffix shares 400 bytes with a neighbour in that order.
+4. A representative with more bytes than its part of a shard is split first: its segments pass through the same steps with
+   pieces of 256 bytes, and what is still too large with whole windows, which are settled by counting alone.
 
 Documents that lose nothing are never shuffled; the others travel once to be cut.
 """
@@ -28,8 +30,9 @@ from ledgerflow.llm.substring_dedup import covered
 
 LENGTH = 400
 PIECE = 128
-# Bytes a shard should hold.
+# Bytes a shard should hold, and the most bytes of one representative in it.
 SHARD_BYTES = 2 << 20
+KEY_BYTES = SHARD_BYTES // 8
 # The id of a row without one, inside the job.
 NO_ID = -(2**63)
 
@@ -37,16 +40,18 @@ END, GAP, FIRST = 0, 1, 2
 
 
 def piece_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the `size` bytes from every position on, by doubling; `size` is a power of two, 8 at least."""
+    """Hash of the `size` bytes from every position on, by doubling; `size` is 8 at least."""
     padded = np.zeros(len(data) + 8, np.uint8)
     padded[: len(data)] = data
     hashes = mixed(np.ndarray((len(data),), "<u8", padded, strides=(1,)).copy())
     covered_bytes = 8
     while covered_bytes < size:
-        if len(hashes) <= covered_bytes:
+        # The last step may overlap: both pieces together still hold all the bytes.
+        step = min(covered_bytes, size - covered_bytes)
+        if len(hashes) <= step:
             return hashes[:0]
-        hashes = joined(hashes[:-covered_bytes], hashes[covered_bytes:])
-        covered_bytes *= 2
+        hashes = joined(hashes[:-step], hashes[step:])
+        covered_bytes += step
     return hashes[: max(0, len(data) - size + 1)]
 
 
@@ -67,9 +72,12 @@ def recurs(hashes: np.ndarray, value: np.ndarray, first: np.ndarray, last: np.nd
 
 
 def byte_kernel(length: int, piece: int):
-    """Segments of windows of `length` bytes, represented by pieces of `piece` bytes."""
-    if piece < 8 or piece & (piece - 1) or piece > length:
-        raise ValueError(f"pieces must be a power of two between 8 and {length}, got {piece}")
+    """Segments of windows of `length` bytes, represented by pieces of `piece` bytes.
+
+    Pieces as long as the windows make runs of one window; such a segment goes by the hash of that window alone.
+    """
+    if piece < 8 or piece > length or (piece & (piece - 1) and piece != length):
+        raise ValueError(f"pieces must be a power of two between 8 and {length} or {length} itself, got {piece}")
 
     def kernel(data: np.ndarray, offsets: np.ndarray) -> Runs:
         hashes = piece_hashes(data, piece)
@@ -83,7 +91,7 @@ def byte_kernel(length: int, piece: int):
         def hash_of(at: np.ndarray) -> np.ndarray:
             import xxhash
 
-            ends = begin[at] + count[at] + length - 1
+            ends = begin[at] + (count[at] if piece < length else 1) + length - 1
             return np.array(
                 [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(begin[at].tolist(), ends.tolist(), strict=True)], np.uint64
             )
@@ -177,6 +185,11 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, piece: int = PIECE)
     spark = docs.sparkSession
     repeats = (F.count(F.lit(1)) > 1) | F.max("inner")
     found = repeated_segments(docs, byte_kernel(length, piece), repeats, "byte-segments")
+    if piece == length:
+        # Whole windows: those that are there more than once.
+        again = found.groupBy("fp", "seg").agg(F.sum("count").alias("n")).filter("n > 1").select("fp", "seg")
+        hit = found.join(staged(again, "byte-windows"), ["fp", "seg"])
+        return hit.groupBy("doc_id", "tid").agg(F.collect_list(F.struct("start", "count")).alias("parts"))
     place = F.struct("doc_id", "tid", "start", "count")
     segments = staged(
         found.groupBy("fp", "seg").agg(F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"), F.max("inner").alias("inner")),
@@ -184,27 +197,33 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, piece: int = PIECE)
     )
     # A segment without a copy can share windows with others of its representative, or with itself.
     single = (F.col("copies") == 1).alias("single")
+    n_bytes = F.col("place.count") + (length - 1)
     doubtful = segments.groupBy("fp").agg(
-        F.min("copies").alias("least"), F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner")
-    )
-    doubtful = doubtful.filter("least = 1 and (n > 1 or inner)").select("fp")
-    wanted = staged(segments.join(doubtful, "fp", "left_semi").select("fp", "seg", single, "place"), "byte-doubtful")
-    total = wanted.agg(F.sum(F.col("place.count") + (length - 1))).first()[0] or 0
-    shards = max(shuffle_width(spark), math.ceil(total / SHARD_BYTES))
-    parts = wanted.groupBy("place.doc_id", "place.tid").agg(
-        F.collect_list(F.struct("fp", "seg", "place.start", "place.count", "single")).alias("parts")
-    )
-    texts = sifted(docs, parts, "maybe").filter("maybe").drop("maybe").join(parts, ["doc_id", "tid"])
-    # Equal rows carry the same parts: one of them speaks for all.
-    cut = texts.dropDuplicates(["doc_id", "tid"]).mapInArrow(
-        part_bytes(length), "fp bigint, seg bigint, single boolean, count bigint, bytes binary"
-    )
-    sorted_parts = staged(
-        cut.repartitionById(shards, F.pmod(F.col("fp"), F.lit(shards)).cast("int")).mapInArrow(
-            shard_task(length), f"fp bigint, seg bigint, found {PART}"
-        ),
-        "byte-sorted",
+        F.min("copies").alias("least"), F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner"), F.sum(n_bytes).alias("bytes")
     )
+    doubtful = doubtful.filter("least = 1 and (n > 1 or inner)").select("fp", (F.col("bytes") > KEY_BYTES).alias("large"))
+    wanted = staged(segments.join(staged(doubtful, "byte-keys"), "fp").select("fp", "seg", single, "place", "large"), "byte-doubtful")
+    totals = {r["large"]: r["total"] for r in wanted.groupBy("large").agg(F.sum(n_bytes).alias("total")).collect()}
+    shards = max(shuffle_width(spark), math.ceil(totals.get(False, 0) / SHARD_BYTES))
+
+    def bytes_of(chosen: DataFrame) -> DataFrame:
+        parts = chosen.groupBy("place.doc_id", "place.tid").agg(
+            F.collect_list(F.struct("fp", "seg", "place.start", "place.count", "single")).alias("parts")
+        )
+        texts = sifted(docs, parts, "maybe").filter("maybe").drop("maybe").join(parts, ["doc_id", "tid"])
+        # Equal rows carry the same parts: one of them speaks for all.
+        return texts.dropDuplicates(["doc_id", "tid"]).mapInArrow(
+            part_bytes(length), "fp bigint, seg bigint, single boolean, count bigint, bytes binary"
+        )
+
+    by_shard = bytes_of(wanted.filter("not large")).repartitionById(shards, F.pmod(F.col("fp"), F.lit(shards)).cast("int"))
+    settled = by_shard.mapInArrow(shard_task(length), f"fp bigint, seg bigint, found {PART}")
+    if True in totals:
+        # Segments are the documents of the next round; their windows have equals among these segments alone.
+        large = bytes_of(wanted.filter("large")).select(F.col("fp").alias("doc_id"), F.col("seg").alias("tid"), F.col("bytes").alias("text"))
+        longer = repeated_windows(staged(large, "byte-large"), length, min(2 * piece, length))
+        settled = settled.unionByName(longer.select(F.col("doc_id").alias("fp"), F.col("tid").alias("seg"), F.col("parts").alias("found")))
+    sorted_parts = staged(settled, "byte-sorted")
     whole = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("count")))
     hit = found.join(segments.select("fp", "seg", "copies"), ["fp", "seg"]).join(sorted_parts, ["fp", "seg"], "left")
     hit = hit.withColumn("found", F.when(F.col("copies") > 1, whole).otherwise(F.col("found"))).filter("found is not null")

@@ -6,6 +6,7 @@ from collections import Counter
 import corpus
 import pytest
 
+from ledgerflow.llm import suffix_dedup
 from ledgerflow.llm.components import components
 from ledgerflow.llm.near_dup import Rule, near_dedup, near_duplicates
 from ledgerflow.llm.substring_dedup import substring_dedup, substring_dedup_digest
@@ -45,6 +46,38 @@ def test_repeated_bytes_match_brute_force(documents, data):
     assert corpus.found(digest, *columns) == corpus.without_repeats(data)
 
 
+def test_a_line_of_many_documents_fills_no_shard(spark, tmp_path, monkeypatch):
+    rng = random.Random(6)
+    lines = [corpus.sentence(rng, 60)[:n] for n in (150, 300, 390)]
+    texts = [f"{corpus.sentence(rng, 120)}{lines[i % 3]}{corpus.sentence(rng, 120)}" for i in range(450)]
+    # Some share the line and its surroundings, and one repeats itself.
+    texts += [f"{corpus.sentence(rng, 30)}{t[400:-300]}{corpus.sentence(rng, 30)}" for t in texts[:12]]
+    texts += [texts[20], texts[21] + texts[21], "z" * 3000 + lines[1]]
+    data = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    task_of, limit = suffix_dedup.shard_task, 40_000
+
+    def watched(length):
+        task = task_of(length)
+
+        def measured(batches):
+            held = [b for b in batches if b.num_rows]
+            size = sum(len(s) for b in held for s in b.column("bytes").to_pylist())
+            with open(f"{tmp_path}/{random.random()}", "w") as file:
+                file.write(str(size))
+            yield from task(iter(held))
+
+        return measured
+
+    monkeypatch.setattr(suffix_dedup, "shard_task", watched)
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", limit)
+    monkeypatch.setattr(suffix_dedup, "KEY_BYTES", limit // 8, raising=False)
+    digest = suffix_dedup_digest(corpus.frame(spark, data).repartition(3))
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert corpus.found(digest, *columns) == corpus.without_repeats(data)
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sizes and max(sizes) <= limit
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
 def test_near_copies_match_brute_force(documents, data, size, percent):
     # Two texts of one id are one node of the graph; brute force compares them the same way.
