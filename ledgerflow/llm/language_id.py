@@ -1,7 +1,8 @@
 """Language identification by cross-parsing: the language whose sample parses a text into the fewest phrases wins.
 
 Per language a suffix automaton is built over a bounded sample of labelled text. A text is cut greedily into the longest
-phrases that occur in the sample; few phrases mean a near relative. All automata are one table of transitions in which
+phrases that occur in the sample; few phrases mean a near relative. Phrases grow with the logarithm of the sample, so
+counts are weighted by it where samples differ in size. All automata are one table of transitions in which
 the start of the next phrase is already folded in, so parsing is one table look-up per byte, taken for thousands of
 blocks of text and all languages at once.
 """
@@ -30,6 +31,9 @@ SAMPLE_PIECE = 1024
 SAMPLE_BYTES = 24 * 1024
 SAMPLE_TOTAL = 256 * 1024
 
+# Added to the size of a sample in its logarithm, so that a sample of a few bytes wins nothing.
+SAMPLE_LEAST = 256
+
 # Texts are parsed in blocks of so many bytes; a phrase ends at the end of its block.
 BLOCK = 512
 SLICE_BYTES = 1 << 20
@@ -86,6 +90,8 @@ class CrossParser:
     width: int
     table: np.ndarray
     roots: np.ndarray
+    # Expected phrase length of each sample, as a share of that of the largest.
+    weights: np.ndarray
 
     @staticmethod
     def of(samples: Mapping[str, bytes]) -> CrossParser:
@@ -109,7 +115,9 @@ class CrossParser:
             roots.append(base)
             base += len(moves)
         table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
-        return CrossParser(languages, symbol, width, table, np.array(roots, np.int64))
+        sizes = np.log(np.array([len(texts[name]) + SAMPLE_LEAST for name in languages], np.float64))
+        weights = sizes / sizes.max(initial=0) if languages else sizes
+        return CrossParser(languages, symbol, width, table, np.array(roots, np.int64), weights)
 
     def phrases(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(texts, languages): number of phrases of every text."""
@@ -152,6 +160,7 @@ class CrossParser:
                 names += [UNKNOWN] * (high - low)
                 scores.append(np.zeros(high - low))
                 continue
+            counts = counts * self.weights
             best = counts.argmin(axis=1)
             least = counts[np.arange(len(best)), best]
             second = np.sort(counts, axis=1)[:, 1] if counts.shape[1] > 1 else least * 2
@@ -171,27 +180,38 @@ def samples_of(documents: DataFrame, lang_column: str = "lang") -> dict[str, byt
     """Sample text per language, from labelled documents outside the held-out part.
 
     Of each language the documents with the smallest hash of their id count. The driver receives `SAMPLE_DOCUMENTS`
-    pieces per language and cuts the samples to `SAMPLE_BYTES` each and `SAMPLE_TOTAL` together.
+    pieces per language and cuts the samples to `SAMPLE_BYTES` each and `SAMPLE_TOTAL` together. A language that does
+    not fill its sample is filled with further pieces of the same documents.
     """
     chosen = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text"), F.col(f"`{lang_column}`").alias("lang")
     )
     chosen = chosen.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = chosen.filter(F.col("text").rlike(r"\p{L}"))
-    ranked = chosen.select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, SAMPLE_PIECE).alias("piece"))
+    piece = F.substring("text", 1, SAMPLE_PIECE)
     order = Window.partitionBy("lang").orderBy("h", "piece")
-    rows = (
-        ranked.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= SAMPLE_DOCUMENTS)
-        .orderBy("lang", "rank")
-        .select("lang", "piece")
-        .collect()
-    )
-    pieces: dict[str, list[bytes]] = {}
-    for lang, piece in rows:
-        pieces.setdefault(lang, []).append(piece.encode())
+
+    def first_of(rows: DataFrame, taken: Column) -> dict[str, list[str]]:
+        ranked = rows.select("lang", F.xxhash64("doc_id").alias("h"), piece.alias("piece"), taken.alias("taken"))
+        ranked = ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCUMENTS)
+        found: dict[str, list[str]] = {}
+        for lang, text in ranked.orderBy("lang", "rank").select("lang", "taken").collect():
+            found.setdefault(lang, []).append(text)
+        return found
+
+    pieces = first_of(chosen, piece)
     share = min(SAMPLE_BYTES, SAMPLE_TOTAL // max(1, len(pieces)))
-    return {lang: b" ".join(found)[:share] for lang, found in pieces.items()}
+    samples = {lang: b" ".join(t.encode() for t in found) for lang, found in pieces.items()}
+    short = [lang for lang, sample in samples.items() if len(sample) < share]
+    if short:
+        longer = first_of(chosen.filter(F.col("lang").isin(short)), F.substring("text", 1, SAMPLE_BYTES))
+        for lang, texts in longer.items():
+            for at in range(SAMPLE_PIECE, SAMPLE_BYTES, SAMPLE_PIECE):
+                more = [t[at : at + SAMPLE_PIECE].encode() for t in texts if len(t) > at]
+                samples[lang] = b" ".join([samples[lang], *more])
+                if not more or len(samples[lang]) >= share:
+                    break
+    return {lang: sample[:share] for lang, sample in samples.items()}
 
 
 _parsers: dict[int, CrossParser] = {}

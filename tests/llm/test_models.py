@@ -5,9 +5,10 @@ import zlib
 
 import corpus
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from ledgerflow.llm.language_id import BLOCK, CrossParser, folded, language_digest, recognised
+from ledgerflow.llm.language_id import BLOCK, SAMPLE_BYTES, CrossParser, folded, language_digest, recognised, samples_of
 from ledgerflow.llm.quality import monotone, quality_digest, statistics_of
 from ledgerflow.llm.toxicity import toxicity_digest, train
 
@@ -71,6 +72,24 @@ def test_languages_are_told_apart(spark):
     assert kept.columns == docs.columns and kept.count() == len(rows) - 4
 
 
+def test_a_small_sample_is_at_no_disadvantage():
+    stems = {"aa": "the ing on er th and re ly or ea", "bb": "the ing on er th ado cion que ar do"}
+    rng = random.Random(9)
+    parser = CrossParser.of({"aa": corpus.sentence(rng, 30, stems["aa"]).encode(), "bb": corpus.sentence(rng, 4000, stems["bb"]).encode()})
+    texts = [(name, corpus.sentence(rng, 40, stems[name])) for name in stems for _ in range(60)]
+    assert parser.decide(pa.array([t for _, t in texts]))[0] == [name for name, _ in texts]
+
+
+def test_few_long_documents_fill_a_sample(spark):
+    rng = random.Random(10)
+    rows = [(i, corpus.sentence(rng, 9000), "aa", None, None) for i in range(6)]
+    rows += [(100 + i, corpus.sentence(rng, 400), "bb", None, None) for i in range(100)] + [(300, "one short text", "cc", None, None)]
+    rows += [(301 + i, "one short text", "cc", None, None) for i in range(2)]
+    sizes = {lang: len(sample) for lang, sample in samples_of(corpus.frame(spark, rows)).items()}
+    assert sizes["aa"] == sizes["bb"] == SAMPLE_BYTES
+    assert 0 < sizes["cc"] < 50
+
+
 def labelled(spark, rows):
     return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int, text string, label string")
 
