@@ -217,7 +217,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     """(sets, sets) sizes of all intersections, from products of 0/1 matrices over blocks of shingles."""
-    result = np.zeros((len(sets), len(sets)), np.float32)
+    result = np.zeros((len(sets), len(sets)), np.int64)
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     # A shingle of one set alone is in no intersection.
@@ -231,7 +231,7 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
         low, high = np.searchsorted(column, (first, first + BLOCK_COLUMNS))
         block = np.zeros((len(sets), BLOCK_COLUMNS), np.float32)
         block[owner[low:high], column[low:high] - first] = 1
-        result += block @ block.T
+        result += (block @ block.T).astype(np.int64)
     return result
 
 
@@ -244,7 +244,7 @@ def tile_task(rule: Rule):
         if (component == component[0]).all():
             return None
         sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
-        n = np.array([len(s) for s in sets], np.float32)
+        n = np.array([len(s) for s in sets], np.int64)
         both = shared_counts(sets)
         linked = 100 * both >= rule.percent * (n[:, None] + n - both)
         linked &= component[:, None] != component

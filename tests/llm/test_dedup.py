@@ -4,11 +4,13 @@ import random
 from collections import Counter
 
 import corpus
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerflow.llm import suffix_dedup
 from ledgerflow.llm.components import components
-from ledgerflow.llm.near_dup import Rule, near_dedup, near_duplicates
+from ledgerflow.llm.near_dup import Rule, near_dedup, near_duplicates, tile_task
 from ledgerflow.llm.substring_dedup import substring_dedup, substring_dedup_digest
 from ledgerflow.llm.suffix_dedup import suffix_dedup_digest
 
@@ -107,6 +109,18 @@ def test_chain_and_crowd_of_near_copies(spark):
     assert corpus.found(digest, "doc_id", "n_shingles", "component_id", "kept") == corpus.near_copies(data, 3, 85)
 
 
+def test_very_large_sets_are_compared_in_whole_numbers():
+    # 100 * both is below 85 * union by less than a float32 can tell.
+    n_left, n_right, both = 730380, 730404, 671171
+    for shared, linked in ((both, False), (both + 1, True)):
+        left, right = np.arange(n_left, dtype=np.uint64), np.arange(n_left - shared, n_left - shared + n_right, dtype=np.uint64)
+        assert (100 * shared >= 85 * (n_left + n_right - shared)) == linked
+        columns = {"key": [1, 1], "low": [0, 0], "high": [0, 0], "node": [1, 2], "component": [1, 2], "tile": [0, 0]}
+        rows = pa.RecordBatch.from_pydict(columns | {"shingles": pa.array([left.tobytes(), right.tobytes()], pa.binary())})
+        found = list(tile_task(Rule(3, 85))(iter([rows])))
+        assert [b.to_pydict() for b in found] == ([{"u": [2], "v": [1]}] if linked else [])
+
+
 def test_near_dedup_keeps_one_of_each_group(documents, data):
     kept = near_dedup(documents, Rule(5, 80))
     assert kept.columns == documents.columns
