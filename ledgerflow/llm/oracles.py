@@ -107,3 +107,45 @@ SELECT d.doc_id, (len(d.x) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT A
        sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
 FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
+
+# CRC-32 of a decimal number: eight steps with the polynomial, reversed, per character.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, i: xor(r >> 1, 3988292384::BIGINT * (r & 1)))), 4294967295::BIGINT)"""
+
+ORACLES["op12_periodic_runs"] = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), c AS (
+  SELECT doc_id, ws, len(ws)::BIGINT AS n, {CRC32} AS h FROM w
+), e AS (
+  SELECT doc_id, ws, n, h % 10 = 0 AND n > 0 AS changed, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a, h // 10 AS g FROM c
+), d AS (
+  SELECT doc_id, n, CASE WHEN changed THEN ws[1:a] || list_transform(range(0, n - a), lambda i: ws[a + 1 + i % (1 + (n - a) // (3 + g % 8))])
+                    ELSE ws END AS ws FROM e
+), word AS (
+  SELECT doc_id, n, unnest(ws) AS word, unnest(range(0, n)) AS i FROM d
+), equal AS (
+  SELECT a.doc_id, b.i - a.i AS q, a.i FROM word a JOIN word b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i
+  WHERE 4 * (b.i - a.i) <= a.n
+), island AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM equal
+), stretch AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM island GROUP BY doc_id, q, k
+  HAVING count(*) + q >= greatest(6, 4 * q)
+), run AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretch GROUP BY doc_id, start, length
+), total AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM run GROUP BY doc_id
+), longest AS (
+  SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run
+), kept AS (
+  SELECT word.doc_id, string_agg(word, ' ' ORDER BY word.i) AS words
+  FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i WHERE gone.i IS NULL GROUP BY word.doc_id
+)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+       ((1000 * length) // period)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(coalesce(words, '')) AS collapsed_sha256
+FROM d LEFT JOIN total ON total.doc_id = d.doc_id LEFT JOIN longest ON longest.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

@@ -12,6 +12,7 @@ from ledgerflow.llm.language_id import language_digest
 from ledgerflow.llm.mixing import mixing_digest
 from ledgerflow.llm.near_dup import Rule, near_duplicates
 from ledgerflow.llm.packing import pack
+from ledgerflow.llm.periodic import periodic_digest
 from ledgerflow.llm.quality import quality_digest
 from ledgerflow.llm.substring_dedup import substring_dedup_digest
 from ledgerflow.llm.suffix_dedup import suffix_dedup_digest
@@ -63,6 +64,10 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup_digest(table(spark, folder, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_digest(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -74,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_search": op8_block_search,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }

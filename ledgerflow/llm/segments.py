@@ -130,13 +130,14 @@ def repeated_segments(docs: DataFrame, kernel: Kernel, repeats: Column, label: s
     return staged(docs.mapInArrow(task, RUN_FIELDS), label)
 
 
-def sifted(docs: DataFrame, ids: DataFrame, flag: str) -> DataFrame:
+def sifted(docs: DataFrame, ids: DataFrame, flag: str, id_column: str = "doc_id") -> DataFrame:
     """`docs` with a boolean column `flag`: false where doc_id is surely not among the column doc_id of `ids`.
 
-    Rows marked false need no join with `ids`, so their texts are not shuffled. A null doc_id is false.
+    Rows marked false need no join with `ids`, so their texts are not shuffled. A null doc_id is false. Both tables may
+    name the id otherwise (`id_column`).
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(filter_of(ids.select(F.xxhash64("doc_id").alias("fp"))))
+    shared = spark.sparkContext.broadcast(filter_of(ids.select(F.xxhash64(id_column).alias("fp"))))
 
     @F.pandas_udf("boolean")
     def passes(hashes: pd.Series) -> pd.Series:
@@ -144,7 +145,7 @@ def sifted(docs: DataFrame, ids: DataFrame, flag: str) -> DataFrame:
         hit = shared.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
         return pd.Series(hit.astype(bool))
 
-    key = F.col("doc_id").cast("bigint")
+    key = F.col(id_column).cast("bigint")
     return docs.withColumn(flag, passes(F.xxhash64(key)) & key.isNotNull())
 
 
