@@ -59,6 +59,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Bytes that the optimizer expects `df` to have, from the sizes of its files; nothing is read."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
 def signed(values: np.ndarray) -> pa.Array:
     """64-bit hashes as Spark's bigint."""
     return pa.array(np.ascontiguousarray(values).view(np.int64))

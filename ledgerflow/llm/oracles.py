@@ -149,3 +149,39 @@ SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start,
        sha256(coalesce(words, '')) AS collapsed_sha256
 FROM d LEFT JOIN total ON total.doc_id = d.doc_id LEFT JOIN longest ON longest.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
+
+ORACLES["op11_collocations"] = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws
+  FROM documents
+), n AS (
+  SELECT lang, sum(len(ws))::BIGINT AS n FROM piece GROUP BY lang
+), f AS (
+  SELECT lang, m, phrase, count(*) AS a FROM (
+    SELECT lang, m, array_to_string(ws[p:p + m - 1], ' ') AS phrase
+    FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS p FROM piece, (SELECT unnest([1, 2, 3]) AS m))
+  ) GROUP BY lang, m, phrase
+), c AS (
+  SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 10
+), cut AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c)
+), s AS (
+  SELECT cut.lang, cut.phrase, cut.a, k, x.a AS l, y.a AS r,
+         (1000000 * cut.a::HUGEINT * cut.a::HUGEINT) // (x.a::HUGEINT * y.a::HUGEINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.x JOIN f y ON y.lang = cut.lang AND y.phrase = cut.y
+), best AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[p:p + 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, w, a, unnest([1, 2]) AS p FROM c WHERE m = 3) GROUP BY 1, 2
+), kept AS (
+  SELECT best.* FROM best LEFT JOIN inside ON inside.lang = best.lang AND inside.phrase = best.phrase
+  WHERE longer IS NULL OR 100 * longer < 50 * best.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT ranked.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from ledgerflow.llm.block_search import nearest
+from ledgerflow.llm.collocations import collocations
+from ledgerflow.llm.edit_embedding import fingerprint_digest
 from ledgerflow.llm.language_id import language_digest
 from ledgerflow.llm.mixing import mixing_digest
 from ledgerflow.llm.near_dup import Rule, near_duplicates
@@ -64,10 +66,18 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup_digest(table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_digest(table(spark, folder, "documents"))
 
 
+def op13_edit_embedding(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_digest(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": op1_curve_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -79,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_search": op8_block_search,
     "op9_language_id": op9_language_id,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_collocations": op11_collocations,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_edit_embedding": op13_edit_embedding,
     "pipeline": corpus_pipeline.run,
 }
