@@ -10,17 +10,19 @@ Everything after the counts is joins and groupings of the frequent phrases.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import IS_SPACE, TO_LOWER, hash_runs, hash_words, joined, slices, text_bytes, words
 from ledgerflow.llm.frames import staged
-from ledgerflow.llm.hat_trie import WIDTH, HatTrie
+from ledgerflow.llm.hat_trie import HatTrie, packed, unpacked
 from ledgerflow.llm.segments import filter_of
 
 MAX_WORDS = 3
@@ -33,13 +35,18 @@ UNKNOWN = "und"
 # Marks that end a piece, fixed by the pattern [.,;:!?\x0A-\x0D].
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 
-# Entries of a container before it bursts, entries and words a task holds before subtrees leave it, bytes taken at once.
+# Entries of a container before it bursts, entries and words a task holds before subtrees leave it, entries of a run, bytes
+# taken at once and phrases numbered at once. Word numbers stay below `VOCABULARY` + `CHUNK`, which a number has room for.
 BURST = 4096
-ENTRIES = 300_000
+ENTRIES = 400_000
 VOCABULARY = 300_000
-SLICE_BYTES = 1 << 20
+RUN = 20_000
+SLICE_BYTES = 1 << 21
+CHUNK = 1 << 19
 
-# Parts a word that stands in many phrases is dealt to when they look up its count, and parts of a language's ranking.
+# A phrase that makes up one in so many words is common: there are at most so many of one length.
+COMMON = 1000
+# Parts of a language's ranking.
 SALTS = 16
 
 IS_BREAK = np.zeros(256, np.uint8)
@@ -64,107 +71,109 @@ class Phrases:
 
     def __init__(self, size: int, frequent: np.ndarray | None) -> None:
         self.size, self.frequent = size, frequent
-        self.trie = HatTrie(BURST, ENTRIES)
+        self.trie = HatTrie(size, BURST, ENTRIES)
         self.number: dict[tuple[str, bytes], int] = {}
-        self.words: list[tuple[str, bytes]] = []
+        # Words by language, phrases or not.
+        self.totals: Counter[str] = Counter()
 
     def numbers(self, spoken: np.ndarray, langs: list[str], lang: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A number per word, the same for the same word and language until the vocabulary starts anew."""
-        _, place, inverse = np.unique(spoken, return_index=True, return_inverse=True)
-        found = np.empty(len(place), np.int64)
+        inverse = np.asarray(pa.array(spoken).dictionary_encode().indices)
+        place = np.empty(int(inverse.max()) + 1, np.int64)
+        # The last write wins, so the first place of every word stays.
+        place[inverse[::-1]] = np.arange(len(inverse) - 1, -1, -1)
+        number = self.number
         each = zip(lang[place].tolist(), starts[place].tolist(), ends[place].tolist(), strict=True)
-        for i, (k, a, b) in enumerate(each):
-            word = (langs[k], raw[a:b])
-            number = self.number.get(word)
-            if number is None:
-                number = self.number[word] = len(self.words)
-                self.words.append(word)
-            found[i] = number
+        found = np.fromiter((number.setdefault((langs[k], raw[a:b]), len(number)) for k, a, b in each), np.int64, len(place))
         return found[inverse]
 
-    def add(self, data: np.ndarray, offsets: np.ndarray, langs: list[str], lang_of_text: np.ndarray) -> np.ndarray:
-        """Take some texts, in lower case; returns the number of words by language."""
+    def take(self, data: np.ndarray, offsets: np.ndarray, langs: list[str], lang_of_text: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Count some texts, in lower case; yields what leaves the trie for lack of room."""
         starts, ends, first = words(data, offsets, IS_BETWEEN)
         lengths = np.diff(first)
         lang = np.repeat(lang_of_text, lengths)
-        text = np.repeat(np.arange(len(lengths)), lengths)
-        total = np.bincount(lang, minlength=len(langs))
+        for name, n in zip(langs, np.bincount(lang, minlength=len(langs)).tolist(), strict=True):
+            self.totals[name] += n
         size = self.size
         if len(starts) < size:
-            return total
+            return
         codes = hash_words(data, starts, ends)
         salt = np.array([language_hash(x) for x in langs], np.uint64)[lang]
         at = np.arange(len(starts) - size + 1)
         if size > 1:
-            piece = np.cumsum(IS_BREAK[data])[starts]
+            # Phrases lie within a piece, and pieces within a text.
+            piece = np.cumsum(IS_BREAK[data], dtype=np.int32)[starts]
+            text = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
             whole = (piece[: len(at)] == piece[size - 1 :]) & (text[: len(at)] == text[size - 1 :])
             shorter = hash_runs(codes, size - 1)
             often = passes(self.frequent, joined(salt[: len(shorter)], shorter))
             at = np.flatnonzero(whole & often[:-1] & often[1:])
-            if not len(at):
-                return total
-        used = np.unique(at[:, None] + np.arange(size)) if size > 1 else at
-        number = np.zeros(len(starts), np.int64)
-        number[used] = self.numbers(joined(salt[used], codes[used]), langs, lang[used], data.tobytes(), starts[used], ends[used])
-        key = number[at]
-        for step in range(1, size):
-            if step > 1:
-                key = np.unique(key, return_inverse=True)[1]
-            key = (key << 32) | number[at + step]
-        _, where, counts = np.unique(key, return_index=True, return_counts=True)
-        numbers = number[at[where][:, None] + np.arange(size)].astype(">u4")
-        self.trie.add(np.ascontiguousarray(numbers).view(f"V{WIDTH * size}").ravel().tolist(), counts.tolist())
-        return total
-
-    def run(self, subtrees: Iterator[list[tuple[bytes, int]]]) -> Iterator[pa.RecordBatch]:
-        """Subtrees as sorted runs of (lang, phrase, n)."""
-        held: list[tuple[bytes, int]] = []
-        for subtree in subtrees:
-            held += subtree
-            if len(held) > BURST:
-                yield self.sorted_run(held)
-                held = []
-        if held:
-            yield self.sorted_run(held)
-
-    def sorted_run(self, held: list[tuple[bytes, int]]) -> pa.RecordBatch:
-        numbers = np.frombuffer(b"".join([k for k, _ in held]), ">u4").reshape(-1, self.size)
-        column = [b" ".join([self.words[i][1] for i in row]) for row in numbers.tolist()]
-        lang = [self.words[i][0] for i in numbers[:, 0].tolist()]
-        table = pa.table(
-            {"lang": pa.array(lang, pa.string()), "phrase": pa.array(column, pa.binary()), "n": pa.array([n for _, n in held], pa.int64())}
-        ).sort_by([("lang", "ascending"), ("phrase", "ascending")])
-        table = table.set_column(1, "phrase", table["phrase"].cast(pa.string()))
-        return table.combine_chunks().to_batches()[0]
+        raw, steps = data.tobytes(), np.arange(size)
+        for first_at in range(0, len(at), CHUNK):
+            here = at[first_at : first_at + CHUNK]
+            low, high = here[0], here[-1] + size
+            spoken = np.zeros(high - low, bool)
+            for step in range(size):
+                spoken[here - low + step] = True
+            used = low + np.flatnonzero(spoken)
+            number = np.zeros(high - low, np.int64)
+            number[used - low] = self.numbers(joined(salt[used], codes[used]), langs, lang[used], raw, starts[used], ends[used])
+            self.trie.add(np.sort(packed(number[(here - low)[:, None] + steps])))
+            yield from self.overflow()
+
+    def runs(self, subtrees: Iterator[tuple[list[int], list[int]]]) -> Iterator[pa.RecordBatch]:
+        """Subtrees as runs of (lang, phrase, n), sorted by the numbers of their words."""
+        words_of: pa.Array | None = None
+        keys, counts = [], []
+
+        def run() -> pa.RecordBatch:
+            nonlocal words_of, langs
+            if words_of is None:
+                words_of = pa.array([w for _, w in self.number], pa.binary())
+                langs = pa.array([g for g, _ in self.number], pa.string())
+            numbers, n = unpacked(keys, self.size), np.array(counts, np.int64)
+            order = np.lexsort(numbers.T[::-1])
+            columns = [pa.array(numbers[order, i]) for i in range(self.size)]
+            phrase = words_of.take(columns[0])
+            if self.size > 1:
+                phrase = pc.binary_join_element_wise(*[words_of.take(c) for c in columns], b" ")
+            return pa.RecordBatch.from_arrays([langs.take(columns[0]), phrase.cast(pa.string()), pa.array(n[order])], ["lang", "phrase", "n"])
+
+        langs: pa.Array | None = None
+        for more, ns in subtrees:
+            keys += more
+            counts += ns
+            if len(keys) > RUN:
+                yield run()
+                keys, counts = [], []
+        if keys:
+            yield run()
 
     def overflow(self) -> Iterator[pa.RecordBatch]:
-        if len(self.words) > VOCABULARY:
+        if len(self.number) > VOCABULARY:
             yield from self.rest()
         else:
-            yield from self.run(self.trie.spilled())
+            yield from self.runs(self.trie.spilled())
 
     def rest(self) -> Iterator[pa.RecordBatch]:
-        yield from self.run(self.trie.drained())
+        yield from self.runs(self.trie.drained())
         self.number.clear()
-        self.words.clear()
 
 
 def counted(size: int, frequent: np.ndarray | None):
     """A task from (lang, text) to counts of its phrases, and with a null phrase to those of all words (one word only)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        phrases, totals = Phrases(size, frequent), {}
+        phrases = Phrases(size, frequent)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             lang = batch.column("lang").dictionary_encode()
             langs, lang_of_text = lang.dictionary.to_pylist(), np.asarray(lang.indices).astype(np.int64)
             for low, high in slices(offsets, SLICE_BYTES):
                 here = TO_LOWER[data[offsets[low] : offsets[high]]]
-                total = phrases.add(here, offsets[low : high + 1] - offsets[low], langs, lang_of_text[low:high])
-                for name, n in zip(langs, total.tolist(), strict=True):
-                    totals[name] = totals.get(name, 0) + n
-                yield from phrases.overflow()
+                yield from phrases.take(here, offsets[low : high + 1] - offsets[low], langs, lang_of_text[low:high])
         yield from phrases.rest()
+        totals = phrases.totals
         if size == 1 and totals:
             columns = [pa.array(list(totals), pa.string()), pa.nulls(len(totals), pa.string()), pa.array(list(totals.values()), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
@@ -188,9 +197,7 @@ def phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def merged_counts(runs: DataFrame) -> DataFrame:
     """Sums of sorted runs. They meet by language and the first two words, so a prefix of many phrases is split."""
     prefix = F.substring_index("phrase", " ", 2)
-    return (
-        runs.withColumn("prefix", prefix).repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("n").alias("n")).drop("prefix")
-    )
+    return runs.repartition("lang", prefix).groupBy("lang", prefix, "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
 
 
 def frequent_phrases(documents: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST_COUNT) -> list[DataFrame]:
@@ -217,22 +224,27 @@ def part(words_of: Column, first: Column, length: Column) -> Column:
     return F.array_join(F.slice(words_of, first, length), " ")
 
 
-def scored(candidates: DataFrame, parts: DataFrame) -> DataFrame:
+def scored(candidates: DataFrame, parts: DataFrame, least_common: int) -> DataFrame:
     """(lang, phrase, a, l, r, score): the cut of every candidate that scores lowest, the earliest at a tie.
 
-    `candidates` has (lang, phrase, n), `parts` the same of all phrases that can be parts. The score is a whole number
+    `candidates` has (lang, phrase, n), `parts` the same of all phrases that can be parts. Those of `least_common`
+    occurrences must be few enough for a broadcast. The score is a whole number
     from exact products: a * a * 1000000 must stay below 10 ^ 38.
     """
     words_of = F.split("phrase", " ")
     cuts = candidates.select("lang", "phrase", F.col("n").alias("a"), words_of.alias("w"))
     cuts = cuts.withColumn("k", F.explode(F.sequence(F.lit(1), F.size("w") - 1)))
     cuts = cuts.select("lang", "phrase", "a", "k", part(F.col("w"), F.lit(1), F.col("k")).alias("left"), part(F.col("w"), F.col("k") + 1, F.size("w") - F.col("k")).alias("right"))
-    # A common word is the end of many phrases: its count stands in several partitions.
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")
-    copies = parts.select("lang", F.col("phrase").alias("part"), "n", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    cuts = cuts.withColumn("salt", salt)
+    # A common word is the end of many phrases. There are few such words: they are broadcast, and phrases that have found
+    # their part go on under a key of their own, which finds nothing.
+    common = F.broadcast(parts.filter(F.col("n") >= least_common))
     for side, name in (("left", "l"), ("right", "r")):
-        cuts = cuts.join(copies.select("lang", "salt", F.col("part").alias(side), F.col("n").alias(name)), ["lang", "salt", side])
+        here = common.select("lang", F.col("phrase").alias(side), F.col("n").alias("known"))
+        cuts = cuts.join(here, ["lang", side], "left")
+        key = F.when(F.col("known").isNull(), F.col(side)).otherwise(F.concat("phrase", F.lit("\n")))
+        others = parts.select("lang", F.col("phrase").alias("key"), F.col("n").alias("counted"))
+        cuts = cuts.withColumn("key", key).join(others, ["lang", "key"], "left")
+        cuts = cuts.withColumn(name, F.coalesce("known", "counted")).drop("known", "counted", "key")
     exact = [F.col(c).cast("decimal(18,0)") for c in ("a", "l", "r")]
     cuts = cuts.withColumn("up", exact[0] * exact[0] * F.lit(1_000_000).cast("decimal(7,0)")).withColumn("down", exact[1] * exact[2])
     best = F.min(F.struct(F.expr("up div down").alias("score"), "k", "l", "r"))
@@ -263,7 +275,8 @@ def collocations(
     candidates, parts = counts[1], counts[0]
     for longer, shorter in zip(counts[2:], counts[1:], strict=False):
         candidates, parts = candidates.unionByName(longer), parts.unionByName(shorter)
-    kept = scored(candidates, parts).join(outgrown(candidates, percent), ["lang", "phrase"], "left_anti")
+    total = levels[0].filter("phrase is null").agg(F.sum("n")).first()[0] or 0
+    kept = scored(candidates, parts, max(least, total // COMMON)).join(outgrown(candidates, percent), ["lang", "phrase"], "left_anti")
     kept = staged(kept, "collocations")
     best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     # A language is ranked in parts first, so no task meets more than the leaders of each.

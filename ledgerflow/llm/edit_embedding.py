@@ -249,7 +249,7 @@ def fingerprint_digest(documents: DataFrame) -> DataFrame:
     """
     spark = documents.sparkSession
     docs = documents_of(documents).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    wanted = max(shuffle_width(spark), math.ceil(plan_bytes(docs) / RANGE_BYTES))
+    wanted = max(shuffle_width(spark), math.ceil(plan_bytes(docs, "text") / RANGE_BYTES))
     ids = docs.select("doc_id")
     ranges = Ranges(ids.approxQuantile("doc_id", [i / wanted for i in range(1, wanted)], 1 / (4 * wanted)))
 

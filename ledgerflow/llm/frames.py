@@ -13,9 +13,22 @@ from pyspark.sql import functions as F
 from ledgerflow.session import shared_folder
 
 
+# Bytes of one batch on its way to Python and back; workers hold a few at a time.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send texts to Python in batches of `BATCH_BYTES` at most, beside one row."""
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_SETTING))
+    if most > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and read it back: lineage ends there, lost executors cost nothing."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_folder(spark)}/llm/{label}-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -44,6 +57,7 @@ def map_batches(
 
 def documents_of(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, text) alone, whatever else the table has."""
+    small_batches(df.sparkSession)
     return df.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
 
 
@@ -59,9 +73,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Bytes that the optimizer expects `df` to have, from the sizes of its files; nothing is read."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+# The optimizer's size of rows that come from no file.
+UNKNOWN_BYTES = 1 << 54
+
+
+def plan_bytes(df: DataFrame, column: str) -> int:
+    """Bytes that the optimizer expects `df` to have, from the sizes of its files; without files those of a text column."""
+    known = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return known if known < UNKNOWN_BYTES else int(df.agg(F.sum(F.octet_length(column))).first()[0] or 0)
 
 
 def signed(values: np.ndarray) -> pa.Array:

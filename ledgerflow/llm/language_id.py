@@ -13,14 +13,14 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import TO_LOWER, slices, text_bytes
-from ledgerflow.llm.frames import documents_of
+from ledgerflow.llm.frames import documents_of, small_batches
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -105,15 +105,16 @@ class CrossParser:
         tables, roots, base = [], [], 0
         for name in languages:
             moves = suffix_automaton(texts[name])
-            table = np.full((len(moves), width), -1, np.int64)
+            table = np.full((len(moves), width), -1, np.int32)
             for state, targets in enumerate(moves):
                 for byte, target in targets.items():
                     table[state, symbol[byte]] = 2 * (base + target)
+            base_of, base = base, base + len(moves)
+            del moves
             # Where no longer phrase exists, one ends and the next begins with this symbol.
-            restart = np.where(table[0] >= 0, table[0], 2 * base) + 1
-            tables.append(np.where(table >= 0, table, restart).astype(np.int32))
-            roots.append(base)
-            base += len(moves)
+            restart = np.where(table[0] >= 0, table[0], np.int32(2 * base_of)) + np.int32(1)
+            tables.append(np.where(table >= 0, table, restart))
+            roots.append(base_of)
         table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         sizes = np.log(np.array([len(texts[name]) + SAMPLE_LEAST for name in languages], np.float64))
         weights = sizes / sizes.max(initial=0) if languages else sizes
@@ -214,16 +215,14 @@ def samples_of(documents: DataFrame, lang_column: str = "lang") -> dict[str, byt
     return {lang: sample[:share] for lang, sample in samples.items()}
 
 
-_parsers: dict[int, CrossParser] = {}
+def shared_parser(documents: DataFrame, samples: Mapping[str, bytes] | None) -> Broadcast[CrossParser]:
+    """The parser, built once on the driver and sent as one table.
 
-
-def parser_of(samples: Mapping[str, bytes]) -> CrossParser:
-    """The parser of these samples, built once per Python worker."""
-    key = hash(tuple(sorted(samples.items())))
-    if key not in _parsers:
-        _parsers.clear()
-        _parsers[key] = CrossParser.of(samples)
-    return _parsers[key]
+    A sample of n bytes makes 2 * n states at most, so the table has up to 2 * `SAMPLE_TOTAL` * (different bytes + 1)
+    entries of four bytes, whatever the input.
+    """
+    samples = samples_of(documents) if samples is None else samples
+    return documents.sparkSession.sparkContext.broadcast(CrossParser.of(samples))
 
 
 def language_digest(documents: DataFrame, samples: Mapping[str, bytes] | None = None) -> DataFrame:
@@ -233,12 +232,11 @@ def language_digest(documents: DataFrame, samples: Mapping[str, bytes] | None =
     to the language first in name order. A null doc_id counts as not held out, and is never learned from. Other columns
     are not looked at.
     """
-    samples = samples_of(documents) if samples is None else samples
-    shared = documents.sparkSession.sparkContext.broadcast(samples)
+    shared = shared_parser(documents, samples)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = parser_of(shared.value).decide(batch.column("text"))
+            names, scores = shared.value.decide(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"],
@@ -250,11 +248,12 @@ def language_digest(documents: DataFrame, samples: Mapping[str, bytes] | None =
 
 def recognised(documents: DataFrame) -> DataFrame:
     """The documents in a language: rows whose prediction is `und` go, the others stay with all their columns."""
-    shared = documents.sparkSession.sparkContext.broadcast(samples_of(documents))
+    small_batches(documents.sparkSession)
+    shared = shared_parser(documents, None)
 
-    @F.pandas_udf("string")
-    def language(texts: pd.Series) -> pd.Series:
-        return pd.Series(parser_of(shared.value).decide(pa.array(texts, pa.string(), from_pandas=True))[0], dtype=object)
+    @F.arrow_udf("string")
+    def language(texts: pa.Array) -> pa.Array:
+        return pa.array(shared.value.decide(texts)[0], pa.string())
 
     return documents.filter(language("text") != UNKNOWN)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.arrays import mixed
+from ledgerflow.llm.arrays import mixed, slices, text_bytes
 from ledgerflow.llm.frames import documents_of, shuffle_width, staged
 
 LENGTH = 2048
@@ -30,10 +30,12 @@ TIE_BITS = 63 - DIMENSIONS * CURVE_BITS
 HASHED = 64
 # Tokens a range of the curve should hold.
 RANGE_TOKENS = 4_000_000
-# Words whose ids a worker remembers, twice over, and words it looks up at a time.
-REMEMBERED = 300_000
+# Words whose ids a task remembers, twice over (about 25 MB each), and words it looks up at a time.
+REMEMBERED = 60_000
 LONGEST_REMEMBERED = 64
 TOGETHER = 500
+# Bytes of text that are encoded at once.
+SLICE_BYTES = 1 << 19
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -75,6 +77,10 @@ class WordTokenizer:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Give the memory of all words back."""
+        self.known, self.older = {}, {}
+
     def words(self, text: str | None) -> list[str]:
         if not text:
             return []
@@ -189,8 +195,8 @@ def tokenized(docs: DataFrame, path: str, stored: str) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_at(path)
         for whole in batches:
-            for first in range(0, whole.num_rows, 512):
-                batch = whole.slice(first, 512)
+            for first, last in slices(text_bytes(whole.column("text"))[1], SLICE_BYTES):
+                batch = whole.slice(first, last - first)
                 encoded = tokenizer.encode(batch.column("text").to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(e) // 4 for e in encoded])])
                 points = coordinates(np.frombuffer(b"".join(encoded), "<u4").astype(np.int64), offsets)
@@ -205,6 +211,8 @@ def tokenized(docs: DataFrame, path: str, stored: str) -> DataFrame:
                     ],
                     ["doc_id", "ids", "n", "tie", *[f"x{d}" for d in range(DIMENSIONS)]],
                 )
+        # Workers outlive their tasks.
+        tokenizer.forget()
 
     return docs.mapInArrow(task, f"doc_id bigint, ids binary, n bigint, tie bigint, {fields}")
 
