@@ -45,6 +45,11 @@ def as_bytes() -> Column:
     return F.coalesce(F.when(digits, F.unhex("record_hash")), F.encode("record_hash", "UTF-8"))
 
 
+def distinct_hashes(stored: DataFrame) -> DataFrame:
+    """(hash) of stored rows: of an index that has them as bytes, or from `record_hash`."""
+    return (stored.select("hash") if "hash" in stored.columns else stored.select(as_bytes().alias("hash"))).distinct()
+
+
 def drop_stored(batch: DataFrame, stored_hashes: DataFrame) -> DataFrame:
     """Rows of `batch` whose hash is not stored yet; repeats inside the batch stay.
 
@@ -54,7 +59,7 @@ def drop_stored(batch: DataFrame, stored_hashes: DataFrame) -> DataFrame:
     if "record_hash" not in batch.columns:
         raise ValueError("rows need a record_hash before they can be compared with stored ones")
     own = batch.select(as_bytes().alias("hash")).distinct()
-    known = stage(own.join(stored_hashes.select(as_bytes().alias("hash")).distinct(), "hash", "left_semi"), "known-hashes")
+    known = stage(own.join(distinct_hashes(stored_hashes), "hash", "left_semi"), "known-hashes")
     return batch.join(broadcast_if_small(known), as_bytes() == F.col("hash"), "left_anti")
 
 
@@ -74,7 +79,7 @@ def new_rows(rows: DataFrame, stored_hashes: DataFrame | None = None, strict_uni
     if stored_hashes is None:
         owners = owners.withColumn("known", F.lit(None).cast("boolean"))
     else:
-        owners = owners.join(stored_hashes.select(key).distinct().withColumn("known", F.lit(True)), "hash", "left")
+        owners = owners.join(distinct_hashes(stored_hashes).withColumn("known", F.lit(True)), "hash", "left")
     verdicts = stage(owners, "hash-verdicts")
     lost = F.col("known").isNotNull()
     shared = F.col("owner") != F.col("last")

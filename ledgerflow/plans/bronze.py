@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.hashing import record_hash
@@ -29,8 +29,10 @@ from ledgerflow.plans.audit import (
     run_status,
     track_stage,
 )
-from ledgerflow.session import apply_job_settings, sized_shuffles, stage, staging_of_run
+from ledgerflow.session import apply_job_settings, path_exists, sized_shuffles, stage, staging_of_run
 from ledgerflow.sources.deliveries import HEADER_ID, Deliveries, Landing, read_landing
+from ledgerflow.sources.indexes import index_rows, stored_hashes
+from ledgerflow.sources.ledger import state_path
 from ledgerflow.sources.tables import append_flat, append_partitioned, read_hashes, read_table
 
 COUNT_COLUMNS = ["rows_read", "rows_written", "rows_skipped", "rows_quarantined", "rows_undated", "rows_out_of_range"]
@@ -114,19 +116,17 @@ def typed_batch(
     )
 
 
-def written_rows(
+def added_rows(
     spark: SparkSession, bronze_path: str, run_id: str, ingest_ts: datetime, dates: Sequence[str]
 ) -> DataFrame:
-    """Rows per delivery that this run added, counted in the stored table itself."""
+    """Source, hash, id and date of the rows this run added, read from the stored table itself."""
     table = read_table(
-        spark, bronze_path, "ingest_run_id string, ingest_ts timestamp, source_file string, event_date string"
-    )
-    return (
-        table.filter(F.col("event_date").isin(list(dates)))
-        .filter((F.col("ingest_run_id") == run_id) & (F.col("ingest_ts") == F.lit(ingest_ts)))
-        .groupBy("source_file")
-        .agg(F.count(F.lit(1)).alias("rows_written"))
+        spark,
+        bronze_path,
+        "ingest_run_id string, ingest_ts timestamp, source_file string, record_hash string, transaction_id string, event_date string",
     )
+    own = (F.col("ingest_run_id") == run_id) & (F.col("ingest_ts") == F.lit(ingest_ts))
+    return table.filter(F.col("event_date").isin(list(dates))).filter(own)
 
 
 def delivery_counts(deliveries: DataFrame, fates: DataFrame, written: DataFrame) -> DataFrame:
@@ -227,11 +227,18 @@ def ingest_payments(
                 r[0] for r in shape.filter(F.col("fate") == ACCEPTED).select("event_date").distinct().collect()
             ]
             candidates = batch.filter(F.col(FATE) == ACCEPTED).drop(FATE, REJECTED_TEXT)
-            stored = read_hashes(spark, bronze_path, batch_dates)
-            append_partitioned(new_rows(candidates, stored, strict_unique), bronze_path)
+            stored = stored_hashes(spark, bronze_path, batch_dates)
+            # A folder that others filled has no ledger; its hashes and ids are read from itself.
+            indexed = not path_exists(spark, bronze_path) or path_exists(spark, state_path(bronze_path, "files"))
+            appended = Observation("appended")
+            append_partitioned(new_rows(candidates, stored, strict_unique), bronze_path, written=appended)
             if quarantine_path:
                 append_quarantine(batch, quarantine_path)
-            written = written_rows(spark, bronze_path, run_id, ingest_ts, batch_dates)
+            if appended.get["rows"]:
+                added = added_rows(spark, bronze_path, run_id, ingest_ts, batch_dates)
+                if indexed:
+                    index_rows(spark, bronze_path, added, run_id)
+                written = added.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_written"))
         counts = stage(delivery_counts(outcomes, fates, written), "delivery-counts", keep=True)
         status = run_status(counts)
         report.record(delivery_measures(counts))

@@ -21,8 +21,11 @@ from ledgerflow.plans.reports import (
     daily_totals,
     merchant_performance,
 )
+from ledgerflow.plans.state import Refreshed, current_state, publication, refresh_current
 from ledgerflow.session import apply_job_settings, path_exists, sized_shuffles, stage, staging_of_run
+from ledgerflow.sources.indexes import days_of, transaction_days
 from ledgerflow.sources.tables import damaged_files, overwrite_partitions, read_bronze, read_merchant_lookup
+from ledgerflow.sources.versions import Publication, holds_any
 
 
 @dataclass
@@ -33,15 +36,16 @@ class GoldResult:
     status: str = SUCCESS
     tables: dict[str, dict] = field(default_factory=dict)
     damaged: DataFrame | None = None
+    refreshed: Refreshed | None = None
 
 
-def backfill_payments(audit: DataFrame, dates: DateRange) -> DataFrame:
+def backfill_payments(audit: DataFrame, dates: DateRange, index: DataFrame | None = None) -> DataFrame:
     """Newest versions of the payments that belong to `dates`.
 
     A newer version may lie in another partition, so every version of the
-    transactions seen in the range takes part. A scan of ids and dates alone
-    finds the days that hold any of them, and only those partitions are read for
-    the versions. The ids are staged, so that AQE can split an id with very many
+    transactions seen in the range takes part. The index of transactions tells
+    the days that hold any of them (without it, a scan of ids and dates), and
+    only those partitions are read for the versions. The ids are staged, so that AQE can split an id with very many
     versions; those of a small backfill are broadcast.
     """
     touched = stage(
@@ -49,8 +53,11 @@ def backfill_payments(audit: DataFrame, dates: DateRange) -> DataFrame:
     )
     ids = broadcast_if_small(touched)
     same_id = F.col("transaction_id").eqNullSafe(F.col("_id"))
-    days = audit.select("transaction_id", "event_date").join(ids, same_id, "left_semi").select("event_date").distinct()
-    held = [row[0] for row in days.collect()]
+    if index is None:
+        days = audit.select("transaction_id", "event_date").join(ids, same_id, "left_semi").select("event_date").distinct()
+        held = [row[0] for row in days.collect()]
+    else:
+        held = days_of(index, ids.select(F.xxhash64("_id").alias("id_hash")))
     versions = audit.filter(F.col("event_date").isin(held)).join(ids, same_id, "left_semi")
     return current_payments(versions).filter(dates.holds(F.col("event_date")))
 
@@ -144,7 +151,11 @@ def build_reports(
             report.failed = True
             result.status = FAILED
             return result
-        current = current_payments(audit) if dates is None else backfill_payments(audit, lookback)
+        current = (
+            current_payments(audit)
+            if dates is None
+            else backfill_payments(audit, lookback, transaction_days(spark, bronze_path))
+        )
         # Both reports read the totals, and so does the calendar of snapshots.
         totals = stage(daily_totals(current, rules.payment_method), "daily-totals")
 
@@ -169,3 +180,69 @@ def build_reports(
             result, report, f"merchant_performance_{rules.window_days}d", rows_read,
         )
     return result
+
+
+def update_reports(
+    spark: SparkSession,
+    bronze_path: str,
+    merchants_path: str,
+    reports: Publication,
+    *,
+    rules: ReportRules = ReportRules(),
+    run_id: str | None = None,
+    report_path: str | None = None,
+) -> GoldResult:
+    """Bring both published reports up to the audit table by rewriting only what new payments can change.
+
+    The stored current payments are refreshed first; the days they changed decide which daily partitions and
+    which snapshots are built again, from the totals of those days and their look-back. Both tables of
+    `reports` (`daily_payment_summary` and the performance table) become visible together.
+
+    A change of the merchant lookup or of the rules concerns all days: publish a first build under a new pointer.
+    """
+    apply_job_settings(spark)
+    result = GoldResult(run_id or new_run_id())
+    names = ("daily_payment_summary", f"merchant_performance_{rules.window_days}d")
+    stored = {"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}
+    with (
+        staging_of_run(spark),
+        track_stage(spark, result.run_id, "gold", report_path) as report,
+        sized_shuffles(spark, bronze_path, stored),
+    ):
+        known, built = reports.state(spark), f"payment_versions_{rules.window_days}d"
+        refreshed = refresh_current(spark, bronze_path, result.run_id)
+        # Days that an earlier run refreshed without publishing its reports are due as well.
+        versions = publication(bronze_path).state(spark).get("current", {})
+        done = known.get(built, {})
+        due = sorted(day for day in {*versions, *done} if versions.get(day) != done.get(day))
+        if not versions and not known:
+            report.failed = True
+            result.status = FAILED
+            return result
+        affected = _widened(due, 0, rules.window_days - 1)
+        lookback = _widened(affected, rules.window_days - 1, 0)
+        current = current_state(spark, bronze_path).filter(holds_any("event_date", lookback))
+        current = current.withColumn("event_date", F.col("event_date").cast("date"))
+        totals = stage(daily_totals(current, rules.payment_method), "daily-totals")
+        rows_read = int(totals.agg(F.sum("payments")).first()[0] or 0)
+        merchants = stage(read_merchant_lookup(spark, merchants_path), "merchant-lookup")
+        check_unique(merchants, "merchant_id", "merchant lookup")
+        daily = daily_payment_summary(totals, merchants, rules).filter(holds_any("event_date", due))
+        performance = merchant_performance(totals, merchants, rules).filter(holds_any("snapshot_date", affected))
+        changes: dict[str, dict[str, str | None]] = {built: {day: versions.get(day) for day in due}}
+        for name, df, partition, days in zip(
+            names, (daily, performance), ("event_date", "snapshot_date"), (due, affected), strict=True
+        ):
+            written = Observation(name)
+            changes[name] = dict.fromkeys(days) | reports.write(df, name, result.run_id, partition, written)
+            rows = written.get["rows"]
+            result.tables[name] = {"rows_read": rows_read, "rows_written": rows}
+            report.record_table(spark, name, rows_read, rows)
+        reports.publish(spark, changes)
+        result.refreshed = refreshed
+    return result
+
+
+def _widened(days: Sequence[str], before: int, after: int) -> list[str]:
+    """These days and so many before and after each."""
+    return sorted({d for day in days for d in DateRange(day, day).widened(before, after).days()})

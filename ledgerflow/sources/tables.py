@@ -121,9 +121,15 @@ def by_partition(df: DataFrame, partition: str) -> DataFrame:
     return df.hint("rebalance", partition)
 
 
-def append_partitioned(df: DataFrame, path: str, partition: str = "event_date") -> None:
-    """Add files below the partitions of `df`; the caller filters NULL dates."""
-    by_partition(df, partition).write.mode("append").partitionBy(partition).parquet(path)
+def counted(df: DataFrame, written: Observation | None) -> DataFrame:
+    return df if written is None else df.observe(written, F.count(F.lit(1)).alias("rows"))
+
+
+def append_partitioned(
+    df: DataFrame, path: str, partition: str = "event_date", written: Observation | None = None
+) -> None:
+    """Add files below the partitions of `df`; the caller filters NULL dates. `written` counts the rows."""
+    counted(by_partition(df, partition), written).write.mode("append").partitionBy(partition).parquet(path)
 
 
 def append_flat(df: DataFrame, path: str) -> None:
@@ -137,11 +143,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str, written: Obse
 
     The option matters: in Spark's default mode the whole table would be replaced.
     """
-    grouped = by_partition(df, partition)
-    if written is not None:
-        grouped = grouped.observe(written, F.count(F.lit(1)).alias("rows"))
     (
-        grouped.write.mode("overwrite")
+        counted(by_partition(df, partition), written)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
