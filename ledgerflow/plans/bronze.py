@@ -14,6 +14,7 @@ from ledgerflow.layout import MERCHANT_COLUMNS, PAYMENT_COLUMNS
 from ledgerflow.operators.contracts import check_columns
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.operators.dedup import drop_stored, new_rows
+from ledgerflow.operators.joins import broadcast_if_small
 from ledgerflow.operators.enrich import new_run_id, run_clock
 from ledgerflow.operators.quality import ACCEPTED, BAD_AMOUNT, BAD_TIMESTAMP, OUT_OF_RANGE, row_fate
 from ledgerflow.operators.typing import type_merchants, type_payments
@@ -30,7 +31,7 @@ from ledgerflow.plans.audit import (
     track_stage,
 )
 from ledgerflow.session import apply_job_settings, path_exists, sized_shuffles, stage, staging_of_run
-from ledgerflow.sources.deliveries import HEADER_ID, Deliveries, Landing, read_landing
+from ledgerflow.sources.deliveries import HEADER_ID, TOO_LONG, Deliveries, Landing, read_landing
 from ledgerflow.sources.indexes import index_rows, stored_hashes
 from ledgerflow.sources.ledger import state_path
 from ledgerflow.sources.tables import append_flat, append_partitioned, read_hashes, read_table
@@ -50,25 +51,28 @@ class IngestResult:
 # Helpers of a typed batch; deliveries may not use these names (see RESERVED).
 FATE = "_ledgerflow_fate"
 REJECTED_TEXT = "_ledgerflow_text"
+# What became of the rows of a batch.
+SHAPE_DDL = "source_file string, event_date string, fate string, overflow boolean, rows bigint"
 # Columns the quarantine table adds to the payload.
 QUARANTINE_COLUMNS = ("reason", "rejected_text")
 
 
-def checked_files(landed: Deliveries, required: Sequence[str]) -> DataFrame:
+def checked_files(landed: Deliveries, required: Sequence[str], files: DataFrame | None = None) -> DataFrame:
     """The files of a run with `missing` and `extra`: the columns their headers lack or add, comma-separated."""
+    files = landed.files if files is None else files
     spark = landed.files.sparkSession
     checks = [check_columns(h, required) for h in landed.headers]
     table = spark.createDataFrame(
         [(i, ",".join(c.missing), ",".join(c.unexpected)) for i, c in enumerate(checks)],
         "header int, missing string, extra string",
     )
-    return landed.files.join(F.broadcast(table), "header", "left")
+    return files.join(F.broadcast(table), "header", "left")
 
 
 def gate_report(landed: Deliveries, required: Sequence[str]) -> DataFrame:
     """(source_file, passed, missing_columns, extra_columns, rows) of every delivery with a header."""
     return (
-        checked_files(landed, required)
+        checked_files(landed, required, landed.shapes())
         .filter("header IS NOT NULL")
         .groupBy("source_file", F.col("missing").alias("missing_columns"), F.col("extra").alias("extra_columns"))
         .agg(F.sum("rows").alias("rows"))
@@ -84,15 +88,17 @@ def typed_batch(
     dates: DateRange | None = None,
     exclude: Iterable[str] = (),
 ) -> DataFrame:
-    """Rows of these files with types, lineage, fate, and the text that failed to parse.
+    """Rows of these files with types, lineage, fate, TOO_LONG, and the text that failed to parse.
 
     The hash is taken over the columns of a file's own header: a column that
     only a later delivery brings must not change the hash of earlier rows.
     `exclude` names further columns the hash does not cover.
     """
-    headers = [r[0] for r in files.select("header").distinct().orderBy("header").collect()]
+    headers = [r[0] for r in files.filter("header IS NOT NULL").select("header").distinct().orderBy("header").collect()]
     raw = landed.rows(files, headers)
     payload = landed.columns(headers)
+    # Deliveries without these columns are left out later, but their rows are counted here.
+    raw = raw.withColumns({c: F.lit(None).cast("string") for c in PAYMENT_COLUMNS if c not in payload})
     typed = type_payments(raw.withColumns({"_amount_text": F.col("amount"), "_time_text": F.col("transaction_ts")}))
     hashed = F.lit(None).cast("string")
     for h in headers:
@@ -151,22 +157,24 @@ def delivery_counts(deliveries: DataFrame, fates: DataFrame, written: DataFrame)
     )
 
 
-def delivery_outcomes(files: DataFrame) -> DataFrame:
-    """(source_file, outcome, missing_columns, rows_read) of every listed delivery, from its checked files."""
+def delivery_outcomes(files: DataFrame, shapes: DataFrame) -> DataFrame:
+    """(source_file, outcome, missing_columns, rows_read) of every listed delivery.
+
+    `files` are checked files, `shapes` counts (source_file, overflow, rows) of their rows.
+    """
     outcome = (
         F.when(F.col("missing_columns") != "", F.lit(MISSING_COLUMNS))
         .when(F.col("overflow"), F.lit(OVERFLOWING))
         .when(F.col("filled") > 0, F.lit(INGESTED))
         .otherwise(F.lit(EMPTY))
     )
+    read = shapes.groupBy("source_file").agg(F.max("overflow").alias("overflow"), F.sum("rows").alias("rows_read"))
     return (
         files.groupBy("source_file")
-        .agg(
-            F.coalesce(F.max("missing"), F.lit("")).alias("missing_columns"),
-            F.max("overflow").alias("overflow"),
-            F.count("header").alias("filled"),
-            F.sum("rows").alias("rows_read"),
-        )
+        .agg(F.coalesce(F.max("missing"), F.lit("")).alias("missing_columns"), F.count("header").alias("filled"))
+        .join(read, "source_file", "left")
+        .fillna(0, ["rows_read"])
+        .fillna(False, ["overflow"])
         .select("source_file", outcome.alias("outcome"), "missing_columns", "rows_read")
     )
 
@@ -191,8 +199,9 @@ def ingest_payments(
     """Append the new payments of all deliveries in `landing` to the audit table.
 
     All deliveries form one distributed batch whose result equals loading them
-    one by one in name order. The landing folder is listed and parsed once; the
-    typed batch is staged, since ownership, append and counts all read it.
+    one by one in name order. The landing folder is listed once and its rows are
+    parsed once; the typed batch is staged, since ownership, append and counts
+    all read it.
     Everything staged is deleted when the run ends.
 
     `dates` limits the run to a backfill range; rows are still only appended.
@@ -209,22 +218,32 @@ def ingest_payments(
         sized_shuffles(spark, landing.folder, landing.options()),
     ):
         landed = read_landing(spark, landing, columns)
-        files = checked_files(landed, required)
-        outcomes = stage(delivery_outcomes(files), "outcomes")
-        good = files.join(outcomes.filter(F.col("outcome") == INGESTED).select("source_file"), "source_file", "left_semi")
-        good = good.filter("header IS NOT NULL").drop("missing", "extra")
-        fates = spark.createDataFrame([], "source_file string, fate string, rows bigint")
-        written = spark.createDataFrame([], "source_file string, rows_written bigint")
-        if not good.isEmpty():
-            batch = stage(typed_batch(landed, good, run_id, ingest_ts, dates, hash_exclude), "payments-batch")
+        files = stage(checked_files(landed, required), "checked-files")
+        shape = spark.createDataFrame([], SHAPE_DDL)
+        batch = None
+        if landed.headers:
+            batch = stage(typed_batch(landed, files, run_id, ingest_ts, dates, hash_exclude), "payments-batch")
             # One pass answers which dates the batch has and what became of its rows.
             shape = stage(
-                batch.groupBy("source_file", "event_date", F.col(FATE).alias("fate")).agg(F.count(F.lit(1)).alias("rows")),
+                batch.groupBy("source_file", "event_date", F.col(FATE).alias("fate"), F.col(TOO_LONG).alias("overflow")).agg(
+                    F.count(F.lit(1)).alias("rows")
+                ),
                 "batch-shape",
             )
-            fates = shape.select("source_file", "fate", "rows")
+        outcomes = stage(delivery_outcomes(files, shape), "outcomes")
+        taken = outcomes.filter(F.col("outcome") == INGESTED).select("source_file")
+        fates = shape.join(taken, "source_file", "left_semi").select("source_file", "fate", "rows", "event_date")
+        written = spark.createDataFrame([], "source_file string, rows_written bigint")
+        good = [r[0] for r in files.join(taken, "source_file", "left_semi").select("header").distinct().collect()]
+        good = sorted(h for h in good if h is not None)
+        if batch is not None and good:
+            left_out = outcomes.filter((F.col("outcome") != INGESTED) & (F.col("rows_read") > 0)).select("source_file")
+            if not left_out.isEmpty():
+                batch = batch.join(broadcast_if_small(left_out), "source_file", "left_anti")
+            # Columns that only deliveries without a place in the table have.
+            batch = batch.drop(TOO_LONG, *sorted(set(landed.columns()) - set(landed.columns(good)) - set(PAYMENT_COLUMNS)))
             batch_dates = [
-                r[0] for r in shape.filter(F.col("fate") == ACCEPTED).select("event_date").distinct().collect()
+                r[0] for r in fates.filter(F.col("fate") == ACCEPTED).select("event_date").distinct().collect()
             ]
             candidates = batch.filter(F.col(FATE) == ACCEPTED).drop(FATE, REJECTED_TEXT)
             stored = stored_hashes(spark, bronze_path, batch_dates)
@@ -239,7 +258,7 @@ def ingest_payments(
                 if indexed:
                     index_rows(spark, bronze_path, added, run_id)
                 written = added.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_written"))
-        counts = stage(delivery_counts(outcomes, fates, written), "delivery-counts", keep=True)
+        counts = stage(delivery_counts(outcomes, fates.drop("event_date"), written), "delivery-counts", keep=True)
         status = run_status(counts)
         report.record(delivery_measures(counts))
         if manifest_path:
@@ -284,8 +303,15 @@ def ingest_merchants(
     landing = Landing(csv_path, pattern="*")
     with staging_of_run(spark), track_stage(spark, run_id, "bronze_merchants", report_path) as report:
         landed = read_landing(spark, landing)
-        files = checked_files(landed, required)
-        outcomes = stage(delivery_outcomes(files), "outcomes")
+        files = stage(checked_files(landed, required), "checked-files")
+        complete = files.filter("missing <> ''").isEmpty()
+        # A version table takes every listed row; a row beyond its header does not disqualify the file.
+        if landed.headers and complete:
+            batch = stage(merchant_batch(landed, run_id, ingest_ts, hash_exclude), "merchant-batch")
+            shape = batch.groupBy("source_file").agg(F.lit(False).alias("overflow"), F.count(F.lit(1)).alias("rows"))
+        else:
+            shape = landed.shapes().select("source_file", "overflow", "rows")
+        outcomes = stage(delivery_outcomes(files, shape), "outcomes")
         refused = outcomes.filter(F.col("outcome") == MISSING_COLUMNS)
         if not landed.headers:
             report.failed = True
@@ -305,14 +331,9 @@ def ingest_merchants(
                 )
             )
             return IngestResult(run_id, FAILED)
-        batch = stage(merchant_batch(landed, run_id, ingest_ts, hash_exclude), "merchant-batch")
         fresh = stage(drop_stored(batch, read_hashes(spark, bronze_path)), "merchant-new")
         append_flat(fresh, bronze_path)
         written = fresh.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_written"))
-        # A version table takes every listed row; a row beyond its header does not disqualify the file.
-        outcomes = outcomes.withColumn(
-            "outcome", F.when(F.col("outcome") == OVERFLOWING, F.lit(INGESTED)).otherwise(F.col("outcome"))
-        )
         fates = spark.createDataFrame([], "source_file string, fate string, rows bigint")
         counts = stage(delivery_counts(outcomes, fates, written), "delivery-counts", keep=True)
         report.record(delivery_measures(counts))
@@ -330,4 +351,4 @@ def merchant_batch(landed: Deliveries, run_id: str, ingest_ts: datetime, exclude
         hashed = F.when(F.col(HEADER_ID) == h, record_hash(typed, set(header) & payload - set(exclude))).otherwise(hashed)
     return typed.withColumns(
         {"record_hash": hashed, "ingest_ts": F.lit(ingest_ts), "ingest_run_id": F.lit(run_id)}
-    ).drop(HEADER_ID)
+    ).drop(HEADER_ID, TOO_LONG)

@@ -4,18 +4,22 @@ A delivery is one CSV file or, with `unit="folder"`, one folder of part files,
 which is how a distributed producer drops a delivery too big for one file. Its
 name is its path below the landing folder.
 
-Every file is parsed once, by position and as text, into a staged table. The
-header line is then the first row of its file, so headers, counts and rows all
-come from that table and from the listing taken before: a file that arrives
-during a run waits for the next one.
+The first line of every file is read on its own, without the rest of a large
+file; the distinct headers then say how wide the one parse of the rows must be.
+That parse is never stored: a job stages what it makes of the rows. Files are
+taken from a listing made before, so a file that arrives during a run waits for
+the next one.
 """
 
 from __future__ import annotations
 
+import csv
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +28,18 @@ from ledgerflow.layout import METADATA_COLUMNS
 from ledgerflow.operators.joins import broadcast_if_small
 from ledgerflow.session import path_exists, qualified_path, stage
 
-# Fields a scan has room for; doubled until every header and one field more fit.
-FIELDS = 32
+# Fields that a parse has room for beyond the longest header, to see rows that are too long.
+SURPLUS = 8
 # Helper columns next to the payload; no delivery may use these names.
 HEADER_ID = "_ledgerflow_header"
-RESERVED = (HEADER_ID, "_ledgerflow_fate", "_ledgerflow_text")
+TOO_LONG = "_ledgerflow_long"
+RESERVED = (HEADER_ID, TOO_LONG, "_ledgerflow_fate", "_ledgerflow_text")
+# Lines of a file that reach Python at once while headers are read, and how many batches of a file are read to its end
+# so that the worker can go on with the next file.
+HEAD_LINES = 512
+HEAD_BATCHES = 64
+# A split that no file exceeds, so that every file is one task while headers are read.
+WHOLE_FILE = 1 << 40
 
 
 @dataclass(frozen=True)
@@ -103,27 +114,85 @@ def parse_header(fields: Sequence[str | None]) -> list[str]:
     return result
 
 
+def header_fields(lines: Iterator[str]) -> list[str] | None:
+    """Fields of the first line that is not blank, quoted line breaks included; trailing empty ones do not count."""
+    for line in lines:
+        if not line.strip():
+            continue
+        while line.count('"') % 2 and (more := next(lines, None)) is not None:
+            line += "\n" + more
+        fields = next(csv.reader([line.replace("\r", "")] if "\n" not in line else line.splitlines(True)))
+        while fields and not fields[-1]:
+            fields.pop()
+        return fields
+    return None
+
+
+def first_lines(multi_line: bool):
+    """A task over the lines (path, value) of one file that yields its header; it reads on only in a short file."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path: list[str] = []
+
+        def lines() -> Iterator[str]:
+            for batch in batches:
+                if batch.num_rows:
+                    path[:] = [batch.column("path")[0].as_py()]
+                yield from batch.column("value").to_pylist()
+
+        every = lines()
+        if multi_line:
+            found = header_fields(every)
+        else:
+            found = next((header_fields(iter([line])) for line in every if line.strip()), None)
+        if found is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(path), pa.array([json.dumps(found)])], ["path", "text"])
+        for _ in zip(range(HEAD_BATCHES), batches):
+            pass
+
+    return task
+
+
+@contextmanager
+def one_task_per_file(spark: SparkSession) -> Iterator[None]:
+    """Scans planned within the block do not split files, put each in a task of its own, and hand on few lines at once."""
+    settings = {
+        "spark.sql.files.maxPartitionBytes": WHOLE_FILE,
+        "spark.sql.files.openCostInBytes": WHOLE_FILE,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": HEAD_LINES,
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def file_headers(spark: SparkSession, landing: Landing) -> DataFrame:
+    """(path, text) of every file with a line: its header as a JSON array, staged."""
+    lines = spark.read.options(**landing.options()).text(landing.folder)
+    lines = lines.select(plain(F.col("_metadata.file_path")).alias("path"), "value")
+    with one_task_per_file(spark):
+        return stage(lines.mapInArrow(first_lines(landing.multi_line), "path string, text string"), "headers")
+
+
 def parsed(spark: SparkSession, landing: Landing, fields: int) -> DataFrame:
-    """Every line by position: path, place (line order within the first block of a file), used, c0, c1, ..."""
+    """Every line but the headers, by position: path, used (the last field that is there), c0, c1, ..."""
     columns = [f"c{i}" for i in range(fields)]
     rows = (
         spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
         .options(**landing.options())
-        .option("header", False)
+        .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", landing.multi_line)
         .csv(landing.folder)
     )
-    used = F.greatest(*[F.when(F.col(c).isNotNull(), F.lit(i + 1)).otherwise(F.lit(0)) for i, c in enumerate(columns)])
-    number = F.monotonically_increasing_id()
-    return rows.select(
-        plain(F.col("_metadata.file_path")).alias("path"),
-        number.alias("number"),
-        F.when(F.col("_metadata.file_block_start") == 0, number).alias("place"),
-        used.alias("used"),
-        *columns,
-    )
+    used = F.greatest(F.lit(0), *[F.when(F.col(c).isNotNull(), F.lit(i + 1)).otherwise(F.lit(0)) for i, c in enumerate(columns)])
+    return rows.select(plain(F.col("_metadata.file_path")).alias("path"), used.alias("used"), *columns)
 
 
 @dataclass(frozen=True)
@@ -132,30 +201,40 @@ class Deliveries:
 
     `headers` are the distinct headers (one entry per layout, not per file).
     `files` has one row per listed file: path, source_file, header (its number,
-    NULL without a header line), first (the number of that line), rows (data
-    rows), overflow. `lines` is the staged parse.
+    NULL without a header line).
     """
 
+    landing: Landing
     headers: list[list[str]]
     files: DataFrame
-    lines: DataFrame
 
     def columns(self, headers: Sequence[int] | None = None) -> list[str]:
         """Payload columns of these headers, in order of appearance."""
         chosen = range(len(self.headers)) if headers is None else headers
         return [c for c in dict.fromkeys(n for h in chosen for n in self.headers[h]) if c not in METADATA_COLUMNS]
 
-    def rows(self, files: DataFrame | None = None, headers: Sequence[int] | None = None) -> DataFrame:
-        """Data rows of these files (by default all) as text, matched by column name, with `source_file` and HEADER_ID.
+    def lines(self, files: DataFrame | None = None) -> DataFrame:
+        """The data lines of these files (by default all) by position, with `source_file`, HEADER_ID and TOO_LONG.
 
-        Blanks and missing fields are "", a column that a file lacks is NULL.
+        A line is cut `SURPLUS` fields after the longest header.
         """
         files = self.files if files is None else files
+        spark = files.sparkSession
+        known = files.filter("header IS NOT NULL").select("path", "source_file", F.col("header").alias(HEADER_ID))
+        width = max(map(len, self.headers), default=0) + SURPLUS
+        if not self.headers:
+            empty = spark.createDataFrame([], f"path string, used int, {', '.join(f'c{i} string' for i in range(width))}")
+            return empty.join(known, "path").withColumn(TOO_LONG, F.lit(False))
+        length = F.element_at(F.array(*[F.lit(len(h)) for h in self.headers]), F.col(HEADER_ID) + 1)
+        found = parsed(spark, self.landing, width).join(broadcast_if_small(known), "path")
+        return found.withColumn(TOO_LONG, F.col("used") > length)
+
+    def rows(self, files: DataFrame | None = None, headers: Sequence[int] | None = None) -> DataFrame:
+        """Data rows of these files (by default all) as text, matched by column name, with `source_file`, HEADER_ID, TOO_LONG.
+
+        Blanks and missing fields are "", a column that a file lacks is NULL. `headers` are those of the files.
+        """
         chosen = list(range(len(self.headers))) if headers is None else list(headers)
-        known = files.filter(F.col("header").isin(chosen)).select(
-            "path", "source_file", F.col("header").alias(HEADER_ID), "first"
-        )
-        lines = self.lines.join(broadcast_if_small(known), "path").filter("number <> first")
 
         def text(name: str) -> Column:
             value = F.lit(None).cast("string")
@@ -165,38 +244,23 @@ class Deliveries:
                     value = F.when(F.col(HEADER_ID) == h, F.coalesce(F.col(f"c{at}"), F.lit(""))).otherwise(value)
             return value
 
-        return lines.select(*[text(c).alias(c) for c in self.columns(chosen)], "source_file", HEADER_ID)
+        return self.lines(files).select(*[text(c).alias(c) for c in self.columns(chosen)], "source_file", HEADER_ID, TOO_LONG)
 
-    def overflowing(self) -> DataFrame:
-        """Names of deliveries with a row longer than its header; they cannot be trusted as a whole."""
-        return self.files.filter("overflow").select("source_file").distinct()
+    def shapes(self) -> DataFrame:
+        """(path, source_file, header, rows, overflow) of every listed file; parses all of them."""
+        counts = self.lines().groupBy("path").agg(F.count(F.lit(1)).alias("rows"), F.max(TOO_LONG).alias("overflow"))
+        return self.files.join(counts, "path", "left").fillna(0, ["rows"]).fillna(False, ["overflow"])
 
 
 def read_landing(spark: SparkSession, landing: Landing, columns: Sequence[str] | None = None) -> Deliveries:
-    """List and parse the landing folder, once each. `columns` promises one header; another one is an error.
+    """List the landing folder and read its headers. `columns` promises one header; another one is an error.
 
     The driver sees one entry per distinct header; files stay in a table.
     """
     files = stage(listing(spark, landing), "files")
-    fields = FIELDS
-    while True:
-        lines = (
-            stage(parsed(spark, landing, fields), "lines")
-            if not files.isEmpty()
-            else spark.createDataFrame([], f"path string, number bigint, place bigint, used int, {', '.join(f'c{i} string' for i in range(fields))}")
-        )
-        shape = lines.groupBy("path").agg(
-            F.min("place").alias("first"), F.max("used").alias("most"), F.count(F.lit(1)).alias("lines")
-        )
-        shape = stage(files.join(shape, "path", "left"), "file-shapes")
-        if (shape.agg(F.max("most")).first()[0] or 0) < fields:
-            break
-        fields *= 2
-    firsts = shape.filter("first IS NOT NULL").select("path", F.col("first").alias("number"))
-    heads = lines.join(broadcast_if_small(firsts), ["path", "number"]).select(
-        "path", "used", F.to_json(F.slice(F.array(*[F.col(f"c{i}") for i in range(fields)]), 1, F.col("used")), {"ignoreNullFields": "false"}).alias("text")
-    )
-    heads = stage(heads, "headers")
+    if files.isEmpty():
+        return Deliveries(landing, [], files.withColumn("header", F.lit(None).cast("int")))
+    heads = file_headers(spark, landing)
     texts = [r[0] for r in heads.select("text").distinct().orderBy("text").collect()]
     headers = [parse_header(json.loads(t)) for t in texts]
     for header in headers:
@@ -206,15 +270,8 @@ def read_landing(spark: SparkSession, landing: Landing, columns: Sequence[str] |
     if columns is not None and any(h != list(columns) for h in headers):
         raise ValueError(f"CSV header does not conform to the promised columns {list(columns)}")
     numbers = spark.createDataFrame(list(enumerate(texts)), "header int, text string")
-    described = shape.join(heads.join(F.broadcast(numbers), "text").select("path", "used", "header"), "path", "left").select(
-        "path",
-        "source_file",
-        "header",
-        "first",
-        F.coalesce(F.col("lines") - F.col("first").isNotNull().cast("bigint"), F.lit(0)).alias("rows"),
-        F.coalesce(F.col("most") > F.col("used"), F.lit(False)).alias("overflow"),
-    )
-    return Deliveries(headers, stage(described, "described-files"), lines)
+    described = files.join(heads.join(F.broadcast(numbers), "text").select("path", "header"), "path", "left")
+    return Deliveries(landing, headers, stage(described.select("path", "source_file", "header"), "described-files"))
 
 
 def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
@@ -228,6 +285,7 @@ def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
 def read_deliveries(spark: SparkSession, landing: Landing, columns: Sequence[str] | None = None) -> DataFrame:
     """All readable deliveries as text, matched by column name."""
     found = read_landing(spark, landing, columns)
-    files = found.files.join(found.overflowing(), "source_file", "left_anti")
-    return found.rows(files).drop(HEADER_ID)
-
+    long = found.lines().filter(TOO_LONG).select("source_file").distinct()
+    # A row longer than its header disqualifies its delivery, which only a whole parse can tell.
+    files = stage(found.files.join(long, "source_file", "left_anti"), "sound-files")
+    return found.rows(files).drop(HEADER_ID, TOO_LONG)

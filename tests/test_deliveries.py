@@ -57,7 +57,7 @@ def test_a_file_that_arrives_during_a_run_waits(spark, tmp_path, monkeypatch):
     assert sorted(tuple(r) for r in rows) == [("T1", "M1", "a.csv"), ("T2", "M1", "b.csv")]
 
 
-def test_the_landing_folder_is_parsed_once(spark, tmp_path, monkeypatch):
+def test_headers_are_read_alone_and_rows_are_never_stored(spark, tmp_path, monkeypatch):
     from ledgerflow.sources import deliveries
 
     calls = []
@@ -66,8 +66,34 @@ def test_the_landing_folder_is_parsed_once(spark, tmp_path, monkeypatch):
     write_csv(tmp_path / "a.csv", [payment("T1")])
     write_csv(tmp_path / "b.csv", [payment("T2")], list(reversed(PAYMENT_COLUMNS)))
     found = read_landing(spark, Landing(str(tmp_path)))
+    assert len(found.headers) == 2 and not calls
     assert found.rows().count() == 2 and len(calls) == 1
-    assert all("lines-" in path or "described-files" in path for path in found.rows().inputFiles())
+    assert all(path.endswith(".csv") or "described-files" in path for path in found.rows().inputFiles())
+
+
+def test_the_rest_of_a_large_file_is_not_read_for_its_header():
+    import pyarrow as pa
+
+    from ledgerflow.sources import deliveries
+
+    read = []
+
+    def batches():
+        for n in range(10_000):
+            read.append(n)
+            yield pa.record_batch({"path": ["/a.csv"] * 2, "value": ["", "a,b,,"] if n == 1 else ["", ""]})
+
+    (found,) = deliveries.first_lines(False)(batches())
+    assert found.to_pylist() == [{"path": "/a.csv", "text": '["a", "b"]'}]
+    assert len(read) <= 2 + deliveries.HEAD_BATCHES + 1
+
+
+def test_header_fields():
+    from ledgerflow.sources.deliveries import header_fields
+
+    assert header_fields(iter(["", "  ", 'a,"b ""x"", c",,', "1,2"])) == ["a", 'b "x", c']
+    assert header_fields(iter(['a,"two', 'lines",c', "1,2,3"])) == ["a", "two\nlines", "c"]
+    assert header_fields(iter([])) is None and header_fields(iter([",,"])) == []
 
 
 def test_headers_wider_than_the_scan(spark, tmp_path):

@@ -73,6 +73,8 @@ def test_stored_hashes_are_joined_without_an_exchange(lake):
     spark = lake.spark
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    # Shows the buckets of a scan that no join needs.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
     try:
         stored = indexes.stored_hashes(spark, lake.bronze, lake.days())
         assert "Exchange" not in plain_plan(stored.distinct())
@@ -83,6 +85,7 @@ def test_stored_hashes_are_joined_without_an_exchange(lake):
         assert "SelectedBucketsCount" in plain_plan(held)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
