@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import TO_LOWER, hash_runs, hash_words, mixed, slices, text_bytes, words
 from ledgerflow.llm.components import components, smallest_reachable, with_component
-from ledgerflow.llm.frames import documents_of, fresh_name, in_groups, shuffle_width, signed, staged
+from ledgerflow.llm.frames import documents_of, fresh_name, in_groups, lean, shuffle_width, signed, staged
 from ledgerflow.llm.segments import sifted
 
 REGISTERS = 128
@@ -134,6 +134,7 @@ def hopeful(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np
 def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, n_shingles, k1, k2, registers): set size, 128-bit key of the set, and registers (null if empty)."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
@@ -172,6 +173,7 @@ def promising(pairs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
             side,
         )
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = hopeful(
@@ -199,6 +201,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
             sets += shingle_sets(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], rule.size)
         return [sets[i] for i in np.asarray(column.indices)]
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for first in range(0, whole.num_rows, 256):
@@ -257,6 +260,7 @@ def tile_task(rule: Rule):
         tied = np.flatnonzero(label != np.arange(len(node)))
         return node[tied], node[label[tied]]
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [f for rows in in_groups(batches, ("key", "low", "high")) if rows.num_rows > 1 and (f := compare(rows))]
         if found:
@@ -268,6 +272,7 @@ def tile_task(rule: Rule):
 def set_task(rule: Rule):
     """A task from (node, text) to (node, shingles): the full sets as bytes."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
@@ -300,7 +305,8 @@ def links_in_tiles(members: DataFrame, texts: DataFrame, rule: Rule) -> DataFram
     ).select(
         "key", "node", "component", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high")
     )
-    wanted = texts.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    # A node that is an id with several texts is there with each of them.
+    wanted = texts.join(members.select("node").distinct(), "node", "left_semi")
     sets = wanted.mapInArrow(set_task(rule), "node bigint, shingles binary")
     return (
         spread.join(sets, "node")
@@ -338,7 +344,10 @@ def near_duplicates(documents: DataFrame, rule: Rule) -> DataFrame:
         sifted(docs, candidates, flag)
         .filter(flag)
         .join(candidates, "doc_id", "left_semi")
-        .select(F.col("doc_id").alias("node"), "text"),
+        # Each text of an id once: repeated rows must not multiply in the joins of pairs.
+        .select(F.col("doc_id").alias("node"), "text", F.xxhash64("text").alias("tid"))
+        .dropDuplicates(["node", "tid"])
+        .drop("tid"),
         "candidate-texts",
     )
 

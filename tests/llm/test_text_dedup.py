@@ -10,6 +10,7 @@ import pytest
 
 from ledgerflow.llm import suffix_dedup
 from ledgerflow.llm.components import components
+from ledgerflow.llm import near_dup
 from ledgerflow.llm.near_dup import Rule, near_dedup, near_duplicates, tile_task
 from ledgerflow.llm.substring_dedup import substring_dedup, substring_dedup_digest
 from ledgerflow.llm.suffix_dedup import suffix_dedup_digest
@@ -109,6 +110,21 @@ def test_chain_and_crowd_of_near_copies(spark):
     assert corpus.found(digest, "doc_id", "n_shingles", "component_id", "kept") == corpus.near_copies(data, 3, 85)
 
 
+def test_many_rows_of_one_id_and_ids_with_several_texts(spark, monkeypatch):
+    rng = random.Random(12)
+    base = corpus.sentence(rng, 120)
+    crowd = [(100 + i, f"{base} end{i}", "en", "s", 1) for i in range(60)]
+    other = corpus.sentence(rng, 120)
+    rows = [(1, base, "en", "s", 1)] * 2500 + [(2, f"{base} more", "en", "s", 1)] * 2500 + crowd
+    # The second text of id 150 ties the crowd to two others.
+    rows += [(150, other, "en", "s", 1), (300, f"{other} x", "en", "s", 1), (301, f"{other} y z", "en", "s", 1)]
+    monkeypatch.setattr(near_dup, "SMALL_BUCKET", 8)
+    monkeypatch.setattr(near_dup, "TILE", 16)
+    found = corpus.found(near_duplicates(corpus.frame(spark, rows).repartition(3), Rule(3, 85)), "doc_id", "n_shingles", "component_id", "kept")
+    assert found == corpus.near_copies(rows, 3, 85)
+    assert {row[2] for row in found} == {1}
+
+
 def test_very_large_sets_are_compared_in_whole_numbers():
     # 100 * both is below 85 * union by less than a float32 can tell.
     n_left, n_right, both = 730380, 730404, 671171
