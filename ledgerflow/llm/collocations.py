@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import IS_SPACE, TO_LOWER, hash_runs, hash_words, joined, slices, text_bytes, words
-from ledgerflow.llm.frames import staged
+from ledgerflow.llm.frames import lean, staged
 from ledgerflow.llm.hat_trie import HatTrie, packed, unpacked
 from ledgerflow.llm.segments import filter_of
 
@@ -38,7 +38,7 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 # Entries of a container before it bursts, entries and words a task holds before subtrees leave it, entries of a run, bytes
 # taken at once and phrases numbered at once. Word numbers stay below `VOCABULARY` + `CHUNK`, which a number has room for.
 BURST = 4096
-ENTRIES = 400_000
+ENTRIES = 600_000
 VOCABULARY = 300_000
 RUN = 20_000
 SLICE_BYTES = 1 << 21
@@ -163,6 +163,7 @@ class Phrases:
 def counted(size: int, frequent: np.ndarray | None):
     """A task from (lang, text) to counts of its phrases, and with a null phrase to those of all words (one word only)."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(size, frequent)
         for batch in batches:
@@ -181,6 +182,7 @@ def counted(size: int, frequent: np.ndarray | None):
     return task
 
 
+@lean
 def phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hash that tasks look for, of every (lang, phrase) of one number of words."""
     for batch in batches:
@@ -194,8 +196,10 @@ def phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(joined(salt, runs).view(np.int64))], ["fp"])
 
 
-def merged_counts(runs: DataFrame) -> DataFrame:
-    """Sums of sorted runs. They meet by language and the first two words, so a prefix of many phrases is split."""
+def merged_counts(runs: DataFrame, size: int) -> DataFrame:
+    """Sums of runs. They meet by language and the first two words, so a prefix of many phrases is split."""
+    if size <= 2:
+        return runs.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     prefix = F.substring_index("phrase", " ", 2)
     return runs.repartition("lang", prefix).groupBy("lang", prefix, "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
 
@@ -212,10 +216,11 @@ def frequent_phrases(documents: DataFrame, max_words: int = MAX_WORDS, least: in
             shorter = levels[-1].filter("phrase is not null").select("lang", "phrase")
             shared = spark.sparkContext.broadcast(filter_of(shorter.mapInArrow(phrase_hashes, "fp bigint")))
 
+            @lean
             def task(batches, size=size, shared=shared):
                 return counted(size, shared.value)(batches)
 
-        merged = merged_counts(texts.mapInArrow(task, COUNTS))
+        merged = merged_counts(texts.mapInArrow(task, COUNTS), size)
         levels.append(staged(merged.filter(F.col("phrase").isNull() | (F.col("n") >= least)), f"phrases-{size}"))
     return levels
 

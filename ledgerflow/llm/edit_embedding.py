@@ -20,14 +20,13 @@ from functools import cache
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import joined, mixed
 from ledgerflow.llm.components import components, smallest_reachable, with_component
-from ledgerflow.llm.frames import documents_of, in_groups, plan_bytes, shuffle_width, staged
+from ledgerflow.llm.frames import documents_of, in_groups, lean, plan_bytes, shuffle_width, staged
 
 # Random bits repeat after so many places of the output; characters are told apart as so many classes.
 PERIOD = 4096
@@ -201,6 +200,7 @@ DIGEST = (
 DIGEST_TYPES = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2, pa.int64(), pa.int64()]
 
 
+@lean
 def beside_next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of one sorted range, and after them the first of the next range: one row of `DIGEST` per own document."""
     names = [f.split()[0] for f in DIGEST.split(", ")]
@@ -253,9 +253,9 @@ def fingerprint_digest(documents: DataFrame) -> DataFrame:
     ids = docs.select("doc_id")
     ranges = Ranges(ids.approxQuantile("doc_id", [i / wanted for i in range(1, wanted)], 1 / (4 * wanted)))
 
-    @F.pandas_udf("int")
-    def range_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(ranges.of(pa.Array.from_pandas(keys.astype("Int64"))))
+    @F.arrow_udf("int")
+    def range_of(keys: pa.Array) -> pa.Array:
+        return pa.array(ranges.of(keys))
 
     # The first id of every range that has rows, by falling ids.
     first_of = dict(ids.groupBy(range_of("doc_id").alias("range")).agg(F.max("doc_id")).collect())
@@ -265,6 +265,7 @@ def fingerprint_digest(documents: DataFrame) -> DataFrame:
     before = dict(zip(used, [used[-1], *used[:-1]], strict=True))
     shared = spark.sparkContext.broadcast((ranges, first_of, before))
 
+    @lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranges, first_of, before = shared.value
         for batch in batches:
@@ -291,6 +292,7 @@ def fingerprint_digest(documents: DataFrame) -> DataFrame:
 def fingerprints(documents: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, keys) of every row; a null text is empty. `keys` are those of its bands."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint_of(t) for t in batch.column("text").to_pylist()]
@@ -344,6 +346,7 @@ def near_texts(documents: DataFrame, least: float = LIKENESS) -> DataFrame:
     groups = ["key", "low", "high"]
     dealt = dealt.select("key", "node", "fingerprint", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
 
+    @lean
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in in_groups(batches, groups):
             found = tile_links(rows, least) if rows.num_rows > 1 else None

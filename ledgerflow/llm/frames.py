@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator, Sequence
 from uuid import uuid4
 
@@ -49,10 +51,26 @@ def discard(*frames: DataFrame) -> None:
                     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
-def map_batches(
-    df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
-) -> DataFrame:
-    return df.mapInArrow(task, schema)
+def give_back() -> None:
+    """Return memory that nothing holds any more to the system; a worker outlives its tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+Task = Callable[[Iterator], Iterator]
+
+
+def lean(task: Task) -> Task:
+    """A task that gives its memory back when it ends."""
+
+    @functools.wraps(task)
+    def wrapped(batches: Iterator) -> Iterator:
+        yield from task(batches)
+        give_back()
+
+    return wrapped
 
 
 def documents_of(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

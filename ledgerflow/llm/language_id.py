@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import TO_LOWER, slices, text_bytes
-from ledgerflow.llm.frames import documents_of, small_batches
+from ledgerflow.llm.frames import documents_of, lean, small_batches
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -234,6 +234,7 @@ def language_digest(documents: DataFrame, samples: Mapping[str, bytes] | None =
     """
     shared = shared_parser(documents, samples)
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, scores = shared.value.decide(batch.column("text"))

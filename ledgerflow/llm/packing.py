@@ -14,13 +14,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import mixed, slices, text_bytes
-from ledgerflow.llm.frames import documents_of, shuffle_width, staged
+from ledgerflow.llm.frames import documents_of, lean, shuffle_width, staged
 
 LENGTH = 2048
 END = 1
@@ -192,6 +191,7 @@ def tokenized(docs: DataFrame, path: str, stored: str) -> DataFrame:
     """(doc_id, ids, n, tie, x0, x1, x2) of every row of (doc_id, text)."""
     fields = ", ".join(f"x{d} double" for d in range(DIMENSIONS))
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_at(path)
         for whole in batches:
@@ -239,13 +239,13 @@ def pack(documents: DataFrame, path: str | None = None, length: int = LENGTH) ->
     means = np.array([stats[f"mean_{a}"] for a in axes])
     spreads = np.maximum(np.array([stats[f"spread_{a}"] for a in axes]), 1e-12)
 
-    @F.pandas_udf("bigint")
-    def place(x: pd.Series, y: pd.Series, z: pd.Series, tie: pd.Series) -> pd.Series:
+    @F.arrow_udf("bigint")
+    def place(x: pa.Array, y: pa.Array, z: pa.Array, tie: pa.Array) -> pa.Array:
         # A logistic curve deals the standardised axes evenly over the grid.
         points = (np.stack([x, y, z], axis=1) - means) / spreads
         grid = np.minimum((2**CURVE_BITS / (1 + np.exp(-1.702 * np.clip(points, -30, 30)))).astype(np.int64), 2**CURVE_BITS - 1)
         key = hilbert(grid, CURVE_BITS) << np.uint64(TIE_BITS)
-        return pd.Series((key | (tie.to_numpy(np.int64).view(np.uint64) & np.uint64((1 << TIE_BITS) - 1))).view(np.int64))
+        return pa.array((key | (np.asarray(tie).view(np.uint64) & np.uint64((1 << TIE_BITS) - 1))).view(np.int64))
 
     # Documents of one cell of the curve follow each other in an order of hashes, so a cell can be split anywhere.
     placed = rows.withColumn("key", place(*axes, F.xxhash64("doc_id", "tie")))
@@ -253,9 +253,9 @@ def pack(documents: DataFrame, path: str | None = None, length: int = LENGTH) ->
     cuts = placed.approxQuantile("key", [i / ranges for i in range(1, ranges)], 1 / (8 * ranges))
     edges = np.array(sorted(set(cuts)), np.float64)
 
-    @F.pandas_udf("int")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, key.to_numpy(np.int64).astype(np.float64), "right").astype(np.int32))
+    @F.arrow_udf("int")
+    def range_of(key: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(edges, np.asarray(key).astype(np.float64), "right").astype(np.int32))
 
     dealt = placed.withColumn("range", range_of("key"))
     sums = dict(dealt.groupBy("range").agg(F.sum("n")).collect())
@@ -264,6 +264,7 @@ def pack(documents: DataFrame, path: str | None = None, length: int = LENGTH) ->
         begins[number] = at
         at += sums[number]
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, current = 0, None
         for batch in batches:

@@ -21,13 +21,12 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import hash_words, joined, slices, text_bytes, words
-from ledgerflow.llm.frames import fresh_name, staged
+from ledgerflow.llm.frames import fresh_name, lean, staged
 from ledgerflow.llm.segments import SLICE_BYTES, sifted
 from ledgerflow.llm.substring_dedup import covered, cut_task
 
@@ -163,6 +162,7 @@ FRAGMENTS = "doc_id bigint, tid bigint, period bigint, low bigint, high bigint"
 def solved(rewrite: Rewrite | None) -> Callable[[Batches], Batches]:
     """A task from (doc_id, tid, text) to the fragments of its texts."""
 
+    @lean
     def task(batches: Batches) -> Batches:
         for batch in rewrite(batches) if rewrite else batches:
             data, offsets = text_bytes(batch.column("text"))
@@ -240,6 +240,7 @@ def digests(rewrite: Rewrite | None) -> Callable[[Batches], Batches]:
             hashlib.sha256(b" ".join(kept)).hexdigest(),
         )
 
+    @lean
     def task(batches: Batches) -> Batches:
         for batch in rewrite(batches) if rewrite else batches:
             runs = batch.column("runs").to_pylist() if "runs" in batch.schema.names else [None] * batch.num_rows
@@ -314,9 +315,9 @@ def collapsed(documents: DataFrame) -> DataFrame:
     marked = sifted(documents.withColumn(key, own), found.withColumnRenamed("doc_id", key), flag, key)
     cut = cut_task(1)
 
-    @F.pandas_udf("string")
-    def without(texts: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series(cut(texts.tolist(), [None if r is None else dropped(r) for r in lists]), dtype=object)
+    @F.arrow_udf("string")
+    def without(texts: pa.Array, lists: pa.Array) -> pa.Array:
+        return pa.array(cut(texts.to_pylist(), [None if r is None else dropped(r) for r in lists.to_pylist()]), pa.string())
 
     found = found.select(F.col("doc_id").alias(key), F.col("tid").alias(text_key), F.col("runs").alias(runs))
     met = marked.filter(flag).withColumn(text_key, F.xxhash64("text")).join(found, [key, text_key], "left")

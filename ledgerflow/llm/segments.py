@@ -15,13 +15,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import mixed, slices, text_bytes
-from ledgerflow.llm.frames import signed, staged
+from ledgerflow.llm.frames import lean, signed, staged
 
 # Bits of the filter of repeated fingerprints: 8 MB on the driver and in each task, whatever the input.
 FILTER_BITS = 1 << 26
@@ -71,6 +70,7 @@ def runs_of_minima(minima: np.ndarray, first: np.ndarray, windows: np.ndarray) -
 def emitter(kernel: Kernel, filter_bits: np.ndarray | None, wide: bool):
     """A task over (doc_id, tid, text) batches that yields segments; with a filter only those it passes."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
@@ -124,6 +124,7 @@ def repeated_segments(docs: DataFrame, kernel: Kernel, repeats: Column, label: s
     repeated = fingerprints.groupBy("fp").agg(repeats.alias("repeats")).filter("repeats").select("fp")
     shared = spark.sparkContext.broadcast(filter_of(repeated))
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return emitter(kernel, shared.value, True)(batches)
 
@@ -139,11 +140,11 @@ def sifted(docs: DataFrame, ids: DataFrame, flag: str, id_column: str = "doc_id"
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(filter_of(ids.select(F.xxhash64(id_column).alias("fp"))))
 
-    @F.pandas_udf("boolean")
-    def passes(hashes: pd.Series) -> pd.Series:
-        place = hashes.to_numpy(np.int64).view(np.uint64) & np.uint64(len(shared.value) * 64 - 1)
+    @F.arrow_udf("boolean")
+    def passes(hashes: pa.Array) -> pa.Array:
+        place = np.asarray(hashes).view(np.uint64) & np.uint64(len(shared.value) * 64 - 1)
         hit = shared.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
-        return pd.Series(hit.astype(bool))
+        return pa.array(hit.astype(bool))
 
     key = F.col(id_column).cast("bigint")
     return docs.withColumn(flag, passes(F.xxhash64(key)) & key.isNotNull())

@@ -19,13 +19,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import hash_runs, hash_words, joined, mixed, sliding_minimum, slices, text_bytes, words
-from ledgerflow.llm.frames import documents_of, fresh_name, lists, staged
+from ledgerflow.llm.frames import documents_of, fresh_name, lean, lists, staged
 from ledgerflow.llm.segments import (
     SLICE_BYTES,
     Runs,
@@ -71,6 +70,7 @@ def window_kernel(size: int):
 def window_hashes(size: int):
     """A task from (doc_id, text, parts) to the 50-word hashes of the listed parts: (seg, least, place, hashes)."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
@@ -183,6 +183,7 @@ def covered(parts: list | None, n: int, size: int) -> np.ndarray:
 def digests(size: int):
     """A task from (doc_id, text[, parts]) to one row per document: counts and the hash of what is kept."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
@@ -261,9 +262,9 @@ def substring_dedup(documents: DataFrame, size: int = WINDOW) -> DataFrame:
     removed = removed.select(F.col("doc_id").alias(key), F.col("tid").alias(text_key), F.col("parts").alias(spans))
     cut = cut_task(size)
 
-    @F.pandas_udf("string")
-    def without(texts: pd.Series, parts: pd.Series) -> pd.Series:
-        return pd.Series(cut(texts.tolist(), parts.tolist()), dtype=object)
+    @F.arrow_udf("string")
+    def without(texts: pa.Array, parts: pa.Array) -> pa.Array:
+        return pa.array(cut(texts.to_pylist(), parts.to_pylist()), pa.string())
 
     same = (F.col("doc_id").cast("bigint") == F.col(key)) & (F.xxhash64("text") == F.col(text_key))
     met = marked.filter(flag).join(removed, same, "left")

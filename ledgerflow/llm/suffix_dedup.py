@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.arrays import joined, mixed, sliding_minimum, slices, text_bytes
-from ledgerflow.llm.frames import lists, shuffle_width, staged
+from ledgerflow.llm.frames import lean, lists, shuffle_width, staged
 from ledgerflow.llm.induced import Scratch, sorted_suffixes
 from ledgerflow.llm.segments import Runs, fingerprint_of_pieces, repeated_segments, runs_of_minima, sifted
 from ledgerflow.llm.substring_dedup import covered
@@ -104,6 +104,7 @@ def byte_kernel(length: int, piece: int):
 def part_bytes(length: int):
     """A task from (text, parts) to the bytes of the listed segments: (fp, seg, single, count, bytes)."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
@@ -151,6 +152,7 @@ def spans(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def shard_task(length: int):
     """A task over one shard to (fp, seg, found): the runs of repeated windows of each single segment."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -241,6 +243,7 @@ DIGEST = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_
 def digests(length: int):
     """A task from (shown, text[, parts]) to one row per document: counts and the hash of the bytes kept."""
 
+    @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
