@@ -31,6 +31,7 @@ from ledgerflow.plans.audit import (
     track_stage,
 )
 from ledgerflow.session import apply_job_settings, path_exists, sized_shuffles, stage, staging_of_run
+from ledgerflow.sources.columns import log_columns
 from ledgerflow.sources.deliveries import HEADER_ID, TOO_LONG, Deliveries, Landing, read_landing
 from ledgerflow.sources.indexes import index_rows, stored_hashes
 from ledgerflow.sources.ledger import state_path
@@ -256,6 +257,8 @@ def ingest_payments(
             if appended.get["rows"]:
                 added = added_rows(spark, bronze_path, run_id, ingest_ts, batch_dates)
                 if indexed:
+                    kept = [f for f in candidates.schema.fields if f.name != "event_date"]
+                    log_columns(spark, bronze_path, [*kept, candidates.schema["event_date"]], run_id)
                     index_rows(spark, bronze_path, added, run_id)
                 written = added.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows_written"))
         counts = stage(delivery_counts(outcomes, fates.drop("event_date"), written), "delivery-counts", keep=True)

@@ -14,7 +14,9 @@ from ledgerflow.operators.dates import DateRange
 from ledgerflow.operators.enrich import new_run_id
 from ledgerflow.operators.joins import broadcast_if_small
 from ledgerflow.plans.audit import FAILED, PARTIAL, SUCCESS, StageReport, track_stage
+from ledgerflow.operators.dedup import VERSION_TIE_BREAKERS
 from ledgerflow.plans.reports import (
+    REPORT_INPUT,
     ReportRules,
     current_payments,
     daily_payment_summary,
@@ -24,6 +26,7 @@ from ledgerflow.plans.reports import (
 from ledgerflow.plans.state import Refreshed, current_state, publication, refresh_current
 from ledgerflow.session import apply_job_settings, path_exists, sized_shuffles, stage, staging_of_run
 from ledgerflow.sources.indexes import days_of, transaction_days
+from ledgerflow.sources.ledger import checksum, damaged_by_content, damaged_by_listing, expected_shape, state_path
 from ledgerflow.sources.tables import damaged_files, overwrite_partitions, read_bronze, read_merchant_lookup
 from ledgerflow.sources.versions import Publication, holds_any
 
@@ -62,6 +65,12 @@ def backfill_payments(audit: DataFrame, dates: DateRange, index: DataFrame | Non
     return current_payments(versions).filter(dates.holds(F.col("event_date")))
 
 
+def observed(audit: DataFrame, seen: Observation) -> DataFrame:
+    """Audit rows with what reports read of them; `seen` gets their number and checksum as they are read."""
+    narrow = audit.select(*dict.fromkeys([*REPORT_INPUT, "ingest_ts", *VERSION_TIE_BREAKERS]))
+    return narrow.observe(seen, F.count(F.lit(1)).alias("rows"), checksum().alias("checksum"))
+
+
 def write_report(
     df: DataFrame, path: str, partition: str, contract: Sequence[str], result: GoldResult, report: StageReport,
     name: str, rows_read: int,
@@ -117,27 +126,18 @@ def build_reports(
         sized_shuffles(spark, bronze_path, stored),
     ):
         lost_days: list[str] = []
+        lost, expected = None, None
         if set_aside_damaged and path_exists(spark, bronze_path):
-            lost = stage(damaged_files(spark, bronze_path, BRONZE_PAYMENTS_DDL), "damaged")
-            result.damaged = lost.select("path").orderBy("path")
-            lost_days = [r[0].removeprefix("event_date=") for r in lost.select("folder").distinct().collect()]
-            if lost_days:
-                result.status = PARTIAL
-                # The list outlives the run's staged tables.
-                result.damaged = stage(result.damaged, "damaged-files", keep=True)
-                report.record(
-                    stage(
-                        lost.groupBy(F.concat(F.lit("damaged files in "), "folder").alias("table_name")).agg(
-                            F.lit(0).cast("bigint").alias("rows_read"),
-                            F.lit(0).cast("bigint").alias("rows_written"),
-                            F.count(F.lit(1)).alias("rows_quarantined"),
-                        ),
-                        "damaged-report",
-                        keep=True,
-                    )
-                )
+            known = path_exists(spark, state_path(bronze_path, "files"))
+            # What a full build reads is held against the ledger; only a difference has its files looked for.
+            expected = expected_shape(spark, bronze_path) if known and dates is None else None
+            if expected is not None:
+                lost = damaged_by_listing(spark, bronze_path)
+            elif known:
+                lost = damaged_by_listing(spark, bronze_path).unionByName(damaged_by_content(spark, bronze_path)).distinct()
             else:
-                result.damaged = None
+                lost = damaged_files(spark, bronze_path, BRONZE_PAYMENTS_DDL)
+            lost = stage(lost, "damaged")
         audit = read_bronze(spark, bronze_path, skip_corrupt=set_aside_damaged)
         daily_dates = snapshot_dates = dates
         if dates is None:
@@ -146,19 +146,40 @@ def build_reports(
             snapshot_dates = dates.widened(after=reach)
             lookback = dates.widened(before=reach, after=reach)
             rows_read = audit.filter(lookback.holds(F.col("event_date"))).count()
+        seen = Observation("seen")
         # The count reads file footers alone.
         if rows_read == 0:
             report.failed = True
             result.status = FAILED
             return result
         current = (
-            current_payments(audit)
+            current_payments(audit if expected is None else observed(audit, seen))
             if dates is None
             else backfill_payments(audit, lookback, transaction_days(spark, bronze_path))
         )
         # Both reports read the totals, and so does the calendar of snapshots.
         totals = stage(daily_totals(current, rules.payment_method), "daily-totals")
 
+        if lost is not None:
+            if expected is not None and (seen.get["rows"], int(seen.get["checksum"])) != expected:
+                lost = stage(lost.unionByName(damaged_by_content(spark, bronze_path)).distinct(), "damaged")
+            lost_days = [r[0].removeprefix("event_date=") for r in lost.select("folder").distinct().collect()]
+        if lost_days:
+            result.status = PARTIAL
+            # The list outlives the run's staged tables.
+            result.damaged = stage(lost.select("path").orderBy("path"), "damaged-files", keep=True)
+            report.record(
+                stage(
+                    lost.groupBy(F.concat(F.lit("damaged files in "), "folder").alias("table_name")).agg(
+                        F.lit(0).cast("bigint").alias("rows_read"),
+                        F.lit(0).cast("bigint").alias("rows_written"),
+                        F.count(F.lit(1)).alias("rows_quarantined"),
+                    ),
+                    "damaged-report",
+                    keep=True,
+                )
+            )
+
         merchants = stage(read_merchant_lookup(spark, merchants_path), "merchant-lookup")
         check_unique(merchants, "merchant_id", "merchant lookup")
         daily = daily_payment_summary(totals, merchants, rules)

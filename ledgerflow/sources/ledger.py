@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.session import path_exists, qualified_path
+from ledgerflow.session import path_exists, qualified_path, stage
 from ledgerflow.sources.tables import read_table
 
 LEDGER_DDL = "path string, bytes bigint, rows bigint, checksum decimal(38,0), run_id string"
@@ -90,3 +90,41 @@ def untrusted_days(spark: SparkSession, table: str) -> list[str | None]:
     both = listed.join(recorded.dropDuplicates(["path"]), "path", "full")
     odd = both.filter(~F.col("bytes").eqNullSafe(F.col("recorded")))
     return sorted((r[0] for r in odd.select(day_of(F.col("path")).alias("day")).distinct().collect()), key=str)
+
+
+def _with_folder(paths: DataFrame) -> DataFrame:
+    return paths.select("path", F.element_at(F.split("path", "/"), -2).alias("folder"))
+
+
+def damaged_by_listing(spark: SparkSession, table: str) -> DataFrame:
+    """(path, partition folder) of recorded files that are gone or have another length; no file is opened."""
+    return _with_folder(differing_files(spark, table).filter("found IN ('gone', 'changed')"))
+
+
+def expected_shape(spark: SparkSession, table: str) -> tuple[int, int] | None:
+    """(rows, checksum) that a scan of the files that are as recorded must see, None if there are files without a record."""
+    odd = stage(differing_files(spark, table).select("path", "found"), "differing-files")
+    if not odd.filter("found = 'new'").isEmpty():
+        return None
+    sound = recorded_files(spark, table).join(listed_files(spark, table).select("path"), "path", "left_semi")
+    sound = sound.dropDuplicates(["path"]).join(odd, "path", "left_anti")
+    rows, total = sound.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("checksum"), F.lit(0))).first()
+    return int(rows), int(total)
+
+
+def damaged_by_content(spark: SparkSession, table: str) -> DataFrame:
+    """(path, partition folder) of files whose rows are not those recorded, or that cannot be read to their end.
+
+    Reads one column of the table once; files without a record are held against the row counts of their footers.
+    """
+    listed = listed_files(spark, table).select("path")
+    lenient = spark.read.schema("record_hash string, event_date string").option("ignoreCorruptFiles", True).parquet(table)
+    seen = file_shapes(spark, table, lenient)
+    path = relative(spark, table, F.col("_metadata.file_path"))
+    promised = lenient.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("promised"))
+    recorded = recorded_files(spark, table).dropDuplicates(["path"])
+    recorded = recorded.select("path", F.col("rows").alias("n"), F.col("checksum").alias("total"))
+    every = listed.join(seen, "path", "left").join(recorded, "path", "left").join(promised, "path", "left")
+    wanted = F.coalesce("n", "promised")
+    broken = wanted.isNull() | (F.coalesce("rows", F.lit(0)) != wanted) | (F.col("checksum") != F.col("total"))
+    return _with_folder(every.filter(broken))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +11,6 @@ from ledgerflow.layout import BRONZE_MERCHANTS_DDL, BRONZE_PAYMENTS_DDL
 from ledgerflow.operators.dates import DateRange
 from ledgerflow.session import path_exists
 
-PARTITION_TYPES = {"event_date": "string", "snapshot_date": "string"}
-
 
 def read_table(
     spark: SparkSession,
@@ -54,12 +52,6 @@ def read_bronze(
     return table.select(*columns) if columns else table
 
 
-def read_evolved(spark: SparkSession, path: str, partition: str = "event_date") -> DataFrame:
-    """A table with the union of the columns of all its files, found by reading every footer."""
-    table = spark.read.option("mergeSchema", True).parquet(path)
-    return table.withColumn(partition, F.col(partition).cast("string"))
-
-
 def read_hashes(spark: SparkSession, path: str, dates: Iterable[str] | None = None) -> DataFrame:
     """Stored record hashes, only of the given partitions.
 
@@ -104,14 +96,6 @@ def damaged_files(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return both.filter(broken).select("path", F.element_at(F.split("path", "/"), -2).alias("folder"))
 
 
-def register_views(spark: SparkSession, paths: Mapping[str, str]) -> None:
-    """Make stored tables available to `spark.sql`, with the columns of evolved files; dates in directory names stay text."""
-    for name, path in paths.items():
-        table = spark.read.option("mergeSchema", True).parquet(path)
-        dates = {c: F.col(c).cast(PARTITION_TYPES[c]) for c in table.columns if c in PARTITION_TYPES}
-        table.withColumns(dates).createOrReplaceTempView(name)
-
-
 def by_partition(df: DataFrame, partition: str) -> DataFrame:
     """Bring each partition value together, in as many tasks as its size needs.
 

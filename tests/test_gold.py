@@ -13,7 +13,8 @@ from ledgerflow.plans.gold import build_reports
 from ledgerflow.plans.pipeline import Lake, run_pipeline
 from ledgerflow.plans.reports import ReportRules
 from ledgerflow.sources.deliveries import Landing
-from ledgerflow.sources.tables import overwrite_partitions, read_merchant_lookup, read_table, register_views
+from ledgerflow.sources.columns import register_views
+from ledgerflow.sources.tables import overwrite_partitions, read_merchant_lookup, read_table
 from payments import merchant, payment, write_csv, write_merchants
 
 

@@ -11,7 +11,8 @@ from ledgerflow.operators.dedup import drop_stored, new_rows
 from ledgerflow.plans.audit import read_manifest, read_report
 from ledgerflow.plans.bronze import ingest_merchants, ingest_payments
 from ledgerflow.sources.deliveries import Landing
-from ledgerflow.sources.tables import read_bronze, read_bronze_merchants, read_evolved, read_hashes
+from ledgerflow.sources.columns import read_evolved
+from ledgerflow.sources.tables import read_bronze, read_bronze_merchants, read_hashes
 from payments import merchant, payment, write_csv, write_merchants
 
 COUNTS = ["rows_read", "rows_written", "rows_skipped", "rows_quarantined", "rows_undated", "rows_out_of_range"]

@@ -187,6 +187,12 @@ counted AS (
          count(*) FILTER (outcome = 'ingested' AND fate = 'bad_timestamp') AS rows_undated
   FROM judged GROUP BY ALL)"""
 
+MOVED = """newest AS (
+  SELECT * REPLACE (
+    CASE WHEN late THEN 'REVERSED' ELSE status END AS status,
+    CASE WHEN late AND event_id % 2 = 0 THEN DATE '2024-01-20' ELSE event_date END AS event_date)
+  FROM (SELECT *, status = 'PENDING' AND event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-16' AS late FROM payments))"""
+
 ORACLES = {
     "daily_payment_summary": f"WITH {CURRENT}, {LINE_MERCHANTS}, {daily_summary('payments', 'shops')}",
     **{
@@ -319,6 +325,14 @@ ORACLES = {
                  THEN 'REVERSED' ELSE status END AS status)
           FROM payments),
         {performance('newest', 'shops', 7)}""",
+    "current_state_merge": f"""WITH {EVENT_PAYMENTS}, {MOVED}
+        SELECT transaction_id, merchant_id, currency, status, payment_method, amount, CAST(event_date AS VARCHAR) AS event_date
+        FROM newest""",
+    "incremental_reports": f"""WITH {EVENT_PAYMENTS}, {CUSTOMERS}, {MOVED}, {performance('newest', 'shops', 7)}""",
+    "publish_after_failure": f"""WITH {EVENT_PAYMENTS}, {CUSTOMERS}, {daily_summary('payments', 'shops')}""",
+    "bronze_damaged_file": f"""WITH {EVENT_PAYMENTS}, {CUSTOMERS},
+        readable AS (SELECT * FROM payments WHERE event_date <> DATE '2024-01-10'),
+        {daily_summary('readable', 'shops')}""",
     "adhoc_performance_select": f"""SELECT snapshot_date, merchant_id, total_transactions_7d, total_approved_amount_7d, active_days_7d
         FROM (WITH {EVENT_PAYMENTS}, {CUSTOMERS}, {performance('payments', 'shops', 7)})
         ORDER BY snapshot_date, merchant_id""",
@@ -328,9 +342,10 @@ ORACLES = {
         WHERE reason IN ('bad_amount', 'bad_timestamp') GROUP BY ALL""",
     "audit_empty_run": f"""WITH {TEXT}
         SELECT 'run-1' AS run_id, 'SUCCESS' AS status, source_file, 'ingested' AS outcome,
-               CAST(0 AS BIGINT) AS rows_read, CAST(0 AS BIGINT) AS rows_written, CAST(0 AS BIGINT) AS rows_skipped,
+               n AS rows_read, n AS rows_written, CAST(0 AS BIGINT) AS rows_skipped,
                CAST(0 AS BIGINT) AS rows_quarantined, CAST(0 AS BIGINT) AS rows_undated
-        FROM (SELECT DISTINCT source_file FROM clean)""",
+        FROM (SELECT source_file, count(*) AS n FROM clean GROUP BY source_file
+              UNION ALL SELECT DISTINCT replace(source_file, 'delivery=', 'delivery=void-'), CAST(0 AS BIGINT) FROM clean)""",
     "strict_contract_report": f"""WITH {EVENT_PAYMENTS}, {CUSTOMERS},
         stored AS (SELECT count(*) AS n FROM payments),
         written AS (SELECT count(*) AS n FROM (WITH {performance('payments', 'shops', 7).lstrip()}))

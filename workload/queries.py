@@ -20,17 +20,13 @@ from ledgerflow.operators.typing import type_merchants, type_payments
 from ledgerflow.plans import reports
 from ledgerflow.plans.audit import read_manifest, read_report
 from ledgerflow.plans.bronze import gate_report, ingest_merchants, ingest_payments
-from ledgerflow.plans.gold import build_reports
+from ledgerflow.plans.gold import build_reports, update_reports
+from ledgerflow.plans.state import current_state, refresh_current
 from ledgerflow.session import stage, staging_path
 from ledgerflow.sources.deliveries import Landing, read_deliveries, read_landing
-from ledgerflow.sources.tables import (
-    overwrite_partitions,
-    read_bronze,
-    read_bronze_merchants,
-    read_evolved,
-    read_table,
-    register_views,
-)
+from ledgerflow.sources.columns import read_evolved, register_views
+from ledgerflow.sources.tables import overwrite_partitions, read_bronze, read_bronze_merchants, read_table
+from ledgerflow.sources.versions import Publication
 from workload import views
 
 FIRST_RUN = datetime(2024, 2, 1, tzinfo=timezone.utc)
@@ -394,13 +390,15 @@ def quarantine_rerun(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def audit_empty_run(spark: SparkSession, folder: str) -> DataFrame:
-    """A landing folder whose deliveries have a header and no row."""
+    """All deliveries, and beside each one another that has a header and no row."""
     path, manifest = staging_path(spark, "csv"), staging_path(spark, "manifest")
-    weeks = views.event_payments_text(spark, folder).select("delivery").distinct()
-    header = ",".join(PAYMENT_COLUMNS)
-    weeks.select(F.lit(header).alias("value"), "delivery").write.partitionBy("delivery").text(path)
+    text = views.event_payments_text(spark, folder)
+    views.write_deliveries(text, path, PAYMENT_COLUMNS)
+    header = F.lit(",".join(PAYMENT_COLUMNS)).alias("value")
+    void = text.select("delivery").distinct().select(header, F.concat(F.lit("void-"), "delivery").alias("delivery"))
+    void.write.mode("append").partitionBy("delivery").text(path)
     ingest_payments(
-        spark, Landing(path, pattern="*.txt", unit="folder"), staging_path(spark, "bronze"), run_id="run-1", manifest_path=manifest
+        spark, Landing(path, pattern="*.{csv,txt}", unit="folder"), staging_path(spark, "bronze"), run_id="run-1", manifest_path=manifest
     )
     return read_manifest(spark, manifest).drop("run_ts", "rows_out_of_range", "extra", "missing_columns")
 
@@ -453,6 +451,74 @@ def backfill_rolling_lookback(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, performance, performance_ddl(7))
 
 
+# --- state kept beside the audit table ----------------------------------------------
+
+
+def moved_later(text: DataFrame) -> DataFrame:
+    """Later versions of the pending payments of some days: reversed, every other one on another day."""
+    pending = text.filter(F.substring("transaction_ts", 1, 10).between(BACKFILL.first, BACKFILL.last)).filter("status = 'PENDING'")
+    when = F.when(F.col("event_id") % 2 == 0, F.lit("2024-01-20 12:00:00.000000")).otherwise(F.col("transaction_ts"))
+    return pending.withColumns({"status": F.lit("REVERSED"), "transaction_ts": when, "delivery": F.lit("late")})
+
+
+def current_state_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Current payments stored once, then merged with later versions that came after."""
+    text = views.event_payments_text(spark, folder)
+    stored = bronze(spark, landed(spark, text, "csv"))
+    refresh_current(spark, stored, "run-1")
+    ingest_payments(spark, landed(spark, moved_later(text), "csv"), stored, ingest_ts=LATER_RUN)
+    refresh_current(spark, stored, "run-2")
+    return current_state(spark, stored)
+
+
+def published_reports(spark: SparkSession, folder: str) -> tuple[str, str, Publication]:
+    """Audit table, merchant file and published reports of all events."""
+    stored, merchants = event_bronze(spark, folder), staging_path(spark, "merchants-csv")
+    views.event_merchants(spark, folder).write.option("header", True).option("escape", '"').csv(merchants)
+    names = ("daily_payment_summary", "merchant_performance_7d")
+    published = Publication(staging_path(spark, "published"), {n: staging_path(spark, n) for n in names})
+    update_reports(spark, stored, merchants, published)
+    return stored, merchants, published
+
+
+def incremental_reports(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports brought up to date after later versions came, by the days these touch."""
+    stored, merchants, published = published_reports(spark, folder)
+    late = moved_later(views.event_payments_text(spark, folder))
+    ingest_payments(spark, landed(spark, late, "csv"), stored, ingest_ts=LATER_RUN)
+    update_reports(spark, stored, merchants, published)
+    return published.read(spark, "merchant_performance_7d", performance_ddl(7), "snapshot_date")
+
+
+def publish_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """A run that wrote one of both reports and broke off has changed nothing that is read."""
+    _, _, published = published_reports(spark, folder)
+    before = published.read(spark, "daily_payment_summary", DAILY_SUMMARY_DDL, "event_date")
+    doubled = before.withColumn("transaction_count", F.col("transaction_count") * 2)
+    published.write(doubled, "daily_payment_summary", "broken-off", "event_date")
+    return published.read(spark, "daily_payment_summary", DAILY_SUMMARY_DDL, "event_date")
+
+
+def damage(spark: SparkSession, pattern: str) -> None:
+    """Overwrite files with something that is no table."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in system.globStatus(location):
+        stream = system.create(found.getPath(), True)
+        stream.write(bytearray(b"PAR1 no table PAR1"))
+        stream.close()
+
+
+def bronze_damaged_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit files of one day are damaged: the ledger tells which, and the report goes without that day."""
+    stored, merchants = event_bronze(spark, folder), staging_path(spark, "merchants-csv")
+    views.event_merchants(spark, folder).write.option("header", True).option("escape", '"').csv(merchants)
+    damage(spark, f"{stored}/event_date={BACKFILL.first}/*.parquet")
+    daily = staging_path(spark, "daily")
+    build_reports(spark, stored, merchants, daily, staging_path(spark, "performance"), set_aside_damaged=True)
+    return read_table(spark, daily, DAILY_SUMMARY_DDL)
+
+
 QUERIES = {
     "daily_payment_summary": daily_payment_summary,
     "merchant_performance_7d": merchant_performance(7),
@@ -498,4 +564,8 @@ QUERIES = {
     "strict_contract_report": strict_contract_report,
     "failed_run_report": failed_run_report,
     "backfill_rolling_lookback": backfill_rolling_lookback,
+    "current_state_merge": current_state_merge,
+    "incremental_reports": incremental_reports,
+    "publish_after_failure": publish_after_failure,
+    "bronze_damaged_file": bronze_damaged_file,
 }
