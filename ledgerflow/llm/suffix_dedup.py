@@ -1,5 +1,7 @@
 """Removal of bytes covered by strings of 400 bytes that occur again, by external induced suffix sorting.
 
+Equal texts are one class: what is there twice goes whole, and takes part in the rest once.
+
 1. Every 400-byte window is represented by the smallest hash of the 128-byte pieces in it; a representative that occurs
    once settles its windows. A segment is a run of windows of one document with one representative.
 2. Equal segments are counted. Where every segment of a representative has a copy, all its windows repeat.
@@ -27,6 +29,7 @@ from ledgerflow.llm.frames import lean, lists, shuffle_width, staged
 from ledgerflow.llm.induced import Scratch, sorted_suffixes
 from ledgerflow.llm.segments import Runs, fingerprint_of_pieces, repeated_segments, runs_of_minima, sifted
 from ledgerflow.llm.substring_dedup import covered
+from ledgerflow.operators.joins import broadcast_if_small
 
 LENGTH = 400
 PIECE = 128
@@ -237,6 +240,20 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, piece: int = PIECE)
     )
 
 
+def text_classes(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """`docs` with `copies`, and (doc_id, tid, text) of one row of every text that is there more than once.
+
+    `copies` is null for a text that is there once or is too short to lose anything. Texts are told apart by 128 bits.
+    """
+    long_enough = F.octet_length("text") >= length
+    docs = docs.withColumn("tid2", F.xxhash64(F.lit(1), "text"))
+    classes = docs.filter(long_enough).groupBy("tid", "tid2").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"))
+    repeated = staged(classes.filter("copies > 1"), "text-classes")
+    marked = docs.join(broadcast_if_small(repeated), ["tid", "tid2"], "left")
+    first = marked.filter("copies is not null and doc_id = least").dropDuplicates(["tid", "tid2"]).select("doc_id", "tid", "text")
+    return marked.drop("tid2", "least"), first
+
+
 DIGEST = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
@@ -285,8 +302,13 @@ def suffix_dedup_digest(documents: DataFrame, length: int = LENGTH) -> DataFrame
     docs = documents.select(
         F.coalesce(key, F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("tid"), F.col("text").alias("text"), key.alias("shown")
     )
-    found = staged(repeated_windows(docs.drop("shown"), length), "repeated-bytes")
-    marked = sifted(docs, found, "maybe")
+    docs, copies = text_classes(docs, length)
+    single = docs.filter("copies is null").select("doc_id", "tid", "text")
+    found = staged(repeated_windows(single.unionByName(copies), length), "repeated-bytes")
+    marked = sifted(docs.filter("copies is null"), found, "maybe")
     untouched = marked.filter("not maybe").select("shown", "text").mapInArrow(digests(length), DIGEST)
     touched = marked.filter("maybe").join(found, ["doc_id", "tid"], "left").select("shown", "text", "parts")
-    return untouched.unionByName(touched.mapInArrow(digests(length), DIGEST))
+    # All of a text that is there twice starts elsewhere too.
+    all_of_it = F.array(F.struct(F.lit(0).cast("bigint").alias("start"), (F.octet_length("text") - (length - 1)).cast("bigint").alias("count")))
+    twice = docs.filter("copies is not null").select("shown", "text", all_of_it.alias("parts"))
+    return untouched.unionByName(touched.unionByName(twice).mapInArrow(digests(length), DIGEST))
