@@ -9,6 +9,7 @@ all tiles merged. The bounds lose nothing, so the result is exact.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.frames import shuffle_width, staged
-from ledgerflow.llm.vectors import matrix, vectors_of
+from ledgerflow.llm.vectors import by_length, matrix, vectors_of
 
 NEAREST = 20
 EVERY = 20
@@ -27,34 +28,34 @@ BLOCK_BYTES = 4 << 20
 
 
 def blocks_of(vectors: DataFrame) -> DataFrame:
-    """(block, ids, data): packed blocks of the vectors of each task, numbered apart."""
+    """(block, length, ids, data): packed blocks of vectors of one length, those of each task numbered apart."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        open_blocks: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
-        def out() -> pa.RecordBatch:
-            ids = np.concatenate([i for i, _ in held])
-            data = np.concatenate([d for _, d in held])
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([data.astype("<f4").tobytes()], pa.binary())],
-                ["ids", "data"],
-            )
+        def out(length: int) -> pa.RecordBatch:
+            held = open_blocks.pop(length)
+            ids = np.concatenate([i for i, _ in held]).astype("<i8").tobytes()
+            data = np.concatenate([d for _, d in held]).astype("<f4").tobytes()
+            columns = [pa.array([length], pa.int32()), pa.array([ids], pa.binary()), pa.array([data], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["length", "ids", "data"])
 
         for batch in batches:
-            ids, data = np.asarray(batch.column("vec_id")), matrix(batch.column("embedding"))
-            if not len(ids):
-                continue
-            most = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (4 * data.shape[1])))
-            for first in range(0, len(ids), most):
-                part = slice(first, first + most)
-                if held and sum(len(i) for i, _ in held) + len(ids[part]) > most:
-                    yield out()
-                held.append((ids[part], data[part]))
-        if held:
-            yield out()
-
-    packed = vectors.mapInArrow(task, "ids binary, data binary")
+            for rows in by_length(batch.column("embedding")):
+                some = batch.take(pa.array(rows))
+                ids, data = np.asarray(some.column("vec_id")), matrix(some.column("embedding"))
+                length = data.shape[1]
+                most = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (4 * length)))
+                for first in range(0, len(ids), most):
+                    part = slice(first, first + most)
+                    held = open_blocks.setdefault(length, [])
+                    if held and sum(len(i) for i, _ in held) + len(ids[part]) > most:
+                        yield out(length)
+                    open_blocks.setdefault(length, []).append((ids[part], data[part]))
+        for length in list(open_blocks):
+            yield out(length)
+
+    packed = vectors.mapInArrow(task, "length int, ids binary, data binary")
     return packed.withColumn("block", F.monotonically_increasing_id())
 
 
@@ -104,16 +105,19 @@ def nearest(embeddings: DataFrame, k: int = NEAREST, every: int = EVERY) -> Data
     """query_id, rank, vec_id, score: the k nearest of every query, which are the rows whose id divides by `every`.
 
     Ties go to the smaller vec_id. Vectors left out by `vectors_of` take no part. With fewer than k candidates, all are
-    returned. A vec_id that occurs twice is two candidates of one name; neither is a candidate of its own query. An empty
-    table gives an empty result.
+    returned. A vec_id that occurs twice is two candidates of one name; neither is a candidate of its own query. Vectors
+    are searched among those of their length. An empty table gives an empty result.
     """
     vectors = staged(vectors_of(embeddings), "vectors")
     width = shuffle_width(embeddings.sparkSession)
-    asked = staged(blocks_of(vectors.filter(F.col("vec_id") % every == 0).coalesce(1 + width // every)), "query-blocks")
+    queries = vectors.filter(F.col("vec_id") % every == 0)
+    # Queries are a small part of every scan task; a shuffle of them alone fills their blocks.
+    full = max(1, math.ceil(queries.count() / BLOCK_ROWS))
+    asked = staged(blocks_of(queries.repartition(full, "vec_id")), "query-blocks")
     offered = staged(blocks_of(vectors), "candidate-blocks")
     # Each side is copied to the tiles it belongs to: a block of one meets every block of the other.
-    numbers_q, numbers_c = asked.select(F.col("block").alias("qb")), offered.select(F.col("block").alias("cb"))
-    tiles = staged(numbers_q.join(numbers_c, F.lit(True)), "tiles")
+    numbers_q, numbers_c = (b.select("length", F.col("block").alias(n)) for b, n in ((asked, "qb"), (offered, "cb")))
+    tiles = staged(numbers_q.join(numbers_c, "length").select("qb", "cb"), "tiles")
     pairs = (
         tiles.join(asked.select(F.col("block").alias("qb"), F.col("ids").alias("q_ids"), F.col("data").alias("q")), "qb")
         .join(offered.select(F.col("block").alias("cb"), F.col("ids").alias("c_ids"), F.col("data").alias("c")), "cb")

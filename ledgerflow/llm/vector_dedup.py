@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.arrays import joined
 from ledgerflow.llm.components import components, smallest_reachable, with_component
 from ledgerflow.llm.frames import in_groups, lists, shuffle_width, staged
-from ledgerflow.llm.vectors import matrix, vectors_of
+from ledgerflow.llm.vectors import by_length, matrix, vectors_of
 
 COSINE = 0.95
 WIDTH = 2.0
@@ -54,18 +54,17 @@ def bucket_keys(x: np.ndarray, cells: int, tables: int) -> np.ndarray:
     shifts = random.uniform(0, WIDTH, tables * cells)
     grid = np.floor((x @ directions + shifts) / WIDTH).astype(np.int64).view(np.uint64)
     grid = grid.reshape(len(x), tables, cells)
-    keys = np.zeros((len(x), tables), np.uint64)
+    keys = np.full((len(x), tables), x.shape[1], np.uint64)
     for cell in range(cells):
         keys = joined(keys, np.ascontiguousarray(grid[:, :, cell]))
     return keys.view(np.int64)
 
 
-def tile_links(rows: pa.RecordBatch, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-    """(node, linked vectors, smallest linked node) of the rows of one tile, sorted by node."""
-    node = np.asarray(rows.column("node"))
-    order = np.argsort(node, kind="stable")
-    order = order[np.append(True, np.diff(node[order]) > 0)]
-    node, tile = node[order], np.asarray(rows.column("tile"))[order]
+def tile_links(rows: pa.RecordBatch, cosine: float) -> tuple[np.ndarray, ...] | None:
+    """(node, form, linked vectors, smallest linked node) of the rows of one tile, which have vectors of one length."""
+    node, form = np.asarray(rows.column("node")), np.asarray(rows.column("form"))
+    order = np.lexsort((form, node))
+    node, form, tile = node[order], form[order], np.asarray(rows.column("tile"))[order]
     size = np.asarray(rows.column("size"))[order]
     table = int(rows.column("tab")[0].as_py())
     across = rows.column("low")[0].as_py() != rows.column("high")[0].as_py()
@@ -88,59 +87,73 @@ def tile_links(rows: pa.RecordBatch, cosine: float) -> tuple[np.ndarray, np.ndar
     n_links = np.bincount(a, size[b], len(node)) + np.bincount(b, size[a], len(node))
     label = smallest_reachable(a, b, len(node))
     used = np.flatnonzero(n_links)
-    return node[used], n_links[used].astype(np.int64), node[label[used]]
+    return node[used], form[used], n_links[used].astype(np.int64), node[label[used]]
 
 
 def near_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     """One row per row of `embeddings`: vec_id, n_links, component_id, kept.
 
     Vectors left out by `vectors_of` have no link and are their own component; a null vec_id has a null component and is
-    kept. Rows of one vec_id and equal vectors are linked like other copies; with different vectors they are one node of
-    the graph. An empty table gives an empty result. Other columns are not looked at.
+    kept. Rows of one vec_id and equal vectors are linked like other copies; with different vectors each has its own links,
+    and they are one node of the graph. Vectors of different lengths are never linked. An empty table gives an empty result. Other columns are not looked at.
     """
     spark = embeddings.sparkSession
     vectors = staged(vectors_of(embeddings), "vectors")
     classes = staged(
-        vectors.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("size")), "vector-classes"
+        vectors.groupBy("embedding")
+        .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("size"))
+        # An id may name several classes, which its form tells apart.
+        .withColumn("form", F.xxhash64("embedding")),
+        "vector-classes",
     )
     cells, tables = layout(classes.count(), cosine)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x = matrix(batch.column("embedding"))
+            for rows in by_length(batch.column("embedding")):
+                part = batch.take(pa.array(rows))
+                x = matrix(part.column("embedding"))
                 keys = bucket_keys(x / np.sqrt((x * x).sum(axis=1))[:, None], cells, tables)
                 column = lists(keys.ravel(), np.arange(len(x) + 1) * tables)
-                yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, "keys"])
+                yield pa.RecordBatch.from_arrays([*part.columns, column], [*part.schema.names, "keys"])
 
     points = staged(
-        classes.mapInArrow(keyed, "embedding array<float>, node bigint, size bigint, keys array<bigint>"), "vector-keys"
+        classes.mapInArrow(keyed, "embedding array<float>, node bigint, size bigint, form bigint, keys array<bigint>"), "vector-keys"
     )
-    spots = points.select("node", F.posexplode("keys").alias("tab", "key"))
+    spots = points.select("node", "form", F.posexplode("keys").alias("tab", "key"))
     crowded = spots.groupBy("tab", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     n_tiles = F.ceil(F.col("n") / TILE)
     dealt = spots.join(crowded, ["tab", "key"]).select(
-        "node", "tab", "key", F.pmod(F.xxhash64("node"), n_tiles).alias("tile"), F.explode(F.sequence(F.lit(0).cast("bigint"), n_tiles - 1)).alias("other")
+        "node", "form", "tab", "key", F.pmod(F.xxhash64("node", "form"), n_tiles).alias("tile"), F.explode(F.sequence(F.lit(0).cast("bigint"), n_tiles - 1)).alias("other")
     )
-    dealt = dealt.select("node", "tab", "key", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
+    dealt = dealt.select("node", "form", "tab", "key", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
     groups = ["tab", "key", "low", "high"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [f for rows in in_groups(batches, groups) if rows.num_rows > 1 and (f := tile_links(rows, cosine))]
+        found = []
+        for rows in in_groups(batches, groups):
+            # Keys of different lengths are different, but for chance.
+            for same in by_length(rows.column("embedding")):
+                links = tile_links(rows.take(pa.array(same)), cosine) if len(same) > 1 else None
+                found += [links] if links else []
         if found:
             columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "n_links", "least"])
+            yield pa.RecordBatch.from_arrays(columns, ["node", "form", "n_links", "least"])
 
     met = staged(
-        dealt.join(points, "node")
+        dealt.join(points, ["node", "form"])
         .repartition(shuffle_width(spark), *groups)
         .sortWithinPartitions(*groups)
-        .mapInArrow(compare, "node bigint, n_links bigint, least bigint"),
+        .mapInArrow(compare, "node bigint, form bigint, n_links bigint, least bigint"),
         "vector-links",
     )
-    links = met.groupBy("node").agg(F.sum("n_links").alias("n_links"))
-    found = staged(components(met.select(F.col("node").alias("u"), F.col("least").alias("v"))), "components")
-    placed = with_component(classes, found, "node", "component_id").join(links, "node", "left")
+    links = met.groupBy("node", "form").agg(F.sum("n_links").alias("n_links"))
+    # An id with several vectors ties the classes they belong to.
+    several = vectors.groupBy("vec_id").agg(F.min("embedding").alias("a"), F.max("embedding").alias("b")).filter("a <> b").select("vec_id")
+    tied = vectors.join(several, "vec_id", "left_semi").join(classes, "embedding").select(F.col("vec_id").alias("u"), F.col("node").alias("v"))
+    edges = met.select(F.col("node").alias("u"), F.col("least").alias("v")).unionByName(tied)
+    found = staged(components(edges), "components")
+    placed = with_component(classes, found, "node", "component_id").join(links, ["node", "form"], "left")
     verdicts = placed.select(
         "embedding", "component_id", (F.coalesce("n_links", F.lit(0)) + F.col("size") - 1).alias("n_links")
     )

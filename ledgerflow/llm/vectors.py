@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,16 +13,21 @@ from pyspark.sql import functions as F
 def vectors_of(table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(vec_id, embedding) of the vectors that take part.
 
-    Left out are null and zero vectors, those with null or infinite or NaN components, rows without an id, and vectors
-    whose length is not the most frequent one (the smaller at a tie).
+    Left out are null and zero vectors, those with null or infinite or NaN components, and rows without an id. Vectors of
+    any number of components take part; they are compared with those that have as many.
     """
     rows = table.select(
         F.col(f"`{id_column}`").cast("bigint").alias("vec_id"), F.col(f"`{vector_column}`").cast("array<float>").alias("embedding")
     )
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = rows.filter(F.col("vec_id").isNotNull() & sound & F.exists("embedding", lambda x: x != 0))
-    lengths = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.filter(F.size("embedding") == (lengths["d"] if lengths else 0))
+    return rows.filter(F.col("vec_id").isNotNull() & sound & F.exists("embedding", lambda x: x != 0))
+
+
+def by_length(column: pa.Array) -> Iterator[np.ndarray]:
+    """Rows of a column of lists, one group per length."""
+    lengths = np.diff(np.asarray(column.offsets))
+    for length in np.unique(lengths):
+        yield np.flatnonzero(lengths == length)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
