@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +43,9 @@ FEATURES = 384
 WIDTH = 4.0
 RIDGE = 1.0
 SEED = 20240118
-# Groups of tasks whose sums reach the driver, and bins of the scores that calibration sees.
-GROUPS = 8
+# Groups in which the sums of tasks are added, level by level; those of the last reach the driver. Bins of the scores that
+# calibration sees.
+LEVELS = (512, 64, 8)
 BINS = 400
 THRESHOLD = 0.7
 SLICE_BYTES = 1 << 20
@@ -186,14 +186,24 @@ def normal_equations(rows: DataFrame, features: Features) -> tuple[np.ndarray, n
                 total[:, :-1] += phi.T @ phi
                 total[:, -1] += phi.T @ np.asarray(part.column("label")).astype(np.float64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId() % GROUPS]), pa.array([total.tobytes()], pa.binary())], ["part", "sums"]
+            [pa.array([TaskContext.get().partitionId()]), pa.array([total.tobytes()], pa.binary())], ["part", "sums"]
         )
 
-    def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(s, np.float64) for s in pdf["sums"])
-        return pd.DataFrame({"part": pdf["part"].iloc[:1], "sums": [total.tobytes()]})
-
-    partial = rows.mapInArrow(per_task, "part bigint, sums binary").groupBy("part").applyInPandas(added, "part bigint, sums binary")
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One sum of a group, as its rows stream in."""
+        total, least = None, None
+        for batch in batches:
+            for part, sums in zip(*(batch.column(c).to_pylist() for c in ("part", "sums")), strict=True):
+                total = np.frombuffer(sums, np.float64) + (0 if total is None else total)
+                least = part if least is None else min(least, part)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([least]), pa.array([total.tobytes()], pa.binary())], ["part", "sums"])
+
+    partial = rows.mapInArrow(per_task, "part bigint, sums binary")
+    tasks = rows.rdd.getNumPartitions()
+    for groups in LEVELS:
+        if tasks > groups:
+            partial = partial.repartition(groups, "part").mapInArrow(added, "part bigint, sums binary")
     total = np.zeros((FEATURES + 1) * (FEATURES + 2))
     for row in partial.orderBy("part").collect():
         total += np.frombuffer(row["sums"], np.float64)
