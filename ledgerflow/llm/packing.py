@@ -29,8 +29,8 @@ TIE_BITS = 63 - DIMENSIONS * CURVE_BITS
 HASHED = 64
 # Tokens a range of the curve should hold.
 RANGE_TOKENS = 4_000_000
-# Words whose ids a task remembers, twice over (about 25 MB each), and words it looks up at a time.
-REMEMBERED = 60_000
+# Words whose ids a task remembers, twice over (about 50 MB each), and words it looks up at a time.
+REMEMBERED = 120_000
 LONGEST_REMEMBERED = 64
 TOGETHER = 500
 # Bytes of text that are encoded at once.
