@@ -53,7 +53,8 @@ IS_BREAK = np.zeros(256, np.uint8)
 IS_BREAK[list(BREAKS)] = 1
 IS_BETWEEN = (IS_BREAK > 0) | IS_SPACE & np.isin(np.arange(256), (0x20, 0x09))
 
-COUNTS = "lang string, phrase string, n bigint"
+# While phrases are counted, language and phrase are one text; no phrase has a line feed.
+COUNTS = "key string, n bigint"
 
 
 def language_hash(lang: str) -> np.uint64:
@@ -122,24 +123,24 @@ class Phrases:
             yield from self.overflow()
 
     def runs(self, subtrees: Iterator[tuple[list[int], list[int]]]) -> Iterator[pa.RecordBatch]:
-        """Subtrees as runs of (lang, phrase, n), sorted by the numbers of their words."""
+        """Subtrees as runs of (key, n), sorted by the numbers of their words."""
+        first_of: pa.Array | None = None
         words_of: pa.Array | None = None
         keys, counts = [], []
 
         def run() -> pa.RecordBatch:
-            nonlocal words_of, langs
-            if words_of is None:
+            nonlocal first_of, words_of
+            if first_of is None:
+                first_of = pa.array([g.encode() + b"\n" + w for g, w in self.number], pa.binary())
                 words_of = pa.array([w for _, w in self.number], pa.binary())
-                langs = pa.array([g for g, _ in self.number], pa.string())
             numbers, n = unpacked(keys, self.size), np.array(counts, np.int64)
             order = np.lexsort(numbers.T[::-1])
             columns = [pa.array(numbers[order, i]) for i in range(self.size)]
-            phrase = words_of.take(columns[0])
+            phrase = first_of.take(columns[0])
             if self.size > 1:
-                phrase = pc.binary_join_element_wise(*[words_of.take(c) for c in columns], b" ")
-            return pa.RecordBatch.from_arrays([langs.take(columns[0]), phrase.cast(pa.string()), pa.array(n[order])], ["lang", "phrase", "n"])
+                phrase = pc.binary_join_element_wise(phrase, *[words_of.take(c) for c in columns[1:]], b" ")
+            return pa.RecordBatch.from_arrays([phrase.cast(pa.string()), pa.array(n[order])], ["key", "n"])
 
-        langs: pa.Array | None = None
         for more, ns in subtrees:
             keys += more
             counts += ns
@@ -161,7 +162,7 @@ class Phrases:
 
 
 def counted(size: int, frequent: np.ndarray | None):
-    """A task from (lang, text) to counts of its phrases, and with a null phrase to those of all words (one word only)."""
+    """A task from (lang, text) to counts of its phrases, and with an empty phrase to those of all words (one word only)."""
 
     @lean
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,8 +177,8 @@ def counted(size: int, frequent: np.ndarray | None):
         yield from phrases.rest()
         totals = phrases.totals
         if size == 1 and totals:
-            columns = [pa.array(list(totals), pa.string()), pa.nulls(len(totals), pa.string()), pa.array(list(totals.values()), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
+            names = pa.array([f"{name}\n" for name in totals], pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.array(list(totals.values()), pa.int64())], ["key", "n"])
 
     return task
 
@@ -197,11 +198,11 @@ def phrase_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def merged_counts(runs: DataFrame, size: int) -> DataFrame:
-    """Sums of runs. They meet by language and the first two words, so a prefix of many phrases is split."""
+    """(key, n): sums of runs. They meet by language and the first two words, so a prefix of many phrases is split."""
     if size <= 2:
-        return runs.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    prefix = F.substring_index("phrase", " ", 2)
-    return runs.repartition("lang", prefix).groupBy("lang", prefix, "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
+        return runs.repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+    prefix = F.substring_index("key", " ", 2)
+    return runs.repartition(prefix).groupBy(prefix, "key").agg(F.sum("n").alias("n")).select("key", "n")
 
 
 def frequent_phrases(documents: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST_COUNT) -> list[DataFrame]:
@@ -220,8 +221,10 @@ def frequent_phrases(documents: DataFrame, max_words: int = MAX_WORDS, least: in
             def task(batches, size=size, shared=shared):
                 return counted(size, shared.value)(batches)
 
-        merged = merged_counts(texts.mapInArrow(task, COUNTS), size)
-        levels.append(staged(merged.filter(F.col("phrase").isNull() | (F.col("n") >= least)), f"phrases-{size}"))
+        merged = merged_counts(texts.mapInArrow(task, COUNTS), size).filter((F.col("n") >= least) | F.endswith("key", F.lit("\n")))
+        phrase = F.substring_index("key", "\n", -1)
+        lang = F.substring("key", F.lit(1), F.length("key") - F.length(phrase) - 1)
+        levels.append(staged(merged.select(lang.alias("lang"), F.nullif(phrase, F.lit("")).alias("phrase"), "n"), f"phrases-{size}"))
     return levels
 
 
