@@ -1,4 +1,4 @@
-"""Indexes beside the audit table: stored hashes by day, and the days that hold a transaction.
+"""Indexes beside the audit table: stored hashes, and the days that hold a transaction.
 
 Both are bucketed, so looking something up shuffles what is looked up and not the index. They are written after the rows
 they cover and before the ledger of files. A day whose files are not exactly those of the ledger (a run that broke off,
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.dedup import as_bytes
@@ -23,7 +23,8 @@ FEW_KEYS = 64
 
 
 def hash_index(table: str) -> Bucketed:
-    return Bucketed(state_path(table, "hashes"), "hash binary, event_date string", "hash", "event_date")
+    """Hashes by month, one file per run and bucket; the days of a run's file are in its statistics."""
+    return Bucketed(state_path(table, "hashes"), "hash binary, event_date string, month string", "hash", "month")
 
 
 def id_index(table: str) -> Bucketed:
@@ -31,10 +32,15 @@ def id_index(table: str) -> Bucketed:
     return Bucketed(state_path(table, "ids"), "id_hash bigint, event_date string", "id_hash")
 
 
+def month_of(day: Column) -> Column:
+    return F.substring(day, 1, 7)
+
+
 def index_rows(spark: SparkSession, table: str, rows: DataFrame, run_id: str) -> None:
     """Cover `rows`, just appended to the table and scanned from it: indexes first, then the ledger."""
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hash_index(table).append(rows.select(as_bytes().alias("hash"), "event_date").distinct(), buckets)
+    hashes = rows.select(as_bytes().alias("hash"), "event_date").distinct()
+    hash_index(table).append(hashes.withColumn("month", month_of(F.col("event_date"))), buckets)
     id_index(table).append(rows.select(F.xxhash64("transaction_id").alias("id_hash"), "event_date").distinct(), buckets)
     record_files(spark, table, file_shapes(spark, table, rows), run_id)
 
@@ -54,7 +60,8 @@ def stored_hashes(spark: SparkSession, table: str, dates: Iterable[str]) -> Data
     if index is None:
         return read_hashes(spark, table, wanted).select(as_bytes().alias("hash"))
     late = wanted.intersection(d for d in untrusted_days(spark, table) if d is not None)
-    found = index.filter(F.col("event_date").isin(sorted(wanted - late))).select("hash")
+    days = sorted(wanted - late)
+    found = index.filter(F.col("month").isin(sorted({d[:7] for d in days})) & F.col("event_date").isin(days)).select("hash")
     return found.unionByName(read_hashes(spark, table, late).select(as_bytes().alias("hash"))) if late else found
 
 
