@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.session import shared_folder
+from ledgerflow.session import delete_path, shared_folder
 
 
 # Bytes of one batch on its way to Python and back; workers hold a few at a time.
@@ -32,10 +32,32 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_folder(spark)}/llm/{label}-{uuid4().hex}"
+    if _unfinished:
+        _unfinished[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Paths staged for the results that are being made, innermost last.
+_unfinished: list[list[str]] = []
+
+
+def finished(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Stage what `make` returns and delete all else that was staged for it, also if it fails."""
+    paths: list[str] = []
+    _unfinished.append(paths)
+    done = None
+    try:
+        result = make()
+        inner = list(paths)
+        done = staged(result, label)
+    finally:
+        _unfinished.remove(paths)
+        for path in paths if done is None else inner:
+            delete_path(spark, path)
+    return done
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete staged tables that nothing reads any more."""
     for frame in frames:

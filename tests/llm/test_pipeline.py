@@ -83,3 +83,30 @@ def test_every_operator_is_registered():
     assert set(QUERIES) <= names
     assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)) and "pipeline" in names
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_a_run_leaves_its_result_alone(documents, tmp_path):
+    from pathlib import Path
+
+    from ledgerflow.session import shared_folder
+
+    spark = documents.sparkSession
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+
+    def left():
+        return {p.name for p in Path(shared_folder(spark).removeprefix("file:")).glob("llm/*")}
+
+    before = left()
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    assert result.count() > 0
+    assert {name.rsplit("-", 1)[0] for name in left() - before} == {"pipeline-packing"}
+    before = left()
+    from ledgerflow.llm.frames import finished, staged
+
+    def broken():
+        staged(documents.limit(1), "part")
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        finished(spark, broken, "never")
+    assert left() == before
