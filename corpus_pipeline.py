@@ -2,6 +2,9 @@
 
 `run(spark, folder)` applies them to `folder`/documents.parquet. Stages return the columns of documents, the last one the
 pieces of sequences.
+
+Every stage takes null, empty and blank texts, repeated rows and ids, null ids, empty tables and further columns; what each
+does with them is said by the operator it calls.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm.frames import staged
+from ledgerflow.llm.frames import discard, finished
 from ledgerflow.llm.language_id import recognised
 from ledgerflow.llm.mixing import mixed_documents
 from ledgerflow.llm.near_dup import Rule, near_dedup
@@ -60,6 +63,11 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, folder: str) -> DataFrame:
     """The pieces of sequences made of `folder`/documents.parquet."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
+    before: list[DataFrame] = []
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, folder), f"pipeline-{name}")
+        given = docs
+        docs = finished(spark, lambda: stage(spark, given, folder), f"pipeline-{name}")
+        # What a stage staged goes with its end, and its documents with the end of the next one.
+        discard(*before)
+        before = [docs]
     return docs
