@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 # Up to this window, adding every active day to each snapshot it reaches is the
 # cheaper way; its cost grows with N, that of running sums does not. Whole
-# numbers and decimals come out the same either way.
+# numbers and decimals, as which money is added, come out the same either way.
 SPREAD_DAYS = 60
 
 

@@ -19,6 +19,7 @@ from ledgerflow.functions.measures import (
     RATE_DIGITS,
     approval_rate,
     exact_part,
+    fine_part,
     inexact_part,
     money,
     ratio,
@@ -74,8 +75,10 @@ def current_payments(audit: DataFrame, tie_breakers: Sequence[str] = VERSION_TIE
 def daily_totals(current: DataFrame, payment_method: str = CARD) -> DataFrame:
     """Counts and sums per (event_date, merchant_id, currency, status).
 
-    Money of at most two digits is added as decimals, so its sums do not depend
-    on how rows are partitioned; other amounts are added as doubles beside it.
+    Money is added as whole numbers: two digits after the point as decimals,
+    finer fractions in units of 2^-62, so sums do not depend on how rows are
+    partitioned. Only what no such unit holds (1e300, inf, digits of amounts
+    below 0.001) is added as doubles beside it.
     Partial aggregation runs before the shuffle, so a merchant with a third of
     all payments sends one row per task and group.
     """
@@ -86,6 +89,7 @@ def daily_totals(current: DataFrame, payment_method: str = CARD) -> DataFrame:
             F.count("transaction_id").alias("transactions"),
             F.count(F.lit(1)).alias("payments"),
             F.sum(exact_part(F.col("amount"))).alias("amount_exact"),
+            F.sum(fine_part(F.col("amount"))).alias("amount_fine"),
             F.sum(inexact_part(F.col("amount"))).alias("amount_inexact"),
             F.count("amount").alias("amounts"),
             F.max("amount").alias("amount_max"),
@@ -129,7 +133,7 @@ def daily_payment_summary(totals: DataFrame, merchants: DataFrame, rules: Report
     attributes = merchants.select("merchant_id", "merchant_name", "merchant_category")
     lookup = attributes.groupBy(*attributes.columns).agg(F.count(F.lit(1)).alias("copies"))
     copies = F.coalesce("copies", F.lit(1))
-    total = money(F.col("amount_exact"), F.col("amount_inexact"))
+    total = money(F.col("amount_exact"), F.col("amount_fine"), F.col("amount_inexact"))
     return (
         with_daily_approval_rate(totals, rules)
         .join(broadcast_if_small(lookup, bound=attributes), "merchant_id", "left")
@@ -150,7 +154,7 @@ def daily_payment_summary(totals: DataFrame, merchants: DataFrame, rules: Report
     )
 
 
-PERFORMANCE_SUMS = ["payments", "approved_exact", "approved_inexact", "rated_approved", "rated_decided", "reversals"]
+PERFORMANCE_SUMS = ["payments", "approved_exact", "approved_fine", "approved_inexact", "rated_approved", "rated_decided", "reversals"]
 
 
 def merchant_days(totals: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
@@ -168,6 +172,7 @@ def merchant_days(totals: DataFrame, rules: ReportRules = ReportRules()) -> Data
         .agg(
             F.sum("payments").alias("payments"),
             F.coalesce(F.sum(F.when(approved, F.col("amount_exact"))), F.lit(0)).cast("decimal(38,2)").alias("approved_exact"),
+            F.coalesce(F.sum(F.when(approved, F.col("amount_fine"))), F.lit(0)).cast("decimal(38,0)").alias("approved_fine"),
             F.sum(F.when(approved, F.col("amount_inexact"))).alias("approved_inexact"),
             F.sum(_rated([rules.approved_status])).alias("rated_approved"),
             F.sum(_rated(rules.denominator_statuses)).alias("rated_decided"),
@@ -199,7 +204,7 @@ def merchant_performance(totals: DataFrame, merchants: DataFrame, rules: ReportR
     days = merchant_days(totals, rules)
     sums = trailing_sums(days, "merchant_id", PERFORMANCE_SUMS, snapshot_days(totals), window_days)
     copies = F.coalesce("copies", F.lit(1))
-    approved = money(F.col("approved_exact"), F.col("approved_inexact"))
+    approved = money(F.col("approved_exact"), F.col("approved_fine"), F.col("approved_inexact"))
     measures = {
         "total_transactions": F.col("payments") * copies,
         "total_approved_amount": round_to(approved * copies, MONEY_DIGITS),

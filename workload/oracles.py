@@ -232,6 +232,9 @@ ORACLES = {
                CASE WHEN status = 'REVERSED' THEN 'b.csv' ELSE 'a.csv' END AS source_file,
                CAST(CASE WHEN status <> 'REVERSED' AND line_status = 'F' THEN 2 ELSE 1 END AS BIGINT) AS copies
         FROM lines""",
+    "exact_sums": """SELECT CAST(l_suppkey AS VARCHAR) AS merchant_id,
+               round(fsum(CAST(l_extendedprice AS DOUBLE) * (1 - CAST(l_discount AS DOUBLE)) * (1 + CAST(l_tax AS DOUBLE)) / 7), 4) AS total_amount
+        FROM lineitem GROUP BY l_suppkey""",
     "cast_amount": f"WITH {SOILED}, {typed('soiled')} SELECT transaction_id, amount FROM typed",
     "cast_timestamp": f"""WITH {SOILED}, {typed('soiled')}
         SELECT transaction_id, CAST(epoch_us(transaction_ts) AS VARCHAR) AS transaction_micros FROM typed""",

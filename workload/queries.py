@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.hashing import record_hash
+from ledgerflow.functions.measures import exact_part, fine_part, inexact_part, money, round_to
 from ledgerflow.functions.measures import reversal_rate as rate_of_reversals
 from ledgerflow.layout import DAILY_SUMMARY_DDL, PAYMENT_COLUMNS, performance_ddl
 from ledgerflow.operators.dates import DateRange
@@ -61,6 +62,19 @@ def merchant_performance(window_days: int):
     return query
 
 
+def exact_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums of amounts with many digits, by merchant."""
+    lines = views.table(spark, folder, "lineitem")
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")) / 7
+    parts = lines.select(F.col("l_suppkey").cast("string").alias("merchant_id"), amount.cast("double").alias("amount"))
+    sums = parts.groupBy("merchant_id").agg(
+        F.sum(exact_part(F.col("amount"))).alias("exact"),
+        F.sum(fine_part(F.col("amount"))).alias("fine"),
+        F.sum(inexact_part(F.col("amount"))).alias("inexact"),
+    )
+    return sums.select("merchant_id", round_to(money(F.col("exact"), F.col("fine"), F.col("inexact")), 4).alias("total_amount"))
+
+
 def approval_rate(spark: SparkSession, folder: str) -> DataFrame:
     rates = reports.daily_approval_rates(line_totals(spark, folder))
     return rates.withColumn("event_date", F.col("event_date").cast("string"))
@@ -526,6 +540,7 @@ QUERIES = {
     "merchant_performance_1d": merchant_performance(1),
     "merchant_performance_90d": merchant_performance(90),
     "latest_status_per_txn": latest_status_per_txn,
+    "exact_sums": exact_sums,
     "approval_rate": approval_rate,
     "reversal_rate": reversal_rate,
     "active_days": active_days,
