@@ -27,8 +27,8 @@ DIMENSIONS = 3
 CURVE_BITS = 10
 TIE_BITS = 63 - DIMENSIONS * CURVE_BITS
 HASHED = 64
-# Tokens a range of the curve should hold.
-RANGE_TOKENS = 4_000_000
+# Tokens a range of the curve should hold: 128 MB, sorted by Spark; the driver holds a few numbers per range.
+RANGE_TOKENS = 64_000_000
 # Words whose ids a task remembers, twice over (about 50 MB each), and words it looks up at a time.
 REMEMBERED = 120_000
 LONGEST_REMEMBERED = 64
