@@ -232,6 +232,13 @@ ORACLES = {
                CASE WHEN status = 'REVERSED' THEN 'b.csv' ELSE 'a.csv' END AS source_file,
                CAST(CASE WHEN status <> 'REVERSED' AND line_status = 'F' THEN 2 ELSE 1 END AS BIGINT) AS copies
         FROM lines""",
+    "code_lists": f"""WITH {LINES}
+        SELECT payment_method, count(*) AS payments, CASE payment_method WHEN 'CASH' THEN 'false' ELSE 'true' END AS allowed
+        FROM (SELECT CASE WHEN part % 7 = 0 THEN 'CASH' ELSE payment_method END AS payment_method FROM lines) GROUP BY payment_method""",
+    "empty_write": f"WITH {LINES} SELECT status, count(*) AS rows, 'false' AS written_before FROM lines GROUP BY status",
+    "run_ids": f"""WITH {TEXT}
+        SELECT CASE WHEN source_file < 'delivery=week4' THEN '2024-02-01' ELSE '2024-02-02' END AS ingest_day, count(*) AS rows
+        FROM clean GROUP BY ALL""",
     "exact_sums": """SELECT CAST(l_suppkey AS VARCHAR) AS merchant_id,
                round(fsum(CAST(l_extendedprice AS DOUBLE) * (1 - CAST(l_discount AS DOUBLE)) * (1 + CAST(l_tax AS DOUBLE)) / 7), 4) AS total_amount
         FROM lineitem GROUP BY l_suppkey""",

@@ -23,10 +23,10 @@ from ledgerflow.plans.audit import read_manifest, read_report
 from ledgerflow.plans.bronze import gate_report, ingest_merchants, ingest_payments
 from ledgerflow.plans.gold import build_reports, update_reports
 from ledgerflow.plans.state import current_state, refresh_current
-from ledgerflow.session import stage, staging_path
+from ledgerflow.session import path_exists, stage, staging_path
 from ledgerflow.sources.deliveries import Landing, read_deliveries, read_landing
 from ledgerflow.sources.columns import read_evolved, register_views
-from ledgerflow.sources.tables import overwrite_partitions, read_bronze, read_bronze_merchants, read_table
+from ledgerflow.sources.tables import append_flat, overwrite_partitions, read_bronze, read_bronze_merchants, read_table
 from ledgerflow.sources.versions import Publication
 from workload import views
 
@@ -201,6 +201,34 @@ def pii_free_projection(spark: SparkSession, folder: str) -> DataFrame:
     return reports.current_payments(typed).withColumn("event_date", F.col("event_date").cast("string"))
 
 
+def code_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Payments per method, with some of a method no report knows, and whether a report may be about that method."""
+    lines = views.line_payments(spark, folder)
+    method = F.when(F.col("part") % 7 == 0, F.lit("CASH")).otherwise(F.col("payment_method"))
+    counts = lines.groupBy(method.alias("payment_method")).agg(F.count(F.lit(1)).alias("payments"))
+
+    def allowed(name: str) -> str:
+        try:
+            reports.ReportRules(payment_method=name)
+        except ValueError:
+            return "false"
+        return "true"
+
+    rows = [(r[0], allowed(r[0])) for r in counts.select("payment_method").collect()]
+    return counts.join(spark.createDataFrame(rows, "payment_method string, allowed string"), "payment_method")
+
+
+def empty_write(spark: SparkSession, folder: str) -> DataFrame:
+    """Appending no rows writes nothing, appending all of them afterwards a table."""
+    path = staging_path(spark, "flat")
+    lines = views.line_payments(spark, folder).select("status", "amount")
+    append_flat(lines.filter("amount < 0"), path)
+    there = str(path_exists(spark, path)).lower()
+    append_flat(lines, path)
+    stored = read_table(spark, path, "status string, amount double")
+    return stored.groupBy("status").agg(F.count(F.lit(1)).alias("rows"), F.lit(there).alias("written_before"))
+
+
 # --- deliveries -----------------------------------------------------------------
 
 
@@ -297,6 +325,16 @@ def idempotent_rerun(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def run_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs that were given no id, the later with all deliveries: rows of each, under ids of their own."""
+    text = views.event_payments_text(spark, folder)
+    path = staging_path(spark, "bronze")
+    ingest_payments(spark, landed(spark, text.filter("delivery < 'week4'"), "csv"), path, ingest_ts=FIRST_RUN)
+    ingest_payments(spark, landed(spark, text, "csv"), path, ingest_ts=LATER_RUN)
+    runs = read_bronze(spark, path).groupBy("ingest_run_id", "ingest_ts").agg(F.count(F.lit(1)).alias("rows"))
+    return runs.select(F.date_format("ingest_ts", "yyyy-MM-dd").alias("ingest_day"), "rows")
+
+
 def scan_partition_prune(spark: SparkSession, folder: str) -> DataFrame:
     path = event_bronze(spark, folder)
     return read_bronze(spark, path, BACKFILL.days(), ["transaction_id", "amount", "event_date"])
@@ -541,6 +579,9 @@ QUERIES = {
     "merchant_performance_90d": merchant_performance(90),
     "latest_status_per_txn": latest_status_per_txn,
     "exact_sums": exact_sums,
+    "code_lists": code_lists,
+    "empty_write": empty_write,
+    "run_ids": run_ids,
     "approval_rate": approval_rate,
     "reversal_rate": reversal_rate,
     "active_days": active_days,
