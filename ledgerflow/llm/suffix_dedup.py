@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.arrays import joined, mixed, sliding_minimum, slices, text_bytes
+from ledgerflow.llm.arrays import MULTIPLIER, mixed, sliding_minimum, slices, text_bytes
 from ledgerflow.llm.frames import lean, lists, shuffle_width, staged
 from ledgerflow.llm.induced import Scratch, sorted_suffixes
 from ledgerflow.llm.segments import Runs, fingerprint_of_pieces, repeated_segments, runs_of_minima, sifted
@@ -43,19 +43,25 @@ END, GAP, FIRST = 0, 1, 2
 
 
 def piece_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the `size` bytes from every position on, by doubling; `size` is 8 at least."""
+    """Hash of the `size` bytes from every position on, by doubling; `size` is 8 at least.
+
+    A polynomial over mixed pieces of eight bytes, mixed again at the end: equal bytes have equal hashes, and should
+    different ones have, more is compared later and nothing else.
+    """
     padded = np.zeros(len(data) + 8, np.uint8)
     padded[: len(data)] = data
     hashes = mixed(np.ndarray((len(data),), "<u8", padded, strides=(1,)).copy())
-    covered_bytes = 8
+    covered_bytes, factor = 8, int(MULTIPLIER)
     while covered_bytes < size:
         # The last step may overlap: both pieces together still hold all the bytes.
         step = min(covered_bytes, size - covered_bytes)
         if len(hashes) <= step:
             return hashes[:0]
-        hashes = joined(hashes[:-step], hashes[step:])
+        hashes = hashes[:-step] * np.uint64(factor) + hashes[step:]
+        # Odd, and another one for every level.
+        factor = factor * int(MULTIPLIER) & (1 << 64) - 1
         covered_bytes += step
-    return hashes[: max(0, len(data) - size + 1)]
+    return mixed(hashes[: max(0, len(data) - size + 1)])
 
 
 def recurs(hashes: np.ndarray, value: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
