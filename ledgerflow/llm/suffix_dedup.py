@@ -33,7 +33,7 @@ from ledgerflow.operators.joins import broadcast_if_small
 
 LENGTH = 400
 PIECE = 128
-# Bytes a shard should hold, and the most bytes of one representative in it.
+# Bytes a shard should hold at most: shards are dealt to hold half of that on average. The most bytes of one representative.
 SHARD_BYTES = 2 << 20
 KEY_BYTES = SHARD_BYTES // 8
 # The id of a row without one, inside the job.
@@ -215,7 +215,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, piece: int = PIECE)
     doubtful = doubtful.filter("least = 1 and (n > 1 or inner)").select("fp", (F.col("bytes") > KEY_BYTES).alias("large"))
     wanted = staged(segments.join(staged(doubtful, "byte-keys"), "fp").select("fp", "seg", single, "place", "large"), "byte-doubtful")
     totals = {r["large"]: r["total"] for r in wanted.groupBy("large").agg(F.sum(n_bytes).alias("total")).collect()}
-    shards = max(shuffle_width(spark), math.ceil(totals.get(False, 0) / SHARD_BYTES))
+    shards = max(shuffle_width(spark), math.ceil(2 * totals.get(False, 0) / SHARD_BYTES))
 
     def bytes_of(chosen: DataFrame) -> DataFrame:
         parts = chosen.groupBy("place.doc_id", "place.tid").agg(
