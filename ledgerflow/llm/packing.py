@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -93,14 +94,18 @@ class WordTokenizer:
         Words of usual small letters go straight to the tokenizer's model, which is what its earlier steps leave of them.
         The others are encoded many in one text: where an id begins tells its word.
         """
-        others = []
-        model = self.tokenizer.model
+        every = " ".join(words)
+        # Almost always all words are usual and small; then one look at all of them together tells.
+        usual = UNUSUAL.search(every) is None and every == every.lower()
+        plain, others = [], []
         for word in words:
-            if word.isalpha() and word == word.lower() and UNUSUAL.search(word) is None:
-                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(SPELLED)
-                self.known[word] = np.array([t.id for t in model.tokenize(spelled)], "<u4").tobytes()
-            else:
-                others.append(word)
+            small = word.isalpha() and (usual or (word == word.lower() and UNUSUAL.search(word) is None))
+            (plain if small else others).append(word)
+        tokenize, known = self.tokenizer.model.tokenize, self.known
+        for word in plain:
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(SPELLED)
+            ids = [t.id for t in tokenize(spelled)]
+            known[word] = struct.pack(f"<{len(ids)}I", *ids)
         words = others
         for first in range(0, len(words), TOGETHER):
             some = words[first : first + TOGETHER]
@@ -118,10 +123,10 @@ class WordTokenizer:
             self.older, self.known = self.known, {}
         end = np.array([END], "<u4").tobytes()
         pieces = [self.words(text) for text in texts]
-        new = set().union(*pieces).difference(self.known)
-        again = new.intersection(self.older)
-        self.known.update((w, self.older[w]) for w in again)
-        self.learn(sorted(new - again))
+        known, older = self.known, self.older
+        new = {w for words in pieces for w in words if w not in known}
+        known.update((w, older[w]) for w in new if w in older)
+        self.learn(sorted(w for w in new if w not in known))
         result = [b"".join(map(self.known.__getitem__, words)) + end for words in pieces]
         for word in new:
             if len(word) > LONGEST_REMEMBERED:
