@@ -44,10 +44,11 @@ class Bucketed:
         """Name of the catalog entry, made if the session has none."""
         name = f"ledgerflow_{sha256(qualified_path(spark, folder).encode()).hexdigest()[:24]}"
         if not spark.catalog.tableExists(name):
+            quoted = folder.replace("\\", "\\\\").replace("'", "\\'")
             partitioned = f"PARTITIONED BY ({self.partition}) " if self.partition else ""
             spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({self.ddl}) USING parquet {partitioned}"
-                f"CLUSTERED BY ({self.key}) INTO {buckets} BUCKETS LOCATION '{folder}'"
+                f"CLUSTERED BY ({self.key}) INTO {buckets} BUCKETS LOCATION '{quoted}'"
             )
             if self.partition and spark.conf.get("spark.sql.catalogImplementation") == "hive":
                 spark.catalog.recoverPartitions(name)

@@ -150,7 +150,7 @@ def test_backfill_reads_the_days_the_index_names(lake, few, monkeypatch):
 
 
 def test_buckets_keep_their_number_and_null_keys(spark, tmp_path):
-    table = Bucketed(str(tmp_path / "t"), "k bigint, v string", "k")
+    table = Bucketed(str(tmp_path / "it's"), "k bigint, v string", "k")
     assert table.read(spark) is None
     table.append(spark.createDataFrame([(1, "a"), (None, "b")], "k bigint, v string"), 3)
     table.append(spark.createDataFrame([(2, "c")], "k bigint, v string"), 7)
