@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.dedup import drop_stored, first_delivery_wins, latest_per_transaction
+from ledgerflow.operators.dedup import drop_stored, first_delivery_wins, latest_per_transaction, most_copies
 from payments import audit, payment
 
 
@@ -52,6 +52,25 @@ def test_first_delivery_wins_equals_sequential_loading(spark, seed):
     assert Counter((r[0], r[1]) for r in kept) == one_after_another(rows)
 
 
+def test_first_delivery_of_hashes_as_text_or_bytes_hot_or_not(spark):
+    low, high = "ab" * 32, "AB" * 32  # one hash in two spellings
+    rows = [("b", low), ("a", high), ("a", high), ("b", "x"), (None, "x"), ("c", "x"), ("b", None), ("a", None), (None, low)]
+    batch = spark.createDataFrame(rows, "source_file string, record_hash string")
+    packed = batch.withColumn("record_hash", F.coalesce(F.unhex("record_hash"), F.encode("record_hash", "UTF-8")))
+    assert most_copies(batch) == most_copies(packed) == 4
+    wanted = Counter([("a", high), ("a", high), (None, low), ("b", "x"), (None, "x"), ("b", None), ("a", None)])
+    for limit in (3, 100):
+        assert Counter(map(tuple, first_delivery_wins(batch, limit).collect())) == wanted
+        assert Counter(r[0] for r in first_delivery_wins(packed, limit).collect()) == Counter(w[0] for w in wanted.elements())
+
+
+def test_first_delivery_shuffles_once(spark, capsys):
+    rows = [(f"d{n % 3}.csv", f"t{n % 20}", f"h{n % 20}".encode()) for n in range(90)]
+    kept = first_delivery_wins(spark.createDataFrame(rows, "source_file string, transaction_id string, record_hash binary"))
+    kept.groupBy("transaction_id", "record_hash", "source_file").count().explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(") == 1
+
+
 def test_newest_version_wins(spark):
     rows = [
         payment("T1", status="PENDING") | {"ingest_ts": "2024-02-01 00:00:00"},

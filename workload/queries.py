@@ -122,13 +122,14 @@ def dedup_anti_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def first_file_wins(spark: SparkSession, folder: str) -> DataFrame:
-    hashed = hashed_lines(spark, folder).select("transaction_id", "record_hash", "status", "line_status")
-    lines = stage(hashed, "hashed-lines")
+    hashed = hashed_lines(spark, folder).withColumn("record_hash", F.unhex("record_hash"))
+    lines = stage(hashed.select("transaction_id", "record_hash", "status", "line_status"), "hashed-lines")
     original = lines.filter("status <> 'REVERSED'").withColumn("source_file", F.lit("a.csv"))
     repeated = original.filter("line_status = 'F'")
     resubmitted = lines.withColumn("source_file", F.lit("b.csv"))
     kept = first_delivery_wins(original.unionByName(repeated).unionByName(resubmitted))
-    return kept.groupBy("transaction_id", "record_hash", "source_file").agg(F.count(F.lit(1)).alias("copies"))
+    counts = kept.groupBy("transaction_id", "record_hash", "source_file").agg(F.count(F.lit(1)).alias("copies"))
+    return counts.withColumn("record_hash", F.lower(F.hex("record_hash")))
 
 
 # --- text, types and hashes over events -----------------------------------------
