@@ -157,17 +157,37 @@ def daily_payment_summary(totals: DataFrame, merchants: DataFrame, rules: Report
 PERFORMANCE_SUMS = ["payments", "approved_exact", "approved_fine", "approved_inexact", "rated_approved", "rated_decided", "reversals"]
 
 
-def merchant_days(totals: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
+# Rows of a merchant table that one task adds up: some 300 MB, as a row takes about 500 bytes there.
+TASK_ROWS = 500_000
+
+
+def merchant_tasks(totals: DataFrame, window_days: int, task_rows: int = TASK_ROWS) -> int:
+    """Tasks over merchants, so that each has about `task_rows` rows of a `window_days` table.
+
+    A shuffle of the totals says little about that: a row of them turns into as many as the window has days, but no
+    merchant has more rows than there are snapshots. Merchants and days are estimated, in one pass over the totals.
+    """
+    size = totals.filter(F.col("event_date").isNotNull() & F.col("merchant_id").isNotNull()).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.approx_count_distinct("merchant_id").alias("merchants"),
+        F.approx_count_distinct("event_date").alias("days"),
+    ).first()
+    rows = min(size["rows"] * window_days, max(size["rows"], size["merchants"] * size["days"]))
+    return max(1, -(-rows // task_rows))
+
+
+def merchant_days(totals: DataFrame, rules: ReportRules = ReportRules(), tasks: int | None = None) -> DataFrame:
     """Totals reduced to one row per merchant and active day (`day` = days since 1970).
 
     Shuffled by merchant alone, so that the windows that follow need no further
-    shuffle; a merchant has a bounded number of rows per day by now.
+    shuffle; a merchant has a bounded number of rows per day by now. `tasks` is
+    the number of tasks if what follows makes more rows of them (`merchant_tasks`).
     """
     approved = F.col("status") == rules.approved_status
     is_reversed = F.col("status") == rules.reversed_status
     return (
         totals.filter(F.col("event_date").isNotNull() & F.col("merchant_id").isNotNull())
-        .repartition("merchant_id")
+        .repartition(*([tasks] if tasks else []), "merchant_id")
         .groupBy("merchant_id", F.unix_date("event_date").alias("day"))
         .agg(
             F.sum("payments").alias("payments"),
@@ -196,12 +216,12 @@ def merchant_names(listed: DataFrame) -> DataFrame:
 def merchant_performance(totals: DataFrame, merchants: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
     """One row per snapshot date and merchant active in the N days that end on it.
 
-    `totals` is read twice (measures and snapshot dates), so pass a staged table.
+    `totals` is read three times (size, measures and snapshot dates), so pass a staged table.
     """
     window_days = rules.window_days
     listed = merchants.select("merchant_id", "merchant_name")
     names = merchant_names(listed)
-    days = merchant_days(totals, rules)
+    days = merchant_days(totals, rules, merchant_tasks(totals, window_days))
     sums = trailing_sums(days, "merchant_id", PERFORMANCE_SUMS, snapshot_days(totals), window_days)
     copies = F.coalesce("copies", F.lit(1))
     approved = money(F.col("approved_exact"), F.col("approved_fine"), F.col("approved_inexact"))

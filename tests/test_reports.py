@@ -10,6 +10,7 @@ import pytest
 from ledgerflow.functions.measures import MONEY_DIGITS
 from ledgerflow.layout import DAILY_SUMMARY_COLUMNS, performance_columns
 from ledgerflow.operators.trailing import running_sums, spread_sums, trailing_sums
+from ledgerflow.plans import reports
 from ledgerflow.plans.reports import (
     ReportRules,
     current_payments,
@@ -17,6 +18,7 @@ from ledgerflow.plans.reports import (
     daily_totals,
     in_report_order,
     merchant_performance,
+    merchant_tasks,
     performance_report,
 )
 from payments import audit, lookup, payment
@@ -248,6 +250,19 @@ def test_sums_of_partitioned_days_shuffle_once(spark, capsys):
         assert not any("snapshot_day" in line for line in shuffles)
 
 
+def test_tasks_over_merchants_follow_the_rows_of_the_result(spark, monkeypatch):
+    rows = [(date(2024, 1, d), f"M{m}") for d in range(1, 11) for m in range(40) if (d + m) % 2]
+    totals = spark.createDataFrame(rows, "event_date date, merchant_id string")
+    # 200 rows are at most 200 x N of the result, and 40 merchants x 10 days.
+    assert merchant_tasks(totals, 1, 10) == 20
+    assert 35 <= merchant_tasks(totals, 2, 10) <= 40 and 35 <= merchant_tasks(totals, 7, 10) <= 45
+    assert merchant_tasks(totals.limit(0), 7) == 1
+    payments = audit(spark, [card(n, "APPROVED", merchant_id=f"M{n}") for n in range(60)])
+    monkeypatch.setattr(reports, "merchant_tasks", lambda *_: 13)
+    report = merchant_performance(daily_totals(current_payments(payments)), lookup(spark, SHOP), ReportRules(window_days=7))
+    assert report.rdd.getNumPartitions() == 13
+
+
 @pytest.mark.parametrize("sums", [spread_sums, running_sums])
 def test_trailing_sums_with_given_snapshots(spark, sums):
     days = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("a", 5, 50)], "k string, day int, x bigint")

@@ -38,6 +38,14 @@ def test_shuffles_grow_with_the_input(spark, tmp_path):
         spark.conf.unset(setting)
 
 
+def test_splits_are_small_within_the_block(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.range(0, 40_000, 1, 1).write.parquet(str(tmp_path / "t"))
+    with session.small_splits(spark, 20_000):
+        assert spark.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions() > 4
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
 def test_a_run_removes_what_it_staged(spark, tmp_path):
     def run(fail):
         with session.staging_of_run(spark):

@@ -23,7 +23,7 @@ from ledgerflow.plans.audit import read_manifest, read_report
 from ledgerflow.plans.bronze import gate_report, ingest_merchants, ingest_payments
 from ledgerflow.plans.gold import build_reports, update_reports
 from ledgerflow.plans.state import current_state, refresh_current
-from ledgerflow.session import path_exists, stage, staging_path
+from ledgerflow.session import PARQUET_INPUT_BYTES, path_exists, sized_shuffles, small_splits, stage, staging_path
 from ledgerflow.sources.deliveries import Landing, read_deliveries, read_landing
 from ledgerflow.sources.columns import read_evolved, register_views
 from ledgerflow.sources.tables import append_flat, overwrite_partitions, read_bronze, read_bronze_merchants, read_table
@@ -45,6 +45,12 @@ def line_totals(spark: SparkSession, folder: str) -> DataFrame:
     return reports.daily_totals(current)
 
 
+def staged_line_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The totals, staged by tasks of a bounded size."""
+    with small_splits(spark), sized_shuffles(spark, f"{folder}/lineitem.parquet", {}, PARQUET_INPUT_BYTES):
+        return stage(line_totals(spark, folder), "line-totals")
+
+
 def latest_status_per_txn(spark: SparkSession, folder: str) -> DataFrame:
     current = reports.current_payments(views.line_payments(spark, folder), views.LINE_TIE_BREAKERS)
     return current.withColumn("event_date", F.col("event_date").cast("string"))
@@ -56,7 +62,7 @@ def daily_payment_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def merchant_performance(window_days: int):
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        totals = stage(line_totals(spark, folder), "line-totals")
+        totals = staged_line_totals(spark, folder)
         return reports.merchant_performance(totals, views.line_merchants(spark, folder), reports.ReportRules(window_days))
 
     return query
@@ -97,8 +103,9 @@ def active_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def date_merchant_spine(spark: SparkSession, folder: str) -> DataFrame:
-    totals = stage(line_totals(spark, folder), "line-totals")
-    spine = active_spine(reports.merchant_days(totals), "merchant_id", reports.snapshot_days(totals), 7)
+    totals = staged_line_totals(spark, folder)
+    days = reports.merchant_days(totals, tasks=reports.merchant_tasks(totals, 7))
+    spine = active_spine(days, "merchant_id", reports.snapshot_days(totals), 7)
     names = reports.merchant_names(views.line_merchants(spark, folder))
     return spine.join(names, "merchant_id", "left").select(
         F.date_from_unix_date("snapshot_day").cast("string").alias("snapshot_date"), "merchant_id", "merchant_name"
