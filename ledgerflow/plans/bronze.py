@@ -30,7 +30,7 @@ from ledgerflow.plans.audit import (
     run_status,
     track_stage,
 )
-from ledgerflow.session import apply_job_settings, path_exists, sized_shuffles, stage, staging_of_run
+from ledgerflow.session import apply_job_settings, path_exists, sized_shuffles, small_splits, stage, staging_of_run
 from ledgerflow.sources.columns import log_columns
 from ledgerflow.sources.deliveries import HEADER_ID, TOO_LONG, Deliveries, Landing, read_landing
 from ledgerflow.sources.indexes import index_rows, stored_hashes
@@ -217,6 +217,8 @@ def ingest_payments(
         staging_of_run(spark),
         track_stage(spark, run_id, "bronze", report_path) as report,
         sized_shuffles(spark, landing.folder, landing.options()),
+        # Many tasks of equal size keep all cores busy to the end of a stage.
+        small_splits(spark),
     ):
         landed = read_landing(spark, landing, columns)
         files = checked_files(landed, required)

@@ -46,6 +46,12 @@ def test_splits_are_small_within_the_block(spark, tmp_path):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+def test_methods_too_long_to_be_compiled_are_not_generated(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(name)
+    assert int(session.apply_job_settings(spark).conf.get(name)) == 8000
+
+
 def test_a_run_removes_what_it_staged(spark, tmp_path):
     def run(fail):
         with session.staging_of_run(spark):
