@@ -10,7 +10,6 @@ from __future__ import annotations
 import math
 import os
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +34,7 @@ REMEMBERED = 120_000
 LONGEST_REMEMBERED = 64
 TOGETHER = 500
 # Bytes of text that are encoded at once.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 21
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -50,29 +49,61 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 # Characters beyond these may combine or change their case by context.
 UNUSUAL = re.compile("[^\x00-\u02ff]")
-# One full stop or comma between a letter and white space or the end.
-CLOSING = re.compile("([a-z\u00e0-\u00f6\u00f8-\u00ff])([.,])(?=[ \n]|$)")
+# Classes of bytes: those without one may be parts of anything.
+LETTER, DIGIT, MARK = 1, 2, 3
+CLASSES = np.zeros(256, np.uint8)
+CLASSES[0x21:0x7F] = MARK
+CLASSES[ord("0") : ord("9") + 1] = DIGIT
+CLASSES[ord("a") : ord("z") + 1] = LETTER
+# The letters from \u00df to \u00ff have this byte first; their second byte, but for that of the sign \u00f7.
+LEAD, SECONDS = 0xC3, np.array([b in range(0x9F, 0xC0) and b != 0xB7 for b in range(256)])
+SPACE, LINE_FEED, APOSTROPHE = 0x20, 0x0A, 0x27
 
 
-# The vocabulary's model spells bytes as printable characters: those that are none, in order, from 256 on.
-SPELLED = {
-    byte: 256 + n for n, byte in enumerate(b for b in range(256) if b < 33 or 126 < b < 161 or b == 173)
-}
+def inner_cuts(data: np.ndarray) -> np.ndarray:
+    """Whether the vocabulary cuts between each byte and the one before, judged by these two alone.
+
+    It cuts where letters, digits and marks meet, and around every digit; an apostrophe may belong to letters behind it.
+    """
+    kind = CLASSES[data]
+    lead = np.flatnonzero(data[:-1] == LEAD)
+    lead = lead[SECONDS[data[lead + 1]]]
+    kind[lead] = kind[lead + 1] = LETTER
+    left, right = kind[:-1], kind[1:]
+    cut = (left != right) & ((data[:-1] != APOSTROPHE) | (right != LETTER))
+    cut |= right == DIGIT
+    cut &= (left > 0) & (right > 0)
+    return np.append(False, cut)
+
+
+# The vocabulary's model spells bytes as printable characters: those that are none, in order, from 256 on. White space
+# between words stays.
+SPELLED = np.arange(256, dtype="<u4")
+SPELLED[[b for b in range(256) if b < 33 or 126 < b < 161 or b == 173]] = 256 + np.arange(68)
+SPELLED[SPACE] = SPACE
 
 
 class WordTokenizer:
     """Ids of texts, word by word: this vocabulary never joins what a space or line feed separates.
 
-    The vocabulary folds case and cuts punctuation off letters, so texts of usual characters are brought to lower case
-    and lose the marks at the ends of words before words are looked up; then far fewer of them differ.
+    The vocabulary folds case and cuts letters, digits and marks apart, so texts of usual characters are brought to lower
+    case and cut there before words are looked up; then far fewer of them differ. Words are told apart and put back in
+    order by Arrow; Python sees the different ones of a slice alone.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # The model alone, for words its earlier steps would leave as they are, and the ids that end a word.
+        self.spelled = Tokenizer(self.tokenizer.model)
+        self.spelled.pre_tokenizer = WhitespaceSplit()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closes[[i for token, i in self.tokenizer.get_vocab().items() if suffix and token.endswith(suffix)]] = True
         # Words met lately, and those of the time before.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -81,12 +112,47 @@ class WordTokenizer:
         """Give the memory of all words back."""
         self.known, self.older = {}, {}
 
-    def words(self, text: str | None) -> list[str]:
+    def cleaned(self, text: str | None) -> tuple[bytes, bool]:
+        """(UTF-8, whether all characters are usual): usual texts are in lower case."""
         if not text:
-            return []
-        if UNUSUAL.search(text) is None and not any(s in text for s in self.special):
-            text = CLOSING.sub(r"\1 \2", text.lower())
-        return [w for w in text.replace("\n", " ").split(" ") if w]
+            return b"", False
+        usual = (text.isascii() or UNUSUAL.search(text) is None) and not any(s in text for s in self.special)
+        return (text.lower() if usual else text).encode(), usual
+
+    def words(self, texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+        """All words of `texts` in order, and per text the number of words up to its end."""
+        parts = [self.cleaned(text) for text in texts]
+        if not parts:
+            return pa.array([], pa.large_string()), np.zeros(0, np.int64)
+        # A line feed behind every text parts it from the next one.
+        data = np.frombuffer(b"\n".join([*(part for part, _ in parts), b""]), np.uint8)
+        sizes = np.array([len(part) + 1 for part, _ in parts])
+        ends = np.cumsum(sizes) - 1
+        solid = (data != SPACE) & (data != LINE_FEED)
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]
+        begins |= inner_cuts(data) & np.repeat([usual for _, usual in parts], sizes)
+        starts = np.flatnonzero(begins)
+        kept = data[solid]
+        offsets = np.append(np.cumsum(solid)[starts] - 1, len(kept))
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+        return words, np.searchsorted(starts, ends)
+
+    def learn_spelled(self, words: list[str]) -> None:
+        """Ids of words of usual small letters, from the model alone."""
+        lines = [" ".join(words[i : i + TOGETHER]) for i in range(0, len(words), TOGETHER)]
+        lines = [SPELLED[np.frombuffer(line.encode(), np.uint8)].tobytes().decode("utf-32-le") for line in lines]
+        found = self.spelled.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in found])
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(words):
+            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            self.known.update(zip(words, [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], strict=True))
+            return
+        # Not every word ends with an id that ends words only.
+        tokenize = self.tokenizer.model.tokenize
+        for word, spelling in zip(words, " ".join(lines).split(" "), strict=True):
+            self.known[word] = np.array([t.id for t in tokenize(spelling)], "<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
         """Look up the ids of new words.
@@ -101,11 +167,8 @@ class WordTokenizer:
         for word in words:
             small = word.isalpha() and (usual or (word == word.lower() and UNUSUAL.search(word) is None))
             (plain if small else others).append(word)
-        tokenize, known = self.tokenizer.model.tokenize, self.known
-        for word in plain:
-            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(SPELLED)
-            ids = [t.id for t in tokenize(spelled)]
-            known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        if plain:
+            self.learn_spelled(plain)
         words = others
         for first in range(0, len(words), TOGETHER):
             some = words[first : first + TOGETHER]
@@ -117,22 +180,35 @@ class WordTokenizer:
             for word, low, high in zip(some, cuts[:-1], cuts[1:], strict=True):
                 self.known[word] = ids[low:high].tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Per text its ids and the end mark, as little-endian unsigned 32-bit numbers."""
+    def looked_up(self, words: list[str]) -> list[bytes]:
+        """The ids of different words."""
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
-        end = np.array([END], "<u4").tobytes()
-        pieces = [self.words(text) for text in texts]
         known, older = self.known, self.older
-        new = {w for words in pieces for w in words if w not in known}
+        result = list(map(known.get, words))
+        missing = [i for i, ids in enumerate(result) if ids is None]
+        new = [words[i] for i in missing]
         known.update((w, older[w]) for w in new if w in older)
-        self.learn(sorted(w for w in new if w not in known))
-        result = [b"".join(map(self.known.__getitem__, words)) + end for words in pieces]
+        self.learn([w for w in new if w not in known])
+        for i, word in zip(missing, new, strict=True):
+            result[i] = known[word]
         for word in new:
             if len(word) > LONGEST_REMEMBERED:
-                del self.known[word]
+                del known[word]
         return result
 
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets): per text its ids and the end mark, as little-endian unsigned 32-bit numbers."""
+        words, counts = self.words(texts)
+        coded = words.dictionary_encode()
+        ids = self.looked_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        table = pa.array([*ids, np.array([END], "<u4").tobytes()], pa.large_binary())
+        packed = table.take(pa.array(np.insert(np.asarray(coded.indices), counts, len(ids))))
+        _, offsets, raw = packed.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(packed) + 1)
+        ends = offsets[counts + np.arange(1, len(texts) + 1)] // 4
+        return np.frombuffer(raw, "<u4", int(offsets[-1]) // 4), np.append(0, ends)
+
 
 _tokenizers: dict[str, WordTokenizer] = {}
 
@@ -202,10 +278,10 @@ def tokenized(docs: DataFrame, path: str, stored: str) -> DataFrame:
         for whole in batches:
             for first, last in slices(text_bytes(whole.column("text"))[1], SLICE_BYTES):
                 batch = whole.slice(first, last - first)
-                encoded = tokenizer.encode(batch.column("text").to_pylist())
-                offsets = np.concatenate([[0], np.cumsum([len(e) // 4 for e in encoded])])
-                points = coordinates(np.frombuffer(b"".join(encoded), "<u4").astype(np.int64), offsets)
-                small = [np.frombuffer(e, "<u4").astype(stored).tobytes() for e in encoded]
+                ids, offsets = tokenizer.encode(batch.column("text").to_pylist())
+                points = coordinates(ids.astype(np.int64), offsets)
+                raw, cuts = ids.astype(stored).tobytes(), (offsets * np.dtype(stored).itemsize).tolist()
+                small = [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from ledgerflow.llm.mixing import Target, exponent, mixed_documents, mixing_digest, mixture, tempered
-from ledgerflow.llm.packing import CURVE_BITS, LENGTH, hilbert, pack, vocabulary
+from ledgerflow.llm.packing import CURVE_BITS, LENGTH, WordTokenizer, hilbert, pack, vocabulary
 
 
 def reference_ids(texts):
@@ -60,6 +60,20 @@ def test_every_id_lies_in_exactly_one_piece(documents, data):
         assert at == LENGTH or number == len(sequences) - 1
 
 
+def test_words_that_differ_in_digits_and_marks_are_looked_up_once():
+    texts = ["", None, *[f"Über{i}!!! straße???{i}, it's 'll{i} x÷y \u00a0{i}\n'tis ''s.{i}" for i in range(300)], "ÿ.,\n", "a<|endoftext|>,b", "Ω1, é"]
+    tokenizer = WordTokenizer(vocabulary())
+    learned = []
+    learn = tokenizer.learn
+    tokenizer.learn = lambda words: (learned.extend(words), learn(words))[1]
+    ids, offsets = tokenizer.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == reference_ids(texts)
+    assert len(learned) == len(set(learned)) < 60
+    again, _ = tokenizer.encode(texts)
+    assert again.tolist() == ids.tolist() and len(learned) < 60
+    assert [x.tolist() for x in tokenizer.encode([])] == [[], [0]]
+
+
 def test_curve_visits_every_cell_by_steps_of_one():
     bits = 3
     grid = np.stack(np.meshgrid(*[np.arange(2**bits)] * 3, indexing="ij"), -1).reshape(-1, 3)
