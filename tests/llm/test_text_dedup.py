@@ -49,6 +49,19 @@ def test_repeated_bytes_match_brute_force(documents, data):
     assert corpus.found(digest, *columns) == corpus.without_repeats(data)
 
 
+def test_texts_there_twice_are_shuffled_once(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["a" * 500, "b" * 500, "a" * 500, "c" * 10, "c" * 10, None, "a" * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("tid", F.xxhash64("text"))
+    marked, first = suffix_dedup.text_classes(docs, 400)
+    # What four later steps read holds no shuffle and no sort.
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+    assert [(r["doc_id"], r["text"]) for r in first.collect()] == [(0, "a" * 500)]
+    assert {r["doc_id"]: r["copies"] for r in marked.collect()} == {0: 3, 1: None, 2: 3, 3: None, 4: None, 5: None, 6: 3}
+
+
 def test_a_line_of_many_documents_fills_no_shard(spark, tmp_path, monkeypatch):
     rng = random.Random(6)
     lines = [corpus.sentence(rng, 60)[:n] for n in (150, 300, 390)]
