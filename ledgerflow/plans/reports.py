@@ -187,7 +187,8 @@ def merchant_days(totals: DataFrame, rules: ReportRules = ReportRules(), tasks:
     is_reversed = F.col("status") == rules.reversed_status
     return (
         totals.filter(F.col("event_date").isNotNull() & F.col("merchant_id").isNotNull())
-        .repartition(*([tasks] if tasks else []), "merchant_id")
+        # One task would gather all merchants, whatever the session is set to.
+        .repartition(*([max(2, tasks)] if tasks else []), "merchant_id")
         .groupBy("merchant_id", F.unix_date("event_date").alias("day"))
         .agg(
             F.sum("payments").alias("payments"),
