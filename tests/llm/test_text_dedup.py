@@ -10,7 +10,7 @@ import pytest
 
 from ledgerflow.llm import suffix_dedup
 from ledgerflow.llm.components import components
-from ledgerflow.llm import near_dup
+from ledgerflow.llm import near_dup, segments
 from ledgerflow.llm.near_dup import Rule, near_dedup, near_duplicates, tile_task
 from ledgerflow.llm.substring_dedup import substring_dedup, substring_dedup_digest
 from ledgerflow.llm.suffix_dedup import suffix_dedup_digest
@@ -94,6 +94,59 @@ def test_a_line_of_many_documents_fills_no_shard(spark, tmp_path, monkeypatch):
     assert sizes and max(sizes) <= limit
 
 
+def test_only_windows_in_doubt_are_sorted(monkeypatch):
+    rng = random.Random(16)
+    # Documents share a line of 300 bytes and nothing around it, but for two that share 700 bytes and one that repeats itself.
+    line = corpus.sentence(rng, 80)[:300]
+    texts = [corpus.sentence(rng, 200) + line + corpus.sentence(rng, 200) for _ in range(40)]
+    texts += [corpus.sentence(rng, 90) + texts[0][-900:-200] + corpus.sentence(rng, 90), "twice " * 300]
+    raw = [t.encode() for t in texts]
+    ends = np.cumsum([0, *map(len, raw)])
+    runs = suffix_dedup.byte_kernel(400, 128)(np.frombuffer(b"".join(raw), np.uint8), ends)
+    segments = [raw[d][a : a + n + 399] for d, a, n in zip(runs.doc.tolist(), runs.start.tolist(), runs.count.tolist(), strict=True)]
+    seen = Counter(s[i : i + 400] for s in segments for i in range(len(s) - 399))
+    wanted = {(i, a) for i, s in enumerate(segments) for a in range(len(s) - 399) if seen[s[a : a + 400]] > 1}
+    at = np.arange(len(segments))
+    columns = {"fp": runs.fp.view(np.int64), "seg": at, "single": at >= 0, "count": runs.count, "bytes": segments}
+    rows = pa.RecordBatch.from_pydict(columns | {"piece": np.full(len(at), 128, np.int32)})
+    sort, sorted_bytes = suffix_dedup.repeats_in_shard, []
+
+    def watched(segments, counts, length):
+        sorted_bytes.append(sum(map(len, segments)))
+        return sort(segments, counts, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeats_in_shard", watched)
+    (result,) = suffix_dedup.shard_task(400)(iter([rows]))
+    found = {(r["seg"], p["start"] + k) for r in result.to_pylist() for p in r["found"] for k in range(p["count"])}
+    assert found == wanted and wanted
+    # What is sorted beside the repeated windows are the ends of runs, not the surroundings of the line.
+    assert len(wanted) < sorted_bytes[0] < sum(map(len, segments)) / 5
+
+
+def test_a_passage_of_many_documents_is_no_row_for_each_of_its_windows(spark, monkeypatch):
+    rng = random.Random(17)
+    passage, pair = corpus.sentence(rng, 90)[:560], "over again "
+    texts = [f"{corpus.sentence(rng, 60)}{passage}{corpus.sentence(rng, 60)}" for _ in range(60)]
+    texts += [f"{corpus.sentence(rng, 20)}{pair * (60 + i % 7)}{corpus.sentence(rng, 20)}" for i in range(60)]
+    data = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    staged, steps = segments.staged, []
+
+    def watched(df, label):
+        result = staged(df, label)
+        steps.append((label, result.count()))
+        return result
+
+    monkeypatch.setattr(segments, "staged", watched)
+    monkeypatch.setattr(suffix_dedup, "staged", watched)
+    monkeypatch.setattr(suffix_dedup, "KEY_BYTES", 1000)
+    digest = suffix_dedup_digest(corpus.frame(spark, data).repartition(3))
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert corpus.found(digest, *columns) == corpus.without_repeats(data)
+    # Down to whole windows; what each step joins is no more than some segments of each document.
+    assert "byte-windows" in dict(steps)
+    assert max(n for label, n in steps if label == "byte-segments") <= 25 * len(texts)
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
 def test_near_copies_match_brute_force(documents, data, size, percent):
     # Two texts of one id are one node of the graph; brute force compares them the same way.
